@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, langid, media, packing, repeats, secrets, urls, vectors
+from tidemark.llm import bpe, langid, media, near_dedup, packing, repeats, secrets, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (repeats.op2_suffix_array_dedup, media.op4_media, packing.op5_packing, bpe.op6_bpe, langid.op7_language_id, secrets.op8_secret_scans, vectors.op9_embedding_near_dedup, urls.op10_url_filters)
+    found = (near_dedup.op1_minhash_near_dedup, repeats.op2_suffix_array_dedup, media.op4_media, packing.op5_packing, bpe.op6_bpe, langid.op7_language_id, secrets.op8_secret_scans, vectors.op9_embedding_near_dedup, urls.op10_url_filters)
     return {f.__name__: f for f in found}
 
 
