@@ -299,7 +299,7 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A cut never splits a character. Null texts stay null.
     """
-    rows = docs.withColumn("_key", text_key())
+    rows, columns, schema = docs.withColumn("_key", text_key()), docs.columns, docs.schema
     spans = find_repeats(_with_key(docs.select("doc_id", "text")), length).select(F.col("key").alias("_key"), F.col("later").alias("_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,9 +317,9 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                             span[1] -= 1
                     texts[i] = _kept(text, found).decode()
             at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).select(docs.columns)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).select(columns)
 
-    return rows.join(spans, "_key", "left").drop("_key").mapInArrow(run, docs.schema)
+    return rows.join(spans, "_key", "left").drop("_key").mapInArrow(run, schema)
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
