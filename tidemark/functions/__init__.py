@@ -1 +1 @@
-
+"""Column functions: hash keys, money, dates, frames, text."""
