@@ -105,9 +105,9 @@ SQL = {
         case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end as op, event_type = 'error' as is_deleted, event_type, cast(floor(coalesce(value, 0) * 100 + 0.5::double) as bigint) as value_cents, coalesce(props, '') as props,
         event_id % 20 = 0 as is_snapshot, event_id // 5 as transaction_no, 'tx-' || (event_id // 5) as transaction_id from events""",
     "v_observations": """select 'tx-' || transaction_no as transaction_id, status, case status when 'OPEN' then b else e end as "offset", case when status = 'COMPLETE' then n end as event_count, case when status = 'COMPLETE' then e end as end_offset,
-        'tx:0:' || transaction_no || ':' || status as event_id, at as recorded_at from (
+        'tx:0:' || transaction_no || ':' || status as event_id, seen as recorded_at from (
         select *, unnest(case when transaction_no % 97 = 96 then ['OPEN'] when transaction_no % 50 = 7 then ['OPEN', 'REJECTED', 'COMPLETE'] else ['OPEN', 'COMPLETE'] end) as status from (
-        select transaction_no, min("offset") as b, max("offset") as e, count(*) as n, max(source_ts) as at from v_changes group by 1))""",
+        select transaction_no, min("offset") as b, max("offset") as e, count(*) as n, max(source_ts) as seen from v_changes group by 1))""",
     "v_effective": """select * exclude (n) from (select *, row_number() over (partition by transaction_id order by "offset" desc, recorded_at desc, (end_offset is not null) desc,
         case status when 'COMPLETE' then 3 when 'REJECTED' then 2 when 'OPEN' then 1 else 0 end desc, event_id desc) as n from v_observations) where n = 1""",
     "v_runs": """select order_id, status, cast(year(purchase) - 1990 as bigint) as seq, order_id as "offset" from v_orders""",
