@@ -8,7 +8,7 @@ left side at its first token and with the right side at its last one.
 Why agreement is exact. The pre-tokenizer reads from left to right without looking back, so from a
 common word start on it splits equal text equally; and a word's merges depend on that word alone. The
 window begins at a word start of the left side and ends at one that both the window and the right
-side have, each more than LOOK characters (the pattern's look-ahead) from where its text was cut. If
+side have, each farther than the pattern looks ahead, or a special string is long, from where its text was cut. If
 there is no such place, the window grows to all of both sides.
 
 Cases: a null text is empty and has no ids; a special token's string inside a text becomes that
@@ -68,7 +68,9 @@ class Codec:
         self.special = special
         self.bpe = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.known: dict[str, np.ndarray] = {}
-        self.words = regex.compile("|".join([*map(regex.escape, special), PATTERN]) if special else PATTERN)
+        self.words = regex.compile(PATTERN)
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+        self.look = max([LOOK, *(len(x) + 1 for x in special)])
 
     def encode(self, text: str) -> np.ndarray:
         return self.bpe.encode_to_numpy(text, allowed_special="all", disallowed_special=())
@@ -76,17 +78,27 @@ class Codec:
     def decode(self, ids: np.ndarray) -> str:
         return self.bpe.decode_bytes(ids.tolist()).decode("utf-8", "replace")
 
+    def _words(self, text: str) -> Iterator[tuple[int, str]]:
+        """Words with their places; special strings are cut out first and are words of their own."""
+        at = 0
+        for i, part in enumerate(self.cut.split(text) if self.cut else [text]):
+            if i % 2:
+                yield at, part
+            else:
+                for m in self.words.finditer(part):
+                    yield at + m.start(), m.group()
+            at += len(part)
+
     def piece(self, text: str) -> Piece:
         """``text`` encoded word by word; each distinct word is encoded once."""
         starts, tokens, parts, n = [], [], [], 0
-        for m in self.words.finditer(text):
-            word = m.group()
+        for at, word in self._words(text):
             ids = self.known.get(word)
             if ids is None:
                 ids = self.encode(word)
                 if len(self.known) < 200_000 and len(word) < 64:
                     self.known[word] = ids
-            starts.append(m.start())
+            starts.append(at)
             tokens.append(n)
             parts.append(ids)
             n += len(ids)
@@ -117,12 +129,12 @@ def join(coder: Codec, left: Piece, right: Piece, window: int = WINDOW) -> Piece
     cut = len(left.text)
     reach = window
     while True:
-        first = int(np.searchsorted(left.starts, cut - max(reach, LOOK), "right")) - 1
+        first = int(np.searchsorted(left.starts, cut - max(reach, coder.look), "right")) - 1
         first = max(first, 0)
         begin = int(left.starts[first]) if len(left.starts) else 0
         end = min(len(right.text), reach)
         around = coder.piece(left.text[begin:] + right.text[:end])
-        trusted = end if end == len(right.text) else end - LOOK
+        trusted = end if end == len(right.text) else end - coder.look
         ours = around.starts + begin - cut
         common = np.intersect1d(ours[(ours > 0) & (ours < trusted)], right.starts)
         if len(common) or end == len(right.text):
