@@ -14,18 +14,19 @@ from tidemark.plans.views import Views
 from tidemark.sources import storage
 from tidemark.streaming import capture
 
-PLACE = F.struct("partition", "offset")
+def place():
+    return F.struct("partition", "offset")
 
 
 # --- current state and counts ---------------------------------------------------------------------
 @query("""select user_id, event_id, "offset", op, value_cents from (select *, row_number() over (partition by user_id order by partition desc, "offset" desc) as n from v_changes) where n = 1 and not is_deleted""")
 def current_state(v: Views) -> DataFrame:
-    return versions.current_state(v.changes, ["user_id"], PLACE).select("user_id", "event_id", "offset", "op", "value_cents")
+    return versions.current_state(v.changes, ["user_id"], place()).select("user_id", "event_id", "offset", "op", "value_cents")
 
 
 @query("""select cast(sum(n) as bigint) as changes, count(*) as physical, count(*) filter (where not gone) as visible, count(*) filter (where gone) as deleted from (select user_id, count(*) as n, arg_max(is_deleted, "offset") as gone from v_changes group by 1)""")
 def current_counts(v: Views) -> DataFrame:
-    return versions.current_counts(v.changes, ["user_id"], PLACE)
+    return versions.current_counts(v.changes, ["user_id"], place())
 
 
 @query("select entity, op, count(*) as n from v_changes group by 1, 2")
@@ -269,7 +270,7 @@ def within_boundary(v: Views) -> DataFrame:
 
 @query(f"""select user_id, event_id, is_deleted from {_BOUNDED} qualify row_number() over (partition by user_id order by partition desc, "offset" desc) = 1""")
 def candidate_current(v: Views) -> DataFrame:
-    return versions.latest_by(bounded(v), ["user_id"], PLACE).select("user_id", "event_id", "is_deleted")
+    return versions.latest_by(bounded(v), ["user_id"], place()).select("user_id", "event_id", "is_deleted")
 
 
 @query("select transaction_id, count(*) as events, cast(count(*) as bigint) as users_events from v_changes group by 1")
@@ -445,9 +446,9 @@ def manifest(v: Views) -> DataFrame:
 @query(f"""select user_id, 'missing_left' as difference from (select distinct user_id from {_BOUNDED} where false)""")
 def rebuild_parity(v: Views) -> DataFrame:
     """A rebuild from the ledger equals the current state; differing keys would be returned."""
-    a = versions.latest_by(bounded(v), ["user_id"], PLACE).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
+    a = versions.latest_by(bounded(v), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
     half = bounded(v).where("`offset` % 2 = 0")
-    b = versions.apply_current(versions.latest_by(half, ["user_id"], PLACE), bounded(v).where("`offset` % 2 = 1"), ["user_id"], PLACE).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
+    b = versions.apply_current(versions.latest_by(half, ["user_id"], place()), bounded(v).where("`offset` % 2 = 1"), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
     return ledger.parity(a, b, ["user_id"])
 
 
@@ -457,7 +458,7 @@ def acceptance_counts(v: Views) -> DataFrame:
     c = v.changes
     row = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("measure"), "n")
     ops = c.groupBy("op").agg(F.count("*").alias("n")).select(F.concat(F.lit("op_"), "op").alias("measure"), "n")
-    parts = [row(checks.duplicate_keys(c, ["event_id"]), "duplicates"), row(ruled(v).where("error_code is not null"), "rejected"), row(versions.current_state(c, ["user_id"], PLACE), "visible"), ops]
+    parts = [row(checks.duplicate_keys(c, ["event_id"]), "duplicates"), row(ruled(v).where("error_code is not null"), "rejected"), row(versions.current_state(c, ["user_id"], place()), "visible"), ops]
     out = row(c, "changes")
     for p in parts:
         out = out.unionByName(p)
