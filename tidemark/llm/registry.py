@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, langid, lm, media, near_dedup, packing, repeats, secrets, urls, vectors
+from tidemark.llm import bpe, langid, lm, media, near_dedup, oracles, packing, repeats, secrets, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,4 +17,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filters": urls.ORACLE}
+    return {
+        "op1_minhash_near_dedup": oracles.NEAR_DEDUP,
+        "op2_suffix_array_dedup": oracles.REPEATS,
+        "op9_embedding_near_dedup": oracles.VECTORS,
+        "op10_url_filters": urls.ORACLE,
+    }

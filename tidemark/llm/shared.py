@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,20 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset (tests in local mode) one
-    temporary folder is made for the process.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = _local.setdefault("dir", "") or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        _local["dir"] = found
-    return found.rstrip("/")
+from tidemark.sources.storage import shared_dir
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
