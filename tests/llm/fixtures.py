@@ -2,7 +2,7 @@
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, text_key string, digest string, pack string, role string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, text_key string, digest string, pack string, score string, lang_pred string, component_id string"
 
 
 def rows(seed: int = 1, n: int = 120):
@@ -34,7 +34,7 @@ def rows(seed: int = 1, n: int = 120):
     out[15][1] = "one  TWO"
     out[16][1] = "it's <|endoftext|> they'r" + "e' ré" * 30
     out.append(list(out[3]))
-    return [(i, t, lang, "src", len(t or ""), "k", "t", "d", "p", "r") for i, t, lang in out]
+    return [(i, t, lang, "src", len(t or ""), "k", "t", "d", "p", "s", "l", "c") for i, t, lang in out]
 
 
 def table(spark, seed: int = 1, n: int = 120):

@@ -151,8 +151,8 @@ def infer(logs: np.ndarray, mixture: Mixture) -> np.ndarray:
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
-def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` and lang_pred, score, computed from ``text`` alone."""
+def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of ``docs`` and, as ``names``, the language and its score, from ``text`` alone."""
     model = docs.sparkSession.sparkContext.broadcast((languages, logs))
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
 
@@ -160,7 +160,7 @@ def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[
         languages, logs = model.value
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
-            names, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
+            found, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
             for lo, hi in slices(offsets, SLICE_BYTES) if languages else ():
                 keys = np.sort(trigrams(data, offsets[lo : hi + 1]))
                 if not len(keys):
@@ -173,11 +173,11 @@ def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[
                 for i, row in enumerate(rows[starts].tolist()):
                     if _has_letter(data[offsets[lo + row] : offsets[lo + row + 1]]):
                         at = int(share[i].argmax())
-                        names[lo + row], scores[lo + row] = languages[at], min(1.0, float(share[i, at]))
+                        found[lo + row], scores[lo + row] = languages[at], min(1.0, float(share[i, at]))
             columns = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores)], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(scores)], [*keep, *names])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{fields}, {names[0]} string, {names[1]} double")
 
 
 def _has_letter(text: np.ndarray) -> bool:
@@ -188,10 +188,10 @@ def held_out():
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def identify(docs: DataFrame, training: DataFrame, keep: list[str]) -> DataFrame:
+def identify(docs: DataFrame, training: DataFrame, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Train on ``training`` (doc_id, text, lang) and predict ``docs``."""
     labelled = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return predict(docs, *train(labelled), keep)
+    return predict(docs, *train(labelled), keep, names)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
