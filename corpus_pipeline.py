@@ -31,8 +31,8 @@ def _recounted(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones have; the rest go."""
     training = docs.where(~F.coalesce(langid.held_out(), F.lit(False)))
-    judged = langid.identify(docs, training, docs.columns)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    judged = langid.identify(docs, training, docs.columns, ("_language", "_share"))
+    return judged.where((F.col("_language") != "und") & (F.col("_share") >= LEAST_SHARE)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
