@@ -1,7 +1,7 @@
 """Media columns: payloads stored as 8-bit mono WAV in a deduplicated store of content-defined chunks.
 
-A payload's samples are its bytes. The WAV file is cut into chunks: the header alone, then wherever a
-rolling gear hash of the samples (the sum of the last bytes' random codes, each shifted once more)
+A payload's samples are its bytes. The WAV file's header stays with its list; the rest is cut into
+chunks wherever a rolling gear hash of the samples (the sum of the last bytes' random codes, each shifted once more)
 has its top bits clear, between a least and a greatest chunk size. Equal stretches of different files
 therefore give equal chunks. The store keeps one compressed copy of each chunk, found by its digest;
 a file is the ordered list of its chunks' digests. Both sides are Spark tables: chunks are
@@ -72,8 +72,9 @@ def cuts(payload: bytes) -> list[int]:
 
 
 def chunked(media: bytes) -> list[bytes]:
+    """The chunks behind the header."""
     edges = [44, *(44 + e for e in cuts(media[44:]))]
-    return [media[:44], *(media[a:b] for a, b in zip(edges, edges[1:]))]
+    return [media[a:b] for a, b in zip(edges, edges[1:])]
 
 
 def features(payload: bytes) -> str:
@@ -84,12 +85,12 @@ def features(payload: bytes) -> str:
 
 
 def store(docs: DataFrame) -> DataFrame:
-    """Chunk rows (media, place, digest, chunk): the file's digest, and per chunk its place and zstd bytes."""
+    """Chunk rows: the file's key, sizes, digest and header, and per chunk its place, digest and zstd bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        names = ("key", "n_bytes", "media", "place", "digest", "chunk")
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+        names = ("key", "n_bytes", "media", "header", "n_chunks", "place", "digest", "chunk")
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         rows: list[tuple] = []
         size = 0
         table = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -98,10 +99,11 @@ def store(docs: DataFrame) -> DataFrame:
                 raw = text.as_py().encode()
                 file = wav(raw + bytes(PAD - len(raw) % PAD if len(raw) % PAD or not raw else 0))
                 media = hashlib.sha256(file).digest()
-                for place, chunk in enumerate(chunked(file)):
+                chunks = chunked(file)
+                for place, chunk in enumerate(chunks):
                     packed = squeeze.compress(chunk)
                     size += len(packed)
-                    rows.append((key, len(raw), media, place, hashlib.blake2b(chunk, digest_size=16).digest(), packed))
+                    rows.append((key, len(raw), media, file[:44], len(chunks), place, hashlib.blake2b(chunk, digest_size=16).digest(), packed))
                 if size > 4 << 20:
                     yield table()
                     rows.clear()
@@ -109,18 +111,21 @@ def store(docs: DataFrame) -> DataFrame:
         if rows:
             yield table()
 
-    return docs.mapInArrow(run, "key long, n_bytes long, media binary, place int, digest binary, chunk binary")
+    return docs.mapInArrow(run, "key long, n_bytes long, media binary, header binary, n_chunks int, place int, digest binary, chunk binary")
 
 
 def rebuild(lists: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
-    """The files of the ordered chunk lists (key, n_bytes, media, place, digest), read back and described."""
+    """The files of the ordered chunk lists, read back and described.
+
+    A file of one chunk is whole as soon as its list meets the store; only longer ones are gathered.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
         for group in sorted_groups(batches, "key"):
             order = np.argsort(group.column("place").to_numpy())
             column = group.column("chunk")
-            file = b"".join(expand.decompress(column[i].as_py()) for i in order.tolist())
+            file = group.column("header")[0].as_py() + b"".join(expand.decompress(column[i].as_py()) for i in order.tolist())
             if hashlib.sha256(file).digest() != group.column("media")[0].as_py():
                 raise ValueError("a rebuilt file differs from the one that was stored")
             payload = samples(file)
@@ -128,12 +133,14 @@ def rebuild(lists: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
                 "key": group.column("key")[:1].combine_chunks(), "n_bytes": group.column("n_bytes")[:1].combine_chunks(),
                 "payload_bytes": pa.array([len(payload)], pa.int64()), "payload_sha256": [hashlib.sha256(payload).hexdigest()],
                 "tail_crc32": pa.array([zlib.crc32(payload[-PAD:])], pa.int64()), "media_bytes": pa.array([len(file)], pa.int64()),
-                "media_sha256": [hashlib.sha256(file).hexdigest()], "feature": [features(payload)], "n_chunks": pa.array([len(order) - 1], pa.int32()),
+                "media_sha256": [hashlib.sha256(file).hexdigest()], "feature": [features(payload)], "n_chunks": pa.array([len(order)], pa.int32()),
             })
 
-    rows = lists.join(chunks, "digest").select("key", "n_bytes", "media", "place", "chunk")
+    fields = ("key", "n_bytes", "media", "header", "place", "chunk")
+    short = lists.where("n_chunks = 1").join(chunks, "digest").select(*fields)
+    long = lists.where("n_chunks > 1").join(chunks, "digest").select(*fields)
     schema = "key long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_chunks int"
-    return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, schema)
+    return short.mapInArrow(run, schema).unionByName(long.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, schema))
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
@@ -142,7 +149,7 @@ def media_columns(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text, F.length(text)).alias("key"))
     cut = store(keyed.select("key", "text"))
-    lists = cut.groupBy("key", "place").agg(F.first("n_bytes").alias("n_bytes"), F.first("media").alias("media"), F.first("digest").alias("digest"))
+    lists = cut.groupBy("key", "place").agg(*(F.first(c).alias(c) for c in ("n_bytes", "media", "header", "n_chunks", "digest")))
     chunks = cut.select("digest", "chunk").dropDuplicates(["digest"])
     files = rebuild(lists, chunks, parts)
     return keyed.select("doc_id", "key").join(files, "key").drop("key")
