@@ -32,22 +32,25 @@ def dim_seller(sellers: DataFrame, key: str, *attributes: str) -> DataFrame:
     return sellers.select(hash_key(key).alias("seller_key"), key, *attributes)
 
 
-def allocate(items: DataFrame, payments: DataFrame) -> DataFrame:
-    """What each item bears of its order's payments, by its share of the order's gross; null at gross 0."""
+def allocate(items: DataFrame, payments: DataFrame, *carry: str) -> DataFrame:
+    """What each item bears of its order's payments, by its share of the order's gross; null at gross 0.
+
+    Further columns of the items can be carried along, so that no later join has to bring them back.
+    """
     gross = F.col("price_cents") + F.col("freight_cents")
-    rows = items.select("order_id", "item_no", gross.alias("gross_cents"), F.sum(gross).over(Window.partitionBy("order_id")).alias("order_gross_cents"))
+    rows = items.select("order_id", "item_no", *carry, gross.alias("gross_cents"), F.sum(gross).over(Window.partitionBy("order_id")).alias("order_gross_cents"))
     paid = payments.groupBy("order_id").agg(F.sum("paid_cents").alias("paid_cents"))
-    return rows.join(paid, "order_id", "left").select("order_id", "item_no", "gross_cents", "order_gross_cents", "paid_cents", share_half_up(F.col("gross_cents"), F.col("order_gross_cents"), F.col("paid_cents")).alias("allocated_cents"))
+    share = share_half_up(F.col("gross_cents"), F.col("order_gross_cents"), F.col("paid_cents"))
+    return rows.join(paid, "order_id", "left").select("order_id", "item_no", *carry, "gross_cents", "order_gross_cents", "paid_cents", share.alias("allocated_cents"))
 
 
-def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, allocation: DataFrame, versions: DataFrame) -> DataFrame:
+def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, versions: DataFrame) -> DataFrame:
     """One row per order item with keys, money and delivery measures.
 
-    Joins follow the reference order: items with orders inner, all lookups left. ``versions`` is a
-    type-2 dimension by unique_id, looked up at the purchase time.
+    ``items`` are allocated ones. Orders join inner, all lookups left. ``versions`` is a type-2
+    dimension by unique_id, looked up at the purchase time.
     """
     rows = items.join(orders, "order_id").join(customers, "customer_id", "left")
-    rows = rows.join(allocation.select("order_id", "item_no", "allocated_cents"), ["order_id", "item_no"], "left")
     rows = rows.join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
     interval = versions.select(F.col("unique_id").alias("_id"), "valid_from", "valid_to", "version_key")
     open_end = F.lit("2299-12-31 00:00:00").cast("timestamp_ntz")

@@ -248,14 +248,18 @@ _PREFIX = f"""v_effective where status = 'COMPLETE' and "offset" > 100 and "offs
 
 @query(f"""select 'MATERIALIZING' as status, 'complete_prefix' as reason, max("offset") as target_offset, arg_max(transaction_id, "offset") as target_transaction, count(*) as transactions, cast(sum(event_count) as bigint) as expected_events from {_PREFIX}""")
 def boundary_select(v: Views) -> DataFrame:
-    return transactions.select_boundary(effective(v), 100)
+    return transactions.select_boundary(storage.save(effective(v), "effective"), 100)
 
 
 def bounded(v: Views) -> DataFrame:
-    """Changes inside the newest complete prefix; the boundary stays a one-row table."""
-    target = transactions.select_boundary(effective(v), 100).select("target_offset")
-    done = effective(v).where("status = 'COMPLETE' and not missing_id").crossJoin(F.broadcast(target)).where("`offset` <= target_offset").select("transaction_id")
-    ends = v.changes.crossJoin(F.broadcast(target)).groupBy("topic", "partition").agg(F.max(F.when(F.col("offset") <= F.col("target_offset"), F.col("offset"))).alias("end_offset"))
+    """Changes inside the newest complete prefix; the boundary stays a one-row table.
+
+    The effective transactions and the boundary are written once, as several parts read them.
+    """
+    states = storage.save(effective(v), "effective")
+    target = F.broadcast(storage.save(transactions.select_boundary(states, 100).select("target_offset"), "boundary"))
+    done = states.where("status = 'COMPLETE' and not missing_id").crossJoin(target).where("`offset` <= target_offset").select("transaction_id")
+    ends = v.changes.crossJoin(target).groupBy("topic", "partition").agg(F.max(F.when(F.col("offset") <= F.col("target_offset"), F.col("offset"))).alias("end_offset"))
     inside = transactions.within_offsets(v.changes, ends)
     return inside.join(done, "transaction_id", "left_semi")
 
@@ -446,9 +450,10 @@ def manifest(v: Views) -> DataFrame:
 @query(f"""select user_id, 'missing_left' as difference from (select distinct user_id from {_BOUNDED} where false)""")
 def rebuild_parity(v: Views) -> DataFrame:
     """A rebuild from the ledger equals the current state; differing keys would be returned."""
-    a = versions.latest_by(bounded(v), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
-    half = bounded(v).where("`offset` % 2 = 0")
-    b = versions.apply_current(versions.latest_by(half, ["user_id"], place()), bounded(v).where("`offset` % 2 = 1"), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
+    inside = bounded(v)
+    a = versions.latest_by(inside, ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
+    half = inside.where("`offset` % 2 = 0")
+    b = versions.apply_current(versions.latest_by(half, ["user_id"], place()), inside.where("`offset` % 2 = 1"), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
     return ledger.parity(a, b, ["user_id"])
 
 

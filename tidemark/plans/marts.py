@@ -17,11 +17,11 @@ def allocation(v: Views) -> DataFrame:
     return gold.allocate(v.items, v.payments)
 
 
-def sales(v: Views) -> DataFrame:
-    """Items with what the marts need of their orders and customers."""
-    rows = v.items.join(v.orders, "order_id").join(v.customers, "customer_id", "left")
-    rows = rows.join(allocation(v).select("order_id", "item_no", "allocated_cents"), ["order_id", "item_no"], "left")
-    return rows.select("order_id", "item_no", "customer_id", "unique_id", F.to_date("purchase").alias("purchase_day"), "status", "price_cents", "freight_cents", "allocated_cents")
+def sales(v: Views, customers: bool = False) -> DataFrame:
+    """Allocated items with what the marts need of their orders and, if asked, customers."""
+    rows = gold.allocate(v.items, v.payments, "price_cents", "freight_cents").join(v.orders, "order_id")
+    rows = rows.join(v.customers, "customer_id", "left") if customers else rows
+    return rows.select("order_id", "item_no", "customer_id", *["unique_id"] * customers, F.to_date("purchase").alias("purchase_day"), "status", "price_cents", "freight_cents", "allocated_cents")
 
 
 def user_versions(v: Views) -> DataFrame:
@@ -36,7 +36,7 @@ def mart_daily_revenue(v: Views) -> DataFrame:
 
 @query("select month, active_customers, orders, paid_cents, repeat_customers, arpu_cents, aov_cents, orders_per_customer, repeat_rate from v_monthly")
 def mart_monthly_arpu(v: Views) -> DataFrame:
-    return gold.mart_monthly(sales(v))
+    return gold.mart_monthly(sales(v, customers=True))
 
 
 @query("select * from v_allocation")
@@ -54,7 +54,8 @@ def payment_allocation(v: Views) -> DataFrame:
 def fact_order_items(v: Views) -> DataFrame:
     key = hash_key("user_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     dim = user_versions(v).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to", key.alias("version_key"))
-    return gold.fact_items(v.items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), allocation(v), dim)
+    items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents")
+    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim)
 
 
 @query("""select cast(strftime(d, '%Y%m%d') as int) as date_key, d as date, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month, rpad(monthname(d), 9, ' ') as month_name, cast(weekofyear(d) as int) as week,
@@ -138,7 +139,7 @@ def allocation_balance(v: Views) -> DataFrame:
 
 @query("select month, arpu_cents, repeat_rate from v_monthly where arpu_cents <> floor(cast(paid_cents as double) / active_customers + 0.5::double) or repeat_rate not between 0 and 1")
 def arpu_formula(v: Views) -> DataFrame:
-    return checks.arpu_formulas(gold.mart_monthly(sales(v))).select("month", "arpu_cents", "repeat_rate")
+    return checks.arpu_formulas(gold.mart_monthly(sales(v, customers=True))).select("month", "arpu_cents", "repeat_rate")
 
 
 @query("select purchase_day, gross_cents from v_daily where gross_cents <> price_cents + freight_cents")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def save(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it again.
+
+    For results that several parts of a plan read; a lost executor then costs no recomputation.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
