@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.storage import shared_dir
+from tidemark.sources.storage import save, shared_dir
 
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it again."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "drop_saved", "save", "shared_dir", "sorted_groups", "spread", "text_key"]
 
 
 def drop_saved(df: DataFrame) -> None:
