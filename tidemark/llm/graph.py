@@ -13,7 +13,7 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has long columns a and b. A large-star step hangs all larger neighbours of a node on the
     smallest one it sees; a small-star step does so for the smaller ones. Minima are combined before
-    the shuffle, and nothing but two sums comes to the driver. Each round's links are written to the
+    the shuffle, nothing that grows is broadcast, and nothing but two sums comes to the driver. Each round's links are written to the
     shared folder, and the round before is deleted.
     """
     big, small = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
@@ -25,9 +25,9 @@ def components(links: DataFrame) -> DataFrame:
         seen = (sums["n"], sums["h"])
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+        large = both.join(least.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = large.join(least.hint("merge"), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         then = save(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
         drop_saved(now)
         now = then
