@@ -25,14 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import CODES, U, buffers, mix, powers, slices
-from tidemark.llm.shared import documents, save, spread, text_key
+from tidemark.llm.shared import documents, drop_saved, save, spread, text_key
 
-#: Bytes of a repeat, and of an anchor string; distinct runs of an anchor that one task compares.
-LENGTH, GRAM, CROWD = 200, 48, 3000
+#: Bytes of a repeat, and of an anchor string; distinct runs of an anchor that one task compares
+#: (about 4 MB of run bytes, as much as one suffix sort takes).
+LENGTH, GRAM, CROWD = 200, 48, 12_000
 SLICE_BYTES = 1 << 20
 #: Bytes of runs that one suffix sort takes.
 SORT_BYTES = 4 << 20
@@ -139,9 +140,11 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
                     at = pa.array(row + lo)
                     yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("doc_id").take(at), pa.array(start, pa.int32()), pa.array(count, pa.int32()), pa.array(h), pa.array(g)], ["key", "doc_id", "p", "m", "h", "g"])
 
-    runs = docs.select("key", "doc_id", "text").mapInArrow(cut, RUN)
-    again = runs.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n")
-    again = save(again, "runs")
+    runs = save(docs.select("key", "doc_id", "text").mapInArrow(cut, RUN), "runs")
+    anchors = save(runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
+    again = save(runs.join(anchors, "h").select(*runs.columns), "runs-again")
+    drop_saved(runs)
+    drop_saved(anchors)
     kinds = again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "p", "key")).alias("first"), F.first("m").alias("m"))
     kinds = save(kinds, "run-kinds")
     several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
