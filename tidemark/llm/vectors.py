@@ -30,12 +30,18 @@ from pyspark.sql import functions as F
 from tidemark.llm.graph import components
 from tidemark.llm.shared import save, sorted_groups, spread
 
-#: Link threshold; blocks and codewords of the product code; filters that a vector lies in on average.
-COSINE, BLOCKS, CODES, FILTERS = 0.98, 3, 64, 40
-#: Seeds of independent codes; a pair that shares no filter of one code is met by another.
-SEEDS = (7, 8)
+#: Link threshold; blocks and codewords of the product code; filters that a random vector lies in at the code's height.
+COSINE, BLOCKS, CODES, FILTERS = 0.98, 3, 64, 32
+#: Filters that each vector is held in.
+HELD = 24
+#: Seeds of the codes used; a second one would meet pairs that share no filter of the first.
+SEEDS = (7,)
+#: Random vectors whose scores set a code's height; all their filters are held at once.
+PROBES = 24
 #: Classes compared in one block of a crowded filter.
 BUCKET = 512
+#: Vectors whose filters are listed at once: the partial lists of one may hold CODES ** (BLOCKS - 1) words.
+CAST = 16
 
 
 class ProductCode:
@@ -52,11 +58,10 @@ class ProductCode:
         for part in self.parts:
             words = rng.normal(size=(codes, part.stop - part.start))
             self.codes.append(words / np.linalg.norm(words, axis=1, keepdims=True) / math.sqrt(blocks))
-        probe = rng.normal(size=(400, size))
-        scores = [s for s in self._scores(probe / np.linalg.norm(probe, axis=1, keepdims=True))]
-        total = scores[0]
-        for s in scores[1:]:
-            total = (total[:, :, None] + s[:, None, :]).reshape(len(probe), -1)
+        probe = rng.normal(size=(PROBES, size))
+        total = np.zeros((PROBES, 1), np.float32)
+        for s in self._scores(probe / np.linalg.norm(probe, axis=1, keepdims=True)):
+            total = (total[:, :, None] + s[:, None, :].astype(np.float32)).reshape(PROBES, -1)
         self.height = float(np.quantile(total, 1 - filters / total.shape[1]))
 
     def _scores(self, unit: np.ndarray) -> list[np.ndarray]:
@@ -73,17 +78,39 @@ class ProductCode:
         return [x[:, part] @ words.T for part, words in zip(self.parts, self.codes)]
 
     def filters(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of all caps that hold a vector, and each vector's best cap in any case."""
+        """(row, filter) of all caps that hold a vector.
+
+        Heights are the vectors' own: each is lowered from the code's height until at least HELD filters
+        exceed it, then raised to the HELD-th best. So no vector is without filters, and none of uneven
+        spread over the blocks fills thousands. Close vectors have close scores, hence common filters.
+        """
         scores = self._scores(unit)
+        held = min(HELD, int(np.prod([s.shape[1] for s in scores])))
+        height, open_ = np.full(len(unit), self.height), np.arange(len(unit))
+        found = []
+        while len(open_):
+            rows, code, total = self._exceeding([s[open_] for s in scores], height[open_])
+            count = np.bincount(rows, minlength=len(open_))
+            order = np.lexsort((-total, rows))
+            rank = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+            enough = count >= held
+            keep = order[enough[rows[order]] & (rank < held)]
+            found.append((open_[rows[keep]], code[keep]))
+            open_ = open_[~enough]
+            height[open_] -= 0.05 * self.height
+        return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
+
+    @staticmethod
+    def _exceeding(scores: list[np.ndarray], height: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """List decoding: block by block, keeping what can still reach the height."""
         best = [s.max(axis=1) for s in scores]
-        rows, code, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
+        rows, code, total = np.arange(len(height)), np.zeros(len(height), np.int64), np.zeros(len(height))
         for i, s in enumerate(scores):
-            rest = sum(best[i + 1 :], np.zeros(len(unit)))
-            need = np.minimum(self.height, sum(best)) - rest - 1e-12
+            need = height - sum(best[i + 1 :], np.zeros(len(height)))
             wide = total[:, None] + s[rows]
             at, word = np.nonzero(wide >= need[rows][:, None])
             rows, code, total = rows[at], code[at] * s.shape[1] + word, wide[at, word]
-        return rows, code
+        return rows, code, total
 
 
 def link_vectors(table: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -105,10 +132,10 @@ def link_vectors(table: DataFrame, cosine: float = COSINE) -> DataFrame:
                 at = np.flatnonzero(lengths == size)
                 x = np.array([vectors[i] / np.abs(vectors[i]).max() for i in at])
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                for seed, low in itertools.product(SEEDS, range(0, len(at), 256)):
+                for seed, low in itertools.product(SEEDS, range(0, len(at), CAST)):
                     if (size, seed) not in made:
                         made[size, seed] = ProductCode(size, seed=seed)
-                    here, code = made[size, seed].filters(unit[low : low + 256])
+                    here, code = made[size, seed].filters(unit[low : low + CAST])
                     key = ((label[at[low + here]].astype(np.int64) * 1_000_003 + size) * 31 + seed) * 16_777_259 + code
                     yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at[low + here])), pa.array(key)], ["id", "cap"])
 
