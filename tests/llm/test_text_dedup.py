@@ -51,6 +51,18 @@ def test_dense_regions_and_crowded_groups_stay_connected(spark, monkeypatch):
     assert {r.component_id for r in got} == {0, 1000}
 
 
+@pytest.mark.parametrize("dense", [64, 4096])
+def test_members_of_a_large_region_meet_whatever_its_size(spark, monkeypatch, dense):
+    monkeypatch.setattr(near_dedup, "DENSE", dense)
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 256, (400, near_dedup.VALUES)).astype(np.uint8)
+    low[390:, 6:] = low[:10, 6:]  # ten outside, each like one member but in the values after the prefix
+    regions = spark.createDataFrame([(1, i, bytearray(b.tobytes()), 400, 400) for i, b in enumerate(low)], "region long, id long, bytes binary, size long, n long")
+    linked = spark.createDataFrame([(i, 0) for i in range(390)], "node long, component long")
+    groups = [r.ids for r in near_dedup.crossing_groups(regions, linked, 4).collect()]
+    assert all(any({i, i - 390} <= set(g) for g in groups) for i in range(390, 400))
+
+
 def brute_repeats(texts, first):
     raw = [(t or "").encode() for t in texts]
     count = collections.Counter(t[i : i + 200] for t in raw for i in range(len(t) - 199))

@@ -11,7 +11,7 @@ its first DEPTH values (their longest common prefix) are candidates:
   adapts to each region;
 * a region of more than DENSE classes is sorted across tasks instead of inside one;
 * when links are known, members of large regions that are in different components are compared again,
-  each with those of the other component that its signature is closest to.
+  whatever the region's size, each with those of the other component that its signature is closest to.
 
 Inside a window, classes go on if their signatures agree in AGREE values with another one's (at the
 threshold a pair misses that with probability below 1e-5). Candidate pairs are joined to candidate
@@ -47,6 +47,8 @@ WIDTH, SHARE, VALUES, TREES, DEPTH = 5, 75, 48, 16, 3
 REGION, DENSE, AGREE = 32, 4096, 20
 #: The same for pairs of different components in large regions, and how many of the closest go on.
 AGREE_DENSE, CLOSEST = 26, 16
+#: Shingles of a block of a large region.
+SIZE = 2_000_000
 SLICE_BYTES = 2 << 20
 _PERMUTE = np.random.default_rng(515).integers(1, 1 << 63, (2, VALUES), dtype=np.uint64) * U(2) + U(1)
 
@@ -82,7 +84,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def forest(classes: DataFrame) -> DataFrame:
-    """(region, id, bytes): each class once per tree; bytes are its signature's low bytes in the tree's order."""
+    """(region, id, bytes, size): each class once per tree; bytes are its signature's low bytes in the tree's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,9 +97,9 @@ def forest(classes: DataFrame) -> DataFrame:
                 for j in order[:DEPTH]:
                     region = mix(region * U(0x9E3779B97F4A7C15) + values[:, j])
                 rest = np.ascontiguousarray(low[:, order])
-                yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), batch.column("id"), pa.array([r.tobytes() for r in rest], pa.binary())], ["region", "id", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), batch.column("id"), pa.array([r.tobytes() for r in rest], pa.binary()), batch.column("n_shingles")], ["region", "id", "bytes", "size"])
 
-    return classes.select("id", "signature").mapInArrow(run, "region long, id long, bytes binary")
+    return classes.select("id", "signature", "n_shingles").mapInArrow(run, "region long, id long, bytes binary, size long")
 
 
 def with_others(trees: DataFrame) -> DataFrame:
@@ -144,48 +146,65 @@ def candidate_groups(regions: DataFrame, parts: int) -> DataFrame:
         if out:
             yield _lists(out)
 
-    usual = regions.where(F.col("n") <= DENSE).drop("n").repartition(parts, "region").sortWithinPartitions("region")
-    dense = regions.where(F.col("n") > DENSE).drop("n").repartitionByRange(parts, "region", "bytes", "id").sortWithinPartitions("region")
+    usual = regions.where(F.col("n") <= DENSE).drop("n", "size").repartition(parts, "region").sortWithinPartitions("region")
+    dense = regions.where(F.col("n") > DENSE).drop("n", "size").repartitionByRange(parts, "region", "bytes", "id").sortWithinPartitions("region")
     return usual.unionByName(dense).mapInArrow(run, "ids array<long>").distinct()
 
 
+def crossing_units(regions: DataFrame, linked: DataFrame) -> DataFrame:
+    """(unit, id, component, bytes, apart, member, seeks): the members of large regions, dealt to units.
+
+    A region's members outside its largest component (apart) seek links with all members of the region.
+    Both sides are cut into blocks by hash, of about DENSE classes and SIZE shingles, and each pair of
+    blocks is a unit; so every member outside meets every other one, whatever the region's size.
+    """
+    rows = regions.where(F.col("n") > REGION).select("region", "id", "bytes", "size")
+    rows = rows.join(linked.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = save(rows, "large-regions")
+    per = rows.groupBy("region", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    per = per.groupBy("region").agg(F.sum("n").alias("n"), F.sum("size").alias("all"), F.max(F.struct("n", "component", "size")).alias("main")).where("n > main.n")
+    blocks = lambda n, size: F.ceil(F.greatest(n / DENSE, size / SIZE)).cast("int")
+    per = per.select("region", F.col("main.component").alias("main"), blocks(F.col("n"), F.col("all")).alias("wide"), blocks(F.col("n") - F.col("main.n"), F.col("all") - F.col("main.size")).alias("high"))
+    rows = rows.join(per.hint("merge"), "region").withColumn("apart", F.col("component") != F.col("main"))
+    rows = rows.withColumn("x", F.pmod(F.xxhash64("id"), F.col("wide")).cast("int")).withColumn("y", F.pmod(F.xxhash64("id", F.lit(1)), F.col("high")).cast("int"))
+    unit = lambda x, y, member, seeks: F.struct(F.xxhash64("region", x, y).alias("unit"), member.alias("member"), seeks.alias("seeks"))
+    others = F.filter(F.sequence(F.lit(0), F.col("wide") - 1), lambda x: F.col("apart") & (x != F.col("x")))
+    units = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda y: unit(F.col("x"), y, F.lit(True), F.col("apart") & (y == F.col("y")))),
+        F.transform(others, lambda x: unit(x, F.col("y"), F.lit(False), F.lit(True))),
+    )
+    return rows.select("id", "component", "bytes", "apart", F.explode(units).alias("u")).select("u.unit", "id", "component", "bytes", "apart", "u.member", "u.seeks")
+
+
 def crossing_groups(regions: DataFrame, linked: DataFrame, parts: int) -> DataFrame:
     """(ids): in regions too large to be compared whole, what windows may have missed.
 
     Members of a region that are in one component already need no further pair. Every other one is
     held against all members of the region, by signature, and for each other component it meets goes
-    on with the CLOSEST most agreeing members there. Regions of more than DENSE classes are split by
-    three further values first.
+    on with the CLOSEST most agreeing members there.
     """
-    deeper = F.when(F.col("n") > DENSE, F.xxhash64("region", F.substring("bytes", DEPTH + 1, 3))).otherwise(F.col("region"))
-    rows = regions.where(F.col("n") > REGION).select(deeper.alias("region"), "id", "bytes")
-    rows = rows.join(linked.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: set[tuple[int, ...]] = set()
-        for group in sorted_groups(batches, "region"):
-            for at in range(0, group.num_rows, DENSE):
-                part = group.slice(at, DENSE)
-                ids, component = part.column("id").to_numpy(), part.column("component").to_numpy()
-                names, code, size = np.unique(component, return_inverse=True, return_counts=True)
-                if len(names) < 2:
-                    continue
-                low = np.frombuffer(b"".join(part.column("bytes").to_pylist()), np.uint8).reshape(-1, VALUES)
-                for i in np.flatnonzero(code != size.argmax()).tolist():
-                    agree = (low == low[i]).sum(axis=1)
-                    agree[code == code[i]] = 0
-                    near = np.flatnonzero(agree >= AGREE_DENSE)
-                    near = near[np.lexsort((-agree[near], code[near]))]
-                    for j in np.split(near, np.flatnonzero(np.diff(code[near])) + 1):
-                        if len(j):
-                            out.add(tuple(sorted({int(ids[i]), *ids[j[:CLOSEST]].tolist()})))
+        for group in sorted_groups(batches, "unit"):
+            ids, component, apart, member, seeks = (group.column(c).to_numpy() for c in ("id", "component", "apart", "member", "seeks"))
+            low = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8).reshape(-1, VALUES)
+            for i in np.flatnonzero(seeks).tolist():
+                open_ = member & (component != component[i]) & (~apart | (ids > ids[i]))  # of two outside, one seeks
+                near = np.flatnonzero(open_ & ((low == low[i]).sum(axis=1) >= AGREE_DENSE))
+                agree = (low[near] == low[i]).sum(axis=1)
+                near = near[np.lexsort((-agree, component[near]))]
+                for j in np.split(near, np.flatnonzero(np.diff(component[near])) + 1):
+                    if len(j):
+                        out.add(tuple(sorted({int(ids[i]), *ids[j[:CLOSEST]].tolist()})))
             if len(out) > 20_000:
                 yield _lists(out)
                 out.clear()
         if out:
             yield _lists(out)
 
-    return rows.repartition(parts, "region").sortWithinPartitions("region").mapInArrow(run, "ids array<long>").distinct()
+    units = crossing_units(regions, linked)
+    return units.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(run, "ids array<long>").distinct()
 
 
 def _lists(groups) -> pa.RecordBatch:
@@ -240,7 +259,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE) ->
     """doc_id, n_shingles, component_id and kept for every row."""
     parts = spread(docs.sparkSession)
     sketch = save(sketches(docs, width), "sketches")
-    classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
+    classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     classes = save(classes, "classes")
     regions = with_others(forest(classes))
     groups = save(candidate_groups(regions, parts), "groups")
