@@ -63,6 +63,20 @@ def test_members_of_a_large_region_meet_whatever_its_size(spark, monkeypatch, de
     assert all(any({i, i - 390} <= set(g) for g in groups) for i in range(390, 400))
 
 
+def test_one_link_to_a_large_component_of_closer_signatures_is_found(spark):
+    core, tail = [f"c{i}" for i in range(404)], lambda i, n: [f"t{i}x{j}" for j in range(n)]
+    rows = [(i, " ".join(core + tail(i, 60))) for i in range(100)]  # 0.70 to the one outside
+    rows += [(100, " ".join(core + tail(1000, 20) + tail(100, 40))), (1000, " ".join(core + tail(1000, 112)))]  # 0.76
+    low = np.zeros((102, near_dedup.VALUES), np.uint8)
+    low[:100, 34:], low[100, 30:] = 1, 1  # a hundred agree in 34 values, the partner in 30
+    regions = spark.createDataFrame([(1, r[0], bytearray(b.tobytes()), 4000, 102) for r, b in zip(rows, low)], "region long, id long, bytes binary, size long, n long")
+    linked = spark.createDataFrame([(i, 0) for i in range(1, 101)], "node long, component long")
+    groups = near_dedup.crossing_groups(regions, linked, 4).cache()
+    assert any({100, 1000} <= set(r.ids) for r in groups.collect())
+    links = near_dedup.crossing_links(spark.createDataFrame(rows, "doc_id long, text string"), groups, linked, 4, 5, 75)
+    assert {tuple(sorted(x)) for x in links.collect()} == {(100, 1000)}
+
+
 def brute_repeats(texts, first):
     raw = [(t or "").encode() for t in texts]
     count = collections.Counter(t[i : i + 200] for t in raw for i in range(len(t) - 199))

@@ -10,13 +10,13 @@ its first DEPTH values (their longest common prefix) are candidates:
   compared: neighbours there share as long a prefix as the region's density allows, so the depth
   adapts to each region;
 * a region of more than DENSE classes is sorted across tasks instead of inside one;
-* when links are known, members of large regions that are in different components are compared again,
-  whatever the region's size, each with those of the other component that its signature is closest to.
+* when links are known, all members of a large region that are in different components are compared,
+  whatever the region's size.
 
-Inside a window, classes go on if their signatures agree in AGREE values with another one's (at the
-threshold a pair misses that with probability below 1e-5). Candidate pairs are joined to candidate
-groups; small ones are gathered whole, of larger ones the windows. Every group's texts are read in
-full and its pairs linked by exact set sizes; links are followed to components.
+Classes go on if their signatures agree in AGREE values with another one's (at the threshold a pair
+misses that with probability below 1e-5). Candidate pairs of windows are joined to candidate groups;
+small ones are gathered whole, of larger ones the windows. Every group's texts are read in full and
+its pairs linked by exact set sizes; links are followed to components.
 
 At similarity s a pair shares a region in some tree with probability 1 - (1 - s**3)**16: 0.9998 at
 0.75, and more above.
@@ -45,10 +45,8 @@ from tidemark.llm.shared import documents, save, sorted_groups, spread
 WIDTH, SHARE, VALUES, TREES, DEPTH = 5, 75, 48, 16, 3
 #: Classes compared whole; classes of a region that one task sorts; values that a candidate pair shares.
 REGION, DENSE, AGREE = 32, 4096, 20
-#: The same for pairs of different components in large regions, and how many of the closest go on.
-AGREE_DENSE, CLOSEST = 26, 16
-#: Shingles of a block of a large region.
-SIZE = 2_000_000
+#: Bytes of text of a block of a large region.
+SIZE = 16 << 20
 SLICE_BYTES = 2 << 20
 _PERMUTE = np.random.default_rng(515).integers(1, 1 << 63, (2, VALUES), dtype=np.uint64) * U(2) + U(1)
 
@@ -65,7 +63,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, the set's digest, and the signature as 8-byte values."""
+    """doc_id, n_shingles, the text's bytes, the set's digest, and the signature as 8-byte values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,9 +76,9 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     for i, row in zip(full, signatures([sets[i] for i in full])):
                         values[i] = row.tobytes()
                 digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(values, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.diff(offsets[lo : hi + 1]), pa.int64()), pa.array(digest, pa.binary()), pa.array(values, pa.binary())], ["doc_id", "n_shingles", "n_bytes", "digest", "signature"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, n_bytes long, digest binary, signature binary")
 
 
 def forest(classes: DataFrame) -> DataFrame:
@@ -97,9 +95,9 @@ def forest(classes: DataFrame) -> DataFrame:
                 for j in order[:DEPTH]:
                     region = mix(region * U(0x9E3779B97F4A7C15) + values[:, j])
                 rest = np.ascontiguousarray(low[:, order])
-                yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), batch.column("id"), pa.array([r.tobytes() for r in rest], pa.binary()), batch.column("n_shingles")], ["region", "id", "bytes", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), batch.column("id"), pa.array([r.tobytes() for r in rest], pa.binary()), batch.column("n_bytes")], ["region", "id", "bytes", "size"])
 
-    return classes.select("id", "signature", "n_shingles").mapInArrow(run, "region long, id long, bytes binary, size long")
+    return classes.select("id", "signature", "n_bytes").mapInArrow(run, "region long, id long, bytes binary, size long")
 
 
 def with_others(trees: DataFrame) -> DataFrame:
@@ -155,7 +153,7 @@ def crossing_units(regions: DataFrame, linked: DataFrame) -> DataFrame:
     """(unit, id, component, bytes, apart, member, seeks): the members of large regions, dealt to units.
 
     A region's members outside its largest component (apart) seek links with all members of the region.
-    Both sides are cut into blocks by hash, of about DENSE classes and SIZE shingles, and each pair of
+    Both sides are cut into blocks by hash, of about DENSE classes and SIZE bytes of text, and each pair of
     blocks is a unit; so every member outside meets every other one, whatever the region's size.
     """
     rows = regions.where(F.col("n") > REGION).select("region", "id", "bytes", "size")
@@ -180,33 +178,65 @@ def crossing_groups(regions: DataFrame, linked: DataFrame, parts: int) -> DataFr
     """(ids): in regions too large to be compared whole, what windows may have missed.
 
     Members of a region that are in one component already need no further pair. Every other one is
-    held against all members of the region, by signature, and for each other component it meets goes
-    on with the CLOSEST most agreeing members there.
+    held against all members of the region by signature; a unit's agreeing members are one group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: set[tuple[int, ...]] = set()
         for group in sorted_groups(batches, "unit"):
             ids, component, apart, member, seeks = (group.column(c).to_numpy() for c in ("id", "component", "apart", "member", "seeks"))
             low = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8).reshape(-1, VALUES)
+            found = np.zeros(len(ids), bool)
             for i in np.flatnonzero(seeks).tolist():
-                open_ = member & (component != component[i]) & (~apart | (ids > ids[i]))  # of two outside, one seeks
-                near = np.flatnonzero(open_ & ((low == low[i]).sum(axis=1) >= AGREE_DENSE))
-                agree = (low[near] == low[i]).sum(axis=1)
-                near = near[np.lexsort((-agree, component[near]))]
-                for j in np.split(near, np.flatnonzero(np.diff(component[near])) + 1):
-                    if len(j):
-                        out.add(tuple(sorted({int(ids[i]), *ids[j[:CLOSEST]].tolist()})))
-            if len(out) > 20_000:
-                yield _lists(out)
-                out.clear()
-        if out:
-            yield _lists(out)
+                near = member & (component != component[i]) & (~apart | (ids > ids[i]))  # of two outside, one seeks
+                near &= (low == low[i]).sum(axis=1) >= AGREE
+                found |= near
+                found[i] |= near.any()
+            if found.any():
+                yield _lists([np.unique(ids[found]).tolist()])
 
     units = crossing_units(regions, linked)
     return units.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(run, "ids array<long>").distinct()
 
 
+def crossing_links(docs: DataFrame, groups: DataFrame, linked: DataFrame, parts: int, width: int, share: int) -> DataFrame:
+    """(a, b): links between different components inside each group, by exact set sizes over all its pairs."""
+    members = groups.select(F.xxhash64(F.col("ids").cast("string")).alias("group"), F.explode("ids").alias("id"))
+    members = members.join(linked.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, "group"):
+            data, offsets = buffers(group.column("text"))
+            sets = [s for lo, hi in slices(offsets, SLICE_BYTES) for s in Words(data, offsets[lo : hi + 1]).shingles(width)]
+            full = [i for i, s in enumerate(sets) if len(s)]
+            sets = [sets[i] for i in full]
+            ids = group.column("id").to_numpy()[full]
+            _, code, n = np.unique(group.column("component").to_numpy()[full], return_inverse=True, return_counts=True)
+            if len(n) < 2:
+                continue
+            size = np.array([len(s) for s in sets])
+            edges = np.cumsum([0, *size])
+            shingles, place = np.unique(np.concatenate(sets), return_inverse=True)
+            mark, root, out = np.zeros(len(shingles), np.uint8), np.arange(len(n)), []
+            for i in np.flatnonzero(code != n.argmax()).tolist():
+                open_ = root[code] != root[code[i]]
+                open_ &= 100 * np.minimum(size, size[i]) >= share * np.maximum(size, size[i])
+                if not open_.any():
+                    continue
+                own = place[edges[i] : edges[i + 1]]
+                mark[own] = 1
+                common = np.add.reduceat(mark[place], edges[:-1], dtype=np.int64)
+                mark[own] = 0
+                for j in np.flatnonzero(open_ & (100 * common >= share * (size + size[i] - common))).tolist():
+                    if root[code[j]] != root[code[i]]:
+                        out.append((int(ids[i]), int(ids[j])))
+                        root[root == root[code[j]]] = root[code[i]]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+    texts = members.join(docs.select(F.col("doc_id").alias("id"), "text").hint("merge"), "id")
+    return texts.select("group", "id", "component", "text").repartition(parts, "group").sortWithinPartitions("group").mapInArrow(run, "a long, b long")
+
+
 def _lists(groups) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(groups), pa.list_(pa.int64()))], ["ids"])
 
@@ -259,7 +289,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE) ->
     """doc_id, n_shingles, component_id and kept for every row."""
     parts = spread(docs.sparkSession)
     sketch = save(sketches(docs, width), "sketches")
-    classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+    classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.max("n_bytes").alias("n_bytes"))
     classes = save(classes, "classes")
     regions = with_others(forest(classes))
     groups = save(candidate_groups(regions, parts), "groups")
@@ -267,11 +297,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE) ->
     found = components(links)
     crossing = save(crossing_groups(regions, found, parts), "crossing")
     if not crossing.isEmpty():
-        found = components(links.unionByName(save(verified_links(docs, crossing, parts, width, share), "near-links")))
+        found = components(links.unionByName(save(crossing_links(docs, crossing, found, parts, width, share), "near-links")))
     linked = classes.select("digest", "id").join(found.withColumnRenamed("node", "id").hint("merge"), "id", "left")
     linked = linked.select("digest", F.coalesce("component", "id").alias("class_component"))
     component = F.coalesce("class_component", "doc_id")
-    return sketch.drop("signature").join(linked.hint("merge"), "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    return sketch.drop("signature", "n_bytes").join(linked.hint("merge"), "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
