@@ -1,10 +1,13 @@
 import datetime as dt
+import hashlib
+import types
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import frames, values
 from tidemark.operators import checks, ledger, publication, schemas, transactions
+from tidemark.plans import cdc
 
 OBS = "transaction_id string, status string, offset long, event_count long, end_offset long, event_id string, recorded_at timestamp"
 AT = dt.datetime(2024, 1, 1)
@@ -94,6 +97,30 @@ def test_bucketed_checksums_tell_order_apart_from_content(spark):
         assert d[0] == d[1] != d[2]
 
 
+def test_checksums_stream_groups_that_span_batches(spark):
+    lines = [(i % 3 if i % 3 else None, f"line {i * 7919 % 1000} é" if i % 10 else None) for i in range(1000)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = ledger.event_checksum(spark.createDataFrame(lines, "g int, l string"), ["g"], F.col("l"))
+        got = {r.g: (r.checksum, r.lines) for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for g in (None, 1, 2):
+        own = [x for k, x in lines if k == g]
+        want[g] = (hashlib.sha256("\n".join(sorted(x for x in own if x)).encode()).hexdigest(), len(own))
+    assert got == want
+    assert "collect_list" not in df._jdf.queryExecution().toString()
+
+
+def test_status_documents_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cdc.storage, "status_rows", lambda d: seen.append(d) or d.select("application", "updated_at", F.explode("queries").alias("q")).select("application", "updated_at", "q.*"))
+    changes = spark.range(60_000).selectExpr("id as user_id", "id % 3 as partition", "'u' as op", "id as offset")
+    assert cdc.status_rows(types.SimpleNamespace(changes=changes)).count() == 60_000
+    assert seen[0].agg(F.max(F.size("queries"))).first()[0] <= 10_000
+
+
 def test_unpublished_runs_stay_hidden(spark):
     rows = spark.createDataFrame([("k", 1, "one"), ("k", 2, "two")], "k string, seq long, v string")
     markers = spark.createDataFrame([(1, "PUBLISHED", AT), (2, "MATERIALIZING", AT)], "seq long, status string, recorded_at timestamp")

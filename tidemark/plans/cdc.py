@@ -359,11 +359,15 @@ def parse_offsets(v: Views) -> DataFrame:
     return storage.parse_offsets(progress, "progress").drop("progress")
 
 
+#: Consecutive user ids in one status document, so that its size does not grow with the table.
+STATUS_USERS = 10_000
+
+
 @query("""select 'app' || partition as application, 'user' || user_id as name, arg_max(op, "offset") as state, max("offset") as last_batch_id from v_changes group by partition, user_id""")
 def status_rows(v: Views) -> DataFrame:
     per = v.changes.groupBy("partition", "user_id").agg(F.max_by("op", "offset").alias("state"), F.max("offset").alias("last_batch_id"))
     one = F.struct(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("name"), "state", "last_batch_id")
-    doc = per.groupBy("partition").agg(F.to_json(F.collect_list(one)).alias("json"))
+    doc = per.groupBy("partition", F.floor(F.col("user_id") / STATUS_USERS)).agg(F.to_json(F.collect_list(one)).alias("json"))
     parsed = doc.select(F.concat(F.lit("app"), F.col("partition").cast("string")).alias("application"), F.lit(None).alias("updated_at"), F.from_json("json", "array<struct<name: string, state: string, last_batch_id: bigint>>").alias("queries"))
     return storage.status_rows(parsed).drop("updated_at")
 
