@@ -3,7 +3,7 @@
 A filter direction is a product code: the vector space is turned by random signs and a Hadamard
 transform, cut into BLOCKS blocks, and each block has CODES random unit codewords; a filter takes one
 codeword of each block. A vector lies in all filters whose direction it exceeds by the cap's height,
-and these are listed without trying all CODES ** BLOCKS: block by block, keeping what can still reach
+but only its HELD best ones are kept; a pair that shares none of these is not found. They are listed without trying all CODES ** BLOCKS: block by block, keeping what can still reach
 the height. Vectors are joined on (label, filter) and pairs verified by their cosine in double
 precision, so nothing below the threshold is linked. The height follows from the threshold and the
 wanted number of filters.
