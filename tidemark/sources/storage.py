@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -20,9 +21,15 @@ _local: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this process where the cluster names none."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Where that is unset, one of this process on a local master; on a cluster, whose machines could not
+    see each other's files there, an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = _local.setdefault("dir", "") or f"file://{tempfile.mkdtemp(prefix='spark-')}"
         _local["dir"] = found
     return found.rstrip("/")
