@@ -1,12 +1,15 @@
 import collections
 import hashlib
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import fixtures
-from tidemark.llm import near_dedup, repeats
+from tidemark.llm import arrow_text, near_dedup, repeats
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -43,38 +46,58 @@ def test_near_duplicates_are_those_of_brute_force(spark, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == near_groups(rows)
 
 
-def test_dense_regions_and_crowded_groups_stay_connected(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "DENSE", 64)
-    base = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join([*base[:i], "new", *base[i + 1 :]])) for i in range(150)] + [(1000, "something else that is not like the others at all")]
+def template_rows(n, seed):
+    """Rows about the threshold: a shared core with tails of their own, chains of edits, and strangers."""
+    rnd = random.Random(seed)
+    core = [f"c{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(core)
+        for _ in range(rnd.choice([0, 1, 2, 4, 5, 6])):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    return rows + [(n + i, f"nothing like the others {i} at all in here") for i in range(5)]
+
+
+@pytest.mark.parametrize("members", [1024, 16])
+def test_regions_of_any_size_are_those_of_brute_force(spark, monkeypatch, members):
+    monkeypatch.setattr(near_dedup, "MEMBERS", members)
+    rows = template_rows(250, members)
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.component_id for r in got} == {0, 1000}
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == near_groups(rows)
 
 
-@pytest.mark.parametrize("dense", [64, 4096])
-def test_members_of_a_large_region_meet_whatever_its_size(spark, monkeypatch, dense):
-    monkeypatch.setattr(near_dedup, "DENSE", dense)
+@pytest.mark.parametrize("members", [1024, 32])
+def test_members_outside_meet_all_members_whatever_the_regions_size(spark, monkeypatch, members):
+    monkeypatch.setattr(near_dedup, "MEMBERS", members)
     rng = np.random.default_rng(3)
     low = rng.integers(0, 256, (400, near_dedup.VALUES)).astype(np.uint8)
-    low[390:, 6:] = low[:10, 6:]  # ten outside, each like one member but in the values after the prefix
-    regions = spark.createDataFrame([(1, i, bytearray(b.tobytes()), 400, 400) for i, b in enumerate(low)], "region long, id long, bytes binary, size long, n long")
-    linked = spark.createDataFrame([(i, 0) for i in range(390)], "node long, component long")
-    groups = [r.ids for r in near_dedup.crossing_groups(regions, linked, 4).collect()]
-    assert all(any({i, i - 390} <= set(g) for g in groups) for i in range(390, 400))
-
-
-def test_one_link_to_a_large_component_of_closer_signatures_is_found(spark):
-    core, tail = [f"c{i}" for i in range(404)], lambda i, n: [f"t{i}x{j}" for j in range(n)]
-    rows = [(i, " ".join(core + tail(i, 60))) for i in range(100)]  # 0.70 to the one outside
-    rows += [(100, " ".join(core + tail(1000, 20) + tail(100, 40))), (1000, " ".join(core + tail(1000, 112)))]  # 0.76
-    low = np.zeros((102, near_dedup.VALUES), np.uint8)
-    low[:100, 34:], low[100, 30:] = 1, 1  # a hundred agree in 34 values, the partner in 30
-    regions = spark.createDataFrame([(1, r[0], bytearray(b.tobytes()), 4000, 102) for r, b in zip(rows, low)], "region long, id long, bytes binary, size long, n long")
-    linked = spark.createDataFrame([(i, 0) for i in range(1, 101)], "node long, component long")
-    groups = near_dedup.crossing_groups(regions, linked, 4).cache()
-    assert any({100, 1000} <= set(r.ids) for r in groups.collect())
-    links = near_dedup.crossing_links(spark.createDataFrame(rows, "doc_id long, text string"), groups, linked, 4, 5, 75)
-    assert {tuple(sorted(x)) for x in links.collect()} == {(100, 1000)}
+    low[390:, 6:] = low[:10, 6:]  # ten outside, each like one member but in the first values
+    schema = "region long, tree int, regions array<long>, id long, n_shingles long, order binary, component long"
+    rows = spark.createDataFrame([(1, 0, [1] * near_dedup.TREES, i, 300, bytearray(b.tobytes()), 0 if i < 390 else i) for i, b in enumerate(low)], schema)
+    found = near_dedup.crossing_members(near_dedup.crossing_units(rows), 4).groupBy("unit").agg(F.collect_set("id").alias("ids")).collect()
+    assert all(any({i, i - 390} <= set(r.ids) for r in found) for i in range(390, 400))
+
+
+def test_rows_without_id_and_repeated_ids(spark):
+    text = lambda word: " ".join(f"{word}{i}" for i in range(60))
+    rows = [(None, text("a")), (4, text("a") + " more"), (None, text("b")), (None, text("b") + " more"), (5, text("c")), (5, text("d")), (3, text("c") + " more"), (7, text("d") + " more"), (None, None), (None, ""), (8, "...")]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, k string")
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == sorted([("None", "4", False), ("4", "4", True), *[("None", "None", True)] * 4, ("5", "3", False), ("5", "5", True), ("3", "3", True), ("7", "5", False), ("8", "8", True)])
+    left = [(r.doc_id, r.text) for r in near_dedup.one_of_each_group(docs).collect()]
+    assert sorted(map(str, left)) == sorted(map(str, [(4, text("a") + " more"), (None, text("b")), (3, text("c") + " more"), (5, text("d")), (None, None), (None, ""), (8, "...")])) or (None, text("b") + " more") in left
+
+
+def test_words_of_long_texts_are_those_of_one_block(monkeypatch):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice(["ab ", "c", "D", "\n", "é", "  "]) for _ in range(rnd.randint(0, 400))) for _ in range(40)] + ["x" * 500, "", "y" * 300 + " z"]
+    data, offsets = arrow_text.buffers(pa.array(texts))
+    whole = arrow_text.Words(data, offsets)
+    for block in (16, 50, 128):
+        monkeypatch.setattr(arrow_text, "BLOCK", block)
+        parts = arrow_text.Words(data, offsets)
+        assert (parts.hash == whole.hash).all() and (parts.row == whole.row).all()
 
 
 def brute_repeats(texts, first):

@@ -63,29 +63,55 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+#: Bytes of text whose prefix sums are held at once; a longer word is held whole.
+BLOCK = 2 << 20
+
+
+def _word_hashes(text: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of some rows in order, and each word's first byte."""
+    word = ~SPACE[text]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    begins = rows[:-1][rows[:-1] < rows[1:]]
+    first[begins] |= word[begins]
+    last = word.copy()
+    last[:-1] &= ~word[1:]
+    ends = rows[1:][rows[:-1] < rows[1:]] - 1
+    last[ends] |= word[ends]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    up, down = powers(len(text) + 1)
+    total = np.empty(len(text) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(LOWER_CODES[text] * up[: len(text)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start]), start
+
+
 class Words:
-    """The words of some rows: hashes of the lower-cased words in order, and where each row's begin."""
+    """The words of some rows: hashes of the lower-cased words in order, and where each row's begin.
+
+    Long texts are worked on in blocks that end between words.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         base, n = int(offsets[0]), int(offsets[-1] - offsets[0])
         rows = offsets - base
         text = data[base : base + n]
-        word = ~SPACE[text]
-        first = word.copy()
-        first[1:] &= ~word[:-1]
-        begins = rows[:-1][rows[:-1] < rows[1:]]
-        first[begins] |= word[begins]
-        last = word.copy()
-        last[:-1] &= ~word[1:]
-        ends = rows[1:][rows[:-1] < rows[1:]] - 1
-        last[ends] |= word[ends]
-        self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        up, down = powers(n + 1)
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(LOWER_CODES[text] * up[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start])
-        self.row = np.searchsorted(self.start, rows)
+        hashes, starts, low = [], [], 0
+        while low < n:
+            high = min(n, low + BLOCK)
+            if high < n:
+                gaps = np.flatnonzero(SPACE[text[low + BLOCK // 2 : high]])
+                if len(gaps):
+                    high = low + BLOCK // 2 + int(gaps[-1]) + 1
+                else:
+                    high = next((x + 1 + int(g[0]) for x in range(high, n, BLOCK) if len(g := np.flatnonzero(SPACE[text[x : x + BLOCK]]))), n)
+            inside = np.append(np.append(low, rows[(rows > low) & (rows < high)]), high) - low
+            found, start = _word_hashes(text[low:high], inside)
+            hashes.append(found)
+            starts.append(start + low)
+            low = high
+        self.hash = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.row = np.searchsorted(np.concatenate(starts) if starts else np.zeros(0, np.int64), rows)
 
     def shingles(self, width: int) -> list[np.ndarray]:
         """Each row's distinct shingle hashes, sorted; a shorter row has one of all its words."""
