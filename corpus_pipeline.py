@@ -36,10 +36,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows without an id stay."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Of each group of near copies the document with the smallest id."""
+    return near_dedup.one_of_each_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
