@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.storage import save, shared_dir
 
-__all__ = ["documents", "drop_saved", "save", "shared_dir", "sorted_groups", "spread", "text_key"]
+__all__ = ["documents", "drop_saved", "save", "shared_dir", "sorted_groups", "spread", "text_key", "whole_groups"]
 
 
 def drop_saved(df: DataFrame) -> None:
@@ -53,3 +53,27 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
             kept.append(batch.slice(start))
     if kept:
         yield pa.Table.from_batches(kept)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[pa.Table]:
+    """Tables of about ``most`` rows, or one group if that is larger, out of a stream that is sorted by ``key``; no group is split."""
+    kept: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        while batch.num_rows:
+            keys = batch.column(key).to_numpy()
+            if kept and size >= most:  # what still belongs to the last group, then a table
+                other = keys != kept[-1].column(key)[-1].as_py()
+                same = int(other.argmax()) if other.any() else len(other)
+                if same:
+                    kept.append(batch.slice(0, same))
+                batch = batch.slice(same)
+                if batch.num_rows:
+                    yield pa.Table.from_batches(kept)
+                    kept, size = [], 0
+                continue
+            kept.append(batch.slice(0, most - size))
+            batch = batch.slice(most - size)
+            size += kept[-1].num_rows
+    if kept:
+        yield pa.Table.from_batches(kept)
