@@ -1,21 +1,25 @@
 """Suffix-array dedup of repeated byte strings, by longest previous factors.
 
-A position has a long previous factor where the ``length`` bytes from it also start earlier, and a
-long next factor where they also start later; the first is what makes it a later copy, either makes
-it a repeat. Both come from suffix order: among suffixes sorted by their first ``length`` bytes, then
-by position, a position's previous smaller and next greater neighbours in the same class are its
-earlier and later matches.
+The longest previous factor of a position is the longest string that starts there and also starts
+earlier. In suffix order it is the longer of the common prefixes with the nearest suffixes on either
+side that start earlier (previous and next smaller positions). A position is a later copy if its
+longest previous factor has ``length`` bytes; with the nearest greater positions, the longest next
+factor, it is a repeat. Factors are followed up to ``length``: what is longer changes nothing.
 
 One suffix array over all texts would be many times the input, so Spark first finds what can repeat
 at all. Every window of ``length`` bytes is assigned its anchor, the least-hashed GRAM-byte string in
 it (equal windows have equal anchors); neighbouring windows with one anchor form a run, and only runs
-whose anchor occurs again go on. Equal runs are counted and kept once. Distinct runs of one anchor
-meet in one task, where suffix order by prefix doubling compares their bytes exactly. Anchors with
-more than CROWD distinct runs are not gathered: their windows are grouped by hash instead.
+whose anchor occurs again go on. Equal runs are counted and kept once: all but the first have the
+first as their previous factor. Distinct runs of one anchor meet in one task, where suffix order by
+prefix doubling compares their bytes exactly. Anchors with more than CROWD distinct runs are not
+gathered: their windows are grouped by hash instead, so that no task holds them all.
+
+Positions are ordered by doc_id, place and text; rows without an id come last.
 
 Cases: a null or empty text has no bytes and loses none; texts shorter than ``length`` lose nothing;
 repeated rows are copies of each other like any other texts; windows never cross documents; an empty
-table gives no rows; extra columns are ignored. A text of any length is worked on whole.
+table gives no rows; extra columns are ignored, whatever their names. A text of any length is worked
+on whole, in blocks.
 """
 
 from __future__ import annotations
@@ -25,22 +29,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import CODES, U, buffers, mix, powers, slices
-from tidemark.llm.shared import documents, drop_saved, save, spread, text_key
+from tidemark.llm.shared import documents, drop_saved, save, spread
 
 #: Bytes of a repeat, and of an anchor string; distinct runs of an anchor that one task compares
 #: (about 4 MB of run bytes, as much as one suffix sort takes).
 LENGTH, GRAM, CROWD = 200, 48, 12_000
 SLICE_BYTES = 1 << 20
+#: Bytes of a block of a long text whose windows are looked at together; blocks overlap by a window.
+BLOCK = 2 << 20
 #: Bytes of runs that one suffix sort takes.
 SORT_BYTES = 4 << 20
 
 
 def window_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """Runs of windows with one anchor: row, start in the row, windows, anchor hash, run hash."""
+    """Runs of windows with one anchor: row, start in the row, windows, anchor hash, run hash.
+
+    A long text is read in blocks; a run over a block's edge is two, which changes no window.
+    """
+    if len(offsets) > 2 or offsets[-1] - offsets[0] <= BLOCK + length:
+        return _block_runs(data, offsets, length, gram)
+    found = []
+    for low in range(int(offsets[0]), int(offsets[1]) - length + 1, BLOCK):
+        part = _block_runs(data, np.array([low, min(low + BLOCK + length - 1, int(offsets[1]))]), length, gram)
+        if part:
+            found.append((part[0], part[1] + (low - int(offsets[0])), *part[2:]))
+    return tuple(map(np.concatenate, zip(*found))) if found else None
+
+
+def _block_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     base, n = int(offsets[0]), int(offsets[-1] - offsets[0])
     if n < length:
         return None
@@ -99,18 +119,39 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     return rank if length > 8 else rank[starts]
 
 
+def nearest_smaller(x: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it with a smaller value, or -1; all places step back together."""
+    found = np.arange(-1, len(x) - 1)
+    open_ = np.flatnonzero(found >= 0)
+    while len(open_):
+        open_ = open_[x[found[open_]] >= x[open_]]
+        found[open_] = found[found[open_]]
+        open_ = open_[found[open_] >= 0]
+    return found
+
+
 def factors(rank: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each suffix has a full-length previous factor, and a next one.
+    """Whether each suffix has a full-length previous factor, and a full-length next one.
 
-    In suffix order with ties by place, the previous smaller place of the same class is the neighbour
-    before, and the next greater one the neighbour behind.
+    ``rank`` orders suffixes by their first bytes, up to the full length; ``place`` is their position.
+    The previous and next smaller (greater) places in suffix order are the nearest earlier (later)
+    matches on either side; the factor has full length where one of them has the same rank. Only
+    suffixes that share their rank are looked at.
     """
-    order = np.lexsort((place, rank))
-    same = rank[order][1:] == rank[order][:-1]
-    earlier, later = np.zeros(len(rank), bool), np.zeros(len(rank), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
-    return earlier, later
+    order = np.argsort(rank, kind="stable")
+    equal = rank[order][1:] == rank[order][:-1]
+    shared = np.append(equal, False) | np.append(False, equal)
+    order = order[shared]
+    r, p = rank[order], place[order]
+    n = len(order)
+    out = []
+    for values in (p, -p):
+        before = nearest_smaller(values)
+        behind = n - 1 - nearest_smaller(values[::-1])[::-1]
+        whole = np.zeros(len(rank), bool)
+        whole[order] = ((before >= 0) & (r[before] == r)) | ((behind < n) & (r[np.minimum(behind, n - 1)] == r)) if n else False
+        out.append(whole)
+    return out[0], out[1]
 
 
 def flat_intervals(flags: np.ndarray) -> list[int]:
@@ -118,7 +159,7 @@ def flat_intervals(flags: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))).tolist()
 
 
-RUN = "key long, doc_id long, p int, m int, h long, g long"
+RUN = "key string, doc_id long, p int, m int, h long, g long"
 INFO = "h long, g long, repeated array<int>, earlier array<int>"
 
 
@@ -189,7 +230,10 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
 
     usual = context.where(F.col("kinds") <= CROWD).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(compare, INFO)
     info = usual.unionByName(_crowded(context.where(F.col("kinds") > CROWD), length))
-    spans = again.join(kinds.select("h", "g", "n", F.col("first.doc_id").alias("doc"), F.col("first.p").alias("at"), F.col("first.key").alias("of")), ["h", "g"]).join(info, ["h", "g"], "left")
+    facts = kinds.select("h", "g", "n", F.col("first.doc_id").alias("doc"), F.col("first.p").alias("at"), F.col("first.key").alias("of")).join(info.hint("merge"), ["h", "g"], "left")
+    # written, so that the runs meet it in a join of its own: a common passage's runs can then be split
+    facts = save(facts.where("n > 1 or repeated is not null"), "run-facts")
+    spans = again.hint("merge").join(facts, ["h", "g"])
     whole, none = F.array(F.lit(0), F.col("m")), F.array().cast("array<int>")
     is_first = (F.col("key") == F.col("of")) & (F.col("p") == F.col("at"))
     repeated = F.when(F.col("n") > 1, whole).otherwise(F.coalesce("repeated", none))
@@ -273,28 +317,43 @@ def _kept(text: np.ndarray, spans: np.ndarray) -> bytes:
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("key", text_key()).withColumn("text", F.coalesce("text", F.lit("")))
+def _with_spans(rows: DataFrame, docs: DataFrame, length: int, column: str) -> DataFrame:
+    """``rows``, which have a key, with the spans found in ``docs`` and copy, which numbers identical rows from 1."""
+    keyed = docs.select(_key(F.col("doc_id"), F.col("text")).alias("key"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = find_repeats(keyed, length).select("key", F.col(column).alias("spans"))
+    copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    return rows.join(found.hint("merge"), "key", "left").withColumn("copy", copy).drop("key")
+
+
+def _removed(size: int, spans, copy: int, length: int, first: bool) -> np.ndarray:
+    """The merged spans of a text; a further identical row is a later copy from end to end."""
+    if first and copy > 1 and size >= length:
+        return np.array([[0, size]], np.int64)
+    return merged(np.asarray(spans.values) if spans.is_valid else np.zeros(0, np.int64))
+
+
+def _key(doc_id: Column, text: Column) -> Column:
+    """Tells rows apart by id and text."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))).cast("binary"))
 
 
 def measure_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -> DataFrame:
     """What removing repeats leaves of each text: all their copies, or all but the first."""
     column = {"none": "repeated", "first": "later"}[keep]
-    rows = _with_key(docs.select("doc_id", "text"))
-    spans = find_repeats(rows, length).select("key", F.col(column).alias("spans"))
+    rows = docs.select(_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             out = []
-            for i, (doc, flat) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("spans"))):
+            for i, (doc, spans, copy) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("spans"), batch.column("copy").to_pylist())):
                 text = data[offsets[i] : offsets[i + 1]]
-                found = merged(np.asarray(flat.values) if flat.is_valid else np.zeros(0, np.int64))
+                found = _removed(len(text), spans, copy, length, keep == "first")
                 out.append((doc, len(text), int((found[:, 1] - found[:, 0]).sum()), len(found), hashlib.sha256(_kept(text, found)).hexdigest()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(run, SCHEMA)
+    return _with_spans(rows, docs, length, column).mapInArrow(run, SCHEMA)
 
 
 def remove_later_copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -302,27 +361,29 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A cut never splits a character. Null texts stay null.
     """
-    rows, columns, schema = docs.withColumn("_key", text_key()), docs.columns, docs.schema
-    spans = find_repeats(_with_key(docs.select("doc_id", "text")), length).select(F.col("key").alias("_key"), F.col("later").alias("_spans"))
+    names = [f"_{i}" for i in range(len(docs.columns))]  # own names, so that no input column clashes
+    own = names[docs.columns.index("text")]
+    rows = docs.toDF(*names)
+    whole = rows.select(_key(F.col(names[docs.columns.index("doc_id")]), F.col(own)).alias("key"), *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column("text"))
-            texts = batch.column("text").to_pylist()
-            for i, flat in enumerate(batch.column("_spans")):
-                if flat.is_valid and len(flat):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    found = merged(np.asarray(flat.values))
+            data, offsets = buffers(batch.column(own))
+            texts = batch.column(own).to_pylist()
+            for i, (spans, copy) in enumerate(zip(batch.column("spans"), batch.column("copy").to_pylist())):
+                text = data[offsets[i] : offsets[i + 1]]
+                found = _removed(len(text), spans, copy, length, True)
+                if len(found):
                     for span in found:
                         while span[0] < span[1] and text[span[0]] & 0xC0 == 0x80:
                             span[0] += 1
                         while span[0] < span[1] < len(text) and text[span[1]] & 0xC0 == 0x80:
                             span[1] -= 1
                     texts[i] = _kept(text, found).decode()
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).select(columns)
+            at = batch.schema.get_field_index(own)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).select(names)
 
-    return rows.join(spans, "_key", "left").drop("_key").mapInArrow(run, schema)
+    return _with_spans(whole, docs, length, "later").mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
