@@ -8,8 +8,14 @@ left side at its first token and with the right side at its last one.
 Why agreement is exact. The pre-tokenizer reads from left to right without looking back, so from a
 common word start on it splits equal text equally; and a word's merges depend on that word alone. The
 window begins at a word start of the left side and ends at one that both the window and the right
-side have, each farther than the pattern looks ahead, or a special string is long, from where its text was cut. If
-there is no such place, the window grows to all of both sides.
+side have, each farther than the pattern looks ahead, or a special string is long, from where its text was cut.
+
+Where one long word (a run of letters, digits, marks or spaces) lies over the join and out of the
+window on both sides, the window is of tokens: the last ones of the left part and the first ones of
+the right part are encoded anew together, until the result begins with the left side's token and ends
+with the right side's. A word's tokens are its encoding exactly if every two neighbours are what their
+bytes together encode to; neighbours in the left part, in the window and in the right part are, so
+with both end tokens shared all are. If there is no such place, the window grows to all of both sides.
 
 Cases: a null text is empty and has no ids; a special token's string inside a text becomes that
 token, and cuts never fall inside one; texts of any length are encoded whole; repeated rows are
@@ -34,6 +40,8 @@ from tidemark.llm.shared import documents, sorted_groups, spread
 
 #: Characters of a leaf, and of the first window on each side of a join.
 LEAF, WINDOW = 1 << 15, 64
+#: Runs that the pattern never splits and that read the same on either side of a cut.
+RUNS = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+"
 #: More than any alternative of the pattern looks ahead beyond a word's end.
 LOOK = 8
 #: Fixed value: the byte-level pre-tokenizer's pattern of this vocabulary.
@@ -68,13 +76,18 @@ class Codec:
         self.special = special
         self.bpe = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.known: dict[str, np.ndarray] = {}
-        self.words = regex.compile(PATTERN)
+        self.renewed = 0  # characters or tokens that joins encoded anew
+        self.words, self.runs = regex.compile(PATTERN), regex.compile(RUNS)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.look = max([LOOK, *(len(x) + 1 for x in special)])
 
     def encode(self, text: str) -> np.ndarray:
         return self.bpe.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
+    def word(self, raw: bytes) -> np.ndarray:
+        """The tokens of one word, or of a part of one."""
+        return np.array(self.bpe._encode_single_piece(raw), np.uint32)
+
     def decode(self, ids: np.ndarray) -> str:
         return self.bpe.decode_bytes(ids.tolist()).decode("utf-8", "replace")
 
@@ -124,16 +137,46 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _one_run(coder: Codec, left: Piece, right: Piece, reach: int) -> bool:
+    """Whether one word lies over the join that is longer than ``reach`` on both sides."""
+    cut = len(left.text)
+    if not (len(left.starts) and len(right.starts)) or cut - int(left.starts[-1]) <= reach:
+        return False
+    if (int(right.starts[1]) if len(right.starts) > 1 else len(right.text)) <= reach:
+        return False
+    return coder.runs.fullmatch(left.text[cut - reach :] + right.text[:reach]) is not None
+
+
+def join_tokens(coder: Codec, left: np.ndarray, right: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The tokens of a word of which two parts are encoded, by re-encoding a growing window of tokens."""
+    reach = window
+    while True:
+        a, b = max(0, len(left) - reach), min(len(right), reach)
+        found = coder.word(coder.bpe.decode_bytes([*left[a:].tolist(), *right[:b].tolist()]))
+        coder.renewed += len(left) - a + b
+        if (a == 0 or found[0] == left[a]) and (b == len(right) or found[-1] == right[b - 1]) and (len(found) > 1 or a == 0 or b == len(right)):
+            return np.concatenate([left[:a], found, right[b:]])
+        reach *= 2
+
+
 def join(coder: Codec, left: Piece, right: Piece, window: int = WINDOW) -> Piece:
     """The encoding of both texts together, by re-encoding a growing window around the join."""
     cut = len(left.text)
     reach = window
     while True:
+        if reach > coder.look and _one_run(coder, left, right, reach):
+            last = int(left.tokens[-1])
+            second = int(right.tokens[1]) if len(right.tokens) > 1 else len(right.ids)
+            middle = join_tokens(coder, left.ids[last:], right.ids[:second], window)
+            behind = right.part(1, len(right.starts), cut + int(right.starts[1]), last + len(middle)) if len(right.starts) > 1 else right.part(0, 0, 0, 0)
+            ids = np.concatenate([left.ids[:last], middle, behind[2]])
+            return Piece(left.text + right.text, np.append(left.starts, behind[0]), np.append(left.tokens, behind[1]), ids)
         first = int(np.searchsorted(left.starts, cut - max(reach, coder.look), "right")) - 1
         first = max(first, 0)
         begin = int(left.starts[first]) if len(left.starts) else 0
         end = min(len(right.text), reach)
         around = coder.piece(left.text[begin:] + right.text[:end])
+        coder.renewed += cut - begin + end
         trusted = end if end == len(right.text) else end - coder.look
         ours = around.starts + begin - cut
         common = np.intersect1d(ours[(ours > 0) & (ours < trusted)], right.starts)
