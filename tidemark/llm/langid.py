@@ -7,7 +7,7 @@ with the best likelihood less a penalty for each further language. The predictio
 largest language, the score its proportion.
 
 Cases: a null text, or one without a letter, gives ``und`` and 0; without labelled documents every
-row does. Whole texts count, however long; ties go to the language that sorts first; repeated rows
+row does; of more than LANGUAGES labels the most frequent are learned. Whole texts count, however long; ties go to the language that sorts first; repeated rows
 are judged one by one; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrow_text import buffers, slices
 from tidemark.llm.shared import documents
 
-#: Hashed trigrams; labelled documents used for each language (the bound of the training sample).
-FEATURES, TRAIN_DOCS = 1 << 16, 4000
+#: Hashed trigrams; labelled documents used for each language (the bound of the training sample); languages
+#: learned at most, the most frequent ones (the bound of the model: 512 KB each).
+FEATURES, TRAIN_DOCS, LANGUAGES = 1 << 16, 4000, 200
 #: Added count of each trigram; EM rounds; penalty of a further language: a share of the trigrams and BIC's half log.
 SMOOTHING, ROUNDS, SHARE_PENALTY = 0.05, 12, 0.004
 SLICE_BYTES = 2 << 20
@@ -40,18 +41,23 @@ _IS_LETTER[65:91] = _IS_LETTER[97:123] = True
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """row << 16 | hashed trigram, for every trigram of folded bytes with a letter in its middle."""
+    """row << 16 | hashed trigram, for every trigram of folded bytes with a letter in its middle.
+
+    A row's first and last bytes stand beside spaces, whatever the rows next to it hold.
+    """
     base, n = int(offsets[0]), int(offsets[-1] - offsets[0])
-    folded = np.empty(n + 2, np.uint8)
-    folded[0] = folded[-1] = 32
-    folded[1:-1] = _FOLD[data[base : base + n]]
-    h = folded[:-2].astype(np.uint32) * np.uint32(0x9E3779B1)
-    h += folded[1:-1].astype(np.uint32) * np.uint32(0x85EBCA6B)
-    h += folded[2:].astype(np.uint32) * np.uint32(0xC2B2AE35)
+    folded = _FOLD[data[base : base + n]]
+    before, behind = np.roll(folded, 1), np.roll(folded, -1)
+    sizes = np.diff(offsets)
+    before[(offsets[:-1] - base)[sizes > 0]] = 32
+    behind[(offsets[1:] - base)[sizes > 0] - 1] = 32
+    h = before.astype(np.uint32) * np.uint32(0x9E3779B1)
+    h += folded.astype(np.uint32) * np.uint32(0x85EBCA6B)
+    h += behind.astype(np.uint32) * np.uint32(0xC2B2AE35)
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint32), np.diff(offsets))
-    keep = folded[1:-1] != 32
-    return (rows[keep] << np.uint32(16)) | (h[keep] >> np.uint32(16))
+    rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), sizes)
+    keep = folded != 32
+    return (rows[keep] << np.uint64(16)) | (h[keep] >> np.uint32(16))
 
 
 def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
@@ -60,7 +66,8 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str
     The documents with the lowest hashes of their ids are taken, by a share that each language's count
     sets; the counts themselves are over all rows. What comes to the driver is languages x FEATURES.
     """
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in most.collect()}
     languages = sorted(counts)
     if not languages:
         return [], np.zeros((0, FEATURES))
@@ -76,9 +83,9 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str
             labels = batch.column("lang").to_pylist()
             for lo, hi in slices(offsets, SLICE_BYTES):
                 keys = trigrams(data, offsets[lo : hi + 1])
-                ends = np.searchsorted(keys >> np.uint32(16), np.arange(hi - lo + 1))
+                ends = np.searchsorted(keys >> np.uint64(16), np.arange(hi - lo + 1, dtype=np.uint64))
                 for i in range(hi - lo):
-                    found = np.bincount(keys[ends[i] : ends[i + 1]] & np.uint32(0xFFFF), minlength=FEATURES)
+                    found = np.bincount((keys[ends[i] : ends[i + 1]] & np.uint64(0xFFFF)).astype(np.int64), minlength=FEATURES)
                     total[labels[lo + i]] = total.get(labels[lo + i], 0) + found
         for lang, found in total.items():
             at = np.flatnonzero(found)
@@ -167,9 +174,9 @@ def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[
                     continue
                 first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
                 counts = np.diff(np.append(first, len(keys))).astype(float)
-                rows = (keys[first] >> np.uint32(16)).astype(np.int64)
+                rows = (keys[first] >> np.uint64(16)).astype(np.int64)
                 starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-                share = infer(logs, Mixture(logs, (keys[first] & np.uint32(0xFFFF)).astype(np.int64), counts, starts))
+                share = infer(logs, Mixture(logs, (keys[first] & np.uint64(0xFFFF)).astype(np.int64), counts, starts))
                 for i, row in enumerate(rows[starts].tolist()):
                     if _has_letter(data[offsets[lo + row] : offsets[lo + row + 1]]):
                         at = int(share[i].argmax())
