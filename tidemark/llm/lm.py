@@ -14,7 +14,7 @@ totals meet the text without the model ever being in one place. A context counts
 occurs as a token: the end token stands before a text's first word.
 
 Cases: a null or empty text is one end token; texts of any length are scored whole; repeated rows are
-documents of their own; a null id is held as -1; without training documents all counts are 0; an empty table gives no rows;
+documents of their own; a null id comes back as null; without training documents all counts are 0; an empty table gives no rows;
 extra columns are ignored.
 """
 
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrow_text import STEP, U, Words, buffers, mix, slices
 from tidemark.llm.shared import documents, save, sorted_groups, spread
 
-#: Text of a pack in bytes; hash ranges at most; context buckets; bins of an octave of the ratio; EM rounds.
-PACK_BYTES, RANGES, BUCKETS, BINS, ROUNDS = 3 << 20, 4096, 32, 16, 60
+#: Text of a pack in bytes; compressed text whose distinct keys one hash range takes; context buckets; bins of an octave of the ratio; EM rounds.
+PACK_BYTES, RANGE_BYTES, BUCKETS, BINS, ROUNDS = 3 << 20, 4 << 20, 48, 16, 60
 #: Octaves that the binned ratio covers on either side of 1.
 OCTAVES = 64
 KEPT, DELETED, HELD_OUT = 0, 1, 2
@@ -92,17 +92,18 @@ def packs(docs: DataFrame) -> DataFrame:
             nonlocal made
             made += 1
             texts, lengths, ids = zip(*open_.pop(role))
-            return _rows([(task | made, 0, role, squeezer.compress(b"".join(texts)), squeeze(np.concatenate(lengths)), squeeze(np.concatenate(ids)))])
+            return _rows([(task | made, 0, role, squeezer.compress(b"".join(texts)), squeeze(np.concatenate(lengths)), squeeze(np.concatenate(ids, axis=1).ravel()))])
 
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
-            roles, ids = batch.column("role").to_numpy(), batch.column("doc_id").fill_null(-1).to_numpy()
+            roles = batch.column("role").to_numpy()
+            ids = np.stack([batch.column("doc_id").fill_null(0).to_numpy(), batch.column("doc_id").is_null().to_numpy(zero_copy_only=False).astype(np.int64)])
             for lo, hi in slices(offsets, PACK_BYTES // 8):
                 sizes = np.diff(offsets[lo : hi + 1])
                 for role in np.unique(roles[lo:hi]).tolist():
                     at = np.flatnonzero(roles[lo:hi] == role)
                     raw = b"".join(data[offsets[lo + i] : offsets[lo + i + 1]].tobytes() for i in at.tolist())
-                    open_.setdefault(role, []).append((raw, sizes[at], ids[lo:hi][at]))
+                    open_.setdefault(role, []).append((raw, sizes[at], ids[:, lo:hi][:, at]))
                     if sum(len(x[0]) for x in open_[role]) >= PACK_BYTES:
                         yield row(role)
         for role in list(open_):
@@ -134,7 +135,7 @@ def requests(packed: DataFrame, ranges: int) -> DataFrame:
                 tokens = _open(a, b)
                 for kind, values in ((1, tokens.token), (2, tokens.pair)):
                     keys, counts = np.unique(values, return_counts=True)
-                    counts = counts.astype(np.uint32) * np.uint32(role.as_py() != HELD_OUT)
+                    counts = counts * (role.as_py() != HELD_OUT)
                     owner = (keys >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(keys), np.int64)
                     edges = np.searchsorted(owner, np.arange(ranges + 1))
                     rows = []
@@ -156,11 +157,11 @@ def totals(asked: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, "owner"):
             keys = [np.cumsum(expand(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("a")]
-            counts = [expand(x.as_py(), np.uint32) for x in table.column("b")]
+            counts = [expand(x.as_py(), np.int64) for x in table.column("b")]
             role = np.repeat([x.as_py()[0] for x in table.column("c")], [len(k) for k in keys])
             _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            flat = np.concatenate(counts).astype(float)
-            sums = [np.bincount(inverse, flat * (role == r)).astype(np.uint32) for r in (KEPT, DELETED)]
+            flat = np.concatenate(counts).astype(float)  # exact up to 2**53
+            sums = [np.bincount(inverse, flat * (role == r)).astype(np.int64) for r in (KEPT, DELETED)]
             rows, at = [], 0
             part, kind = table.column("part")[0].as_py(), table.column("kind")[0].as_py()
             for pack, k in zip(table.column("pack").to_pylist(), keys):
@@ -168,15 +169,15 @@ def totals(asked: DataFrame, parts: int) -> DataFrame:
                 at += len(k)
                 rows.append((pack, kind, part, squeeze(sums[0][here]), squeeze(sums[1][here]), None))
             if kind == 1:
-                both = sums[0] + sums[1].astype(np.uint64)
-                rows.append((-1, kind, part, np.array([np.count_nonzero(sums[0]), sums[0].sum(dtype=np.uint64), np.count_nonzero(both), both.sum(dtype=np.uint64)], "<i8").tobytes(), None, None))
+                both = sums[0] + sums[1]
+                rows.append((-1, kind, part, np.array([np.count_nonzero(sums[0]), sums[0].sum(), np.count_nonzero(both), both.sum()], "<i8").tobytes(), None, None))
             yield _rows(rows)
 
     owner = (F.col("part") * 2 + F.col("kind") - 1).alias("owner")
     return asked.select("*", owner).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
 
 
-def _answered(table: pa.Table) -> tuple[int, np.ndarray, Tokens, list[np.ndarray]]:
+def _answered(table: pa.Table) -> tuple[int, pa.Array, Tokens, list[np.ndarray]]:
     """Role, ids and tokens of a pack with its totals: kept and deleted counts of tokens, then of bigrams."""
     order = np.lexsort((table.column("part").to_numpy(), table.column("kind").to_numpy()))
     kinds = table.column("kind").to_numpy()[order]
@@ -187,8 +188,9 @@ def _answered(table: pa.Table) -> tuple[int, np.ndarray, Tokens, list[np.ndarray
         _, inverse = np.unique(values, return_inverse=True)
         at = order[kinds == kind].tolist()
         for column in (a, b):
-            found.append(np.concatenate([expand(column[i].as_py(), np.uint32) for i in at])[inverse].astype(np.int64))
-    return table.column("part")[int(order[0])].as_py(), expand(table.column("c")[int(order[0])].as_py(), np.int64), tokens, found
+            found.append(np.concatenate([expand(column[i].as_py(), np.int64) for i in at])[inverse])
+    ids = expand(table.column("c")[int(order[0])].as_py(), np.int64).reshape(2, -1)
+    return table.column("part")[int(order[0])].as_py(), pa.array(ids[0], mask=ids[1] > 0), tokens, found
 
 
 def _before(count: np.ndarray, tokens: Tokens, end: int) -> np.ndarray:
@@ -237,8 +239,9 @@ SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score_documents(docs: DataFrame) -> DataFrame:
     """Base score and interpolated score of every document, learned from those that are not held out."""
     parts = spread(docs.sparkSession)
-    ranges = min(RANGES, 1 << max(0, (parts - 1).bit_length()))
     packed = save(packs(docs), "packs")
+    size = packed.agg(F.sum(F.length("a"))).first()[0] or 0
+    ranges = 1 << max(0, int(size // RANGE_BYTES).bit_length())
     found = save(totals(requests(packed, ranges), parts), "totals")
     stats = found.where("pack = -1").select("a")  # one row of four numbers per hash range
     kept_v, kept_n, v, n = np.sum([np.frombuffer(r["a"], "<i8") for r in stats.toLocalIterator()] or [np.zeros(4, np.int64)], axis=0).tolist()
@@ -258,7 +261,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             begin = tokens.last + 1 - tokens.size
             sums = [np.add.reduceat(x, begin) for x in (one > 0, np.log10(low), np.log10(share * high + (1 - share) * low))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array([role == HELD_OUT] * len(ids)), pa.array(tokens.size, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array([n] * len(ids), pa.int64()), pa.array(sums[1]), pa.array(sums[2])],
+                [ids, pa.array([role == HELD_OUT] * len(ids)), pa.array(tokens.size, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array([n] * len(ids), pa.int64()), pa.array(sums[1]), pa.array(sums[2])],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
