@@ -90,7 +90,7 @@ def store(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         names = ("key", "n_bytes", "media", "header", "n_chunks", "place", "digest", "chunk")
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         rows: list[tuple] = []
         size = 0
         table = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -111,7 +111,7 @@ def store(docs: DataFrame) -> DataFrame:
         if rows:
             yield table()
 
-    return docs.mapInArrow(run, "key long, n_bytes long, media binary, header binary, n_chunks int, place int, digest binary, chunk binary")
+    return docs.mapInArrow(run, "key binary, n_bytes long, media binary, header binary, n_chunks int, place int, digest binary, chunk binary")
 
 
 def rebuild(lists: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
@@ -129,6 +129,8 @@ def rebuild(lists: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
             if hashlib.sha256(file).digest() != group.column("media")[0].as_py():
                 raise ValueError("a rebuilt file differs from the one that was stored")
             payload = samples(file)
+            if hashlib.sha256(payload[: group.column("n_bytes")[0].as_py()]).digest() != group.column("key")[0].as_py():
+                raise ValueError("a rebuilt payload differs from its document")
             yield pa.RecordBatch.from_pydict({
                 "key": group.column("key")[:1].combine_chunks(), "n_bytes": group.column("n_bytes")[:1].combine_chunks(),
                 "payload_bytes": pa.array([len(payload)], pa.int64()), "payload_sha256": [hashlib.sha256(payload).hexdigest()],
@@ -139,7 +141,7 @@ def rebuild(lists: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
     fields = ("key", "n_bytes", "media", "header", "place", "chunk")
     short = lists.where("n_chunks = 1").join(chunks, "digest").select(*fields)
     long = lists.where("n_chunks > 1").join(chunks, "digest").select(*fields)
-    schema = "key long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_chunks int"
+    schema = "key binary, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_chunks int"
     return short.mapInArrow(run, schema).unionByName(long.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, schema))
 
 
@@ -147,7 +149,7 @@ def media_columns(docs: DataFrame) -> DataFrame:
     """doc_id and the read-back media columns of each document."""
     parts = spread(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text, F.length(text)).alias("key"))
+    keyed = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("key"))
     cut = store(keyed.select("key", "text"))
     lists = cut.groupBy("key", "place").agg(*(F.first(c).alias(c) for c in ("n_bytes", "media", "header", "n_chunks", "digest")))
     chunks = cut.select("digest", "chunk").dropDuplicates(["digest"])
