@@ -1,5 +1,8 @@
 """URL filters: host rules, then exact list membership by a cascade of Bloom filters.
 
+The list is a table (key, reason). ``trap_hosts`` makes one from the pages themselves: hosts of which
+many addresses carry a query. No row shows that alone, so the list has to be asked for each page.
+
 The cascade knows the complete key universe (the distinct hosts of the table). Level 0 encodes the
 listed keys; level 1 encodes the unlisted keys that pass level 0; level 2 the listed keys that pass
 level 1; and so on until a level has no false positive left. The first level that refuses a key
@@ -21,10 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import save
+
 #: The rules of the query's contract as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Words that put a host on the block list where they are a whole part of one of its labels.
-LISTED_WORDS = ("spam", "pills", "casino", "warez", "phish", "malware")
+#: A host is listed if this share of its pages, of 100, has a query in its url.
+QUERY_SHARE = 25
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys of one shard's cascade, and the most bytes of cascades that one pass broadcasts.
 SHARD_KEYS, BROADCAST_BYTES = 200_000, 64 << 20
@@ -93,9 +98,14 @@ def probe_cascade(one: np.ndarray, two: np.ndarray, levels) -> np.ndarray:
     return listed
 
 
-def cascade_table(universe: DataFrame, key: str, listed: Column) -> tuple[DataFrame, int]:
-    """One row per shard and level for the distinct keys of ``universe``; and the number of shards."""
-    keys = universe.groupBy(key).agg(F.max(listed.cast("boolean")).alias("listed"))
+def cascade_table(universe: DataFrame, key: str, listed: DataFrame) -> tuple[DataFrame, int]:
+    """One row per shard and level for the distinct keys of ``universe``, of which ``listed`` has some in ``key``; and the number of shards.
+
+    The table is written, so that passes over it do not build it again.
+    """
+    marked = listed.select(F.col("key").alias(key)).distinct().withColumn("listed", F.lit(True))
+    keys = universe.select(key).distinct().join(marked, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    keys = save(keys, "url-keys")
     shards = max(1, math.ceil(keys.count() / SHARD_KEYS))
     hashed = keys.select(_shard(key, shards), *_hashes(key), "listed")
 
@@ -103,7 +113,7 @@ def cascade_table(universe: DataFrame, key: str, listed: Column) -> tuple[DataFr
         levels = build_cascade(group["one"].to_numpy(np.int64).view(np.uint64), group["two"].to_numpy(np.int64).view(np.uint64), group["listed"].to_numpy(bool))
         return pd.DataFrame({"shard": group["shard"].iloc[0], "level": range(len(levels)), "size": [x[0] for x in levels], "hashes": [x[1] for x in levels], "bits": [x[2].tobytes() for x in levels]})
 
-    return hashed.groupBy("shard").applyInPandas(build, "shard int, level int, size long, hashes int, bits binary"), shards
+    return save(hashed.groupBy("shard").applyInPandas(build, "shard int, level int, size long, hashes int, bits binary"), "cascade"), shards
 
 
 def _hashes(key: str) -> tuple[Column, Column]:
@@ -129,7 +139,8 @@ def _member(shared):
 def with_membership(df: DataFrame, key: str, cascade: DataFrame, shards: int, out: str = "listed") -> DataFrame:
     """``df`` with a boolean column: whether its key is listed. Exact for the cascade's universe.
 
-    Cascades are broadcast in passes of at most BROADCAST_BYTES; one pass in the usual case.
+    Cascades are broadcast in passes of at most BROADCAST_BYTES. One pass in the usual case; of several
+    each one's rows are written and its broadcast is released, so no more than one is held at a time.
     """
     sizes = cascade.groupBy("shard").agg(F.sum(F.length("bits")).alias("bytes"))
     width = max(1, BROADCAST_BYTES // max(1, sizes.agg(F.max("bytes")).first()[0] or 1))
@@ -142,22 +153,33 @@ def with_membership(df: DataFrame, key: str, cascade: DataFrame, shards: int, ou
         shared = df.sparkSession.sparkContext.broadcast(table)
 
         here = df if shards <= width else df.where(_shard(key, shards).between(low, low + width - 1))
-        parts.append(here.withColumn(out, _member(shared)(_shard(key, shards), *_hashes(key))))
+        here = here.withColumn(out, _member(shared)(_shard(key, shards), *_hashes(key)))
+        if shards > width:
+            here = save(here, "members")
+            shared.destroy()
+        parts.append(here)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
 
 
-def listed_host(host: Column) -> Column:
-    return host.rlike(rf"(^|[.-])({'|'.join(LISTED_WORDS)})([.-]|$)")
+def trap_hosts(pages: DataFrame, share: int = QUERY_SHARE) -> DataFrame:
+    """(key, reason) of the hosts of which at least ``share`` of 100 pages have a query in their url."""
+    host, _ = host_and_path(F.col("url"))
+    query = F.coalesce((F.instr("url", "://") > 0) & F.col("url").contains("?"), F.lit(False))
+    per = pages.select(host.alias("key"), query.alias("query")).groupBy("key").agg(F.count("*").alias("n"), F.count_if("query").alias("with_query"))
+    return per.where(100 * F.col("with_query") >= share * F.col("n")).select("key", F.lit("queries").alias("reason"))
+
 
+def judge_urls(pages: DataFrame, listed: DataFrame | None = None, rules=RULES) -> DataFrame:
+    """page_id, host, path, rule and verdict of each page: the longest fitting rule's, else the list's.
 
-def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule and verdict of each page: the longest fitting rule's, else the list's."""
+    ``listed`` has the blocked hosts in ``key``; without one it is made from the pages.
+    """
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
-    cascade, shards = cascade_table(parts.select("host"), "host", listed_host(F.col("host")))
+    cascade, shards = cascade_table(parts.select("host"), "host", trap_hosts(pages) if listed is None else listed)
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     return with_membership(parts, "host", cascade, shards).select(
         "page_id", "host", "path", rule.alias("rule"),
@@ -171,11 +193,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = rf"""
 with r as (
-  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+  select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages
 ), p as (
-  select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') as host,
+  select page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') as host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
   from r
+), t as (
+  select host from p group by host having 100 * count(*) filter (where instr(url, '://') > 0 and contains(url, '?')) >= {QUERY_SHARE} * count(*)
 ), j as (
   select *, case
     when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
@@ -187,7 +211,7 @@ with r as (
 select page_id, host, path, rule, case
     when rule in ('example.net/en/', 'org/fr/') then 'allow'
     when rule is not null then 'block'
-    when regexp_matches(host, '(^|[.-])({'|'.join(LISTED_WORDS)})([.-]|$)') then 'block'
+    when host in (select host from t) then 'block'
     else 'allow' end as verdict
 from j
 """
