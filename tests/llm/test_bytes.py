@@ -28,7 +28,7 @@ def test_ids_are_the_librarys(spark, leaf):
     got = bpe.encode_documents(fixtures.table(spark), PATH, leaf=leaf).collect()
     assert len(got) == len(fixtures.rows())
     found = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got}
-    for r in fixtures.rows()[:30]:
+    for r in fixtures.rows():
         ids, text = reference_ids(r[1] or "")
         assert found[r[0]] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
 
@@ -42,6 +42,20 @@ def test_joined_halves_equal_the_whole():
         assert bpe.join_tree(coder, pieces).ids.tolist() == coder.encode(text).tolist(), text
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "aab", "é漢ß", "0123456789", "!?-'", " \n", "a"])
+def test_long_unsplit_words_join_in_small_windows(letters):
+    rnd, coder = random.Random(len(letters)), bpe.Codec(PATH)
+    for n in (300, 5000, 40_000):
+        text = "start " + "".join(rnd.choice(letters) for _ in range(n)) + "x end's"
+        pieces = [coder.piece(t) for t in bpe.leaves(text, coder.special, n // 7)]
+        coder.renewed = 0
+        got = bpe.join_tree(coder, pieces).ids.tolist()
+        assert got == coder.encode(text).tolist()
+        assert got == reference_ids(text)[0]
+        if n == 40_000 and len(set(letters)) > 3 and letters[0] in "a0":
+            assert coder.renewed < 20 * 2 * bpe.WINDOW * len(pieces)
+
+
 def test_packing_covers_every_id_once(spark):
     import pandas as pd
 

@@ -25,6 +25,50 @@ def test_base_scores_and_counts_are_those_of_plain_counting(spark):
         assert r.score < 0
 
 
+def test_scores_are_those_of_plain_interpolation(spark):
+    """Counts, context buckets, the mixture weights' rounds and the final sum, token by token."""
+    rows = fixtures.rows(n=250)
+    tokens = [(r[0], [*re.findall(r"[^\x20\x09-\x0D]+", (r[1] or "").translate(LOWER)), None]) for r in rows]
+    rest = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in tokens}
+
+    def counts(keep):
+        one, two = collections.Counter(), collections.Counter()
+        for i, t in tokens:
+            if keep(rest[i]):
+                one.update(t)
+                two.update(zip([None, *t[:-1]], t))
+        return one, two, sum(one.values()), len(one)
+
+    def estimates(model, t):
+        one, two, n, v = model
+        for before, w in zip([None, *t[:-1]], t):
+            c = one[before]
+            yield (c.bit_length() if c else 0), two[before, w] / max(c, 1), (one[w] + 1) / (n + v + 1)
+
+    seen = collections.defaultdict(list)
+    kept = counts(lambda x: x not in (2, 5))
+    for i, t in tokens:
+        if rest[i] == 5:
+            for bucket, high, low in estimates(kept, t):
+                seen[bucket].append(2.0 ** (round(math.log2(high / low) * lm.BINS) / lm.BINS) if high else 0.0)
+    weights = collections.defaultdict(float)
+    for bucket, ratios in seen.items():
+        share = 0.5
+        for _ in range(lm.ROUNDS):
+            share = min(sum(share * r / (share * r + 1 - share) for r in ratios) / len(ratios), 1 - 1e-6)
+        weights[bucket] = share if bucket else 0.0
+    whole = counts(lambda x: x != 2)
+    got = {r.doc_id: r.score for r in lm.score_documents(fixtures.table(spark, n=250)).collect()}
+    for i, t in tokens:
+        want = sum(math.log10(weights[b] * high + (1 - weights[b]) * low) for b, high, low in estimates(whole, t))
+        assert math.isclose(got[i], want, rel_tol=1e-6), i
+
+
+def test_rows_without_an_id_keep_none(spark):
+    docs = spark.createDataFrame([(None, "a b"), (-1, "a"), (0, None)], "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in lm.score_documents(docs).collect()) == ["-1", "0", "None"]
+
+
 def test_held_out_texts_score_better_than_the_base(spark):
     got = [r for r in lm.score_documents(fixtures.table(spark, n=400)).collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
@@ -46,6 +90,35 @@ def test_languages(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_predictions_follow_from_the_text_alone(spark):
+    docs = fixtures.table(spark, n=300)
+    languages, logs = langid.train(docs.where("lang is not null and text is not null"))
+    words = ["la", "de", "es", "the", "éa", "x", "", "would"]
+    rows = [(i, words[i % 8] * (1 + i % 3)) for i in range(70_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).cache()
+    table.count()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    try:
+        one = {tuple(r) for r in langid.predict(table, languages, logs, ["text"]).distinct().collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    two = {tuple(r) for r in langid.predict(table.repartition(7), languages, logs, ["text"]).distinct().collect()}
+    assert one == two and len(one) == len({r[1] for r in rows})
+
+
+def test_proportions_are_those_of_plain_rounds():
+    rng = np.random.default_rng(4)
+    logs = np.log(rng.dirichlet(np.full(60, 0.3), 3))
+    counts = rng.integers(1, 9, 60).astype(float)
+    share = np.full(3, 1 / 3)
+    for _ in range(langid.ROUNDS):
+        weights = share * np.exp(logs.T)
+        share = (counts[:, None] * weights / weights.sum(axis=1, keepdims=True)).sum(axis=0) / counts.sum()
+    found, likelihood = langid.Mixture(logs, np.arange(60), counts, np.array([0])).fit(np.full((1, 3), 1 / 3, np.float32), langid.ROUNDS)
+    assert np.allclose(found[0], share, atol=1e-3)
+    assert math.isclose(likelihood[0], float((counts * np.log(np.exp(logs.T) @ share)).sum()), rel_tol=1e-3)
+
+
 def test_a_mixed_text_has_both_languages():
     rng = np.random.default_rng(3)
     logs = np.log(np.full((2, langid.FEATURES), 1e-6))
