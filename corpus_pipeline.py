@@ -5,7 +5,7 @@ Each stage takes (spark, docs, sf_dir) and returns a table; all but the last ret
 
 Cases: null and empty texts and texts without letters leave at the language stage; texts of any
 length are worked on whole; of repeated rows one stays; an empty table passes through every stage;
-extra columns are carried along unless their names begin with an underscore.
+extra columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, langid, near_dedup, packing, repeats, secrets
 from tidemark.llm.shared import documents, save
 
-#: The share of its text that a document's language must have.
-LEAST_SHARE = 0.5
+#: The share of its text that a document's largest language must have; one in four equal parts stays.
+LEAST_SHARE = 0.2
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -31,8 +31,9 @@ def _recounted(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones have; the rest go."""
     training = docs.where(~F.coalesce(langid.held_out(), F.lit(False)))
-    judged = langid.identify(docs, training, docs.columns, ("_language", "_share"))
-    return judged.where((F.col("_language") != "und") & (F.col("_share") >= LEAST_SHARE)).select(*docs.columns)
+    found, share = (f"{'_' * max(map(len, docs.columns))}{c}" for c in ("language", "share"))  # longer than any input column
+    judged = langid.identify(docs, training, docs.columns, (found, share))
+    return judged.where((F.col(found) != "und") & (F.col(share) >= LEAST_SHARE)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
