@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import date_key, day_difference, hash_key, ratio, share_half_up
+from tidemark.operators.versions import scd2_lookup
 
 #: Statuses that count as success and as failure.
 SUCCESS, FAILURE = ("delivered",), ("canceled", "unavailable")
@@ -50,12 +51,8 @@ def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, seller
     ``items`` are allocated ones. Orders join inner, all lookups left. ``versions`` is a type-2
     dimension by unique_id, looked up at the purchase time.
     """
-    rows = items.join(orders, "order_id").join(customers, "customer_id", "left")
-    rows = rows.join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
-    interval = versions.select(F.col("unique_id").alias("_id"), "valid_from", "valid_to", "version_key")
-    open_end = F.lit("2299-12-31 00:00:00").cast("timestamp_ntz")
-    on = (F.col("unique_id") == F.col("_id")) & (F.col("purchase") >= F.col("valid_from")) & (F.col("purchase") < F.coalesce("valid_to", open_end))
-    rows = rows.join(interval, on, "left")
+    placed = scd2_lookup(orders.join(customers, "customer_id", "left"), versions, "unique_id", "purchase", "version_key")  # once an order, not once an item
+    rows = items.join(placed, "order_id").join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
     return rows.select(
         hash_key("order_id", "item_no").alias("item_key"), "order_id", "item_no", "customer_id", "unique_id", F.col("version_key").alias("customer_version_key"), "seller_key",
         hash_key("product_id").alias("product_key"), hash_key("status").alias("status_key"),

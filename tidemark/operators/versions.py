@@ -37,40 +37,70 @@ def apply_current(current: DataFrame, batch: DataFrame, keys: Sequence[str], ord
     return latest_by(current.unionByName(batch, allowMissingColumns=True), keys, order)
 
 
+def _ticks(df: DataFrame, column: str) -> Column:
+    """A time (in seconds) or number as a double, for buckets."""
+    if df.schema[column].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        return F.expr(f"timestampdiff(second, timestamp_ntz '1970-01-01 00:00:00', cast(`{column}` as timestamp_ntz))").cast("double")
+    return F.col(column).cast("double")
+
+
 def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Each left row with the values of the latest right row at or before it.
 
-    Linear in the rows: both sides in one window per key, right rows before left rows at equal order.
-    Left rows with a null key or order keep null values.
+    Linear in the rows and spread over time as well as keys, so few or hot keys do not decide the
+    number of tasks: rows are cut into buckets of the first order column, as many as the session has
+    shuffle partitions; within a key's bucket one window finds the latest right row, and what a bucket
+    has not is the last one of the buckets before, one row for each key and bucket. Right rows come
+    before left rows at equal order. Left rows with a null key or order keep null values.
     """
-    usable = [F.col(c).isNotNull() for c in (*by, *order)]
-    whole = usable[0]
-    for u in usable[1:]:
-        whole = whole & u
+    usable = F.lit(True)
+    for c in (*by, *order):
+        usable = usable & F.col(c).isNotNull()
     packed = F.struct(*values)
-    a = left.select("*", F.lit(1).alias("_side"), F.lit(None).cast(right.select(packed.alias("v")).schema["v"].dataType).alias("_value"))
+    known = right.where(usable).select(*by, *order, packed.alias("_value"))
+    ticks = _ticks(right, order[0])
+    span = known.agg(F.min(ticks).alias("low"), F.max(ticks).alias("high")).first()
+    low, high = span["low"] or 0.0, span["high"] or 0.0
+    width = max((high - low) / int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1e-6)
+    place = lambda df: F.floor((F.least(F.greatest(_ticks(df, order[0]), F.lit(low)), F.lit(high)) - low) / width)
+    known = known.withColumn("_bucket", place(right))
+    ends = known.groupBy(*by, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_end"))
+    slots = left.where(usable).withColumn("_bucket", place(left)).select(*by, "_bucket").distinct()
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slots.join(ends, [*by, "_bucket"], "full_outer").withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).select(*by, "_bucket", "_carried")
     rest = [c for c in left.columns if c not in by and c not in order]
-    b = right.where(whole).select(*by, *order, F.lit(0).alias("_side"), packed.alias("_value"))
-    w = Window.partitionBy(*by).orderBy(*order, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.where(whole).select(*by, *order, "_side", "_value", *rest).unionByName(b, allowMissingColumns=True)
+    a = left.where(usable).withColumn("_bucket", place(left)).select(*by, *order, "_bucket", F.lit(1).alias("_side"), *rest)
+    b = known.select(*by, *order, "_bucket", F.lit(0).alias("_side"), "_value")
+    w = Window.partitionBy(*by, "_bucket").orderBy(*order, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = a.unionByName(b, allowMissingColumns=True)
     found = both.withColumn("_value", F.last("_value", ignorenulls=True).over(w)).where("_side = 1")
+    found = found.join(carried, [*by, "_bucket"], "left").withColumn("_value", F.coalesce("_value", "_carried"))
     out = [F.col(f"_value.{v}").alias(v) for v in values]
-    lost = left.where(~F.coalesce(whole, F.lit(False)))
+    lost = left.where(~usable)
     return found.select(*left.columns, *out).unionByName(lost, allowMissingColumns=True)
 
 
 def asof_reverse(left: DataFrame, right: DataFrame, entity: str, by: str, order: Sequence[str]) -> DataFrame:
     """Each right row with the left versions that are in force at it and have its ``by`` value.
 
-    A left version is in force from its own order to its entity's next one, so the join has an equi key
-    and a range; no inequality alone. Columns of the right order are named ``at_...``.
+    A left version is in force from its own order to its entity's next one. Versions are cut into
+    buckets of the first order column, as wide as a version lasts on average, so all of them make about
+    three rows each at most; the join has (by, bucket) as equi key and what it tries grows with the
+    rows, however few values ``by`` has. Columns of the right order are named ``at_...``.
     """
-    tuple_ = F.struct(*order)
-    held = left.withColumn("_from", tuple_).withColumn("_to", F.lead("_from").over(Window.partitionBy(entity).orderBy(*order)))
-    held = held.select(*[c for c in left.columns if c not in order], "_from", "_to")
-    events = right.select(*[F.col(c).alias(f"at_{c}") if c in order else F.col(c) for c in right.columns]).withColumn("_at", F.struct(*[F.col(f"at_{c}").alias(c) for c in order]))
+    held = left.withColumn("_from", F.struct(*order)).withColumn("_to", F.lead("_from").over(Window.partitionBy(entity).orderBy(*order)))
+    held = held.withColumn("_low", _ticks(left, order[0]))
+    held = held.withColumn("_high", F.lead("_low").over(Window.partitionBy(entity).orderBy(*order)))
+    newest = right.agg(F.max(_ticks(right, order[0]))).first()[0]
+    lasts = held.agg(F.avg(F.col("_high") - F.col("_low"))).first()[0]
+    width = max(lasts or 0.0, 1.0)
+    end = F.least(F.coalesce("_high", F.lit(newest)), F.lit(newest)) if newest is not None else F.col("_low")
+    held = held.where(F.col("_low") <= F.lit(newest))
+    held = held.select(*[c for c in left.columns if c not in order], "_from", "_to", F.explode(F.sequence(F.floor(F.col("_low") / width), F.floor(F.greatest(end, F.col("_low")) / width))).alias("_bucket"))
+    events = right.withColumn("_bucket", F.floor(_ticks(right, order[0]) / width))
+    events = events.select(*[F.col(c).alias(f"at_{c}") if c in order else F.col(c) for c in events.columns]).withColumn("_at", F.struct(*[F.col(f"at_{c}").alias(c) for c in order]))
     inside = (F.col("_at") > F.col("_from")) & (F.col("_to").isNull() | (F.col("_at") < F.col("_to")))
-    return held.join(events, by).where(inside).drop("_from", "_to", "_at")
+    return held.join(events, [by, "_bucket"]).where(inside).drop("_from", "_to", "_at", "_bucket")
 
 
 def scd2(events: DataFrame, key: str, order: Sequence[str], attributes_hash: Column, ts: str = "source_ts", snapshot: str = "is_snapshot", deleted: str = "is_deleted") -> DataFrame:
@@ -93,10 +123,14 @@ def scd2(events: DataFrame, key: str, order: Sequence[str], attributes_hash: Col
 
 
 def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """The dimension row in force at each fact's time; null where there is none."""
-    d = dim.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.coalesce("valid_to", F.lit(LAST).cast("timestamp_ntz")).alias("_to"), value)
-    on = (F.col(key) == F.col("_key")) & (F.col(ts) >= F.col("_from")) & (F.col(ts) < F.col("_to"))
-    return fact.join(d, on, "left").drop("_key", "_from", "_to")
+    """The dimension row in force at each fact's time; null where there is none. Intervals of a key do not overlap.
+
+    The latest version that began at or before the time is found as-of; it counts unless it has ended.
+    """
+    versions = dim.select(key, F.col("valid_from").alias(ts), F.struct("valid_to", value).alias("_version"))
+    found = asof_latest(fact, versions, [key], [ts], ["_version"])
+    open_ = F.col("_version.valid_to").isNull() | (F.col(ts) < F.col("_version.valid_to"))
+    return found.withColumn(value, F.when(open_, F.col(f"_version.{value}"))).drop("_version")
 
 
 def interval_overlaps(dim: DataFrame, key: str) -> DataFrame:
