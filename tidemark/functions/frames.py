@@ -12,7 +12,8 @@ HEADER = 5
 def inspect_frame(frame: Column, prefix: str) -> Column:
     """struct(valid, error, schema_id, payload) of a framed key or value; built-ins only.
 
-    Errors are the prefix and ``_null``, ``_too_short``, ``_bad_magic`` or ``_bad_schema_id``.
+    A missing frame is an error here: a key or value that cannot be read must not pass the gate, and
+    tombstones leave before it. Errors are the prefix and ``_null``, ``_too_short``, ``_bad_magic`` or ``_bad_schema_id``.
     """
     schema_id = F.conv(F.hex(F.substring(frame, 2, 4)), 16, 10).cast("bigint")
     error = (

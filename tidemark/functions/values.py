@@ -40,10 +40,6 @@ def ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
-def decimal_amount(cent: Column) -> Column:
-    return (cent.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)")
-
-
 def date_key(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyyMMdd").cast("int")
 
@@ -53,11 +49,6 @@ def day_difference(end: Column | str, start: Column | str) -> Column:
     return F.datediff(F.to_date(end), F.to_date(start))
 
 
-def source_time(millis: Column, transport: Column) -> Column:
-    """The source's own time, or the transport's where that is missing."""
-    return F.coalesce(F.timestamp_millis(millis), transport)
-
-
 def canonical_time(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 

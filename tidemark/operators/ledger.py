@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from tidemark.functions.frames import inspect_frame, is_tombstone, record_kind
-from tidemark.operators.versions import latest_by
+from tidemark.functions.values import redact, row_digest
+from tidemark.operators.versions import current_state, latest_by
 
 OPERATIONS = ("c", "u", "r", "d")
 #: Snapshot markers of the change source.
@@ -29,27 +30,57 @@ class Rule:
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """A captured entity: its topic, key and rules, in the order they are tried."""
+    """A captured entity: its topic, typed columns, key columns and rules, in the order they are tried."""
 
     name: str
     topic: str
     keys: tuple[str, ...]
+    columns: str = ""
     rules: tuple[Rule, ...] = ()
 
+    def key_columns(self) -> str:
+        """The DDL of the key columns."""
+        types = dict(c.strip().split(" ", 1) for c in self.columns.split(","))
+        return ", ".join(f"{k} {types[k]}" for k in self.keys)
+
+
+def stage_changes(envelopes: DataFrame, spec: EntitySpec) -> DataFrame:
+    """An entity's ledger rows: normalized by its contract, then judged by its rules; a corrupt row keeps its own code."""
+    rows = normalize(envelopes, spec.columns, spec.key_columns()).withColumnsRenamed({"apply_status": "_status", "error_code": "_code"})
+    rows = apply_rules(rows, spec.rules) if spec.rules else rows.withColumns({"error_code": F.lit(None).cast("string"), "apply_status": F.lit("APPLIED")})
+    code = F.coalesce("_code", "error_code")
+    out = rows.withColumn("error_code", code).withColumn("apply_status", F.when(code.isNull(), "APPLIED").otherwise("REJECTED"))
+    return out.withColumn("entity", F.lit(spec.name)).drop("_status", "_code")
+
+
+def stage(ledger: DataFrame, spec: EntitySpec, order: Column) -> DataFrame:
+    """An entity's current relation: the newest applied version of each key, without deleted ones."""
+    return current_state(applied(ledger.where(F.col("entity") == spec.name)), list(spec.keys), order)
+
+
+def union_ledgers(**ledgers: DataFrame) -> DataFrame:
+    """Several entities' ledgers as one, with the entity's name on each row."""
+    out = None
+    for name, rows in ledgers.items():
+        rows = rows.withColumn("entity", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
 
 def event_id() -> Column:
     return F.concat_ws(":", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string"))
 
 
-def project_raw(log: DataFrame, transactions: str, heartbeats: str, schema_changes: str) -> DataFrame:
-    """Log records with identity, kind, hashes and framing evidence."""
+def project_raw(log: DataFrame, transactions: str, heartbeats: str, schema_changes: str, batch_id: int = 0, query_id: str = "", ingested_at: Column | None = None) -> DataFrame:
+    """Log records with identity, kind, hashes, framing evidence and the lineage of their capture."""
     topic, key, value = F.col("topic"), F.col("key"), F.col("value")
     k, v = inspect_frame(key, "key"), inspect_frame(value, "value")
     return log.select(
-        event_id().alias("event_id"), record_kind(topic, key, value, transactions, heartbeats, schema_changes).alias("record_kind"), "topic", "partition", "offset", "timestamp",
+        event_id().alias("event_id"), record_kind(topic, key, value, transactions, heartbeats, schema_changes).alias("record_kind"), "topic", "partition", "offset", "timestamp", F.col("timestampType").alias("timestamp_type"), "headers",
         is_tombstone(key, value).alias("is_tombstone"), F.sha2(key, 256).alias("key_sha256"), F.sha2(value, 256).alias("value_sha256"),
         k["schema_id"].alias("key_schema_id"), v["schema_id"].alias("value_schema_id"), k["valid"].alias("key_framing_valid"), v["valid"].alias("value_framing_valid"),
-        F.coalesce(k["error"], v["error"]).alias("framing_error"), k["payload"].alias("key_payload"), v["payload"].alias("value_payload"),
+        F.coalesce(k["error"], v["error"]).alias("framing_error"), k["payload"].alias("key_payload"), v["payload"].alias("value_payload"), key.alias("key_bytes"), value.alias("value_bytes"),
+        F.lit(batch_id).cast("bigint").alias("ingest_batch_id"), F.lit(query_id).alias("query_id"), (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
     )
 
 
@@ -61,10 +92,13 @@ def split_valid(raw: DataFrame, allowed_ids: Sequence[int]) -> tuple[DataFrame,
     return rows.where("reason is null").drop("reason"), rows.where("reason is not null")
 
 
-def normalize(envelopes: DataFrame, image: str) -> DataFrame:
+def normalize(envelopes: DataFrame, image: str, keys: str | None = None) -> DataFrame:
     """Ledger rows out of envelope JSON: op, flags, source and transaction fields, and the chosen image.
 
-    The image is ``before`` for deletes and ``after`` otherwise; a missing one is corrupt.
+    The image is ``before`` for deletes and ``after`` otherwise; a missing one is corrupt. With ``keys``
+    (their DDL), key columns come from the key record in ``key_json``, so a corrupt image has them too.
+    before_row_hash, after_row_hash and row_hash (of the chosen image) are SHA-256 of the business
+    columns, null where there is no image.
     """
     schema = f"op string, before struct<{image}>, after struct<{image}>, source struct<ts_ms bigint, snapshot string, file string, pos bigint, `row` int>, transaction struct<id string, total_order bigint>"
     e = F.from_json("envelope", schema)
@@ -73,22 +107,32 @@ def normalize(envelopes: DataFrame, image: str) -> DataFrame:
     payload = F.when(deleted, F.col("_e.before")).otherwise(F.col("_e.after"))
     status = F.when(F.col("_e").isNull() | ~F.coalesce(F.col("_e.op").isin(*OPERATIONS), F.lit(False)), "REJECTED").when(payload.isNull(), "REJECTED").otherwise("APPLIED")
     code = F.when(F.col("_e").isNull() | ~F.coalesce(F.col("_e.op").isin(*OPERATIONS), F.lit(False)), "invalid_op").when(payload.isNull(), "missing_image")
+    fields = [f.name for f in rows.select("_e.after").schema["after"].dataType]
+    digest = lambda x: F.when(x.isNotNull(), row_digest(*(x[f] for f in fields)))
+    own = [f.name for f in rows.select(F.from_json(F.lit("{}"), keys).alias("k")).schema["k"].dataType] if keys else []
+    hashes = (digest(F.col("_e.before")).alias("before_row_hash"), digest(F.col("_e.after")).alias("after_row_hash"), digest(payload).alias("row_hash"))
+    if keys:
+        k = F.from_json("key_json", keys)
+        payload = F.struct(*(k[f].alias(f) for f in own), *(payload[f].alias(f) for f in fields if f not in own))
     return rows.select(
-        *[c for c in envelopes.columns if c != "envelope"], F.col("_e.op").alias("op"), F.coalesce(deleted, F.lit(False)).alias("is_deleted"), F.coalesce(F.col("_e.source.snapshot").isin(*SNAPSHOT), F.lit(False)).alias("is_snapshot"),
+        *[c for c in envelopes.columns if c not in ("envelope", "key_json")], *hashes, F.col("_e.op").alias("op"), F.coalesce(deleted, F.lit(False)).alias("is_deleted"), F.coalesce(F.col("_e.source.snapshot").isin(*SNAPSHOT), F.lit(False)).alias("is_snapshot"),
         F.coalesce(F.timestamp_millis("_e.source.ts_ms").cast("timestamp_ntz"), F.col("log_time")).alias("source_ts"), F.col("_e.transaction.id").alias("transaction_id"), status.alias("apply_status"), code.alias("error_code"), payload.alias("_p"),
     ).select("*", "_p.*").drop("_p")
 
 
 def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """apply_status and error_code; of the rules that fail, the first counts."""
-    failed = F.filter(F.array(*(F.when(~F.expr(r.holds), F.lit(r.code)) for r in rules)), lambda c: c.isNotNull())
+    """apply_status, error_code, error_ordinal and error_message; of the rules that fail, the first counts."""
+    found = [F.when(~F.expr(r.holds), F.struct(F.lit(i).alias("ordinal"), F.lit(r.code).alias("code"), redact(F.lit(f"{r.code}: {r.holds}")).alias("message"))) for i, r in enumerate(rules, 1)]
+    failed = F.filter(F.array(*found), lambda c: c.isNotNull())
     first = F.get(failed, F.lit(0))
-    return rows.withColumn("error_code", first).withColumn("apply_status", F.when(first.isNull(), "APPLIED").otherwise("REJECTED")).withColumn("failed_rules", F.size(failed))
+    out = rows.withColumn("error_code", first["code"]).withColumn("error_ordinal", first["ordinal"]).withColumn("error_message", first["message"])
+    return out.withColumn("apply_status", F.when(first.isNull(), "APPLIED").otherwise("REJECTED")).withColumn("failed_rules", F.size(failed))
 
 
 def quarantine(rows: DataFrame) -> DataFrame:
-    """Rejected rows by event and code, with first and last time and number of sightings."""
-    return rows.where("lower(apply_status) = 'rejected'").groupBy("event_id", "error_code").agg(F.min("source_ts").alias("first_seen"), F.max("source_ts").alias("last_seen"), F.count("*").alias("occurrences"))
+    """Rejected rows by event and code, with an id of both, first and last time and number of sightings."""
+    seen = rows.where("lower(apply_status) = 'rejected'").groupBy("event_id", "error_code").agg(F.min("source_ts").alias("first_seen"), F.max("source_ts").alias("last_seen"), F.count("*").alias("occurrences"))
+    return seen.withColumn("error_id", F.sha2(F.concat_ws("|", "event_id", "error_code"), 256))
 
 
 def applied(rows: DataFrame) -> DataFrame:
@@ -237,3 +281,10 @@ def slo_rollup(lag: DataFrame, status: DataFrame, now: Column, stale_seconds: in
     age = F.unix_timestamp(now) - F.unix_timestamp(F.col("updated_at"))
     b = status.agg(F.min(F.col("ready").cast("int")).alias("min_ready"), F.max(age).alias("max_staleness"), F.count_if(age > stale_seconds).alias("stale_queries"))
     return a.crossJoin(b).withColumn("lag_alert", F.col("total_lag") > lag_limit).withColumn("stale_alert", F.col("max_staleness") > stale_seconds)
+
+
+def offset_problems(offsets: DataFrame, required: DataFrame, prefix: str) -> DataFrame:
+    """(topic, partition, problem): needed partitions without an offset, and offsets of topics without the capture's prefix."""
+    missing = required.select("topic", "partition").distinct().join(offsets.select("topic", "partition"), ["topic", "partition"], "left_anti").withColumn("problem", F.lit("missing"))
+    strange = offsets.where(~F.col("topic").startswith(prefix)).select("topic", "partition").distinct().withColumn("problem", F.lit("topic_prefix"))
+    return missing.unionByName(strange)

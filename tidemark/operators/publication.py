@@ -44,6 +44,19 @@ def retention_plan(partitions: DataFrame, markers: DataFrame, keep: int) -> Data
     return runs.select("seq", F.when(F.col("_kept"), "keep").otherwise("drop").alias("action"))
 
 
+def apply_retention(spark, path: str, plan: DataFrame, dry_run: bool = True) -> DataFrame:
+    """The plan's dropped partitions, one row each with their folder; they go only without ``dry_run``.
+
+    Runs are few: one row a publication.
+    """
+    drop = plan.where("action = 'drop'").select("seq", F.concat(F.lit(f"{path}/seq="), F.col("seq").cast("string")).alias("folder")).orderBy("seq")
+    if not dry_run:
+        for r in drop.toLocalIterator():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(r["folder"])
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return drop.withColumn("dropped", F.lit(not dry_run))
+
+
 def run_ledger(events: DataFrame) -> DataFrame:
     """Each run's newest status and whether all its transitions were legal."""
     w = Window.partitionBy("run_id").orderBy("recorded_at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -70,10 +70,10 @@ def table_drift(actual: DataFrame, declared: DataFrame) -> DataFrame:
     return a.join(b, "path", "full_outer").withColumn("drift", kind).where("drift is not null").select("path", "drift")
 
 
-def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: nulls, values, least and greatest text, and the type that fits all values.
+def profile(df: DataFrame, columns: Sequence[str], samples: int = 3) -> DataFrame:
+    """Per column: nulls, values, least and greatest text, the type that fits all values, and its least distinct values.
 
-    One pass over all rows, with counters only; columns are cast to text first.
+    Counters in one pass over all rows, and one for the samples; columns are cast to text first.
     """
     # whole numbers fit without a point; decimals with one; times as yyyy-MM-dd with an optional time
     rules = (("integer", r"^-?[0-9]+$"), ("decimal", r"^-?[0-9]+(\.[0-9]+)?$"), ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2})?$"))
@@ -85,4 +85,9 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     kind = F.when(F.col("n_values") == 0, "empty")
     for name, _ in rules:
         kind = kind.when(F.col(name) == F.col("n_values"), name)
-    return flat.select("column_name", "nulls", "n_values", "least", "greatest", kind.otherwise("string").alias("inferred_type"))
+    out = flat.select("column_name", "nulls", "n_values", "least", "greatest", kind.otherwise("string").alias("inferred_type"))
+    # the least distinct values: distinct ones first, then the first few of each column
+    seen = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns))).alias("x")).select("x.*").where("value is not null").distinct()
+    some = seen.withColumn("_n", F.row_number().over(Window.partitionBy("column_name").orderBy("value"))).where(F.col("_n") <= samples)
+    some = some.groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("samples"))
+    return out.join(some, "column_name", "left")

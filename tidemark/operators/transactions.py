@@ -22,9 +22,10 @@ def assemble_transactions(markers: DataFrame) -> DataFrame:
     ``markers`` has transaction_id, status (BEGIN or END), offset, event_count and collections.
     """
     begin, end = F.col("status") == "BEGIN", F.col("status") == "END"
+    collections = [F.max_by("collections", F.when(end, F.col("offset"))).alias("collections")] if "collections" in markers.columns else []
     return markers.groupBy("transaction_id").agg(
         F.when(F.max(end), "COMPLETE").otherwise("OPEN").alias("status"), F.min(F.when(begin, F.col("offset"))).alias("begin_offset"), F.max(F.when(end, F.col("offset"))).alias("end_offset"),
-        F.max_by("event_count", F.when(end, F.col("offset"))).alias("event_count"), F.count("*").alias("markers"),
+        F.max_by("event_count", F.when(end, F.col("offset"))).alias("event_count"), F.count("*").alias("markers"), *collections,
     )
 
 
@@ -79,9 +80,9 @@ def within_offsets(changes: DataFrame, ends: DataFrame) -> DataFrame:
     return changes.join(ends.select("topic", "partition", F.col("end_offset").alias("_end")), ["topic", "partition"]).where("offset <= _end").drop("_end")
 
 
-def within_transactions(changes: DataFrame, effective: DataFrame, end: int | None) -> DataFrame:
-    """Changes without a transaction, and those of transactions complete at or below the boundary."""
-    done = effective.where("status = 'COMPLETE' and not missing_id").where(F.col("offset") <= F.lit(end)).select("transaction_id")
+def within_transactions(changes: DataFrame, effective: DataFrame, boundary: DataFrame) -> DataFrame:
+    """Changes without a transaction, and those of transactions complete at or below the boundary (one row with target_offset)."""
+    done = effective.where("status = 'COMPLETE' and not missing_id").crossJoin(F.broadcast(boundary.select("target_offset"))).where(F.col("offset") <= F.col("target_offset")).select("transaction_id")
     loose = changes.where("transaction_id is null")
     return changes.join(done, "transaction_id", "left_semi").select(*changes.columns).unionByName(loose)
 
@@ -92,6 +93,12 @@ def transaction_counts(changes: DataFrame) -> DataFrame:
     return per.groupBy("transaction_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("entity", "n")))).alias("counts"), F.sum("n").alias("events"))
 
 
+def fill_event_counts(effective: DataFrame, counts: DataFrame) -> DataFrame:
+    """Missing event counts of transactions, from what the ledger holds of them."""
+    held = counts.select("transaction_id", F.col("events").alias("_held"))
+    return effective.join(held, "transaction_id", "left").withColumn("event_count", F.coalesce("event_count", "_held")).drop("_held").select(*effective.columns)
+
+
 def audit_gap(changes: DataFrame, effective: DataFrame) -> DataFrame:
     """Transactions of the ledger that are not complete; an anti join, so null ids cannot hide any."""
     done = effective.where("status = 'COMPLETE'").select("transaction_id")

@@ -29,9 +29,36 @@ def current_counts(v: Views) -> DataFrame:
     return versions.current_counts(v.changes, ["user_id"], place())
 
 
-@query("select entity, op, count(*) as n from v_changes group by 1, 2")
+def order_changes(v: Views) -> DataFrame:
+    """The orders as a second ledger: a snapshot row each, and an update of those that are done."""
+    both = F.explode(F.when(F.col("status") == "shipped", F.array(F.lit("r"))).otherwise(F.array(F.lit("r"), F.lit("u")))).alias("op")
+    rows = v.orders.select("order_id", "customer_id", "status", "purchase", both)
+    status = F.when(F.col("op") == "r", "created").otherwise(F.col("status"))
+    return rows.select("order_id", "customer_id", status.alias("status"), "op", (F.col("order_id") * 2 + (F.col("op") == "u").cast("int")).alias("offset"), F.lit("cdc.orders").alias("topic"), F.lit(0).cast("bigint").alias("partition"), F.col("purchase").alias("source_ts"), F.lit(False).alias("is_deleted"))
+
+
+_ORDER_CHANGES = """(select order_id, customer_id, case op when 'r' then 'created' else status end as status, op, order_id * 2 + cast(op = 'u' as int) as "offset" from (select *, unnest(case when status = 'shipped' then ['r'] else ['r', 'u'] end) as op from v_orders))"""
+
+
+@query(f"select 'users' as entity, op, count(*) as n from v_changes group by 2 union all select 'orders', op, count(*) from {_ORDER_CHANGES} group by 2")
 def op_counts(v: Views) -> DataFrame:
-    return v.changes.groupBy("entity", "op").agg(F.count("*").alias("n"))
+    return ledger.union_ledgers(users=v.changes.drop("entity"), orders=order_changes(v)).groupBy("entity", "op").agg(F.count("*").alias("n"))
+
+
+@query(f"""select order_id, customer_id, status, op from (select *, row_number() over (partition by order_id order by "offset" desc) as n from {_ORDER_CHANGES} where status <> 'canceled') where n = 1""")
+def stage_orders(v: Views) -> DataFrame:
+    """Orders out of their envelopes: key record, contract, rules, then the newest applied version."""
+    c = order_changes(v)
+    image = F.struct("order_id", "customer_id", "status")
+    body = F.struct("op", F.lit(None).alias("before"), image.alias("after"), F.struct((F.col("offset") * 1000).alias("ts_ms"), F.lit("false").alias("snapshot")).alias("source"))
+    records = c.select("offset", "partition", F.col("source_ts").alias("log_time"), F.to_json(body).alias("envelope"), F.to_json(F.struct("order_id")).alias("key_json"))
+    return ledger.stage(ledger.stage_changes(records, ORDERS), ORDERS, place()).select("order_id", "customer_id", "status", "op")
+
+
+@query("""select transaction_id, status, "offset", case when status = 'OPEN' and n is not null then n else event_count end as event_count from v_effective left join (select transaction_id, count(*) as n from v_changes group by 1) using (transaction_id)""")
+def filled_event_counts(v: Views) -> DataFrame:
+    """Counts that an effective transaction lacks, from the ledger."""
+    return transactions.fill_event_counts(effective(v), transactions.transaction_counts(v.changes)).select("transaction_id", "status", "offset", "event_count")
 
 
 @query("""select user_id, event_id from (select *, row_number() over (partition by user_id order by case when is_snapshot then 0 else 1 end desc, "offset" // 1000 desc, ("offset" * 37) % 1000 desc, -1 desc, "offset" % 5 desc, source_ts desc, partition desc, "offset" desc) as n from v_changes) where n = 1""")
@@ -61,22 +88,25 @@ def log(v: Views) -> DataFrame:
     good = F.concat(F.unhex(F.lpad(F.hex(n % 7 + 1), 10, "0")), F.col("props").cast("binary"))
     value = F.when(n % 29 == 0, None).when(n % 31 == 0, F.unhex(F.lit("0000"))).when(n % 37 == 0, F.concat(F.unhex(F.lit("0100000001")), F.col("props").cast("binary"))).when(n % 43 == 0, F.unhex(F.lit("0000000000"))).otherwise(good)
     topic = F.when(n % 11 == 0, "cdc.transaction").when(n % 13 == 0, "heartbeat.cdc").when(n % 17 == 0, "cdc").otherwise("cdc.users")
-    return v.table("events").select(key.alias("key"), value.alias("value"), topic.alias("topic"), (F.col("user_id") % 3).alias("partition"), n.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"), "user_id", "props")
+    return v.table("events").select(key.alias("key"), value.alias("value"), topic.alias("topic"), (F.col("user_id") % 3).alias("partition"), n.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"),
+        F.array(F.struct(F.lit("source").alias("key"), F.col("event_type").cast("binary").alias("value"))).alias("headers"), "user_id", "props")
 
 
-_LOG = """(select event_id as n, user_id, props, event_id % 41 <> 0 as has_key, event_id % 29 <> 0 as has_value, case when event_id % 11 = 0 then 'cdc.transaction' when event_id % 13 = 0 then 'heartbeat.cdc' when event_id % 17 = 0 then 'cdc' else 'cdc.users' end as topic,
+_LOG = """(select event_id as n, user_id, props, event_type, event_id % 41 <> 0 as has_key, event_id % 29 <> 0 as has_value, case when event_id % 11 = 0 then 'cdc.transaction' when event_id % 13 = 0 then 'heartbeat.cdc' when event_id % 17 = 0 then 'cdc' else 'cdc.users' end as topic,
     case when event_id % 41 = 0 then 'key_null' end as key_error, case when event_id % 29 = 0 then 'value_null' when event_id % 31 = 0 then 'value_too_short' when event_id % 37 = 0 then 'value_bad_magic' when event_id % 43 = 0 then 'value_bad_schema_id' end as value_error,
     case when event_id % 11 = 0 then 'transaction' when event_id % 13 = 0 then 'heartbeat' when event_id % 17 = 0 then 'schema_change' when event_id % 41 <> 0 and event_id % 29 = 0 then 'tombstone' else 'data' end as kind from events)"""
 
 
 def raw(v: Views) -> DataFrame:
-    return ledger.project_raw(log(v), "cdc.transaction", "heartbeat", "cdc")
+    return ledger.project_raw(log(v), "cdc.transaction", "heartbeat", "cdc", 7, "raw", F.col("timestamp"))
 
 
 @query(f"""select topic || ':' || (user_id % 3) || ':' || n as event_id, kind as record_kind, has_key and not has_value as is_tombstone, case when has_key then sha256(('\\x00\\x00\\x00\\x00' || case n % 3 when 0 then '\\x01' when 1 then '\\x02' else '\\x03' end)::blob || encode(cast(user_id as varchar))) end as key_sha256,
-    case when has_key then cast(n % 3 + 1 as int) end as key_schema_id, case when value_error is null then cast(n % 7 + 1 as int) end as value_schema_id, has_key as key_framing_valid, value_error is null as value_framing_valid, coalesce(key_error, value_error) as framing_error from {_LOG}""")
+    case when has_key then cast(n % 3 + 1 as int) end as key_schema_id, case when value_error is null then cast(n % 7 + 1 as int) end as value_schema_id, has_key as key_framing_valid, value_error is null as value_framing_valid, coalesce(key_error, value_error) as framing_error,
+    0 as timestamp_type, event_type as source_header, 7::bigint as ingest_batch_id, 'raw' as query_id,
+    case when has_value then sha256(case value_error when 'value_too_short' then '\\x00\\x00'::blob when 'value_bad_magic' then '\\x01\\x00\\x00\\x00\\x01'::blob || encode(props) when 'value_bad_schema_id' then '\\x00\\x00\\x00\\x00\\x00'::blob else ('\\x00\\x00\\x00\\x00\\x0' || (n % 7 + 1))::blob || encode(props) end) end as value_sha256 from {_LOG}""")
 def project_raw(v: Views) -> DataFrame:
-    return raw(v).select("event_id", "record_kind", "is_tombstone", "key_sha256", "key_schema_id", "value_schema_id", "key_framing_valid", "value_framing_valid", "framing_error")
+    return raw(v).select("event_id", "record_kind", "is_tombstone", "key_sha256", "key_schema_id", "value_schema_id", "key_framing_valid", "value_framing_valid", "framing_error", "timestamp_type", F.get("headers", F.lit(0))["value"].cast("string").alias("source_header"), "ingest_batch_id", "query_id", "value_sha256")
 
 
 @query(f"select kind as record_kind, count(*) as n from {_LOG} group by 1")
@@ -116,38 +146,45 @@ def envelopes(v: Views) -> DataFrame:
         op.alias("op"), F.when(F.col("is_deleted") & (n % 53 != 0), image).otherwise(none).alias("before"), F.when(~F.col("is_deleted") & (n % 53 != 0), image).otherwise(none).alias("after"),
         F.struct((n * 1000).alias("ts_ms"), F.when(F.col("is_snapshot"), "true").otherwise("false").alias("snapshot")).alias("source"), F.struct(F.col("transaction_id").alias("id")).alias("transaction"),
     )
-    return c.select("event_id", n, F.col("source_ts").alias("log_time"), F.to_json(body).alias("envelope"))
+    return c.select("event_id", n, F.col("source_ts").alias("log_time"), F.to_json(body).alias("envelope"), F.to_json(F.struct("user_id")).alias("key_json"))
 
 
 def normalized(v: Views) -> DataFrame:
-    return ledger.normalize(envelopes(v), "user_id bigint, value_cents bigint, event_type string")
+    return ledger.normalize(envelopes(v), USERS.columns, USERS.key_columns())
+
+
+#: The captured entities.
+USERS = ledger.EntitySpec("users", "cdc.users", ("user_id",), "user_id bigint, value_cents bigint, event_type string", (
+    ledger.Rule("rule_value_range", "value_cents < 20000"), ledger.Rule("rule_known_type", "event_type in ('signup', 'purchase', 'view', 'click')"), ledger.Rule("rule_even_user", "user_id % 2 = 0 or value_cents < 10000"),
+))
+ORDERS = ledger.EntitySpec("orders", "cdc.orders", ("order_id",), "order_id bigint, customer_id bigint, status string", (ledger.Rule("rule_not_canceled", "status <> 'canceled'"),))
 
 
 _NORMAL = """(select event_id, "offset", case when "offset" % 89 = 0 then 'x' else op end as op, case when "offset" % 89 = 0 then false else is_deleted end as is_deleted, is_snapshot, timestamp '1970-01-01' + to_seconds("offset") as source_ts, transaction_id,
     case when "offset" % 89 = 0 or "offset" % 53 = 0 then 'REJECTED' when is_deleted and "offset" % 89 = 0 then 'REJECTED' else 'APPLIED' end as apply_status, case when "offset" % 89 = 0 then 'invalid_op' when "offset" % 53 = 0 then 'missing_image' end as error_code,
-    case when "offset" % 53 = 0 or (op = 'd' and "offset" % 89 = 0) then null else user_id end as user_id, case when "offset" % 53 = 0 or (op = 'd' and "offset" % 89 = 0) then null else value_cents end as value_cents from v_changes)"""
+    user_id, case when is_deleted and "offset" % 53 <> 0 then h end as before_row_hash, case when not is_deleted and "offset" % 53 <> 0 then h end as after_row_hash, case when "offset" % 53 = 0 or (op = 'd' and "offset" % 89 = 0) then null else h end as row_hash, case when "offset" % 53 = 0 or (op = 'd' and "offset" % 89 = 0) then null else value_cents end as value_cents from (select *, sha256(user_id || '|' || value_cents || '|' || event_type) as h from v_changes))"""
 
 
 @query(f"select * from {_NORMAL}")
 def normalize_envelope(v: Views) -> DataFrame:
-    return normalized(v).select("event_id", "offset", "op", "is_deleted", "is_snapshot", "source_ts", "transaction_id", "apply_status", "error_code", "user_id", "value_cents")
+    return normalized(v).select("event_id", "offset", "op", "is_deleted", "is_snapshot", "source_ts", "transaction_id", "apply_status", "error_code", "user_id", "before_row_hash", "after_row_hash", "row_hash", "value_cents")
 
 
-RULES = (ledger.Rule("rule_value_range", "value_cents < 20000"), ledger.Rule("rule_known_type", "event_type in ('signup', 'purchase', 'view', 'click')"), ledger.Rule("rule_even_user", "user_id % 2 = 0 or value_cents < 10000"))
 _RULED = """(select event_id, source_ts, case when value_cents >= 20000 then 'rule_value_range' when event_type not in ('signup', 'purchase', 'view', 'click') then 'rule_known_type' when user_id % 2 <> 0 and value_cents >= 10000 then 'rule_even_user' end as error_code,
     cast(value_cents >= 20000 as int) + cast(event_type not in ('signup', 'purchase', 'view', 'click') as int) + cast(user_id % 2 <> 0 and value_cents >= 10000 as int) as failed_rules from v_changes)"""
 
 
 def ruled(v: Views) -> DataFrame:
-    return ledger.apply_rules(v.changes, RULES)
+    return ledger.apply_rules(v.changes, USERS.rules)
 
 
-@query(f"select event_id, case when error_code is null then 'APPLIED' else 'REJECTED' end as apply_status, error_code, failed_rules from {_RULED}")
+@query(f"""select event_id, case when error_code is null then 'APPLIED' else 'REJECTED' end as apply_status, error_code, cast(case error_code when 'rule_value_range' then 1 when 'rule_known_type' then 2 when 'rule_even_user' then 3 end as int) as error_ordinal,
+    case error_code when 'rule_value_range' then 'rule_value_range: value_cents < 20000' when 'rule_known_type' then 'rule_known_type: event_type in (''signup'', ''purchase'', ''view'', ''click'')' when 'rule_even_user' then 'rule_even_user: user_id % 2 = 0 or value_cents < 10000' end as error_message, failed_rules from {_RULED}""")
 def rule_rejections(v: Views) -> DataFrame:
-    return ruled(v).select("event_id", "apply_status", "error_code", "failed_rules")
+    return ruled(v).select("event_id", "apply_status", "error_code", "error_ordinal", "error_message", "failed_rules")
 
 
-@query(f"""select event_id, error_code, min(source_ts) as first_seen, max(source_ts) as last_seen, count(*) as occurrences from (select event_id, error_code, source_ts from {_RULED} union all select event_id, error_code, source_ts + interval 1 day from {_RULED} where cast(split_part(event_id, ':', 3) as bigint) % 3 = 0) where error_code is not null group by 1, 2""")
+@query(f"""select event_id, error_code, min(source_ts) as first_seen, max(source_ts) as last_seen, count(*) as occurrences, sha256(event_id || '|' || error_code) as error_id from (select event_id, error_code, source_ts from {_RULED} union all select event_id, error_code, source_ts + interval 1 day from {_RULED} where cast(split_part(event_id, ':', 3) as bigint) % 3 = 0) where error_code is not null group by 1, 2""")
 def quarantine(v: Views) -> DataFrame:
     rows = ruled(v).select("event_id", "error_code", "apply_status", "source_ts", "offset")
     again = rows.where("`offset` % 3 = 0").withColumn("source_ts", F.expr("source_ts + interval 1 day"))
@@ -258,13 +295,12 @@ def bounded(v: Views) -> DataFrame:
     """
     states = storage.save(effective(v), "effective")
     target = F.broadcast(storage.save(transactions.select_boundary(states, 100).select("target_offset"), "boundary"))
-    done = states.where("status = 'COMPLETE' and not missing_id").crossJoin(target).where("`offset` <= target_offset").select("transaction_id")
-    ends = v.changes.crossJoin(target).groupBy("topic", "partition").agg(F.max(F.when(F.col("offset") <= F.col("target_offset"), F.col("offset"))).alias("end_offset"))
-    inside = transactions.within_offsets(v.changes, ends)
-    return inside.join(done, "transaction_id", "left_semi")
+    changes = v.changes.withColumn("transaction_id", F.when(F.col("offset") % 19 != 0, F.col("transaction_id")))  # some are outside transactions
+    ends = changes.crossJoin(target).groupBy("topic", "partition").agg(F.max(F.when(F.col("offset") <= F.col("target_offset"), F.col("offset"))).alias("end_offset"))
+    return transactions.within_transactions(transactions.within_offsets(changes, ends), states, target)
 
 
-_BOUNDED = f"""(select * from v_changes where "offset" <= (select max("offset") from {_PREFIX}) and transaction_id in (select transaction_id from v_effective where status = 'COMPLETE' and "offset" <= (select max("offset") from {_PREFIX})))"""
+_BOUNDED = f"""(select * from v_changes where "offset" <= (select max("offset") from {_PREFIX}) and ("offset" % 19 = 0 or transaction_id in (select transaction_id from v_effective where status = 'COMPLETE' and "offset" <= (select max("offset") from {_PREFIX}))))"""
 
 
 @query(f"""select event_id, "offset" from {_BOUNDED}""")
@@ -451,39 +487,47 @@ def manifest(v: Views) -> DataFrame:
     return ledger.event_checksum(v.changes, ["partition"], values.row_digest("event_id", "user_id", "props"))
 
 
-@query(f"""select user_id, 'missing_left' as difference from (select distinct user_id from {_BOUNDED} where false)""")
+@query(f"""with a as (select user_id, event_id from {_BOUNDED} qualify row_number() over (partition by user_id order by partition desc, "offset" desc) = 1), b as (select user_id, event_id from {_BOUNDED} where user_id % 10 <> 3 or "offset" % 4 <> 0 qualify row_number() over (partition by user_id order by partition desc, "offset" desc) = 1)
+    select user_id, case when b.event_id is null then 'missing_right' else 'hash_diff' end as difference from a left join b using (user_id) where b.event_id is null or a.event_id <> b.event_id""".replace("with a as", "select * from (with a as", 1) + ")")
 def rebuild_parity(v: Views) -> DataFrame:
-    """A rebuild from the ledger equals the current state; differing keys would be returned."""
-    inside = bounded(v)
+    """A rebuild from the ledger against a state kept batch by batch, which has lost some changes (planted)."""
+    inside = storage.save(bounded(v), "inside")
     a = versions.latest_by(inside, ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
-    half = inside.where("`offset` % 2 = 0")
-    b = versions.apply_current(versions.latest_by(half, ["user_id"], place()), inside.where("`offset` % 2 = 1"), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
+    kept = inside.where("user_id % 10 <> 3 or `offset` % 4 <> 0")
+    half = kept.where("`offset` % 2 = 0")
+    b = versions.apply_current(versions.latest_by(half, ["user_id"], place()), kept.where("`offset` % 2 = 1"), ["user_id"], place()).withColumn("row_hash", values.row_digest("event_id", "value_cents"))
     return ledger.parity(a, b, ["user_id"])
 
 
 @query(f"""select 'changes' as measure, count(*) as n from v_changes union all select 'duplicates', count(*) from (select event_id from v_changes group by 1 having count(*) > 1) union all select 'rejected', count(*) from {_RULED} where error_code is not null
-    union all select 'op_' || op, count(*) from v_changes group by op union all select 'visible', count(*) from (select arg_max(is_deleted, "offset") as g from v_changes group by user_id) where not g""")
+    union all select 'op_' || op, count(*) from v_changes group by op union all select 'visible', count(*) from (select arg_max(is_deleted, "offset") as g from v_changes group by user_id) where not g
+    union all select 'deleted', count(*) from (select arg_max(is_deleted, "offset") as g from v_changes group by user_id) where g union all select 'physical', count(distinct user_id) from v_changes""")
 def acceptance_counts(v: Views) -> DataFrame:
     c = v.changes
     row = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("measure"), "n")
     ops = c.groupBy("op").agg(F.count("*").alias("n")).select(F.concat(F.lit("op_"), "op").alias("measure"), "n")
-    parts = [row(checks.duplicate_keys(c, ["event_id"]), "duplicates"), row(ruled(v).where("error_code is not null"), "rejected"), row(versions.current_state(c, ["user_id"], place()), "visible"), ops]
+    parts = [row(checks.duplicate_keys(c, ["event_id"]), "duplicates"), row(ruled(v).where("error_code is not null"), "rejected"), ops]
+    counts = versions.current_counts(c, ["user_id"], place()).select(F.explode(F.map_from_arrays(F.array(*(F.lit(m) for m in ("physical", "visible", "deleted"))), F.array("physical", "visible", "deleted"))).alias("measure", "n"))
+    parts.append(counts)
     out = row(c, "changes")
     for p in parts:
         out = out.unionByName(p)
     return out
 
 
-@query(f"""select 'open' as check_name, count(*) as failures, count(*) = 0 as passed from v_effective where status = 'OPEN' union all select 'rejected', count(*), count(*) = 0 from v_effective where status = 'REJECTED' union all select 'gap', count(distinct transaction_id), count(distinct transaction_id) = 0 from v_changes where transaction_id not in (select transaction_id from v_effective where status = 'COMPLETE')""")
+@query(f"""select 'open' as check_name, count(*) as failures, count(*) = 0 as passed from v_effective where status = 'OPEN' union all select 'rejected', count(*), count(*) = 0 from v_effective where status = 'REJECTED' union all select 'gap', count(distinct transaction_id), count(distinct transaction_id) = 0 from v_changes where transaction_id not in (select transaction_id from v_effective where status = 'COMPLETE')
+    union all select 'unpublished', count(*), count(*) = 0 from (select seq, arg_max(status, recorded_at) as s from v_markers group by 1) where s <> 'PUBLISHED' union all select 'parity', count(*), count(*) = 0 from v_changes where "offset" % 11 = 0 or "offset" % 13 = 0 or "offset" % 17 = 0""")
 def final_gate(v: Views) -> DataFrame:
     e = effective(v)
-    return checks.gate(open=e.where("status = 'OPEN'"), rejected=e.where("status = 'REJECTED'"), gap=transactions.audit_gap(v.changes, e))
+    return checks.gate(open=e.where("status = 'OPEN'"), rejected=e.where("status = 'REJECTED'"), gap=transactions.audit_gap(v.changes, e), unpublished=v.markers.select("seq").distinct().join(publication.published_runs(v.markers), "seq", "left_anti"), parity=row_parity(v))
 
 
-@query("""select distinct 'cdc.users' as topic, partition from v_changes where partition not in (select partition from v_changes where "offset" % 10 < 7 and partition <> 2)""")
+@query("""select distinct 'cdc.users' as topic, partition, 'missing' as problem from v_changes where partition not in (select partition from v_changes where "offset" % 10 < 7 and partition <> 2) union all select distinct 'old.users', partition, 'topic_prefix' from v_changes where partition <> 2 and partition = 1 and "offset" % 10 < 7""")
 def offsets_valid(v: Views) -> DataFrame:
-    have = ledger.progress_rows(v.changes.where("`offset` % 10 < 7 and partition <> 2"))
-    return v.changes.select("topic", "partition").distinct().join(have, ["topic", "partition"], "left_anti")
+    """Run offsets: each topic and partition that is needed is there, and topics have the capture's prefix (one is planted without)."""
+    rows = ledger.progress_rows(v.changes.where("`offset` % 10 < 7 and partition <> 2"))
+    have = rows.select("topic", "partition").unionByName(rows.where("partition = 1").select(F.lit("old.users").alias("topic"), "partition"))
+    return ledger.offset_problems(have, v.changes.select("topic", "partition").distinct(), "cdc.")
 
 
 @query("""select user_id, a as events_before, b as events_after, coalesce(a, 0) <> b as moved from (select user_id, count(*) filter (where "offset" < 5000) as a0, count(*) as b from v_changes group by 1) left join (select user_id as u, count(*) as a from v_changes where "offset" < 5000 group by 1) on u = user_id""")
@@ -553,9 +597,9 @@ def source_contract_issues(v: Views) -> DataFrame:
     return schemas.source_contract_issues(count(v.changes.where("`offset` % 50 <> 0 and user_id % 9 <> 0")), count(v.changes))
 
 
-@query("""select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as nulls, count(o_orderkey) as n_values, min(cast(o_orderkey as varchar)) as least, max(cast(o_orderkey as varchar)) as greatest, 'integer' as inferred_type from orders
-    union all select 'o_orderpriority', count(*) filter (where o_orderpriority is null), count(o_orderpriority), min(o_orderpriority), max(o_orderpriority), 'string' from orders
-    union all select 'o_orderdate', count(*) filter (where o_orderdate is null), count(o_orderdate), min(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), max(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), 'timestamp' from orders""")
+@query("""select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as nulls, count(o_orderkey) as n_values, min(cast(o_orderkey as varchar)) as least, max(cast(o_orderkey as varchar)) as greatest, 'integer' as inferred_type, (select string_agg(x, '|' order by x) from (select distinct cast(o_orderkey as varchar) as x from orders order by 1 limit 3)) as samples from orders
+    union all select 'o_orderpriority', count(*) filter (where o_orderpriority is null), count(o_orderpriority), min(o_orderpriority), max(o_orderpriority), 'string', (select string_agg(x, '|' order by x) from (select distinct o_orderpriority as x from orders where o_orderpriority is not null order by 1 limit 3)) from orders
+    union all select 'o_orderdate', count(*) filter (where o_orderdate is null), count(o_orderdate), min(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), max(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), 'timestamp', (select string_agg(x, '|' order by x) from (select distinct strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as x from orders where o_orderdate is not null order by 1 limit 3)) from orders""")
 def profile_columns(v: Views) -> DataFrame:
     return schemas.profile(v.table("orders"), ["o_orderkey", "o_orderpriority", "o_orderdate"])
 

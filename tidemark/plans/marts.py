@@ -125,26 +125,33 @@ def scd2_two_stream(v: Views) -> DataFrame:
     return versions.scd2(own.unionByName(renamed), "product_id", ORDER, attributes).select("product_id", "category", "english", "valid_from", "valid_to")
 
 
-@query("""select user_id, a.valid_from, a.valid_to from v_scd2 a where exists (select 1 from v_scd2 b where b.user_id = a.user_id and b."offset" <> a."offset" and b.valid_from <= a.valid_from
+_PLANTED = """(select * replace (case user_id % 10 when 0 then null when 1 then valid_from else valid_to end as valid_to) from v_scd2)"""
+
+
+@query(f"""select user_id, a.valid_from, a.valid_to from {_PLANTED} a where exists (select 1 from {_PLANTED} b where b.user_id = a.user_id and b."offset" <> a."offset" and b.valid_from <= a.valid_from
     and a.valid_from < coalesce(b.valid_to, timestamp '2299-12-31')) or a.valid_to <= a.valid_from""")
 def scd2_overlap_check(v: Views) -> DataFrame:
-    dim = user_versions(v)
+    user = F.col("user_id") % 10  # planted: versions that never end, and some that end as they begin
+    dim = user_versions(v).withColumn("valid_to", F.when(user == 1, F.col("valid_from")).when(user != 0, F.col("valid_to")))
     return versions.interval_overlaps(dim, "user_id").unionByName(dim.where("valid_to <= valid_from")).select("user_id", "valid_from", "valid_to")
 
 
-@query("select * from (select order_id, cast(sum(allocated_cents) as bigint) as allocated_cents, max(paid_cents) as paid_cents, count(*) as items from v_allocation where order_gross_cents <> 0 and paid_cents is not null group by 1) where abs(allocated_cents - paid_cents) > items")
+@query("select * from (select order_id, cast(sum(allocated_cents) as bigint) as allocated_cents, max(paid_cents) as paid_cents, count(*) as items from (select * replace (allocated_cents + case when order_id % 100 = 7 then 50 else 0 end as allocated_cents) from v_allocation) where order_gross_cents <> 0 and paid_cents is not null group by 1) where abs(allocated_cents - paid_cents) > items")
 def allocation_balance(v: Views) -> DataFrame:
-    return checks.allocation_balance(allocation(v))
+    planted = F.col("allocated_cents") + F.when(F.col("order_id") % 100 == 7, 50).otherwise(0)
+    return checks.allocation_balance(allocation(v).withColumn("allocated_cents", planted))
 
 
-@query("select month, arpu_cents, repeat_rate from v_monthly where arpu_cents <> floor(cast(paid_cents as double) / active_customers + 0.5::double) or repeat_rate not between 0 and 1")
+@query("select month, arpu_cents, repeat_rate from (select * replace (arpu_cents + cast(month(month) = 3 as bigint) as arpu_cents) from v_monthly) where arpu_cents <> floor(cast(paid_cents as double) / active_customers + 0.5::double) or repeat_rate not between 0 and 1")
 def arpu_formula(v: Views) -> DataFrame:
-    return checks.arpu_formulas(gold.mart_monthly(sales(v, customers=True))).select("month", "arpu_cents", "repeat_rate")
+    planted = F.col("arpu_cents") + (F.month("month") == 3).cast("bigint")
+    return checks.arpu_formulas(gold.mart_monthly(sales(v, customers=True)).withColumn("arpu_cents", planted)).select("month", "arpu_cents", "repeat_rate")
 
 
-@query("select purchase_day, gross_cents from v_daily where gross_cents <> price_cents + freight_cents")
+@query("select purchase_day, gross_cents from (select * replace (gross_cents + cast(day(purchase_day) = 13 as bigint) as gross_cents) from v_daily) where gross_cents <> price_cents + freight_cents")
 def components_check(v: Views) -> DataFrame:
-    return checks.components_add_up(gold.mart_daily(sales(v))).select("purchase_day", "gross_cents")
+    planted = F.col("gross_cents") + (F.dayofmonth("purchase_day") == 13).cast("bigint")
+    return checks.components_add_up(gold.mart_daily(sales(v)).withColumn("gross_cents", planted)).select("purchase_day", "gross_cents")
 
 
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
@@ -152,9 +159,10 @@ def duplicate_keys(v: Views) -> DataFrame:
     return checks.duplicate_keys(v.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("select order_id, item_no, count(*) as n from v_items group by 1, 2 having count(*) > 1")
+@query("select order_id, item_no, count(*) as n from (select order_id, item_no from v_items union all select order_id, item_no from v_items where order_id % 50 = 0) group by 1, 2 having count(*) > 1")
 def unique_combination(v: Views) -> DataFrame:
-    return checks.duplicate_keys(v.items, ["order_id", "item_no"])
+    rows = v.items.select("order_id", "item_no")
+    return checks.duplicate_keys(rows.unionByName(rows.where("order_id % 50 = 0")), ["order_id", "item_no"])
 
 
 @query("select o_orderkey, o_custkey from (select o_orderkey, case when o_orderkey % 500 = 3 then -o_custkey else o_custkey end as o_custkey from orders) where o_custkey not in (select c_custkey from customer)")
