@@ -84,12 +84,12 @@ def test_capture_is_idempotent_over_restarts_and_replays(spark, tmp_path):
 
 def test_fan_out_and_listener(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    spark.createDataFrame([("a:0:1", "a", 0, 1, AT, "x"), ("b:0:1", "b", 0, 1, AT, "y"), ("c:0:1", "c", 0, 1, AT, "z")], EVENTS).write.parquet(source)
+    spark.createDataFrame([("a:0:1", "a", 0, 1, AT, "x"), ("b:0:1", "b", 0, 1, AT, "y"), ("b:0:2", "b", 0, 2, AT, "z")], EVENTS).write.parquet(source)
     listener = capture.ProgressListener()
     spark.streams.addListener(listener)
     mark = lambda name: lambda d: d.withColumn("entity", F.lit(name))
     capture.start(_stream(spark, source), "fan", str(tmp_path / "c"), capture.fan_out(target, {"a": mark("ea"), "b": mark("eb")})).awaitTermination()
-    assert sorted(r.entity for r in spark.read.parquet(target).collect()) == ["ea", "eb"]
+    assert sorted(r.entity for r in spark.read.parquet(target).collect()) == ["ea", "eb", "eb"]
     spark.streams.removeListener(listener)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from tidemark.operators.ledger import new_rows
 
 #: The columns of a log record.
 LOG = T.StructType(
-    [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()), T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType())]
+    [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()), T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType()), T.StructField("timestampType", T.IntegerType()),
+     T.StructField("headers", T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())])))]
 )
 _local: dict[str, str] = {}
 
@@ -45,6 +46,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_saved(df: DataFrame) -> None:
+    """Delete the files behind a table that ``save`` made and that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -72,12 +81,19 @@ def replay(raw: DataFrame, topic: str, start=None, end=None) -> DataFrame:
     return rows if end is None else rows.where(F.col("timestamp") < end)
 
 
+def run_replay(rows: DataFrame, write: Callable[[DataFrame, int], None], execute: bool = False, batch_id: int = -1) -> DataFrame:
+    """What a replay would hand over (topic, partition, rows and offsets); with ``execute`` it goes to the batch writer."""
+    if execute:
+        write(rows, batch_id)
+    return rows.groupBy("topic", "partition").agg(F.count("*").alias("n_rows"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
 def read_reference_jdbc(spark: SparkSession, url: str, table: str, casts: Mapping[str, str], split: tuple[str, int, int, int] | None = None, **options: str) -> DataFrame:
     """A table over JDBC with explicit casts; ``split`` is (column, low, high, partitions) for parallel reads."""
     if split:
         options |= {"partitionColumn": split[0], "lowerBound": str(split[1]), "upperBound": str(split[2]), "numPartitions": str(split[3])}
     rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return rows.select(*(F.col(c).cast(t).alias(c) for c, t in casts.items()))
+    return rows.select(*(F.col(c).cast(t).alias(c) for c, t in casts.items()), F.lit(table).alias("source_table"), F.current_timestamp().alias("loaded_at"))
 
 
 def read_source_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -106,10 +122,11 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     rows = df.dropDuplicates(list(keys))
     if exists(spark, path):
         rows = new_rows(rows, spark.read.schema(df.schema).parquet(path), keys).select(*df.columns)
-        staged = f"{path}-staged"
-        rows.write.mode("overwrite").parquet(staged)
-        rows = spark.read.schema(df.schema).parquet(staged)
-    rows.write.mode("append").parquet(path)
+        rows = save(rows, "staged")
+        rows.write.mode("append").parquet(path)
+        drop_saved(rows)
+    else:
+        rows.write.mode("append").parquet(path)
 
 
 def status_rows(documents: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.operators.ledger import progress_rows
+from tidemark.operators.ledger import dedupe_exact, progress_rows
 from tidemark.sources.storage import append_new, parse_offsets
 
 #: Error classes of a batch.
@@ -28,14 +28,32 @@ def start(stream: DataFrame, name: str, checkpoint: str, write: Callable[[DataFr
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
+def claim_checkpoint(spark: SparkSession, path: str, contract: str) -> None:
+    """Mark a checkpoint with its contract's fingerprint, or refuse one that another contract has marked."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.contract")
+    store = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(file):
+        found = spark.read.text(str(file)).first()
+        if not found or found[0] != contract:
+            raise ValueError(f"{path} belongs to contract {found[0] if found else None}, not {contract}")
+        return
+    out = store.create(file, False)
+    out.writeBytes(contract)
+    out.close()
+
+
 def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ("event_id",)) -> Callable[[DataFrame, int], None]:
     """Appends a batch's new events to the ledger, and its progress with the batch's number.
 
-    A batch that is tried again finds its events in place and appends nothing.
+    A batch that is tried again finds its events in place and appends nothing. One whose copies of an
+    event differ fails, and nothing of it is written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = project(batch)
+        _, conflicts = dedupe_exact(rows, keys[0], [c for c in rows.columns if c not in keys])
+        if conflicts.limit(1).count():
+            raise ValueError(f"copies of one {keys[0]} differ in batch {batch_id}")
         append_new(rows, target, keys)
         append_new(progress_rows(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")), progress, ("topic", "partition", "batch_id"))
 
@@ -43,9 +61,16 @@ def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], Dat
 
 
 def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
-    """One scan of a batch for all entities: each topic's rows go through its normalizer to one ledger."""
+    """One scan of a batch for all topics: each topic's rows go through its normalizer to one ledger.
+
+    Schema capture and transaction states are normalizers of their topics like entities. A topic that
+    nobody handles fails the batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        lost = batch.where(~F.coalesce(F.col("topic").isin(*normalizers), F.lit(False))).groupBy("topic").count().orderBy("topic").limit(5).collect()
+        if lost:
+            raise ValueError(f"nothing handles the records of {[(r['topic'], r['count']) for r in lost]}")
         whole = None
         for topic, normalize in normalizers.items():
             rows = normalize(batch.where(F.col("topic") == topic))
@@ -63,21 +88,35 @@ def classify_error(code: str) -> str:
 
 
 class ProgressListener(StreamingQueryListener):
-    """Collects one small row per finished batch: name, batch, rows and end offsets JSON."""
+    """Collects one small row per batch or end: name, id, state, batch, rows, end offsets JSON and error.
+
+    ``take`` hands the rows over and forgets them, so a caller that appends them to a table now and then
+    keeps the driver's list short.
+    """
+
+    SCHEMA = "name string, query_id string, state string, batch_id bigint, n_rows bigint, end_offsets string, error string"
 
     def __init__(self):
-        self.rows: list[tuple[str, int, int, str]] = []
+        self.rows: list[tuple] = []
+        self.names: dict[str, str] = {}
 
     def onQueryStarted(self, event) -> None: ...
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.rows.append((p.name or "", p.batchId, p.numInputRows, p.sources[0].endOffset if p.sources else "{}"))
+        self.names[str(p.id)] = p.name or ""
+        self.rows.append((p.name or "", str(p.id), "RUNNING", p.batchId, p.numInputRows, p.sources[0].endOffset if p.sources else "{}", None))
+
+    def onQueryTerminated(self, event) -> None:
+        name = self.names.pop(str(event.id), "")
+        self.rows.append((name, str(event.id), "FAILED" if event.exception else "TERMINATED", None, None, "{}", event.exception))
 
-    def onQueryTerminated(self, event) -> None: ...
+    def take(self, spark) -> DataFrame:
+        rows, self.rows = self.rows, []
+        return spark.createDataFrame(rows, self.SCHEMA)
 
     def offsets(self, spark) -> DataFrame:
-        rows = spark.createDataFrame(self.rows, "name string, batch_id bigint, n_rows bigint, end_offsets string")
+        rows = spark.createDataFrame(self.rows, self.SCHEMA).where("state = 'RUNNING'").select("name", "batch_id", "n_rows", "end_offsets")
         return parse_offsets(rows, "end_offsets")
 
 
@@ -89,8 +128,12 @@ def stream_health(status: DataFrame, lag: DataFrame, now, stale_seconds: int = 1
     return a.crossJoin(b).withColumn("ready", (F.col("not_running") == 0) & (F.col("stale") == 0) & (F.col("failed") == 0))
 
 
-def caught_up(lag: DataFrame, gap: DataFrame) -> DataFrame:
-    """One boolean row: nothing is behind and no transaction is missing."""
+def caught_up(lag: DataFrame, gap: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """One boolean row: nothing is behind and no transaction is missing.
+
+    ``before`` is the row of an earlier look; with it, ``confirmed`` tells whether both were caught up.
+    """
     a = lag.agg(F.coalesce(F.sum("lag"), F.lit(0)).alias("total_lag"))
     b = gap.agg(F.count("*").alias("missing_transactions"))
-    return a.crossJoin(b).withColumn("caught_up", (F.col("total_lag") == 0) & (F.col("missing_transactions") == 0))
+    out = a.crossJoin(b).withColumn("caught_up", (F.col("total_lag") == 0) & (F.col("missing_transactions") == 0))
+    return out if before is None else out.crossJoin(before.select(F.col("caught_up").alias("_before"))).withColumn("confirmed", F.col("caught_up") & F.col("_before")).drop("_before")
