@@ -110,7 +110,7 @@ def test_health_and_barrier(spark):
 
 def test_log_reading_and_replay(spark, tmp_path):
     path = str(tmp_path / "log")
-    rows = [(b"k", b"v", t, 0, i, AT + dt.timedelta(hours=i)) for i, t in enumerate(["a", "b", "a"])]
+    rows = [(b"k", b"v", t, 0, i, AT + dt.timedelta(hours=i), 0, [("h", b"x")]) for i, t in enumerate(["a", "b", "a"])]
     spark.createDataFrame(rows, storage.LOG).write.parquet(path)
     raw = storage.read_log(spark, ["a"], path=path, streaming=False)
     assert raw.count() == 2
