@@ -36,13 +36,13 @@ from tidemark.llm.arrow_text import CODES, U, buffers, mix, powers, slices
 from tidemark.llm.shared import documents, drop_saved, save, spread
 
 #: Bytes of a repeat, and of an anchor string; distinct runs of an anchor that one task compares
-#: (about 4 MB of run bytes, as much as one suffix sort takes).
+#: (about 4 MB of run bytes).
 LENGTH, GRAM, CROWD = 200, 48, 12_000
 SLICE_BYTES = 1 << 20
 #: Bytes of a block of a long text whose windows are looked at together; blocks overlap by a window.
 BLOCK = 2 << 20
 #: Bytes of runs that one suffix sort takes.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
 
 
 def window_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
