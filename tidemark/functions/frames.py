@@ -38,6 +38,28 @@ def unscaled_decimal(raw: Column, size: int, scale: int) -> Column:
     return (signed.cast("decimal(20,0)") * F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(18,{scale})")
 
 
+def coerce(raw: Column, wire: str, want: str) -> Column:
+    """A field of a wire type as its contract's type; both are type names in lower case.
+
+    Binary becomes a decimal by its unscaled bytes (8 at most, else null), whole numbers become times as
+    microseconds, and int out of a wider whole number keeps the low 32 bits, as the wire's readers do.
+    """
+    if want.startswith("decimal") and wire == "binary":
+        scale = int(want.rstrip(")").split(",")[1]) if "," in want else 0
+        sign = F.when(F.hex(F.substring(raw, 1, 1)) >= "80", "F").otherwise("0")
+        whole = F.conv(F.lpad(F.hex(raw), 16, sign), 16, -10).cast("decimal(20,0)")
+        unit = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
+        return F.when(F.length(raw).between(1, 8), (whole * unit).cast(want))
+    if want == "timestamp" and wire in ("bigint", "int"):
+        return F.timestamp_micros(raw)
+    if want == "timestamp_ntz" and wire in ("bigint", "int"):
+        seconds = (raw.cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(18,6)")
+        return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    if want == "int" and wire == "bigint":
+        return (F.pmod(raw + F.lit(2**31), F.lit(2**32)) - F.lit(2**31)).cast("int")
+    return raw if wire == want else raw.cast(want)
+
+
 def record_kind(topic: Column, key: Column, value: Column, transactions: str, heartbeats: str, schema_changes: str) -> Column:
     """transaction, heartbeat, schema_change, tombstone or data."""
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 NULL_TOKEN = "<NULL>"
 
@@ -53,6 +54,28 @@ def canonical_time(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def decimal_text(amount: Column | str) -> Column:
+    """A decimal as plain text with all digits of its scale; null stays null."""
+    return (F.col(amount) if isinstance(amount, str) else amount).cast("string")
+
+
+def canonical_json(value: Column, data_type: DataType) -> Column:
+    """JSON of a struct with the keys of all levels sorted, nulls kept and no white space."""
+    return F.to_json(_sorted_keys(value, data_type), {"ignoreNullFields": "false"})
+
+
+def _sorted_keys(value: Column, data_type: DataType) -> Column:
+    if isinstance(data_type, StructType):
+        fields = sorted(data_type.fields, key=lambda f: f.name)
+        return F.when(value.isNotNull(), F.struct(*(_sorted_keys(value[f.name], f.dataType).alias(f.name) for f in fields)))
+    if isinstance(data_type, ArrayType):
+        return F.transform(value, lambda x: _sorted_keys(x, data_type.elementType))
+    if isinstance(data_type, MapType):
+        inner = F.transform_values(value, lambda k, x: _sorted_keys(x, data_type.valueType))
+        return F.map_from_entries(F.array_sort(F.map_entries(inner), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)))
+    return value
+
+
 def valid_identifier(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).rlike("^[A-Za-z0-9_]+$")
 
@@ -69,9 +92,10 @@ def file_index(name: Column | str) -> Column:
     return F.try_to_number(F.regexp_extract(name, r"(\d+)$", 1), F.lit("999999999999")).cast("bigint")
 
 
-def source_order(snapshot: Column, file: Column, pos: Column, row: Column, tx_order: Column, ts: Column, partition: Column, offset: Column) -> Column:
-    """The canonical order of source changes: snapshots first, then by place in the source's log."""
+def source_order(snapshot: Column, file: Column, pos: Column, row: Column, tx_order: Column, ts: Column, partition: Column, offset: Column, event_id: Column | None = None) -> Column:
+    """The canonical order of source changes: snapshots first, then by place in the source's log; the event id is the last tie-break."""
     return F.struct(
         F.when(snapshot, 0).otherwise(1).alias("stream"), F.coalesce(file_index(file), F.lit(-1)).alias("file"), F.coalesce(pos, F.lit(-1)).alias("pos"),
         F.coalesce(row, F.lit(-1)).alias("row"), F.coalesce(tx_order, F.lit(-1)).alias("tx_order"), ts.alias("ts"), partition.alias("part"), offset.alias("off"),
+        (F.lit("") if event_id is None else event_id).alias("event_id"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from tidemark.functions.frames import inspect_frame, is_tombstone, record_kind
+from tidemark.functions.frames import coerce, inspect_frame, is_tombstone, record_kind
 from tidemark.functions.values import redact, row_digest
 from tidemark.operators.versions import current_state, latest_by
 
@@ -92,17 +93,24 @@ def split_valid(raw: DataFrame, allowed_ids: Sequence[int]) -> tuple[DataFrame,
     return rows.where("reason is null").drop("reason"), rows.where("reason is not null")
 
 
-def normalize(envelopes: DataFrame, image: str, keys: str | None = None) -> DataFrame:
+def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: str | None = None) -> DataFrame:
     """Ledger rows out of envelope JSON: op, flags, source and transaction fields, and the chosen image.
 
     The image is ``before`` for deletes and ``after`` otherwise; a missing one is corrupt. With ``keys``
     (their DDL), key columns come from the key record in ``key_json``, so a corrupt image has them too.
     before_row_hash, after_row_hash and row_hash (of the chosen image) are SHA-256 of the business
-    columns, null where there is no image.
+    columns, null where there is no image. ``wire`` is the DDL of the columns as they are sent, where it
+    differs from the contract's (unscaled bytes, microseconds, wider numbers); values are then coerced.
     """
-    schema = f"op string, before struct<{image}>, after struct<{image}>, source struct<ts_ms bigint, snapshot string, file string, pos bigint, `row` int>, transaction struct<id string, total_order bigint>"
+    schema = f"op string, before struct<{wire or image}>, after struct<{wire or image}>, source struct<ts_ms bigint, snapshot string, file string, pos bigint, `row` int>, transaction struct<id string, total_order bigint>"
     e = F.from_json("envelope", schema)
     rows = envelopes.withColumn("_e", e)
+    if wire:
+        sent = {f.name: f.dataType.simpleString() for f in rows.select("_e.after").schema["after"].dataType}
+        want = {f.name: f.dataType.simpleString() for f in rows.select(F.from_json(F.lit("{}"), image).alias("i")).schema["i"].dataType}
+        for side in ("before", "after"):
+            x = F.col(f"_e.{side}")
+            rows = rows.withColumn("_e", F.col("_e").withField(side, F.when(x.isNotNull(), F.struct(*(coerce(x[c], sent[c], t).alias(c) for c, t in want.items())))))
     deleted = F.col("_e.op") == "d"
     payload = F.when(deleted, F.col("_e.before")).otherwise(F.col("_e.after"))
     status = F.when(F.col("_e").isNull() | ~F.coalesce(F.col("_e.op").isin(*OPERATIONS), F.lit(False)), "REJECTED").when(payload.isNull(), "REJECTED").otherwise("APPLIED")
@@ -182,6 +190,15 @@ def backfill_parent(child: DataFrame, parent: DataFrame, key: str, **identity: C
     return parent.unionByName(missing.select(key, *(c.alias(n) for n, c in identity.items())), allowMissingColumns=True)
 
 
+def extra_columns(incoming: DataFrame, known: Sequence[str]) -> list[str]:
+    """Columns beyond a contract's, in order of their names; one that is no plain identifier is an error."""
+    extra = sorted(set(incoming.columns) - set(known))
+    bad = [c for c in extra if not re.fullmatch("[A-Za-z0-9_]+", c)]
+    if bad:
+        raise ValueError(f"not identifiers: {bad}")
+    return extra
+
+
 def align_schema(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Both tables with the columns of either; what a row never had is null."""
     return existing.unionByName(incoming, allowMissingColumns=True)
@@ -229,6 +246,28 @@ def event_checksum(df: DataFrame, group: Sequence[str], line: Column, buckets: i
     return per.groupBy(*group).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bucket", "_d"))), lambda x: x["_d"]), "\n"), 256).alias("checksum"), F.sum("_n").alias("lines"))
 
 
+def entity_results(expected: DataFrame, rows: DataFrame, keys: Sequence[str], line: Column, order: Column, span: int = 10_000) -> DataFrame:
+    """Per entity of a run: events expected and materialized, affected keys, visible keys, checksum and status.
+
+    ``expected`` is (entity, expected_events); ``rows`` are the materialized changes with entity,
+    partition, offset and is_deleted. Lines are digested in spans of offsets, in sorted order, and the
+    entity's checksum is of those digests by partition and span, so no task holds an entity's lines.
+    Counts that differ, and entities that only one side has, are FAILED.
+    """
+    per = rows.groupBy("entity", *keys).agg(F.count("*").alias("_n"), F.max_by("is_deleted", order).alias("_gone"))
+    have = per.groupBy("entity").agg(F.sum("_n").alias("materialized_events"), F.count("*").alias("affected_keys"), F.count_if(~F.col("_gone")).alias("current_rows"))
+    parts = event_checksum(rows.withColumn("_span", F.floor(F.col("offset") / span)), ["entity", "partition", "_span"], line)
+    sums = parts.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("partition", "_span", "checksum"))).alias("_s"))
+    sums = sums.select("entity", F.sha2(F.array_join(F.transform("_s", lambda x: x["checksum"]), "\n"), 256).alias("checksum"))
+    both = expected.select("entity", F.col("expected_events").alias("_e")).join(have, "entity", "full_outer").join(sums, "entity", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    same = count("_e") == count("materialized_events")
+    return both.select(
+        "entity", F.when(same, "VALIDATED").otherwise("FAILED").alias("status"), count("_e").alias("expected_events"), count("materialized_events").alias("materialized_events"), count("affected_keys").alias("affected_keys"),
+        count("current_rows").alias("current_rows"), "checksum", F.when(~same, "count_mismatch").alias("error_code"),
+    )
+
+
 def _streamed_digests(rows: DataFrame, group: list[str]) -> DataFrame:
     """The group, the digest of its sorted lines and their number; null lines count but are not digested."""
     schema = StructType([rows.schema[c] for c in group]).add("checksum", StringType()).add("lines", LongType())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
 def field_table(df: DataFrame, subject: str, version: int) -> DataFrame:
@@ -14,34 +15,99 @@ def field_table(df: DataFrame, subject: str, version: int) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "subject string, version int, position int, path string, type string, nullable boolean")
 
 
+def nested_fields(schema: StructType, subject: str, version: int, record: str) -> list[tuple]:
+    """Rows (subject, version, record, path, parent, type, nullable) of a schema's fields at all levels.
+
+    Elements of arrays and values of maps are the paths ``[]`` and ``{}`` below theirs.
+    """
+    out: list[tuple] = []
+
+    def add(path: str, parent: str, kind: DataType, nullable: bool) -> None:
+        name = {StructType: "record", ArrayType: "array", MapType: "map"}.get(type(kind)) or kind.simpleString()
+        out.append((subject, version, record, path, parent, name, nullable))
+        if isinstance(kind, StructType):
+            for f in kind:
+                add(f"{path}.{f.name}", path, f.dataType, f.nullable)
+        elif isinstance(kind, ArrayType):
+            add(f"{path}[]", path, kind.elementType, kind.containsNull)
+        elif isinstance(kind, MapType):
+            add(f"{path}{{}}", path, kind.valueType, kind.valueContainsNull)
+
+    for f in schema:
+        add(f.name, "", f.dataType, f.nullable)
+    return out
+
+
+#: The columns of nested_fields.
+NESTED = "subject string, version int, record string, path string, parent string, type string, nullable boolean"
+
+
 def schema_issues(fields: DataFrame) -> DataFrame:
-    """Every earlier version against every later one: removals, type changes, required additions."""
+    """Every earlier version against every later one: fields removed or renamed, changed, or added as required.
+
+    ``fields`` has subject, version, path, type and nullable. A field that becomes or stops being nullable
+    has changed its type. Optional columns: ``null_default`` (an added field needs it as well),
+    ``record`` (the record's identity; another one is a record_rename, with the path ``$``), and
+    ``parent`` (a field's parent path; below a field that is removed, added or of another type nothing
+    more is reported).
+    """
     versions = fields.select("subject", "version").distinct()
     pairs = versions.select("subject", F.col("version").alias("old")).join(versions.select("subject", F.col("version").alias("new")), "subject").where("old < new")
-    a = pairs.join(fields.select("subject", F.col("version").alias("old"), "path", F.col("type").alias("old_type")), ["subject", "old"])
-    b = pairs.join(fields.select("subject", F.col("version").alias("new"), "path", F.col("type").alias("new_type"), F.col("nullable").alias("new_nullable")), ["subject", "new"])
-    both = a.join(b.select("subject", "old", "new", "path", "new_type", "new_nullable"), ["subject", "old", "new", "path"], "full_outer")
-    issue = F.when(F.col("new_type").isNull(), "removed").when(F.col("old_type").isNull() & ~F.col("new_nullable"), "required_addition").when(F.col("old_type") != F.col("new_type"), "type_change")
-    return both.withColumn("issue", issue).where("issue is not null").select("subject", "old", "new", "path", "issue")
+    optional = F.col("nullable") & F.col("null_default") if "null_default" in fields.columns else F.col("nullable")
+    above = F.col("parent") if "parent" in fields.columns else F.lit("")
+    kind = F.struct("type", "nullable", optional.alias("optional"), above.alias("parent"))
+    a = pairs.join(fields.select("subject", F.col("version").alias("old"), "path", kind.alias("a")), ["subject", "old"])
+    b = pairs.join(fields.select("subject", F.col("version").alias("new"), "path", kind.alias("b")), ["subject", "new"])
+    both = a.join(b, ["subject", "old", "new", "path"], "full_outer")
+    other = (F.col("a.type") != F.col("b.type")) | (F.col("a.nullable") != F.col("b.nullable"))
+    issue = F.when(F.col("b").isNull(), "removed").when(F.col("a").isNull() & ~F.col("b.optional"), "required_addition").when(other, "type_change")
+    place = ["subject", "old", "new"]
+    found = both.withColumn("issue", issue).where("issue is not null").select(*place, "path", F.coalesce("a.parent", "b.parent").alias("parent"), "issue")
+    if "parent" in fields.columns:
+        broken = both.where(F.col("a").isNull() | F.col("b").isNull() | (F.col("a.type") != F.col("b.type"))).select(*place, F.col("path").alias("parent"))
+        found = found.join(broken, [*place, "parent"], "left_anti")
+    found = found.select(*place, "path", "issue")
+    if "record" not in fields.columns:
+        return found
+    names = fields.groupBy("subject", "version").agg(F.min("record").alias("record"))
+    named = pairs.join(names.select("subject", F.col("version").alias("old"), F.col("record").alias("_a")), ["subject", "old"]).join(names.select("subject", F.col("version").alias("new"), F.col("record").alias("_b")), ["subject", "new"])
+    renamed = named.where(~F.col("_a").eqNullSafe(F.col("_b"))).select(*place, F.lit("$").alias("path"), F.lit("record_rename").alias("issue"))
+    return found.unionByName(renamed)
 
 
 def contract_issues(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Key columns that changed, and fingerprints that a later contract dropped.
+    """What a later contract may not change: (entity, kind, value, issue).
 
-    Rows are (entity, kind, value) with kind key, topic or fingerprint.
+    Rows are (entity, kind, value) with kind key, topic, key_schema, partitions, column, fingerprint or
+    reset, and for columns ``detail`` (their types) and ``nullable``. Fingerprints may be added, and
+    columns if they are nullable; a column's detail and nullability stay. Partitions may change where
+    the new contract has the reset ``full_reset``.
     """
-    gone = old.join(new, ["entity", "kind", "value"], "left_anti").withColumn("issue", F.concat(F.col("kind"), F.lit("_removed")))
-    added = new.where("kind <> 'fingerprint'").join(old, ["entity", "kind", "value"], "left_anti").join(old.select("entity").distinct(), "entity", "left_semi").withColumn("issue", F.concat(F.col("kind"), F.lit("_added")))
-    return gone.unionByName(added).select("entity", "kind", "value", "issue")
+    row = ["entity", "kind", "value"]
+    of = lambda df: df.select(*row, *(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (("detail", "string"), ("nullable", "boolean"))))
+    was, now = of(old).where("kind <> 'reset'"), of(new).where("kind <> 'reset'")
+    gone = was.join(now, row, "left_anti").withColumn("issue", F.concat(F.col("kind"), F.lit("_removed")))
+    fresh = now.where("kind <> 'fingerprint' and not (kind = 'column' and coalesce(nullable, false))")
+    added = fresh.join(was, row, "left_anti").join(was.select("entity").distinct(), "entity", "left_semi").withColumn("issue", F.concat(F.col("kind"), F.lit("_added")))
+    kept = was.where("kind = 'column'").join(now.select(*row, F.col("detail").alias("_d"), F.col("nullable").alias("_n")), row)
+    changed = kept.where(~(F.col("detail").eqNullSafe(F.col("_d")) & F.col("nullable").eqNullSafe(F.col("_n")))).withColumn("issue", F.lit("column_changed"))
+    out = gone.select(*row, "issue").unionByName(added.select(*row, "issue")).unionByName(changed.select(*row, "issue"))
+    reset = new.where("kind = 'reset' and value = 'full_reset'").select("entity").distinct().withColumn("_reset", F.lit(True))
+    return out.join(reset, "entity", "left").where("kind <> 'partitions' or _reset is null").select(*row, "issue")
 
 
 def writer_acceptable(writers: DataFrame, reader: DataFrame) -> DataFrame:
-    """Per writer schema whether one reader can take it: all required reader fields with equal types."""
+    """Per writer schema whether one reader can take it: all required reader fields, and equal types.
+
+    Paths are unique within a schema. Required fields that a writer lacks are counted as the reader's
+    number of them less those that it has, so no writer is multiplied by the reader's fields.
+    """
     need = reader.select("path", F.col("type").alias("want"), F.col("nullable").alias("optional"))
-    ids = writers.select("schema_id").distinct().crossJoin(F.broadcast(need))
-    both = ids.join(writers.select("schema_id", "path", "type"), ["schema_id", "path"], "left")
-    bad = F.when(F.col("type").isNull() & ~F.col("optional"), 1).when(F.col("type") != F.col("want"), 1).otherwise(0)
-    return both.groupBy("schema_id").agg((F.max(bad) == 0).alias("acceptable"), F.sum(bad).alias("problems"))
+    required = reader.agg(F.count_if(~F.col("nullable")).alias("_required"))
+    held, wrong = F.count_if(~F.col("optional")), F.count_if(F.col("type") != F.col("want"))
+    per = writers.join(need, "path", "left").groupBy("schema_id").agg(held.alias("_held"), wrong.alias("_wrong"))
+    problems = F.col("_required") - F.col("_held") + F.col("_wrong")
+    return per.crossJoin(required).select("schema_id", (problems == 0).alias("acceptable"), problems.alias("problems"))
 
 
 def schema_id_conflicts(archive: DataFrame) -> DataFrame:
@@ -70,6 +136,20 @@ def table_drift(actual: DataFrame, declared: DataFrame) -> DataFrame:
     return a.join(b, "path", "full_outer").withColumn("drift", kind).where("drift is not null").select("path", "drift")
 
 
+def layout_rows(spark: SparkSession, table: str) -> DataFrame:
+    """(kind, name, value) of a catalog table's partition columns, with their order, and its properties."""
+    rows = [("partition", c.name, str(i)) for i, c in enumerate(c for c in spark.catalog.listColumns(table) if c.isPartition)]
+    rows += [("property", r["key"], r["value"]) for r in spark.sql(f"show tblproperties {table}").collect()]
+    return spark.createDataFrame(rows, "kind string, name string, value string")
+
+
+def layout_drift(actual: DataFrame, declared: DataFrame) -> DataFrame:
+    """Partition columns and declared properties that differ; properties nobody declared are no drift."""
+    both = actual.withColumnRenamed("value", "a").join(declared.withColumnRenamed("value", "b"), ["kind", "name"], "full_outer")
+    kind = F.when(F.col("a").isNull(), "missing").when(F.col("b").isNull() & (F.col("kind") == "partition"), "extra").when(F.col("a") != F.col("b"), "value")
+    return both.withColumn("drift", kind).where("drift is not null").select("kind", "name", "drift")
+
+
 def profile(df: DataFrame, columns: Sequence[str], samples: int = 3) -> DataFrame:
     """Per column: nulls, values, least and greatest text, the type that fits all values, and its least distinct values.
 

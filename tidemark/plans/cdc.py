@@ -34,10 +34,10 @@ def order_changes(v: Views) -> DataFrame:
     both = F.explode(F.when(F.col("status") == "shipped", F.array(F.lit("r"))).otherwise(F.array(F.lit("r"), F.lit("u")))).alias("op")
     rows = v.orders.select("order_id", "customer_id", "status", "purchase", both)
     status = F.when(F.col("op") == "r", "created").otherwise(F.col("status"))
-    return rows.select("order_id", "customer_id", status.alias("status"), "op", (F.col("order_id") * 2 + (F.col("op") == "u").cast("int")).alias("offset"), F.lit("cdc.orders").alias("topic"), F.lit(0).cast("bigint").alias("partition"), F.col("purchase").alias("source_ts"), F.lit(False).alias("is_deleted"))
+    return rows.select("order_id", "customer_id", status.alias("status"), "op", (F.col("order_id") * 2 + (F.col("op") == "u").cast("int")).alias("offset"), F.lit("cdc.orders").alias("topic"), F.lit(0).cast("bigint").alias("partition"), F.col("purchase").alias("source_ts"), F.lit(False).alias("is_deleted")).withColumn("transaction_id", F.expr("concat('tx-', cast(`offset` div 5 as string))"))
 
 
-_ORDER_CHANGES = """(select order_id, customer_id, case op when 'r' then 'created' else status end as status, op, order_id * 2 + cast(op = 'u' as int) as "offset" from (select *, unnest(case when status = 'shipped' then ['r'] else ['r', 'u'] end) as op from v_orders))"""
+_ORDER_CHANGES = """(select order_id, customer_id, case op when 'r' then 'created' else status end as status, op, order_id * 2 + cast(op = 'u' as int) as "offset", 'tx-' || ((order_id * 2 + cast(op = 'u' as int)) // 5) as transaction_id from (select *, unnest(case when status = 'shipped' then ['r'] else ['r', 'u'] end) as op from v_orders))"""
 
 
 @query(f"select 'users' as entity, op, count(*) as n from v_changes group by 2 union all select 'orders', op, count(*) from {_ORDER_CHANGES} group by 2")
@@ -144,7 +144,7 @@ def envelopes(v: Views) -> DataFrame:
     op = F.when(n % 89 == 0, "x").otherwise(F.col("op"))
     body = F.struct(
         op.alias("op"), F.when(F.col("is_deleted") & (n % 53 != 0), image).otherwise(none).alias("before"), F.when(~F.col("is_deleted") & (n % 53 != 0), image).otherwise(none).alias("after"),
-        F.struct((n * 1000).alias("ts_ms"), F.when(F.col("is_snapshot"), "true").otherwise("false").alias("snapshot")).alias("source"), F.struct(F.col("transaction_id").alias("id")).alias("transaction"),
+        F.struct(F.when(n % 71 != 0, n * 1000).alias("ts_ms"), F.when(F.col("is_snapshot"), "true").otherwise("false").alias("snapshot")).alias("source"), F.struct(F.col("transaction_id").alias("id")).alias("transaction"),
     )
     return c.select("event_id", n, F.col("source_ts").alias("log_time"), F.to_json(body).alias("envelope"), F.to_json(F.struct("user_id")).alias("key_json"))
 
@@ -160,7 +160,7 @@ USERS = ledger.EntitySpec("users", "cdc.users", ("user_id",), "user_id bigint, v
 ORDERS = ledger.EntitySpec("orders", "cdc.orders", ("order_id",), "order_id bigint, customer_id bigint, status string", (ledger.Rule("rule_not_canceled", "status <> 'canceled'"),))
 
 
-_NORMAL = """(select event_id, "offset", case when "offset" % 89 = 0 then 'x' else op end as op, case when "offset" % 89 = 0 then false else is_deleted end as is_deleted, is_snapshot, timestamp '1970-01-01' + to_seconds("offset") as source_ts, transaction_id,
+_NORMAL = """(select event_id, "offset", case when "offset" % 89 = 0 then 'x' else op end as op, case when "offset" % 89 = 0 then false else is_deleted end as is_deleted, is_snapshot, case when "offset" % 71 = 0 then source_ts else timestamp '1970-01-01' + to_seconds("offset") end as source_ts, transaction_id,
     case when "offset" % 89 = 0 or "offset" % 53 = 0 then 'REJECTED' when is_deleted and "offset" % 89 = 0 then 'REJECTED' else 'APPLIED' end as apply_status, case when "offset" % 89 = 0 then 'invalid_op' when "offset" % 53 = 0 then 'missing_image' end as error_code,
     user_id, case when is_deleted and "offset" % 53 <> 0 then h end as before_row_hash, case when not is_deleted and "offset" % 53 <> 0 then h end as after_row_hash, case when "offset" % 53 = 0 or (op = 'd' and "offset" % 89 = 0) then null else h end as row_hash, case when "offset" % 53 = 0 or (op = 'd' and "offset" % 89 = 0) then null else value_cents end as value_cents from (select *, sha256(user_id || '|' || value_cents || '|' || event_type) as h from v_changes))"""
 
@@ -170,6 +170,24 @@ def normalize_envelope(v: Views) -> DataFrame:
     return normalized(v).select("event_id", "offset", "op", "is_deleted", "is_snapshot", "source_ts", "transaction_id", "apply_status", "error_code", "user_id", "before_row_hash", "after_row_hash", "row_hash", "value_cents")
 
 
+@query("""select order_id, purchased, amount_text, to_json({'amount': amount_text, 'lines': [status], 'order_id': order_id, 'status': nullif(status, 'P')})::varchar as canonical from (select cast(o_orderkey as int) as order_id, o_orderstatus as status, timestamp '1970-01-01' + to_microseconds(datediff('day', date '1970-01-01', cast(o_orderdate as date)) * 86400000000 + o_orderkey % 1000) as purchased,
+    cast(cast(cast(floor(o_totalprice * 100 + 0.5) as bigint) * case when o_orderkey % 5 = 0 then -1 else 1 end as decimal(18,0)) * 0.01::decimal(3,2) as decimal(18,2))::varchar as amount_text from orders)""")
+def normalize_wire(v: Views) -> DataFrame:
+    """Orders as they are sent: unscaled bytes of 4 or 8, microseconds, numbers wider than the contract's."""
+    o = v.table("orders")
+    n, cents = F.col("o_orderkey"), values.cents("o_totalprice") * F.when(F.col("o_orderkey") % 5 == 0, -1).otherwise(1)
+    digits = F.lpad(F.hex(cents), 16, "0")
+    raw = F.unhex(F.when((n % 2 == 0) & (F.abs(cents) < 2**31), F.substring(digits, 9, 8)).otherwise(digits))
+    micros = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * 86_400_000_000 + n % 1000
+    image = F.struct((n + 2**33).alias("order_id"), raw.alias("amount"), micros.alias("purchased"), F.col("o_orderstatus").alias("status"))
+    body = F.struct(F.lit("c").alias("op"), F.lit(None).alias("before"), image.alias("after"))
+    sent = o.select(F.to_json(body).alias("envelope"), F.col("o_orderdate").cast("timestamp_ntz").alias("log_time"))
+    rows = ledger.normalize(sent, "order_id int, amount decimal(18,2), purchased timestamp_ntz, status string", wire="order_id bigint, amount binary, purchased bigint, status string")
+    rows = rows.select("order_id", "purchased", "status", values.decimal_text("amount").alias("amount_text"))
+    doc = rows.withColumn("doc", F.struct(F.when(F.col("status") != "P", F.col("status")).alias("status"), "order_id", F.array("status").alias("lines"), F.col("amount_text").alias("amount")))
+    return doc.select("order_id", "purchased", "amount_text", values.canonical_json(F.col("doc"), doc.schema["doc"].dataType).alias("canonical"))
+
+
 _RULED = """(select event_id, source_ts, case when value_cents >= 20000 then 'rule_value_range' when event_type not in ('signup', 'purchase', 'view', 'click') then 'rule_known_type' when user_id % 2 <> 0 and value_cents >= 10000 then 'rule_even_user' end as error_code,
     cast(value_cents >= 20000 as int) + cast(event_type not in ('signup', 'purchase', 'view', 'click') as int) + cast(user_id % 2 <> 0 and value_cents >= 10000 as int) as failed_rules from v_changes)"""
 
@@ -268,10 +286,10 @@ def effective(v: Views) -> DataFrame:
     return transactions.effective_transactions(v.observations)
 
 
-@query("""select transaction_id, case when max(case when status = 'COMPLETE' then 1 else 0 end) = 1 then 'COMPLETE' else 'OPEN' end as status, min(case when status = 'OPEN' then "offset" end) as begin_offset, max(end_offset) as end_offset, max(event_count) as event_count, count(*) as markers from v_observations where status <> 'REJECTED' group by 1""")
+@query("""select transaction_id, case when max(case when status = 'COMPLETE' then 1 else 0 end) = 1 then 'COMPLETE' else 'OPEN' end as status, min(case when status = 'OPEN' then "offset" end) as begin_offset, max(end_offset) as end_offset, max(event_count) as event_count, count(*) as markers, 'cdc.users:' || max(event_count) as collections from v_observations where status <> 'REJECTED' group by 1""")
 def assemble_transactions(v: Views) -> DataFrame:
     marks = v.observations.where("status <> 'REJECTED'").withColumn("status", F.when(F.col("status") == "OPEN", "BEGIN").otherwise("END"))
-    return transactions.assemble_transactions(marks)
+    return transactions.assemble_transactions(marks.withColumn("collections", F.when(F.col("status") == "END", F.concat(F.lit("cdc.users:"), F.col("event_count").cast("string")))))
 
 
 @query("""select transaction_id, status, "offset", event_count from v_effective""")
@@ -313,9 +331,11 @@ def candidate_current(v: Views) -> DataFrame:
     return versions.latest_by(bounded(v), ["user_id"], place()).select("user_id", "event_id", "is_deleted")
 
 
-@query("select transaction_id, count(*) as events, cast(count(*) as bigint) as users_events from v_changes group by 1")
+@query(f"""select transaction_id, count(*) as events, nullif(count(*) filter (where entity = 'users'), 0) as users_events, nullif(count(*) filter (where entity = 'orders'), 0) as orders_events from (select transaction_id, 'users' as entity from v_changes union all select transaction_id, 'orders' from {_ORDER_CHANGES}) group by 1""")
 def transaction_counts(v: Views) -> DataFrame:
-    return transactions.transaction_counts(v.changes).select("transaction_id", "events", F.col("counts")["users"].alias("users_events"))
+    both = ledger.union_ledgers(users=v.changes.select("transaction_id"), orders=order_changes(v).select("transaction_id"))
+    per = transactions.transaction_counts(both)
+    return per.select("transaction_id", "events", *(F.try_element_at("counts", F.lit(e)).alias(f"{e}_events") for e in ("users", "orders")))
 
 
 @query("select distinct transaction_id from v_changes where transaction_id not in (select transaction_id from v_effective where status = 'COMPLETE')")
@@ -330,10 +350,26 @@ def initial_snapshot_boundary(v: Views) -> DataFrame:
     return transactions.initial_boundary(c, c.select("entity").distinct())
 
 
-@query("""select entity, cast(count(*) as bigint) as events, cast(max(case when partition = 0 then "offset" end) as bigint) as last_0, cast(max(case when partition = 1 then "offset" end) as bigint) as last_1 from v_changes group by 1""")
+@query(f"""select entity, cast(count(*) as bigint) as events, cast(max(case when partition = 0 then "offset" end) as bigint) as last_0, cast(max(case when partition = 1 then "offset" end) as bigint) as last_1 from (select entity, partition, "offset" from v_changes union all select 'orders', 0, "offset" from {_ORDER_CHANGES}) group by 1""")
 def entity_metrics(v: Views) -> DataFrame:
-    m = ledger.entity_metrics(v.changes)
-    return m.select("entity", "events", F.col("offsets")["cdc.users:0"].alias("last_0"), F.col("offsets")["cdc.users:1"].alias("last_1"))
+    m = ledger.entity_metrics(ledger.union_ledgers(users=v.changes.drop("entity"), orders=order_changes(v)))
+    last = lambda p: F.try_element_at("offsets", F.concat(F.lit("cdc."), "entity", F.lit(f":{p}")))
+    return m.select("entity", "events", last(0).alias("last_0"), last(1).alias("last_1"))
+
+
+@query(f"""select * from (with m as (select 'users' as entity, user_id as k, partition, "offset", is_deleted, event_id from {{_BOUNDED}} union all select 'orders', order_id, 0, "offset", false, 'cdc.orders:0:' || "offset" from {_ORDER_CHANGES}),
+    e as (select 'users' as entity, count(*) as n from {{_BOUNDED}} union all select 'orders', count(*) from v_orders), k as (select entity, k, count(*) as n, arg_max(is_deleted, "offset") as gone from m group by 1, 2),
+    h as (select entity, cast(sum(n) as bigint) as n, count(*) as keys, count(*) filter (where not gone) as visible from k group by 1),
+    s as (select entity, sha256(string_agg(c, chr(10) order by partition, span)) as checksum from (select entity, partition, "offset" // 10000 as span, sha256(string_agg(event_id, chr(10) order by event_id)) as c from m group by 1, 2, 3) group by 1)
+    select entity, case when e.n = h.n then 'VALIDATED' else 'FAILED' end as status, e.n as expected_events, h.n as materialized_events, h.keys as affected_keys, h.visible as current_rows, s.checksum, case when e.n <> h.n then 'count_mismatch' end as error_code from e join h using (entity) join s using (entity))""".replace("{_BOUNDED}", _BOUNDED))
+def entity_results(v: Views) -> DataFrame:
+    """A run's result per entity; of the orders only the snapshot is expected, so they fail (planted)."""
+    inside = storage.save(bounded(v).select("user_id", "partition", "offset", "is_deleted", "event_id"), "inside")
+    orders = order_changes(v).select(F.col("order_id").alias("k"), "partition", "offset", "is_deleted", F.concat(F.lit("cdc.orders:0:"), F.col("offset").cast("string")).alias("event_id"))
+    rows = ledger.union_ledgers(users=inside.withColumnRenamed("user_id", "k"), orders=orders)
+    count = lambda df, e: df.agg(F.count("*").alias("expected_events")).withColumn("entity", F.lit(e))
+    expected = count(inside, "users").unionByName(count(v.orders, "orders"))
+    return ledger.entity_results(expected, rows, ["k"], F.col("event_id"), place())
 
 
 # --- progress and health --------------------------------------------------------------------------
@@ -549,40 +585,67 @@ def trace_column(v: Views) -> DataFrame:
 
 # --- schemas and contracts ------------------------------------------------------------------------
 def field_rows(v: Views) -> DataFrame:
-    """Fields observed in the changes: per user and version the paths, with a type that some change."""
+    """Fields observed in the changes: per user and stretch of the log up to five versions, whose paths have a type that some change."""
     c = v.changes
-    version = F.expr("cast(`offset` div 4000 as int)")
+    version = F.expr("cast(`offset` div 4000 % 5 as int)")
     path = F.concat(F.lit("f"), F.expr("cast(value_cents % 5 as string)"))
-    return c.groupBy(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("subject"), version.alias("version"), path.alias("path")).agg(F.when(F.max("value_cents") > 30000, "long").otherwise("int").alias("type"), (F.count("*") < 8).alias("nullable"))
+    return c.groupBy(F.expr("concat('user', cast(user_id as string), '-', cast(`offset` div 20000 as string))").alias("subject"), version.alias("version"), path.alias("path")).agg(F.when(F.max("value_cents") > 30000, "long").otherwise("int").alias("type"), (F.count("*") < 8).alias("nullable"))
 
 
-_FIELDS = """(select 'user' || user_id as subject, cast("offset" // 4000 as int) as version, 'f' || (value_cents % 5) as path, case when max(value_cents) > 30000 then 'long' else 'int' end as type, count(*) < 8 as nullable from v_changes group by 1, 2, 3)"""
+_FIELDS = """(select 'user' || user_id || '-' || ("offset" // 20000) as subject, cast("offset" // 4000 % 5 as int) as version, 'f' || (value_cents % 5) as path, case when max(value_cents) > 30000 then 'long' else 'int' end as type, count(*) < 8 as nullable from v_changes group by 1, 2, 3)"""
 
 
 @query(f"""with f as {_FIELDS}, vs as (select distinct subject, version from f), p as (select a.subject, a.version as o, b.version as n from vs a join vs b on a.subject = b.subject and a.version < b.version),
-    a as (select p.*, f.path, f.type as ot from p join f on f.subject = p.subject and f.version = p.o), b as (select p.*, f.path, f.type as nt, f.nullable as nn from p join f on f.subject = p.subject and f.version = p.n)
-    select * from (select subject, o as old, n as new, path, case when nt is null then 'removed' when ot is null and not nn then 'required_addition' when ot <> nt then 'type_change' end as issue from a full join b using (subject, o, n, path)) where issue is not null""".replace("with f as", "select * from (with f as", 1) + ")")
+    a as (select p.*, f.path, f.type as ot, f.nullable as om from p join f on f.subject = p.subject and f.version = p.o), b as (select p.*, f.path, f.type as nt, f.nullable as nn from p join f on f.subject = p.subject and f.version = p.n)
+    select * from (select subject, o as old, n as new, path, case when nt is null then 'removed' when ot is null and not nn then 'required_addition' when ot <> nt or om <> nn then 'type_change' end as issue from a full join b using (subject, o, n, path)) where issue is not null""".replace("with f as", "select * from (with f as", 1) + ")")
 def schema_issues(v: Views) -> DataFrame:
     return schemas.schema_issues(field_rows(v))
 
 
-_CONTRACT = """(select distinct 'user' || (user_id % 20) as entity, case "offset" % 3 when 0 then 'key' when 1 then 'topic' else 'fingerprint' end as kind, 'v' || (value_cents % 400) as value, "offset" // 5000 as era from v_changes)"""
+_NESTED = """(select subject, version, path, case path when 'a.x' then 'a' when 'a.y' then 'a' when 'b[]' then 'b' else '' end as parent, type, nullable, null_default, case when version = 2 then 'R2' else 'R' end as record from (
+    select 'user' || user_id || '-' || ("offset" // 5000) as subject, cast("offset" // 1000 % 5 as int) as version, case "offset" * 7 % 6 when 0 then 'a' when 1 then 'a.x' when 2 then 'a.y' when 3 then 'b' when 4 then 'b[]' else 'c' end as path, case when max(value_cents) > 40000 then 'long' else 'int' end as type, count(*) < 3 as nullable, count(*) % 2 = 1 as null_default from v_changes group by 1, 2, 3))"""
+
+
+@query(f"""select * from (with f as {_NESTED}, vs as (select distinct subject, version, record from f), p as (select a.subject, a.version as o, b.version as n, a.record <> b.record as renamed from vs a join vs b on a.subject = b.subject and a.version < b.version),
+    a as (select p.subject, p.o, p.n, f.path, f.parent as ap, f.type as ot, f.nullable as om from p join f on f.subject = p.subject and f.version = p.o), b as (select p.subject, p.o, p.n, f.path, f.parent as bp, f.type as nt, f.nullable as nn, f.null_default as nd from p join f on f.subject = p.subject and f.version = p.n),
+    x as (select *, coalesce(ap, bp) as parent from a full join b using (subject, o, n, path)), y as (select x.*, case when nt is null then 'removed' when ot is null and not (nn and nd) then 'required_addition' when ot <> nt or om <> nn then 'type_change' end as issue from x)
+    select subject, o as old, n as new, path, issue from y where issue is not null and not exists (select 1 from x z where z.subject = y.subject and z.o = y.o and z.n = y.n and z.path = y.parent and (z.ot is null or z.nt is null or z.ot <> z.nt))
+    union all select subject, o, n, '$', 'record_rename' from p where renamed)""")
+def nested_schema_issues(v: Views) -> DataFrame:
+    """Records with fields below fields: identities, defaults, and nothing reported below what is itself reported."""
+    path = F.expr("case `offset` * 7 % 6 when 0 then 'a' when 1 then 'a.x' when 2 then 'a.y' when 3 then 'b' when 4 then 'b[]' else 'c' end")
+    keys = (F.expr("concat('user', cast(user_id as string), '-', cast(`offset` div 5000 as string))").alias("subject"), F.expr("cast(`offset` div 1000 % 5 as int)").alias("version"), path.alias("path"))
+    rows = v.changes.groupBy(*keys).agg(F.when(F.max("value_cents") > 40000, "long").otherwise("int").alias("type"), (F.count("*") < 3).alias("nullable"), (F.count("*") % 2 == 1).alias("null_default"))
+    parent = F.when(F.col("path").startswith("a."), "a").when(F.col("path") == "b[]", "b").otherwise("")
+    return schemas.schema_issues(rows.withColumn("parent", parent).withColumn("record", F.when(F.col("version") == 2, "R2").otherwise("R")))
+
+
+_CONTRACT = """(select entity, kind, value, era, case when kind = 'column' then min(event_type) end as detail, case when kind = 'column' then bool_or("offset" % 3 = 0) end as nullable from (select *, case kind when 'reset' then case when user_id % 3 = 0 then 'full_reset' else 'none' end else 'v' || (value_cents % 40) end as value from (
+    select 'user' || (user_id % 20) || '-' || ("offset" // 1000) as entity, case "offset" % 5 when 0 then 'key' when 1 then 'topic' when 2 then 'fingerprint' when 3 then 'column' else case when value_cents % 4 = 0 then 'reset' else 'partitions' end end as kind, "offset" // 500 % 2 as era, * from v_changes)) group by 1, 2, 3, 4)"""
 
 
-@query(f"""select entity, kind, value, kind || '_removed' as issue from {_CONTRACT} o where era = 0 and not exists (select 1 from {_CONTRACT} n where n.era = 1 and n.entity = o.entity and n.kind = o.kind and n.value = o.value)
-    union all select entity, kind, value, kind || '_added' from {_CONTRACT} n where era = 1 and kind <> 'fingerprint' and entity in (select entity from {_CONTRACT} where era = 0) and not exists (select 1 from {_CONTRACT} o where o.era = 0 and n.entity = o.entity and n.kind = o.kind and n.value = o.value)""")
+@query(f"""select * from (with c as {_CONTRACT}, o as (select * from c where era = 0 and kind <> 'reset'), n as (select * from c where era = 1 and kind <> 'reset')
+    select entity, kind, value, issue from (select entity, kind, value, kind || '_removed' as issue from o where not exists (select 1 from n where n.entity = o.entity and n.kind = o.kind and n.value = o.value)
+    union all select entity, kind, value, kind || '_added' from n where kind <> 'fingerprint' and not (kind = 'column' and nullable) and entity in (select entity from o) and not exists (select 1 from o where n.entity = o.entity and n.kind = o.kind and n.value = o.value)
+    union all select o.entity, o.kind, o.value, 'column_changed' from o join n on n.entity = o.entity and n.kind = o.kind and n.value = o.value where o.kind = 'column' and (o.detail <> n.detail or o.nullable <> n.nullable))
+    where kind <> 'partitions' or entity not in (select entity from c where era = 1 and kind = 'reset' and value = 'full_reset'))""")
 def contract_issues(v: Views) -> DataFrame:
-    kind = F.when(F.col("offset") % 3 == 0, "key").when(F.col("offset") % 3 == 1, "topic").otherwise("fingerprint")
-    rows = v.changes.select(F.expr("concat('user', cast(user_id % 20 as string))").alias("entity"), kind.alias("kind"), F.expr("concat('v', cast(value_cents % 400 as string))").alias("value"), F.expr("`offset` div 5000").alias("era")).distinct()
+    """Contracts read off the changes, two eras of each entity: keys, topics, fingerprints, columns, partitions and resets."""
+    kind = F.expr("case `offset` % 5 when 0 then 'key' when 1 then 'topic' when 2 then 'fingerprint' when 3 then 'column' else case when value_cents % 4 = 0 then 'reset' else 'partitions' end end")
+    value = F.when(F.col("kind") != "reset", F.expr("concat('v', cast(value_cents % 40 as string))")).when(F.col("user_id") % 3 == 0, "full_reset").otherwise("none")
+    c = v.changes.withColumn("kind", kind).withColumn("value", value).withColumn("era", F.expr("`offset` div 500 % 2"))
+    column = lambda x: F.when(F.col("kind") == "column", x)
+    rows = c.groupBy(F.expr("concat('user', cast(user_id % 20 as string), '-', cast(`offset` div 1000 as string))").alias("entity"), "kind", "value", "era").agg(F.min("event_type").alias("detail"), F.bool_or(F.col("offset") % 3 == 0).alias("nullable"))
+    rows = rows.withColumn("detail", column(F.col("detail"))).withColumn("nullable", column(F.col("nullable")))
     return schemas.contract_issues(rows.where("era = 0").drop("era"), rows.where("era = 1").drop("era"))
 
 
-@query(f"""with r as (select path, max(type) as want, bool_or(nullable) as optional from {_FIELDS} where version = 0 group by 1), w as (select cast(substr(subject, 5) as bigint) as schema_id, path, type from {_FIELDS} where version = 1)
+@query(f"""with r as (select path, max(type) as want, bool_or(nullable) as optional from {_FIELDS} where version = 0 group by 1), w as (select subject || '/' || version as schema_id, path, type from {_FIELDS} where version <> 0)
     select schema_id, max(bad) = 0 as acceptable, cast(sum(bad) as bigint) as problems from (select i.schema_id, case when w.type is null and not optional then 1 when w.type <> want then 1 else 0 end as bad from (select distinct schema_id from w) i cross join r left join w on w.schema_id = i.schema_id and w.path = r.path) group by 1""".replace("with r as", "select * from (with r as", 1) + ")")
 def writer_acceptable(v: Views) -> DataFrame:
     f = field_rows(v)
     reader = f.where("version = 0").groupBy("path").agg(F.max("type").alias("type"), F.bool_or("nullable").alias("nullable"))
-    writers = f.where("version = 1").select(F.expr("cast(substr(subject, 5) as bigint)").alias("schema_id"), "path", "type")
+    writers = f.where("version <> 0").select(F.expr("concat(subject, '/', cast(version as string))").alias("schema_id"), "path", "type")
     return schemas.writer_acceptable(writers, reader)
 
 

@@ -146,5 +146,9 @@ def parse_offsets(df: DataFrame, column: str) -> DataFrame:
     return inner.select(*df.columns, "topic", F.explode("_p").alias("_k", "offset")).select(*df.columns, "topic", F.col("_k").cast("int").alias("partition"), "offset")
 
 
-def ensure_table(spark: SparkSession, name: str, ddl: str, partition_by: str | None = None) -> None:
-    spark.sql(f"create table if not exists {name} ({ddl}) using parquet" + (f" partitioned by ({partition_by})" if partition_by else ""))
+def ensure_table(spark: SparkSession, name: str, ddl: str, partition_by: str | None = None, properties: Mapping[str, str] | None = None) -> None:
+    """Create a declared table where there is none; schemas.table_drift and layout_drift tell how one that is there differs."""
+    more = f" partitioned by ({partition_by})" if partition_by else ""
+    if properties:
+        more += " tblproperties (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
+    spark.sql(f"create table if not exists {name} ({ddl}) using parquet{more}")

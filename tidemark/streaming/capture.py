@@ -42,6 +42,13 @@ def claim_checkpoint(spark: SparkSession, path: str, contract: str) -> None:
     out.close()
 
 
+def refuse_conflicts(rows: DataFrame, key: str, batch_id: int) -> None:
+    """Fail a batch that holds differing copies of one event."""
+    _, conflicts = dedupe_exact(rows, key, [c for c in rows.columns if c != key])
+    if conflicts.limit(1).count():
+        raise ValueError(f"copies of one {key} differ in batch {batch_id}")
+
+
 def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ("event_id",)) -> Callable[[DataFrame, int], None]:
     """Appends a batch's new events to the ledger, and its progress with the batch's number.
 
@@ -51,9 +58,7 @@ def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], Dat
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = project(batch)
-        _, conflicts = dedupe_exact(rows, keys[0], [c for c in rows.columns if c not in keys])
-        if conflicts.limit(1).count():
-            raise ValueError(f"copies of one {keys[0]} differ in batch {batch_id}")
+        refuse_conflicts(rows, keys[0], batch_id)
         append_new(rows, target, keys)
         append_new(progress_rows(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")), progress, ("topic", "partition", "batch_id"))
 
@@ -64,7 +69,7 @@ def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]
     """One scan of a batch for all topics: each topic's rows go through its normalizer to one ledger.
 
     Schema capture and transaction states are normalizers of their topics like entities. A topic that
-    nobody handles fails the batch.
+    nobody handles fails the batch, and so do differing copies of one event.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -75,6 +80,7 @@ def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]
         for topic, normalize in normalizers.items():
             rows = normalize(batch.where(F.col("topic") == topic))
             whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
+        refuse_conflicts(whole, "event_id", batch_id)
         append_new(whole, target, ("event_id",))
 
     return write
