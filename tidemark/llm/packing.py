@@ -9,8 +9,9 @@ windows rises by one and the block is dealt again. Blocks are formed inside a pa
 read, so packing needs no shuffle; what is wasted is less than about one window a block.
 
 Cases: a null or empty text is the end id alone; texts of any length are encoded whole; repeated rows
-are separate documents; an empty table gives no rows; extra columns are ignored. Numbers of sequences
-depend on how the table is split, their contents on nothing else.
+are separate documents; an empty table gives no rows; extra columns are ignored. How pieces are
+grouped into sequences depends on how the table is split and in which order it is read; the pieces of
+a document depend on its text alone.
 """
 
 from __future__ import annotations
