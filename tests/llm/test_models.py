@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 
 from tests.llm import fixtures
 from tidemark.llm import langid, lm
@@ -25,8 +26,14 @@ def test_base_scores_and_counts_are_those_of_plain_counting(spark):
         assert r.score < 0
 
 
-def test_scores_are_those_of_plain_interpolation(spark):
+@pytest.mark.parametrize("steps", [1, 3])
+def test_scores_are_those_of_plain_interpolation(spark, monkeypatch, steps):
     """Counts, context buckets, the mixture weights' rounds and the final sum, token by token."""
+    if steps > 1:  # many small packs and ranges, so that packs ask by way of units of units
+        for name, value in (("PACK_BYTES", 4000), ("RANGE_BYTES", 400), ("FAN_BITS", 2)):
+            monkeypatch.setattr(lm, name, value)
+    asked, once = [], lm.answers
+    monkeypatch.setattr(lm, "answers", lambda *args: asked.append(args[2]) or once(*args))
     rows = fixtures.rows(n=250)
     tokens = [(r[0], [*re.findall(r"[^\x20\x09-\x0D]+", (r[1] or "").translate(LOWER)), None]) for r in rows]
     rest = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in tokens}
@@ -62,6 +69,7 @@ def test_scores_are_those_of_plain_interpolation(spark):
     for i, t in tokens:
         want = sum(math.log10(weights[b] * high + (1 - weights[b]) * low) for b, high, low in estimates(whole, t))
         assert math.isclose(got[i], want, rel_tol=1e-6), i
+    assert len(asked) >= steps
 
 
 def test_rows_without_an_id_keep_none(spark):

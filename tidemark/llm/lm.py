@@ -10,8 +10,11 @@ use all training documents.
 How it runs: documents are packed, a few MB of text to a row, and written once. Each pack sends its
 distinct unigrams and bigrams (64-bit hashes, sorted and squeezed) with their counts to the tasks that
 own their hash ranges; these sum over all packs and send the totals back in the order they came, so
-totals meet the text without the model ever being in one place. A context counts as often as it
-occurs as a token: the end token stands before a text's first word.
+totals meet the text without the model ever being in one place. Ranges follow the text's size. Where
+there are more than a pack is split into at once, packs ask in steps: FAN of them are combined into one
+unit for each wide range, units ask for the narrower ranges inside it, and answers come back the same
+way. So the rows of an exchange grow with the text, not with packs times ranges. A context counts as
+often as it occurs as a token: the end token stands before a text's first word.
 
 Cases: a null or empty text is one end token; texts of any length are scored whole; repeated rows are
 documents of their own; a null id comes back as null; without training documents all counts are 0; an empty table gives no rows;
@@ -31,12 +34,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import STEP, U, Words, buffers, mix, slices
-from tidemark.llm.shared import documents, save, sorted_groups, spread
+from tidemark.llm.shared import documents, drop_saved, save, sorted_groups, spread
 
 #: Text of a pack in bytes; compressed text whose distinct keys one hash range takes; context buckets; bins of an octave of the ratio; EM rounds.
 PACK_BYTES, RANGE_BYTES, BUCKETS, BINS, ROUNDS = 3 << 20, 4 << 20, 48, 16, 60
 #: Octaves that the binned ratio covers on either side of 1.
 OCTAVES = 64
+#: Bits of the hash by which one step splits a unit's keys; 2 ** FAN_BITS units are combined for the next step.
+FAN_BITS = 9
 KEPT, DELETED, HELD_OUT = 0, 1, 2
 END = mix(np.array([0xE0F], np.uint64))[0]
 
@@ -125,9 +130,23 @@ def _open(a, b) -> Tokens:
     return Tokens(text, np.append(0, np.cumsum(expand(b.as_py(), np.int64))))
 
 
-def requests(packed: DataFrame, ranges: int) -> DataFrame:
-    """Each pack's distinct unigrams (kind 1) and bigrams (kind 2) by hash range, with counts by role."""
-    shift = U(64 - (ranges.bit_length() - 1))
+def _counts(raw: bytes, n: int) -> np.ndarray:
+    return expand(raw, np.int64) if raw else np.zeros(n, np.int64)
+
+
+def _split(unit: int, kind: int, keys: np.ndarray, counts: list[np.ndarray], bits: int) -> list[tuple]:
+    """A row for each range that a unit's sorted keys fall into: part = their first ``bits`` bits, a = keys, b and c = kept and deleted counts."""
+    owner = (keys >> U(64 - bits) if bits else keys * U(0)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    rows = []
+    for low, high in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
+        some = (squeeze(x[low:high]) if x[low:high].any() else b"" for x in counts)
+        rows.append((unit, kind, int(owner[low]), squeeze(np.diff(keys[low:high], prepend=U(0))), *some))
+    return rows
+
+
+def requests(packed: DataFrame, bits: int) -> DataFrame:
+    """Each pack's distinct unigrams (kind 1) and bigrams (kind 2) by hash range, with their counts in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,46 +154,94 @@ def requests(packed: DataFrame, ranges: int) -> DataFrame:
                 tokens = _open(a, b)
                 for kind, values in ((1, tokens.token), (2, tokens.pair)):
                     keys, counts = np.unique(values, return_counts=True)
-                    counts = counts * (role.as_py() != HELD_OUT)
-                    owner = (keys >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(keys), np.int64)
-                    edges = np.searchsorted(owner, np.arange(ranges + 1))
-                    rows = []
-                    for part in range(ranges):
-                        x = slice(edges[part], edges[part + 1])
-                        if edges[part] < edges[part + 1]:
-                            rows.append((pack.as_py(), kind, part, squeeze(np.diff(keys[x], prepend=U(0))), squeeze(counts[x]), bytes([role.as_py()])))
-                    yield _rows(rows)
+                    yield _rows(_split(pack.as_py(), kind, keys, [counts * (role.as_py() == r) for r in (KEPT, DELETED)], bits))
 
     return packed.mapInArrow(run, ROW)
 
 
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[int], list[np.ndarray]]:
+    """Distinct keys of several units' rows, each row's keys among them, the rows' lengths, and the sums of both counts."""
+    keys = [np.cumsum(expand(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("a")]
+    sizes = [len(k) for k in keys]
+    whole, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = []
+    for column in ("b", "c"):
+        counts = np.concatenate([_counts(x.as_py(), n) for x, n in zip(table.column(column), sizes)]).astype(float)
+        sums.append(np.bincount(inverse, counts).astype(np.int64))  # exact up to 2**53
+    return whole, inverse, sizes, sums
+
+
+def _replies(table: pa.Table, inverse: np.ndarray, sizes: list[int], sums: list[np.ndarray]) -> list[tuple]:
+    """For each of the rows one with the totals of its keys: a = kept counts, b = deleted ones."""
+    edges = np.cumsum([0, *sizes]).tolist()
+    own = zip(*(table.column(c).to_pylist() for c in ("pack", "kind", "part")), edges, edges[1:])
+    return [(pack, kind, part, *(squeeze(x[inverse[low:high]]) for x in sums), None) for pack, kind, part, low, high in own]
+
+
+def _owned(rows: DataFrame, groups: int = 1) -> DataFrame:
+    """``rows`` with owner: their range and kind, and in it one of ``groups`` groups of units."""
+    group = F.pmod(F.xxhash64("pack"), F.lit(groups))
+    return rows.withColumn("owner", (F.col("part").cast("long") * 2 + F.col("kind") - 1) * groups + group)
+
+
 def totals(asked: DataFrame, parts: int) -> DataFrame:
-    """The same rows with sums over all packs: a = kept counts, b = deleted ones; and rows of pack -1.
+    """Replies to all rows, with sums over all units; and rows of pack -1.
 
     Those hold, per range of unigrams, the distinct and all tokens of kept and of all training texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, "owner"):
-            keys = [np.cumsum(expand(x.as_py(), np.uint64), dtype=np.uint64) for x in table.column("a")]
-            counts = [expand(x.as_py(), np.int64) for x in table.column("b")]
-            role = np.repeat([x.as_py()[0] for x in table.column("c")], [len(k) for k in keys])
-            _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            flat = np.concatenate(counts).astype(float)  # exact up to 2**53
-            sums = [np.bincount(inverse, flat * (role == r)).astype(np.int64) for r in (KEPT, DELETED)]
-            rows, at = [], 0
-            part, kind = table.column("part")[0].as_py(), table.column("kind")[0].as_py()
-            for pack, k in zip(table.column("pack").to_pylist(), keys):
-                here = inverse[at : at + len(k)]
-                at += len(k)
-                rows.append((pack, kind, part, squeeze(sums[0][here]), squeeze(sums[1][here]), None))
-            if kind == 1:
+            _, inverse, sizes, sums = _summed(table)
+            rows = _replies(table, inverse, sizes, sums)
+            if table.column("kind")[0].as_py() == 1:
                 both = sums[0] + sums[1]
-                rows.append((-1, kind, part, np.array([np.count_nonzero(sums[0]), sums[0].sum(), np.count_nonzero(both), both.sum()], "<i8").tobytes(), None, None))
+                rows.append((-1, 1, table.column("part")[0].as_py(), np.array([np.count_nonzero(sums[0]), sums[0].sum(), np.count_nonzero(both), both.sum()], "<i8").tobytes(), None, None))
             yield _rows(rows)
 
-    owner = (F.col("part") * 2 + F.col("kind") - 1).alias("owner")
-    return asked.select("*", owner).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+    return _owned(asked).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+
+
+def combined(asked: DataFrame, groups: int, bits: int, parts: int) -> DataFrame:
+    """Units of several units of one range, numbered by group, that ask for the ranges of ``bits`` bits inside it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, "owner"):
+            keys, _, _, sums = _summed(table)
+            yield _rows(_split(table.column("owner")[0].as_py() % groups, table.column("kind")[0].as_py(), keys, sums, bits))
+
+    return _owned(asked, groups).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+
+
+def handed_back(asked: DataFrame, found: DataFrame, groups: int, narrower: int, parts: int) -> DataFrame:
+    """Replies to the rows that were combined, out of those to their units, which split each range by ``narrower`` bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, "owner"):
+            reply = table.column("reply").to_numpy()
+            members, replies = table.filter(pa.array(~reply)), table.filter(pa.array(reply)).sort_by("part")
+            _, inverse, sizes, _ = _summed(members)
+            sums = [np.concatenate([expand(x.as_py(), np.int64) for x in replies.column(c)]) for c in ("a", "b")]
+            yield _rows(_replies(members, inverse, sizes, sums))
+
+    wide = F.shiftright("part", narrower).cast("long")
+    replies = found.withColumn("owner", (wide * 2 + F.col("kind") - 1) * groups + F.col("pack")).withColumn("reply", F.lit(True))
+    both = _owned(asked, groups).withColumn("reply", F.lit(False)).unionByName(replies)
+    return both.repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+
+
+def answers(asked: DataFrame, units: int, split: int, bits: int, parts: int) -> DataFrame:
+    """Replies to the rows of ``units`` units, asked by ranges of ``split`` bits where ``bits`` are needed, and the rows of pack -1."""
+    if split == bits:
+        return save(totals(asked, parts), "totals")
+    asked = save(asked, "asked")
+    groups, more = -(-units >> FAN_BITS) or 1, min(bits, split + FAN_BITS)
+    found = answers(combined(asked, groups, more, parts), groups, more, bits, parts)
+    back = handed_back(asked, found.where("pack >= 0"), groups, more - split, parts)
+    out = save(back.unionByName(found.where("pack = -1")), "totals")
+    drop_saved(asked)
+    drop_saved(found)
+    return out
 
 
 def _answered(table: pa.Table) -> tuple[int, pa.Array, Tokens, list[np.ndarray]]:
@@ -241,8 +308,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     parts = spread(docs.sparkSession)
     packed = save(packs(docs), "packs")
     size = packed.agg(F.sum(F.length("a"))).first()[0] or 0
-    ranges = 1 << max(0, int(size // RANGE_BYTES).bit_length())
-    found = save(totals(requests(packed, ranges), parts), "totals")
+    bits = int(size // RANGE_BYTES).bit_length()
+    split = min(bits, FAN_BITS)
+    found = answers(requests(packed, split), packed.count(), split, bits, parts)
     stats = found.where("pack = -1").select("a")  # one row of four numbers per hash range
     kept_v, kept_n, v, n = np.sum([np.frombuffer(r["a"], "<i8") for r in stats.toLocalIterator()] or [np.zeros(4, np.int64)], axis=0).tolist()
 
