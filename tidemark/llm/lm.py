@@ -184,6 +184,12 @@ def _owned(rows: DataFrame, groups: int = 1) -> DataFrame:
     return rows.withColumn("owner", (F.col("part").cast("long") * 2 + F.col("kind") - 1) * groups + group)
 
 
+def _dealt(rows: DataFrame, groups: int, parts: int) -> DataFrame:
+    """Each owner's rows together; owners of one kind are dealt in turn, so that tasks get equal numbers of them."""
+    kind, place = F.expr(f"owner div {groups} % 2"), F.expr(f"owner div {2 * groups} * {groups} + owner % {groups}")
+    return rows.repartitionById(parts, F.pmod(place + kind * (parts // 2), F.lit(parts)).cast("int")).sortWithinPartitions("owner")
+
+
 def totals(asked: DataFrame, parts: int) -> DataFrame:
     """Replies to all rows, with sums over all units; and rows of pack -1.
 
@@ -199,7 +205,7 @@ def totals(asked: DataFrame, parts: int) -> DataFrame:
                 rows.append((-1, 1, table.column("part")[0].as_py(), np.array([np.count_nonzero(sums[0]), sums[0].sum(), np.count_nonzero(both), both.sum()], "<i8").tobytes(), None, None))
             yield _rows(rows)
 
-    return _owned(asked).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+    return _dealt(_owned(asked), 1, parts).mapInArrow(run, ROW)
 
 
 def combined(asked: DataFrame, groups: int, bits: int, parts: int) -> DataFrame:
@@ -210,7 +216,7 @@ def combined(asked: DataFrame, groups: int, bits: int, parts: int) -> DataFrame:
             keys, _, _, sums = _summed(table)
             yield _rows(_split(table.column("owner")[0].as_py() % groups, table.column("kind")[0].as_py(), keys, sums, bits))
 
-    return _owned(asked, groups).repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+    return _dealt(_owned(asked, groups), groups, parts).mapInArrow(run, ROW)
 
 
 def handed_back(asked: DataFrame, found: DataFrame, groups: int, narrower: int, parts: int) -> DataFrame:
@@ -227,7 +233,7 @@ def handed_back(asked: DataFrame, found: DataFrame, groups: int, narrower: int,
     wide = F.shiftright("part", narrower).cast("long")
     replies = found.withColumn("owner", (wide * 2 + F.col("kind") - 1) * groups + F.col("pack")).withColumn("reply", F.lit(True))
     both = _owned(asked, groups).withColumn("reply", F.lit(False)).unionByName(replies)
-    return both.repartition(parts, "owner").sortWithinPartitions("owner").mapInArrow(run, ROW)
+    return _dealt(both, groups, parts).mapInArrow(run, ROW)
 
 
 def answers(asked: DataFrame, units: int, split: int, bits: int, parts: int) -> DataFrame:
