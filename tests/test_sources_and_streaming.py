@@ -82,6 +82,26 @@ def test_capture_is_idempotent_over_restarts_and_replays(spark, tmp_path):
     assert progress_rows(got).first().last_offset == 19
 
 
+def test_appends_look_at_their_own_range(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, at long"
+    storage.append_new(spark.createDataFrame([("a", 1), ("b", 2), ("n", None)], schema), path, ["k"], within="at")
+    storage.append_new(spark.createDataFrame([("b", 2), ("c", 3), ("c", 3), ("n", None)], schema), path, ["k"], within="at")
+    storage.append_new(spark.createDataFrame([("n", None)], schema), path, ["k"], within="at")
+    storage.append_new(spark.createDataFrame([], schema), path, ["k"], within="at")
+    assert sorted((r.k, r.at) for r in spark.read.parquet(path).collect() if r.k != "n") == [("a", 1), ("b", 2), ("c", 3)]
+    assert spark.read.parquet(path).where("k = 'n'").count() == 1
+
+
+def test_serving_gauges(spark):
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    markers = spark.createDataFrame([(1, "PUBLISHED", at(1), None), (2, "BLOCKED", at(2), "rejected_transaction")], "seq long, status string, recorded_at timestamp, reason string")
+    leases = spark.createDataFrame([("a", at(3)), (None, at(9))], "owner string, expires_at timestamp")
+    now = F.lit("2024-01-01 04:00:00").cast("timestamp")
+    assert tuple(publication.serving_gauges(markers, now, leases=leases).first()) == (1, 10_800, "BLOCKED", False, True, False)
+    assert publication.serving_gauges(markers.drop("reason"), F.lit("2024-01-01 02:30:00").cast("timestamp"), leases=leases).first()[4:] == (False, True)
+    assert tuple(publication.serving_gauges(markers.limit(0), now).first()) == (None, None, None, True, False, False)
+
+
 def test_fan_out_and_listener(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([("a:0:1", "a", 0, 1, AT, "x"), ("b:0:1", "b", 0, 1, AT, "y"), ("b:0:2", "b", 0, 2, AT, "z")], EVENTS).write.parquet(source)

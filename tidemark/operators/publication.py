@@ -12,6 +12,9 @@ from tidemark.operators.versions import latest_by
 #: Legal status transitions of a run.
 TRANSITIONS = (("", "STARTED"), ("STARTED", "MATERIALIZING"), ("STARTED", "NOOP"), ("STARTED", "WAITING"), ("STARTED", "BLOCKED"), ("MATERIALIZING", "PUBLISHED"), ("MATERIALIZING", "FAILED"))
 
+#: The reasons of a run that mean a rejected boundary.
+REJECTIONS = ("rejected_transaction", "snapshot_rejected")
+
 
 def published_runs(markers: DataFrame) -> DataFrame:
     """Runs whose newest marker says they are published."""
@@ -66,12 +69,22 @@ def run_ledger(events: DataFrame) -> DataFrame:
     return marked.groupBy("run_id").agg(F.max_by("status", "recorded_at").alias("status"), F.count("*").alias("steps"), F.min(F.col("_legal").cast("int")).alias("legal"))
 
 
-def serving_gauges(markers: DataFrame, now: Column, limit_seconds: int = 86_400) -> DataFrame:
-    """Newest published run, its age and the newest status of any run, in one row."""
+def serving_gauges(markers: DataFrame, now: Column, limit_seconds: int = 86_400, leases: DataFrame | None = None) -> DataFrame:
+    """Newest published run and its age, the newest status of any run, whether that was rejected, and whether a lease is held, in one row.
+
+    ``markers`` may have a reason, which tells rejections; ``leases`` (owner, expires_at) holds those given out.
+    """
     done = F.when(F.col("status") == "PUBLISHED", F.col("recorded_at"))
-    out = markers.agg(F.max(F.when(F.col("status") == "PUBLISHED", F.col("seq"))).alias("last_published"), F.max(done).alias("_at"), F.max_by("status", F.struct("recorded_at", "seq")).alias("latest_status"))
+    newest = F.struct("recorded_at", "seq")
+    reason = F.max_by("reason", newest) if "reason" in markers.columns else F.lit(None).cast("string")
+    out = markers.agg(F.max(F.when(F.col("status") == "PUBLISHED", F.col("seq"))).alias("last_published"), F.max(done).alias("_at"), F.max_by("status", newest).alias("latest_status"), reason.alias("_reason"))
+    held = F.lit(False)
+    if leases is not None:
+        out = out.crossJoin(leases.agg(F.count_if(F.col("owner").isNotNull() & (F.col("expires_at") > now)).alias("_held")))
+        held = F.col("_held") > 0
     age = F.unix_timestamp(now) - F.unix_timestamp("_at")
-    return out.select("last_published", age.alias("publication_age"), "latest_status", F.coalesce(age > limit_seconds, F.lit(True)).alias("age_alert"))
+    rejected = F.coalesce(F.col("_reason").isin(*REJECTIONS), F.lit(False))
+    return out.select("last_published", age.alias("publication_age"), "latest_status", F.coalesce(age > limit_seconds, F.lit(True)).alias("age_alert"), rejected.alias("rejected"), held.alias("active_lease"))
 
 
 def overwrite_run(df: DataFrame, path: str, *sort: str) -> None:

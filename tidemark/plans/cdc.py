@@ -418,9 +418,14 @@ def slo_rollup(v: Views) -> DataFrame:
     return ledger.slo_rollup(lag(v), moved, F.timestamp_seconds(F.lit(0)))
 
 
-@query("""select max(case when status = 'PUBLISHED' then seq end) as last_published, cast(epoch(timestamp '2021-01-01') - epoch(max(case when status = 'PUBLISHED' then recorded_at end)) as bigint) as publication_age, arg_max(status, recorded_at) as latest_status, true as age_alert from v_markers""")
+@query("""select max(case when status = 'PUBLISHED' then seq end) as last_published, cast(epoch(timestamp '2021-01-01') - epoch(max(case when status = 'PUBLISHED' then recorded_at end)) as bigint) as publication_age, arg_max(status, recorded_at) as latest_status, true as age_alert,
+    arg_max(status, recorded_at) = 'FAILED' as rejected, (select count(*) from v_runs where seq = 3) > 0 as active_lease from v_markers""")
 def serving_gauges(v: Views) -> DataFrame:
-    return publication.serving_gauges(v.markers, F.lit("2021-01-01 00:00:00").cast("timestamp_ntz"))
+    """Failed runs count as rejected, and each order of one run holds a lease."""
+    at = F.lit("2021-01-01 00:00:00").cast("timestamp_ntz")
+    markers = v.markers.withColumn("reason", F.when(F.col("status") == "FAILED", "rejected_transaction"))
+    leases = v.runs.select(F.col("order_id").cast("string").alias("owner"), F.when(F.col("seq") == 3, at + F.expr("interval 1 hour")).otherwise(at).alias("expires_at"))
+    return publication.serving_gauges(markers, at, leases=leases)
 
 
 @query("""select entity, topic, cast(partition as int) as partition, max("offset") as "offset" from v_changes group by 1, 2, 3""")

@@ -113,16 +113,22 @@ def load_reference_once(df: DataFrame, path: str) -> str:
     return "loaded"
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def append_new(df: DataFrame, path: str, keys: Sequence[str], within: str | None = None) -> None:
     """Append the rows whose keys the target lacks.
 
-    They are written beside the target first, because the target is read to find them.
+    They are written beside the target first, because the target is read to find them. ``within`` is a
+    column that rows of equal keys have in common, such as an offset: only the part of the target in the
+    new rows' range of it, or without it, is read.
     """
     spark = df.sparkSession
     rows = df.dropDuplicates(list(keys))
     if exists(spark, path):
-        rows = new_rows(rows, spark.read.schema(df.schema).parquet(path), keys).select(*df.columns)
-        rows = save(rows, "staged")
+        held = spark.read.schema(df.schema).parquet(path)
+        if within:
+            low, high = df.agg(F.min(within), F.max(within)).first()
+            inside = F.lit(False) if low is None else F.col(within).between(low, high)
+            held = held.where(inside | F.col(within).isNull())
+        rows = save(new_rows(rows, held, keys).select(*df.columns), "staged")
         rows.write.mode("append").parquet(path)
         drop_saved(rows)
     else:

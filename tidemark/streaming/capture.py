@@ -49,27 +49,29 @@ def refuse_conflicts(rows: DataFrame, key: str, batch_id: int) -> None:
         raise ValueError(f"copies of one {key} differ in batch {batch_id}")
 
 
-def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ("event_id",)) -> Callable[[DataFrame, int], None]:
+def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ("event_id",), within: str | None = "offset") -> Callable[[DataFrame, int], None]:
     """Appends a batch's new events to the ledger, and its progress with the batch's number.
 
     A batch that is tried again finds its events in place and appends nothing. One whose copies of an
-    event differ fails, and nothing of it is written.
+    event differ fails, and nothing of it is written. Copies of an event have one offset, so only the
+    batch's range of offsets is read of the ledger; for keys of which that is not so, ``within`` is None.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = project(batch)
         refuse_conflicts(rows, keys[0], batch_id)
-        append_new(rows, target, keys)
-        append_new(progress_rows(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")), progress, ("topic", "partition", "batch_id"))
+        append_new(rows, target, keys, within)
+        append_new(progress_rows(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")), progress, ("topic", "partition", "batch_id"), within="batch_id")
 
     return write
 
 
-def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
+def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]], within: str | None = None) -> Callable[[DataFrame, int], None]:
     """One scan of a batch for all topics: each topic's rows go through its normalizer to one ledger.
 
     Schema capture and transaction states are normalizers of their topics like entities. A topic that
-    nobody handles fails the batch, and so do differing copies of one event.
+    nobody handles fails the batch, and so do differing copies of one event. ``within`` is a column that
+    copies of an event have in common in all topics, if there is one: less of the ledger is read then.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -81,7 +83,7 @@ def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]
             rows = normalize(batch.where(F.col("topic") == topic))
             whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
         refuse_conflicts(whole, "event_id", batch_id)
-        append_new(whole, target, ("event_id",))
+        append_new(whole, target, ("event_id",), within)
 
     return write
 
