@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, langid, lm, media, near_dedup, oracles, packing, repeats, secrets, urls, vectors
+from tidemark.llm import bpe, langid, lm, media, near_dedup, oracles, packing, repeats, secrets, urls, vector_codes, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (near_dedup.op1_minhash_near_dedup, repeats.op2_suffix_array_dedup, lm.op3_lm_scoring, media.op4_media, packing.op5_packing, bpe.op6_bpe, langid.op7_language_id, secrets.op8_secret_scans, vectors.op9_embedding_near_dedup, urls.op10_url_filters)
+    found = (near_dedup.op1_minhash_near_dedup, repeats.op2_suffix_array_dedup, lm.op3_lm_scoring, media.op4_media, packing.op5_packing, bpe.op6_bpe, langid.op7_language_id, secrets.op8_secret_scans, vectors.op9_embedding_near_dedup, urls.op10_url_filters, vector_codes.op13_vector_codes)
     return {f.__name__: f for f in found}
 
 
@@ -22,4 +22,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_suffix_array_dedup": oracles.REPEATS,
         "op9_embedding_near_dedup": oracles.VECTORS,
         "op10_url_filters": urls.ORACLE,
+        "op13_vector_codes": vector_codes.ORACLE,
     }
