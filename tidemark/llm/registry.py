@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, langid, lm, media, near_dedup, oracles, packing, repeats, runs, secrets, urls, vector_codes, vectors
+from tidemark.llm import bpe, langid, lm, media, near_dedup, oracles, packing, repeats, runs, secrets, toxicity, urls, vector_codes, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (near_dedup.op1_minhash_near_dedup, repeats.op2_suffix_array_dedup, lm.op3_lm_scoring, media.op4_media, packing.op5_packing, bpe.op6_bpe, langid.op7_language_id, secrets.op8_secret_scans, vectors.op9_embedding_near_dedup, urls.op10_url_filters, runs.op11_periodic_runs, vector_codes.op13_vector_codes)
+    found = (near_dedup.op1_minhash_near_dedup, repeats.op2_suffix_array_dedup, lm.op3_lm_scoring, media.op4_media, packing.op5_packing, bpe.op6_bpe, langid.op7_language_id, secrets.op8_secret_scans, vectors.op9_embedding_near_dedup, urls.op10_url_filters, runs.op11_periodic_runs, toxicity.op12_toxicity, vector_codes.op13_vector_codes)
     return {f.__name__: f for f in found}
 
 
