@@ -129,6 +129,37 @@ def test_repeats_are_those_of_brute_force(spark, monkeypatch, crowd, keep):
     assert sorted(r for r in got if r[0] == last[0]) == sorted(r for r in want if r[0] == last[0]) or keep == "first"
 
 
+def _shared(rnd, n):
+    """Texts that have passages of 150 to 700 bytes in common, at any place and with other bytes around, some within one text twice."""
+    word = lambda k: "".join(rnd.choice("abcdé ") for _ in range(k))
+    passages = [word(rnd.randint(150, 700)) for _ in range(6)]
+    out = []
+    for _ in range(n):
+        parts = [word(rnd.randint(0, 120))]
+        for _ in range(rnd.randint(0, 3)):
+            p = rnd.choice(passages[:2] if rnd.random() < 0.5 else passages)
+            a = rnd.choice([0, 0, rnd.randint(0, len(p) // 3)])
+            parts += [p[a : len(p) - rnd.choice([0, 0, rnd.randint(0, len(p) // 3)])], word(rnd.randint(0, 120))]
+        out.append("".join(parts))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [12_000, 3])
+def test_different_texts_under_one_id_and_under_none_lose_nothing(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    rnd = random.Random(crowd)
+    rows = list(dict.fromkeys(zip([rnd.choice([None, 5, 5, 6, i]) for i in range(90)], _shared(rnd, 90))))
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5(f"{'' if r[0] is None else r[0]}:{r[1]}".encode()).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    key = lambda r: tuple(map(str, r))
+    for keep in ("first", "none"):
+        want = sorted(((r[0], *x) for r, x in zip(order, brute_repeats([t for _, t in order], keep == "first"))), key=key)
+        assert sorted((tuple(r)[:5] for r in repeats.measure_repeats(docs, keep=keep).collect()), key=key) == want
+    kept = sum(len(r.text.encode()) for r in repeats.remove_later_copies(docs).collect())
+    least = sum(n - removed for n, removed, _, _ in brute_repeats([t for _, t in order], True))
+    assert least <= kept <= least + 4 * 200  # whole characters at the ends of cuts
+
+
 def test_of_identical_rows_the_first_stays(spark):
     rnd = random.Random(3)
     text = "".join(rnd.choice("abcdefghij") for _ in range(500))

@@ -11,10 +11,14 @@ at all. Every window of ``length`` bytes is assigned its anchor, the least-hashe
 it (equal windows have equal anchors); neighbouring windows with one anchor form a run, and only runs
 whose anchor occurs again go on. Equal runs are counted and kept once: all but the first have the
 first as their previous factor. Distinct runs of one anchor meet in one task, where suffix order by
-prefix doubling compares their bytes exactly. Anchors with more than CROWD distinct runs are not
-gathered: their windows are grouped by hash instead, so that no task holds them all.
+prefix doubling compares their bytes exactly. Where more than CROWD distinct runs have one anchor, they
+are cut by where in the window the anchor stands, into halves, and meet by the bytes that all windows of
+a half have in common, which grow with every cut; so groups get smaller until they fit. After at most
+eight cuts a group's windows are common bytes from end to end, and Spark groups them by those.
 
-Positions are ordered by doc_id, place and text; rows without an id come last.
+Positions are ordered by doc_id, text and place, everywhere; rows without an id come last. A removed
+byte thus always has a copy at a smaller position, and the smallest stays. Identical rows have one
+position; of them the row that is read first keeps its text.
 
 Cases: a null or empty text has no bytes and loses none; texts shorter than ``length`` lose nothing;
 repeated rows are copies of each other like any other texts; windows never cross documents; an empty
@@ -29,15 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import CODES, U, buffers, mix, powers, slices
 from tidemark.llm.shared import documents, drop_saved, save, spread
 
-#: Bytes of a repeat, and of an anchor string; distinct runs of an anchor that one task compares
-#: (about 4 MB of run bytes).
-LENGTH, GRAM, CROWD = 200, 48, 12_000
+#: Bytes of a repeat, and of an anchor string; distinct runs of an anchor that are compared together
+#: (about 1 MB of run bytes).
+LENGTH, GRAM, CROWD = 200, 48, 4_000
 SLICE_BYTES = 1 << 20
 #: Bytes of a block of a long text whose windows are looked at together; blocks overlap by a window.
 BLOCK = 2 << 20
@@ -167,7 +171,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     """(key, repeated, later): per text with repeats, its byte spans as flat start, end lists.
 
     ``docs`` has key, doc_id and text. ``repeated`` holds spans covered by strings that start anywhere
-    else, ``later`` those covered by strings that start earlier (by doc_id, then place).
+    else, ``later`` those covered by strings that start earlier (by doc_id, key and place).
     """
     parts = spread(docs.sparkSession)
 
@@ -186,7 +190,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     again = save(runs.join(anchors, "h").select(*runs.columns), "runs-again")
     drop_saved(runs)
     drop_saved(anchors)
-    kinds = again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "p", "key")).alias("first"), F.first("m").alias("m"))
+    kinds = again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "p")).alias("first"), F.first("m").alias("m"))
     kinds = save(kinds, "run-kinds")
     several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = kinds.join(several, "h").groupBy("first.key").agg(F.collect_list(F.struct("first.doc_id", "first.p", "m", "h", "g", "kinds")).alias("runs"))
@@ -204,32 +208,47 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
                 begin = offsets[row[part]] + p[part]
                 raw = [data[a:b].tobytes() for a, b in zip(begin.tolist(), (begin + m[part] + length - 1).tolist())]
                 names = ("doc_id", "p", "m", "h", "g", "kinds")
-                yield pa.RecordBatch.from_arrays([*(flat.field(c).slice(low, len(raw)) for c in names), pa.array(raw, pa.binary())], [*names, "raw"])
+                key = batch.column("key").take(pa.array(row[part]))
+                yield pa.RecordBatch.from_arrays([key, *(flat.field(c).slice(low, len(raw)) for c in names), pa.array(raw, pa.binary())], ["key", *names, "raw"])
 
-    context = docs.select("key", "text").join(wanted, "key").mapInArrow(read, "doc_id long, p int, m int, h long, g long, kinds long, raw binary")
+    context = docs.select("key", "text").join(wanted, "key").mapInArrow(read, "key string, doc_id long, p int, m int, h long, g long, kinds long, raw binary")
     context = save(context.dropDuplicates(["h", "g"]), "run-bytes")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, SORT_BYTES):
+        for table in _whole_groups(batches, SORT_BYTES, "met"):
             data, offsets = buffers(table.column("raw"))
             base = int(offsets[0])
             m = table.column("m").to_numpy().astype(np.int64)
             run = np.repeat(np.arange(len(m)), m)
             inner = np.arange(len(run)) - np.repeat(np.cumsum(m) - m, m)
             rank = suffix_ranks(data[base : int(offsets[-1])], offsets[run] - base + inner, length)
-            first = np.lexsort((table.column("p").to_numpy(), table.column("doc_id").to_numpy()))
+            p, skip = (table.column(c).to_numpy() for c in ("p", "skip"))
+            first = np.lexsort((p + skip, np.array(table.column("key").to_pylist(), str), table.column("doc_id").to_numpy()))
             order = np.empty(len(m), np.int64)
             order[first] = np.arange(len(m))
-            # runs do not overlap, so the order of runs, then of windows in them, is the order of places
+            # a text's runs do not overlap, so the order of runs, then of windows in them, is the order of places
             earlier, later = factors(rank, order[run] << 32 | inner)
             edges = np.append(0, np.cumsum(m))
-            spans = [(flat_intervals((earlier | later)[a:b]), flat_intervals(earlier[a:b])) for a, b in zip(edges, edges[1:])]
+            spans = [tuple([x + k for x in flat_intervals(flags[a:b])] for flags in (earlier | later, earlier)) for a, b, k in zip(edges, edges[1:], skip.tolist())]
             keep = [i for i, (x, _) in enumerate(spans) if x]
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([table.column("h").combine_chunks().take(at), table.column("g").combine_chunks().take(at), *(pa.array([spans[i][k] for i in keep], pa.list_(pa.int32())) for k in (0, 1))], ["h", "g", "repeated", "earlier"])
 
-    usual = context.where(F.col("kinds") <= CROWD).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(compare, INFO)
-    info = usual.unionByName(_crowded(context.where(F.col("kinds") > CROWD), length))
+    together = context.withColumns({"met": F.col("h"), "skip": F.lit(0), "low": F.lit(0), "high": F.lit(length - gram)})
+    fitting, crowded = [together.where(F.col("kinds") <= CROWD)], together.where(F.col("kinds") > CROWD).drop("kinds")
+    info = None
+    while crowded.limit(1).count():
+        halves = save(crowded.mapInArrow(_halver(length, gram), CUT), "run-halves")
+        size = halves.groupBy("met").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        halves = save(halves.hint("merge").join(size, "met"), "run-groups")
+        fitting.append(halves.where(F.col("kinds") <= CROWD))
+        whole = (F.col("kinds") > CROWD) & (F.col("low") == F.col("high"))
+        same = _equal_windows(halves.where(whole))
+        info = same if info is None else info.unionByName(same)
+        crowded = halves.where((F.col("kinds") > CROWD) & ~whole).drop("kinds")
+    for rows in fitting:
+        found = rows.drop("kinds").repartition(parts, "met").sortWithinPartitions("met").mapInArrow(compare, INFO)
+        info = found if info is None else info.unionByName(found)
     facts = kinds.select("h", "g", "n", F.col("first.doc_id").alias("doc"), F.col("first.p").alias("at"), F.col("first.key").alias("of")).join(info.hint("merge"), ["h", "g"], "left")
     # written, so that the runs meet it in a join of its own: a common passage's runs can then be split
     facts = save(facts.where("n > 1 or repeated is not null"), "run-facts")
@@ -244,15 +263,15 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     return spans.groupBy("key").agg(F.flatten(F.collect_list("repeated")).alias("repeated"), F.flatten(F.collect_list("later")).alias("later"))
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
-    """Tables of whole anchors, of about ``most`` bytes, out of a stream sorted by anchor."""
+def _whole_groups(batches: Iterator[pa.RecordBatch], most: int, by: str) -> Iterator[pa.Table]:
+    """Tables of whole groups, of about ``most`` bytes, out of a stream sorted by group."""
     kept: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         low = 0
         while low < batch.num_rows:
-            if kept and size >= most:  # what still belongs to the last anchor, then a table
-                other = batch.column("h").to_numpy()[low:] != kept[-1].column("h")[-1].as_py()
+            if kept and size >= most:  # what still belongs to the last group, then a table
+                other = batch.column(by).to_numpy()[low:] != kept[-1].column(by)[-1].as_py()
                 same = int(other.argmax()) if other.any() else len(other)
                 if same:
                     kept.append(batch.slice(low, same))
@@ -271,30 +290,49 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.T
         yield pa.Table.from_batches(kept)
 
 
-def _crowded(context: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many distinct runs: windows meet by their hash, one row each."""
+CUT = "key string, doc_id long, p int, m int, h long, g long, raw binary, met long, skip int, low int, high int"
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _halver(length: int, gram: int):
+    """Cuts runs by the place of their anchor in the window, ``low`` to ``high``, into two halves.
+
+    ``met`` becomes a hash of the bytes that all windows of the half have: those from the first byte of
+    the window in which the anchor stands foremost to the last byte of the one in which it stands last.
+    """
+
+    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 200):
-                part = batch.slice(low, 200)
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
                 data, offsets = buffers(part.column("raw"))
                 base, n = int(offsets[0]), int(offsets[-1] - offsets[0])
                 up, down = powers(n + 1)
                 total = np.concatenate([[U(0)], np.cumsum(CODES[data[base : base + n]] * up[:n], dtype=np.uint64)])
-                m = part.column("m").to_numpy().astype(np.int64)
-                run = np.repeat(np.arange(len(m)), m)
-                inner = np.arange(len(run)) - np.repeat(np.cumsum(m) - m, m)
-                at = offsets[run] - base + inner
-                w = mix((total[at + length] - total[at]) * down[at]).view(np.int64)
-                take = pa.array(run)
-                yield pa.RecordBatch.from_arrays([pa.array(w), *(part.column(c).take(take) for c in ("h", "g", "doc_id")), pa.array(part.column("p").to_numpy()[run] + inner, pa.int64()), pa.array(inner, pa.int32())], ["w", "h", "g", "doc_id", "q", "o"])
-
-    rows = context.mapInArrow(windows, "w long, h long, g long, doc_id long, q long, o int")
-    met = rows.groupBy("w").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "q")).alias("first")).where("n > 1")
-    found = rows.join(met, "w").withColumn("early", F.struct("doc_id", "q") > F.col("first"))
-    one = lambda o: F.array(o, o + 1)
-    return found.groupBy("h", "g").agg(F.flatten(F.collect_list(one(F.col("o")))).alias("repeated"), F.flatten(F.collect_list(F.when(F.col("early"), one(F.col("o"))))).alias("earlier"))
+                begin, h, m, skip, low, high = (offsets[:-1] - base, *(part.column(c).to_numpy() for c in ("h", "m", "skip", "low", "high")))
+                row = np.searchsorted(begin, np.arange(n + 1 - gram), "right") - 1
+                hits = np.flatnonzero(mix((total[gram:] - total[:-gram]) * down[: n + 1 - gram]).view(np.int64) == h[row])
+                anchor = hits[np.searchsorted(row[hits], np.arange(len(m)))]  # the first one is the anchor
+                middle = (low + high) // 2
+                cut = np.clip(anchor - begin - middle, 0, m)
+                for a, b, lo, hi in ((np.zeros(len(m), int), cut, middle + 1, high), (cut, m, low, middle)):
+                    at = np.flatnonzero(b > a)
+                    x, y = (anchor - lo)[at], (anchor - hi)[at] + length
+                    met = mix((total[y] - total[x]) * down[x] + ((lo << 16) + hi)[at].astype(np.uint64)).view(np.int64)
+                    first, last = (begin + a)[at], (begin + b)[at] + length - 1
+                    raw = [data[base + i : base + j].tobytes() for i, j in zip(first.tolist(), last.tolist())]
+                    columns = [*(part.column(c).take(pa.array(at)) for c in ("key", "doc_id", "p")), pa.array((b - a)[at], pa.int32()), *(part.column(c).take(pa.array(at)) for c in ("h", "g")), pa.array(raw, pa.binary())]
+                    columns += [pa.array(met), *(pa.array(np.asarray(c)[at], pa.int32()) for c in (skip + a, lo, hi))]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "p", "m", "h", "g", "raw", "met", "skip", "low", "high"])
+
+    return halve
+
+
+def _equal_windows(rows: DataFrame) -> DataFrame:
+    """Single windows of groups that are still large: equal ones by their bytes, one row each."""
+    place = F.struct("doc_id", "key", (F.col("p") + F.col("skip")).alias("at"))
+    met = rows.groupBy("raw").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    one = F.array(F.col("skip"), F.col("skip") + 1)
+    return rows.hint("merge").join(met, "raw").select("h", "g", one.alias("repeated"), F.when(place > F.col("first"), one).otherwise(F.array().cast("array<int>")).alias("earlier"))
 
 
 def merged(flat: np.ndarray) -> np.ndarray:
@@ -318,16 +356,24 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def _with_spans(rows: DataFrame, docs: DataFrame, length: int, column: str) -> DataFrame:
-    """``rows``, which have a key, with the spans found in ``docs`` and copy, which numbers identical rows from 1."""
+    """``rows``, which have a key, with the spans found in ``docs`` and, for later copies, whether the row is an identical one's first.
+
+    The first of identical rows is the one with the least number, and the numbers are written with the
+    rows, so that they stay as they are when a task is tried again.
+    """
     keyed = docs.select(_key(F.col("doc_id"), F.col("text")).alias("key"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = find_repeats(keyed, length).select("key", F.col(column).alias("spans"))
-    copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    return rows.join(found.hint("merge"), "key", "left").withColumn("copy", copy).drop("key")
+    if column == "repeated":
+        return rows.join(found.hint("merge"), "key", "left").withColumn("first", F.lit(True)).drop("key")
+    rows = save(rows.withColumn("_number", F.monotonically_increasing_id()), "numbered")
+    least = rows.groupBy("key").agg(F.min("_number").alias("_least"))
+    found = least.join(found, "key", "left")
+    return rows.join(found.hint("merge"), "key").withColumn("first", F.col("_number") == F.col("_least")).drop("key", "_number", "_least")
 
 
-def _removed(size: int, spans, copy: int, length: int, first: bool) -> np.ndarray:
+def _removed(size: int, spans, first: bool, length: int) -> np.ndarray:
     """The merged spans of a text; a further identical row is a later copy from end to end."""
-    if first and copy > 1 and size >= length:
+    if not first and size >= length:
         return np.array([[0, size]], np.int64)
     return merged(np.asarray(spans.values) if spans.is_valid else np.zeros(0, np.int64))
 
@@ -346,9 +392,9 @@ def measure_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none") -
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             out = []
-            for i, (doc, spans, copy) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("spans"), batch.column("copy").to_pylist())):
+            for i, (doc, spans, first) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("spans"), batch.column("first").to_pylist())):
                 text = data[offsets[i] : offsets[i + 1]]
-                found = _removed(len(text), spans, copy, length, keep == "first")
+                found = _removed(len(text), spans, first, length)
                 out.append((doc, len(text), int((found[:, 1] - found[:, 0]).sum()), len(found), hashlib.sha256(_kept(text, found)).hexdigest()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -370,9 +416,9 @@ def remove_later_copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             data, offsets = buffers(batch.column(own))
             texts = batch.column(own).to_pylist()
-            for i, (spans, copy) in enumerate(zip(batch.column("spans"), batch.column("copy").to_pylist())):
+            for i, (spans, first) in enumerate(zip(batch.column("spans"), batch.column("first").to_pylist())):
                 text = data[offsets[i] : offsets[i + 1]]
-                found = _removed(len(text), spans, copy, length, True)
+                found = _removed(len(text), spans, first, length)
                 if len(found):
                     for span in found:
                         while span[0] < span[1] and text[span[0]] & 0xC0 == 0x80:
