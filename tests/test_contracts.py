@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import frames, values
 from tidemark.operators import ledger, schemas
 from tidemark.sources import storage
-from tidemark.streaming import capture
+from tidemark.streaming import commits
 
 
 @pytest.mark.parametrize("number", [0, 1, -1, 127, -128, 12345, -12345, 2**40, -(2**63)])
@@ -88,10 +88,11 @@ def test_extra_columns_are_identifiers(spark):
 
 
 def test_fan_out_refuses_differing_copies(spark, tmp_path):
-    spread = capture.fan_out(f"file://{tmp_path}/all", {"a": lambda b: b})
+    tables = commits.CommittedTables(spark, f"file://{tmp_path}/all", "1")
+    spread = commits.fan_out(tables, {"a": lambda b: b})
     with pytest.raises(ValueError, match="differ"):
         spread(spark.createDataFrame([("a:0:1", "a", 5), ("a:0:1", "a", 6)], "event_id string, topic string, v int"), 0)
-    assert not storage.exists(spark, f"file://{tmp_path}/all")
+    assert not tables.files("a") and [(r.status, r.error_class) for r in tables.failures().collect()] == [("FAILED", "fatal")]
 
 
 def test_results_of_a_run(spark):

@@ -25,7 +25,10 @@ def obs(spark, *rows):
         ([("a", "REJECTED", 5, None)], ("BLOCKED", "rejected_transaction", None, 0, 0)), ([("a", "REJECTED", 5, None), ("a", "COMPLETE", 6, 1)], ("MATERIALIZING", "complete_prefix", 6, 1, 1)),
         ([], ("NOOP", "nothing_new", None, 0, 0)), ([("a", "COMPLETE", 5, 0)], ("NOOP", "nothing_new", None, 0, 0)), ([("a", "COMPLETE", 1, 3)], ("NOOP", "nothing_new", None, 0, 0)),
         ([("a", "ODD", 5, 1)], ("BLOCKED", "unknown_state", None, 0, 0)), ([("a", "COMPLETE", None, 1)], ("BLOCKED", "missing_offset", None, 0, 0)), ([(None, "COMPLETE", 5, 1)], ("BLOCKED", "missing_transaction_id", None, 0, 0)),
-        ([("a", "COMPLETE", 5, 1), ("b", "OPEN", 7, None), ("c", "COMPLETE", 9, 4)], ("MATERIALIZING", "complete_prefix", 5, 1, 1)), ([("a", "COMPLETE", 5, 1), ("b", "REJECTED", 7, None)], ("MATERIALIZING", "complete_prefix", 5, 1, 1)),
+        ([("a", "COMPLETE", 5, 1), ("b", "OPEN", 7, None), ("c", "COMPLETE", 9, 4)], ("MATERIALIZING", "complete_prefix", 5, 1, 1)), ([("a", "COMPLETE", 5, 1), ("b", "REJECTED", 7, None)], ("BLOCKED", "rejected_transaction", None, 0, 0)),
+        ([("a", "COMPLETE", 5, 3), ("b", "COMPLETE", 9, 0)], ("MATERIALIZING", "complete_prefix", 5, 1, 3)), ([("a", "COMPLETE", 5, 3), (None, "COMPLETE", 9, 1)], ("BLOCKED", "missing_transaction_id", None, 0, 0)),
+        ([("a", "COMPLETE", 5, 3), (" ", "COMPLETE", 9, 1)], ("BLOCKED", "missing_transaction_id", None, 0, 0)), ([("a", "COMPLETE", 5, 3), ("b", "OPEN", 6, None), ("c", "REJECTED", 7, None), ("d", "ODD", 8, 1)], ("MATERIALIZING", "complete_prefix", 5, 1, 3)),
+        ([("a", "COMPLETE", 5, 0), ("b", "OPEN", 6, None)], ("WAITING", "open_transaction", None, 0, 0)), ([("a", None, 5, 1)], ("BLOCKED", "unknown_state", None, 0, 0)),
     ],
 )
 def test_boundary_outcomes(spark, rows, want):

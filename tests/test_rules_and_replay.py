@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, publication, transactions, versions
 from tidemark.sources import storage
-from tidemark.streaming import capture
+from tidemark.streaming import capture, commits
 
 
 def test_a_cluster_needs_a_shared_folder(spark):
@@ -37,9 +37,14 @@ def test_differing_copies_and_unknown_topics_fail_a_batch(spark, tmp_path):
     with pytest.raises(ValueError, match="differ"):
         write(log_rows(spark, [("a:0:2", "a", 0, 2, t, 5), ("a:0:2", "a", 0, 2, t, 6)]), 1)
     assert spark.read.parquet(f"file://{tmp_path}/ledger").count() == 1
-    spread = capture.fan_out(f"file://{tmp_path}/all", {"a": lambda b: b, "tx": lambda b: b})
+    with pytest.raises(ValueError, match="differ"):  # from what an earlier batch has brought
+        write(log_rows(spark, [("a:0:1", "a", 0, 1, t, 6), ("a:0:3", "a", 0, 3, t, 6)]), 1)
+    write(log_rows(spark, [("a:0:1", "a", 0, 1, t, 5), ("a:0:3", "a", 0, 3, t, 6)]), 1)
+    assert sorted(r.offset for r in spark.read.parquet(f"file://{tmp_path}/ledger").collect()) == [1, 3]
+    tables = commits.CommittedTables(spark, f"file://{tmp_path}/all", "1")
+    spread = commits.fan_out(tables, {"a": lambda b: b, "tx": lambda b: b})
     spread(log_rows(spark, [("a:0:1", "a", 0, 1, t, 5), ("tx:0:1", "tx", 0, 1, t, 5)]), 0)
-    assert spark.read.parquet(f"file://{tmp_path}/all").count() == 2
+    assert [tables.read(n, "event_id string").count() for n in ("a", "tx", "none")] == [1, 1, 0]
     with pytest.raises(ValueError, match="stranger"):
         spread(log_rows(spark, [("s:0:1", "stranger", 0, 1, t, 5)]), 1)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import publication
 from tidemark.operators.ledger import progress_rows
 from tidemark.sources import storage
-from tidemark.streaming import capture
+from tidemark.streaming import capture, commits
 
 AT = dt.datetime(2024, 1, 1)
 EVENTS = "event_id string, topic string, partition int, offset long, source_ts timestamp, v string"
@@ -108,8 +108,9 @@ def test_fan_out_and_listener(spark, tmp_path):
     listener = capture.ProgressListener()
     spark.streams.addListener(listener)
     mark = lambda name: lambda d: d.withColumn("entity", F.lit(name))
-    capture.start(_stream(spark, source), "fan", str(tmp_path / "c"), capture.fan_out(target, {"a": mark("ea"), "b": mark("eb")})).awaitTermination()
-    assert sorted(r.entity for r in spark.read.parquet(target).collect()) == ["ea", "eb", "eb"]
+    tables = commits.CommittedTables(spark, target, "1")
+    capture.start(_stream(spark, source), "fan", str(tmp_path / "c"), commits.fan_out(tables, {"a": mark("ea"), "b": mark("eb")})).awaitTermination()
+    assert [sorted(r.entity for r in tables.read(n, "entity string").collect()) for n in "ab"] == [["ea"], ["eb", "eb"]]
     spark.streams.removeListener(listener)
 
 

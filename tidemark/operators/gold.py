@@ -45,17 +45,19 @@ def allocate(items: DataFrame, payments: DataFrame, *carry: str) -> DataFrame:
     return rows.join(paid, "order_id", "left").select("order_id", "item_no", *carry, "gross_cents", "order_gross_cents", "paid_cents", share.alias("allocated_cents"))
 
 
-def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, versions: DataFrame) -> DataFrame:
+def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, versions: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order item with keys, money and delivery measures.
 
     ``items`` are allocated ones. Orders join inner, all lookups left. ``versions`` is a type-2
-    dimension by unique_id, looked up at the purchase time.
+    dimension by unique_id and ``products`` one by listing_id, a column of the items; both are looked
+    up at the purchase time.
     """
     placed = scd2_lookup(orders.join(customers, "customer_id", "left"), versions, "unique_id", "purchase", "version_key")  # once an order, not once an item
     rows = items.join(placed, "order_id").join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
+    rows = scd2_lookup(rows, products, "listing_id", "purchase", "product_version_key")
     return rows.select(
         hash_key("order_id", "item_no").alias("item_key"), "order_id", "item_no", "customer_id", "unique_id", F.col("version_key").alias("customer_version_key"), "seller_key",
-        hash_key("product_id").alias("product_key"), hash_key("status").alias("status_key"),
+        hash_key("product_id").alias("product_key"), "product_version_key", hash_key("status").alias("status_key"),
         date_key("purchase").alias("purchase_date_key"), date_key("approved").alias("approved_date_key"), date_key("delivered").alias("delivered_date_key"), date_key("estimated").alias("estimated_date_key"),
         "price_cents", "freight_cents", "allocated_cents",
         day_difference("delivered", "purchase").alias("delivery_days"), day_difference("delivered", "estimated").alias("delay_days"),

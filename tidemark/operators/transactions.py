@@ -44,26 +44,26 @@ def effective_transactions(observations: DataFrame) -> DataFrame:
 def select_boundary(effective: DataFrame, previous: int) -> DataFrame:
     """One row: status, reason, the newest complete prefix's end and what it holds.
 
-    Transactions up to the previous boundary are passed over. The first OPEN one stops the prefix; a
-    REJECTED or unknown one, or a COMPLETE one without id or offset, blocks if nothing before it can be
-    taken. The first blocker is a minimum and the prefix a filter, so nothing is sorted globally.
+    Transactions up to the previous boundary are passed over. The first OPEN one ends the prefix. Before
+    it, a REJECTED or unknown one, or a COMPLETE one without id or offset, blocks, whatever stands before
+    that one. A COMPLETE one without events (a heartbeat) is passed over: it moves no boundary. The first
+    blocker is a minimum and the prefix a filter, so nothing is sorted globally.
     """
     rows = effective.where(F.col("offset").isNull() | (F.col("offset") > previous))
-    broken = F.col("missing_id") | (F.col("offset").isNull()) | ~F.coalesce(F.col("status").isin(*RANK), F.lit(False)) | (F.col("status") == "REJECTED")
-    reason = (
-        F.when(F.col("missing_id"), "missing_transaction_id").when(F.col("offset").isNull(), "missing_offset").when(F.col("status") == "REJECTED", "rejected_transaction")
-        .when(F.col("status") == "OPEN", "open_transaction").when(~F.coalesce(F.col("status").isin(*RANK), F.lit(False)), "unknown_state")
-    )
-    place = F.coalesce("offset", F.lit(-1))
-    stop = rows.where(broken | (F.col("status") == "OPEN")).agg(F.min(F.struct(place.alias("at"), F.coalesce("event_id", F.lit("")).alias("event_id"), broken.alias("blocks"), reason.alias("reason"))).alias("stop"))
-    prefix = rows.crossJoin(F.broadcast(stop)).where("status = 'COMPLETE' and not missing_id and offset is not null").where(F.col("stop").isNull() | (F.col("offset") < F.col("stop.at")))
-    taken = prefix.agg(F.max("offset").alias("target_offset"), F.max_by("transaction_id", F.col("offset")).alias("target_transaction"), F.count_if(F.coalesce("event_count", F.lit(0)) > 0).alias("transactions"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("expected_events"))
+    nameless = F.col("missing_id") | (F.trim(F.coalesce("transaction_id", F.lit(""))) == "")
+    done, open_ = (F.coalesce(F.col("status") == s, F.lit(False)) for s in ("COMPLETE", "OPEN"))
+    reason = F.when(F.col("status") == "REJECTED", "rejected_transaction").when(~done & ~open_, "unknown_state").when(done & nameless, "missing_transaction_id").when(done & F.col("offset").isNull(), "missing_offset")
+    at = F.struct(F.coalesce("offset", F.lit(-1)).alias("at"), F.coalesce("event_id", F.lit("")).alias("event_id"), reason.alias("reason"))
+    stop = rows.agg(F.min(F.when(open_, at)).alias("open"), F.min(F.when(reason.isNotNull(), at)).alias("broken"))
+    blocks = F.col("broken").isNotNull() & (F.col("open").isNull() | (F.col("broken") < F.col("open")))
+    stop = stop.select("open", F.when(blocks, F.col("broken.reason")).alias("blocked"))
+    inside = F.col("open").isNull() | (at < F.col("open"))
+    prefix = rows.where(done & ~nameless & F.col("offset").isNotNull() & (F.coalesce("event_count", F.lit(0)) > 0)).crossJoin(F.broadcast(stop)).where(inside & F.col("blocked").isNull())
+    taken = prefix.agg(F.max("offset").alias("target_offset"), F.max_by("transaction_id", F.col("offset")).alias("target_transaction"), F.count("*").alias("transactions"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("expected_events"))
     some = F.col("transactions") > 0
-    status = F.when(some, "MATERIALIZING").when(F.col("stop.blocks"), "BLOCKED").when(F.col("stop").isNotNull(), "WAITING").otherwise("NOOP")
-    return taken.crossJoin(F.broadcast(stop)).select(
-        status.alias("status"), F.when(some, F.lit("complete_prefix")).otherwise(F.coalesce(F.col("stop.reason"), F.lit("nothing_new"))).alias("reason"),
-        F.when(some, F.col("target_offset")).alias("target_offset"), F.when(some, F.col("target_transaction")).alias("target_transaction"), "transactions", "expected_events",
-    )
+    status = F.when(F.col("blocked").isNotNull(), "BLOCKED").when(some, "MATERIALIZING").when(F.col("open").isNotNull(), "WAITING").otherwise("NOOP")
+    reason = F.coalesce(F.col("blocked"), F.when(some, "complete_prefix"), F.when(F.col("open").isNotNull(), "open_transaction"), F.lit("nothing_new"))
+    return taken.crossJoin(F.broadcast(stop)).select(status.alias("status"), reason.alias("reason"), "target_offset", "target_transaction", "transactions", "expected_events")
 
 
 def initial_boundary(changes: DataFrame, required: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,25 +45,51 @@ def _ticks(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def _cuts(ticks: Sequence[DataFrame], parts: int) -> list[float]:
+    """Ascending values that cut tables of one number each, taken together, into about ``parts`` ranges of equally many rows."""
+    rows = None
+    for t in ticks:
+        rows = t if rows is None else rows.unionByName(t)
+    if parts < 2:
+        return []
+    found = rows.agg(F.percentile_approx("_t", [i / parts for i in range(1, parts)], 4 * parts)).first()[0]
+    return sorted(set(found or []))
+
+
+def _range(value: Column, cuts: Sequence[float]) -> Column:
+    """How many cuts are at or below a value, by a tree of comparisons."""
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < cuts[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
+
+    return tree(0, len(cuts))
+
+
+#: Ranges of time at most.
+RANGES = 512
+
+
 def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Each left row with the values of the latest right row at or before it.
 
     Linear in the rows and spread over time as well as keys, so few or hot keys do not decide the
-    number of tasks: rows are cut into buckets of the first order column, as many as the session has
-    shuffle partitions; within a key's bucket one window finds the latest right row, and what a bucket
-    has not is the last one of the buckets before, one row for each key and bucket. Right rows come
-    before left rows at equal order. Left rows with a null key or order keep null values.
+    number of tasks: rows are cut into ranges of the first order column that hold equally many rows of
+    both sides, as many as the session has shuffle partitions (RANGES at most); within a key's range one
+    window finds the latest right row, and what a range has not is the last one of the ranges before, one
+    row for each key and range. Right rows come before left rows at equal order. Left rows with a null key
+    or order keep null values.
     """
     usable = F.lit(True)
     for c in (*by, *order):
         usable = usable & F.col(c).isNotNull()
     packed = F.struct(*values)
     known = right.where(usable).select(*by, *order, packed.alias("_value"))
-    ticks = _ticks(right, order[0])
-    span = known.agg(F.min(ticks).alias("low"), F.max(ticks).alias("high")).first()
-    low, high = span["low"] or 0.0, span["high"] or 0.0
-    width = max((high - low) / int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1e-6)
-    place = lambda df: F.floor((F.least(F.greatest(_ticks(df, order[0]), F.lit(low)), F.lit(high)) - low) / width)
+    parts = min(RANGES, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = _cuts([df.where(usable).select(_ticks(df, order[0]).alias("_t")) for df in (left, right)], parts)
+    place = lambda df: _range(_ticks(df, order[0]), cuts)
     known = known.withColumn("_bucket", place(right))
     ends = known.groupBy(*by, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_end"))
     slots = left.where(usable).withColumn("_bucket", place(left)).select(*by, "_bucket").distinct()
@@ -80,27 +107,90 @@ def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Seq
     return found.select(*left.columns, *out).unionByName(lost, allowMissingColumns=True)
 
 
+#: Entities whose versions a task holds at once; pairs that are written at once.
+HELD, PAIRS = 200_000, 100_000
+_CARRIED, _END, _EVENT, _START = range(4)
+
+
 def asof_reverse(left: DataFrame, right: DataFrame, entity: str, by: str, order: Sequence[str]) -> DataFrame:
     """Each right row with the left versions that are in force at it and have its ``by`` value.
 
-    A left version is in force from its own order to its entity's next one. Versions are cut into
-    buckets of the first order column, as wide as a version lasts on average, so all of them make about
-    three rows each at most; the join has (by, bucket) as equi key and what it tries grows with the
-    rows, however few values ``by`` has. Columns of the right order are named ``at_...``.
+    A left version is in force after its own order and before its entity's next one. Time is cut into
+    ranges of equally many rows. A range of a ``by`` value is swept once in order: versions enter and
+    leave the set in force, which starts with those that reach over the range's border, and every right
+    row meets the set. So what is made are the rows, those carried over a border, and the result. There
+    are no more ranges than rows for each entity, so no more rows are carried than there are rows, however
+    long a version lasts. Where a ``by`` value may have over HELD entities they are dealt over several
+    sweeps. Columns of the right order are named ``at_...``. Rows with a null ``by`` or order meet nothing.
     """
-    held = left.withColumn("_from", F.struct(*order)).withColumn("_to", F.lead("_from").over(Window.partitionBy(entity).orderBy(*order)))
-    held = held.withColumn("_low", _ticks(left, order[0]))
-    held = held.withColumn("_high", F.lead("_low").over(Window.partitionBy(entity).orderBy(*order)))
-    newest = right.agg(F.max(_ticks(right, order[0]))).first()[0]
-    lasts = held.agg(F.avg(F.col("_high") - F.col("_low"))).first()[0]
-    width = max(lasts or 0.0, 1.0)
-    end = F.least(F.coalesce("_high", F.lit(newest)), F.lit(newest)) if newest is not None else F.col("_low")
-    held = held.where(F.col("_low") <= F.lit(newest))
-    held = held.select(*[c for c in left.columns if c not in order], "_from", "_to", F.explode(F.sequence(F.floor(F.col("_low") / width), F.floor(F.greatest(end, F.col("_low")) / width))).alias("_bucket"))
-    events = right.withColumn("_bucket", F.floor(_ticks(right, order[0]) / width))
-    events = events.select(*[F.col(c).alias(f"at_{c}") if c in order else F.col(c) for c in events.columns]).withColumn("_at", F.struct(*[F.col(f"at_{c}").alias(c) for c in order]))
-    inside = (F.col("_at") > F.col("_from")) & (F.col("_to").isNull() | (F.col("_at") < F.col("_to")))
-    return held.join(events, [by, "_bucket"]).where(inside).drop("_from", "_to", "_at", "_bucket")
+    usable = F.col(by).isNotNull()
+    for c in order:
+        usable = usable & F.col(c).isNotNull()
+    left_t, right_t = (df.where(usable).select(_ticks(df, order[0]).alias("_t"), *extra) for df, extra in ((left, [F.col(entity).alias("_e")]), (right, [F.lit(None).cast(left.schema[entity].dataType).alias("_e")])))
+    sizes = left_t.unionByName(right_t).agg(F.count("*").alias("n"), F.approx_count_distinct("_e").alias("e")).first()
+    parts = max(1, min(RANGES, 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), sizes["n"] // max(1, sizes["e"])))
+    cuts = _cuts([left_t.select("_t"), right_t.select("_t")], parts)
+    shares = -(-sizes["e"] // HELD) or 1
+
+    steps = Window.partitionBy(entity).orderBy(*order)
+    own = [c for c in left.columns if c not in order and c != by]
+    held = left.where(_all_known(order)).withColumn("_low", _ticks(left, order[0]))
+    held = held.select(F.col(by).alias("_by"), F.pmod(F.xxhash64(entity), F.lit(shares)).cast("int").alias("_share"), F.sha2(F.to_json(F.struct(entity)), 256).alias("_entity"), F.struct(*own).alias("_left"), F.struct(*order).alias("_from"), F.lead(F.struct(*order)).over(steps).alias("_to"), "_low", F.lead("_low").over(steps).alias("_high"))
+    held = held.where("_by is not null and (_to is null or _to <> _from)")
+    held = held.withColumn("_first", _range(F.col("_low"), cuts)).withColumn("_last", F.when(F.col("_to").isNotNull(), _range(F.col("_high"), cuts)).otherwise(len(cuts)))
+    none_left = F.lit(None).cast(held.schema["_left"].dataType)
+    events = right.where(usable).select(F.col(by).alias("_by"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_share"), F.struct(*(F.col(c).alias(f"at_{c}" if c in order else c) for c in right.columns if c != by)).alias("_right"), F.struct(*order).alias("_at"), _range(_ticks(right, order[0]), cuts).alias("_part"))
+    none_right = F.lit(None).cast(events.schema["_right"].dataType)
+    row = lambda df, part, at, kind, who, a, b: df.select("_by", "_share", part.alias("_part"), at.alias("_at"), F.lit(kind).alias("_kind"), who.alias("_entity"), a.alias("_left"), b.alias("_right"))
+    who, started = F.col("_entity"), F.col("_left")
+    rows = row(held, F.col("_first"), F.col("_from"), _START, who, started, none_right)
+    rows = rows.unionByName(row(held.where("_to is not null"), F.col("_last"), F.col("_to"), _END, who, none_left, none_right))
+    over = held.where("_last > _first").withColumn("_part", F.explode(F.sequence(F.col("_first") + 1, F.col("_last"))))
+    rows = rows.unionByName(row(over, F.col("_part"), F.lit(None).cast(held.schema["_from"].dataType), _CARRIED, who, started, none_right))
+    rows = rows.unionByName(row(events, F.col("_part"), F.col("_at"), _EVENT, F.lit(None).cast("string"), none_left, F.col("_right")))
+    schema = rows.select("_by", "_left", "_right").schema
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, force, kept = None, {}, None
+        for batch in batches:
+            pool, base = batch.column("_left"), 0
+            if kept is not None and len(kept):
+                pool, base = pa.concat_arrays([kept, pool]), len(kept)
+            here, found = [], []
+            groups = zip(*(batch.column(c).to_pylist() for c in ("_by", "_share", "_part")))
+            for i, (g, kind, name) in enumerate(zip(groups, batch.column("_kind").to_pylist(), batch.column("_entity").to_pylist())):
+                if g != group:
+                    group, force = g, {}
+                if kind == _EVENT:
+                    found.extend(force.values())
+                    here.extend([i] * len(force))
+                    if len(here) >= PAIRS:
+                        yield _met(batch, pool, here, found)
+                        here, found = [], []
+                elif kind == _END:
+                    force.pop(name, None)
+                else:
+                    force[name] = base + i
+            if here:
+                yield _met(batch, pool, here, found)
+            kept = pool.take(pa.array(list(force.values()), pa.int64()))
+            force = {name: i for i, name in enumerate(force)}
+
+    swept = rows.repartition("_by", "_share", "_part").sortWithinPartitions("_by", "_share", "_part", "_at", "_kind").mapInArrow(sweep, schema)
+    return swept.select(F.col("_by").alias(by), "_left.*", "_right.*").select(*[c for c in left.columns if c not in order], *(f"at_{c}" if c in order else c for c in right.columns if c != by))
+
+
+def _all_known(columns: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).isNotNull()
+    return out
+
+
+def _met(batch: pa.RecordBatch, pool: pa.Array, here: list[int], found: list[int]) -> pa.RecordBatch:
+    """The pairs of right rows of a batch and versions of a pool."""
+    at = pa.array(here)
+    return pa.RecordBatch.from_arrays([batch.column("_by").take(at), pool.take(pa.array(found)), batch.column("_right").take(at)], ["_by", "_left", "_right"])
 
 
 def scd2(events: DataFrame, key: str, order: Sequence[str], attributes_hash: Column, ts: str = "source_ts", snapshot: str = "is_snapshot", deleted: str = "is_deleted") -> DataFrame:

@@ -12,7 +12,8 @@ from tidemark.operators import checks, ledger, publication, schemas, transaction
 from tidemark.plans.catalog import query
 from tidemark.plans.views import Views
 from tidemark.sources import storage
-from tidemark.streaming import capture
+from tidemark.sources.ledger_files import LedgerFiles
+from tidemark.streaming import capture, commits, stateful
 
 def place():
     return F.struct("partition", "offset")
@@ -239,6 +240,17 @@ def append_new(v: Views) -> DataFrame:
     return ledger.new_rows(c, c.where("`offset` % 3 = 0"), ["event_id"])
 
 
+@query("""select event_id, case when "offset" % 3 = 0 then 'new' when "offset" % 100 = 0 then 'differs' else 'known' end as verdict from v_changes""")
+def append_verdicts(v: Views) -> DataFrame:
+    """A batch of all changes, a few of them altered, against a table that has two thirds in files of any order."""
+    path = f"{storage.shared_dir(v.spark)}/judged-{uuid.uuid4().hex}"
+    c = v.changes.select("event_id", "offset", "user_id", "value_cents")
+    c.where("`offset` % 3 <> 0").write.parquet(path)
+    table = LedgerFiles(v.spark, path, ["event_id"])
+    table.add_to_index()
+    return table.judge(c.withColumn("value_cents", F.when(F.col("offset") % 100 == 0, F.col("value_cents") + 1).otherwise(F.col("value_cents")))).select("event_id", "verdict")
+
+
 @query("select p_partkey, case when p_partkey % 3 = 0 then p_size + 1 else p_size end as p_size from part")
 def upsert(v: Views) -> DataFrame:
     p = v.table("part").select("p_partkey", "p_size")
@@ -306,6 +318,44 @@ def boundary_select(v: Views) -> DataFrame:
     return transactions.select_boundary(storage.save(effective(v), "effective"), 100)
 
 
+#: Planted changes of the effective transactions, as (status, transaction_id, event_count) where it holds; behind the first OPEN one nothing counts.
+_SCENARIOS = {
+    "plain": ("false", "status", "transaction_id", "event_count"),
+    "empty_last": ("`offset` > 300", "status", "transaction_id", "0L"),
+    "all_empty": ("true", "status", "transaction_id", "0L"),
+    "rejected_behind_prefix": ("`offset` between 201 and 209 and status = 'COMPLETE'", "'REJECTED'", "transaction_id", "event_count"),
+    "rejected_behind_open": ("`offset` > 2000 and status = 'COMPLETE'", "'REJECTED'", "transaction_id", "event_count"),
+    "nameless": ("`offset` between 301 and 309 and status = 'COMPLETE'", "status", "' '", "event_count"),
+    "unknown": ("`offset` between 401 and 409", "'HALF'", "transaction_id", "event_count"),
+    "first_open": ("`offset` between 101 and 109", "'OPEN'", "transaction_id", "event_count"),
+}
+
+
+def _scenario_sql(name: str) -> str:
+    """The rule, written out: what blocks before the first OPEN transaction, then what the prefix holds."""
+    when, status, tx, count = (x.replace("`", '"').replace("0L", "0") for x in _SCENARIOS[name])
+    return f"""select '{name}' as scenario, case when blocked is not null then 'BLOCKED' when transactions > 0 then 'MATERIALIZING' when open_at is not null then 'WAITING' else 'NOOP' end as status,
+        coalesce(blocked, case when transactions > 0 then 'complete_prefix' when open_at is not null then 'open_transaction' else 'nothing_new' end) as reason, target_offset, target_transaction, transactions, expected_events from (
+        with e as (select "offset", case when {when} then {status} else status end as status, case when {when} then {tx} else transaction_id end as transaction_id, case when {when} then {count} else event_count end as event_count from v_effective where "offset" > 100),
+        o as (select min("offset") as open_at from e where status = 'OPEN'),
+        b as (select arg_min(case when status = 'REJECTED' then 'rejected_transaction' when status <> 'COMPLETE' then 'unknown_state' else 'missing_transaction_id' end, "offset") as blocked from e, o
+            where "offset" < coalesce(open_at, 9223372036854775807) and (status in ('REJECTED', 'HALF') or (status = 'COMPLETE' and trim(transaction_id) = '')))
+        select open_at, blocked, max("offset") as target_offset, arg_max(transaction_id, "offset") as target_transaction, count("offset") as transactions, cast(coalesce(sum(event_count), 0) as bigint) as expected_events
+        from o cross join b left join e on blocked is null and status = 'COMPLETE' and event_count > 0 and "offset" < coalesce(open_at, 9223372036854775807) group by open_at, blocked)"""
+
+
+@query(" union all ".join(f"select * from ({_scenario_sql(n)})" for n in _SCENARIOS))
+def boundary_scenarios(v: Views) -> DataFrame:
+    """The boundary with planted empty, rejected, nameless, unknown and open transactions."""
+    states = storage.save(effective(v), "effective")
+    out = None
+    for name, (when, *new) in _SCENARIOS.items():
+        changed = states.withColumns({c: F.expr(f"case when {when} then {x} else {c} end") for c, x in zip(("status", "transaction_id", "event_count"), new)})
+        row = transactions.select_boundary(changed, 100).select(F.lit(name).alias("scenario"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def bounded(v: Views) -> DataFrame:
     """Changes inside the newest complete prefix; the boundary stays a one-row table.
 
@@ -458,7 +508,7 @@ def _captured(v: Views, times: int) -> DataFrame:
         stream = v.spark.readStream.schema(source.schema).parquet(f"{v.sf_dir}/event[s].parquet")  # a pattern serves a file and a folder
         rows = stream.select(F.lit("cdc.users").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.concat_ws(":", F.lit("cdc.users"), (F.col("user_id") % 3).cast("string"), F.col("event_id").cast("string")).alias("event_id"), F.col("ts").alias("source_ts"), "event_type")
         write = capture.ledger_writer(f"{root}/ledger", f"{root}/progress", lambda b: b)
-        capture.start(rows, f"capture_{uuid.uuid4().hex}", capture.checkpoint_for(f"{root}/checkpoints", f"raw{i}", "1"), write).awaitTermination()
+        capture.start(rows, f"capture_{uuid.uuid4().hex}", capture.checkpoint_for(f"{root}/checkpoints", f"raw{i}", "1"), write, contract=f"{i}:1").awaitTermination()
     return v.spark.read.parquet(f"{root}/ledger")
 
 
@@ -472,6 +522,85 @@ def stream_replay_idempotent(v: Views) -> DataFrame:
     return _captured(v, 2).groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
 
 
+def _arriving(v: Views, rows: DataFrame, parts: int):
+    """Rows as files of a folder that arrive in ``parts`` portions; ``bring(i)`` brings portion i, ``read()`` is the stream."""
+    folder = f"{storage.shared_dir(v.spark)}/arriving-{uuid.uuid4().hex}"
+    rows = storage.save(rows, "portions")
+
+    def bring(i: int) -> None:
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == i).coalesce(1).write.mode("append").parquet(folder)
+
+    return bring, lambda: v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder), folder
+
+
+@query("""select transaction_id, status, "offset", event_count, min(case when o.status_ = 'OPEN' then o.at end) as begin_offset from v_effective join (select transaction_id, status as status_, "offset" as at from v_observations) o using (transaction_id) group by 1, 2, 3, 4""")
+def stream_transactions(v: Views) -> DataFrame:
+    """Transactions whose BEGIN and END come in different batches, in any order, with a restart between."""
+    bring, read, folder = _arriving(v, v.observations, 3)
+    for portions in ((0, 1), (2,)):
+        for i in portions:
+            bring(i)
+        made = stateful.assemble_stream(read(), "30 days").writeStream.format("parquet").option("path", f"{folder}-states").option("checkpointLocation", f"{folder}-checkpoint")
+        made.trigger(availableNow=True).start().awaitTermination()
+    states = v.spark.read.parquet(f"{folder}-states").where("not stale")
+    begins = states.groupBy("transaction_id").agg(F.min("begin_offset").alias("begin_offset"))
+    return transactions.effective_transactions(states.drop("begin_offset", "stale")).join(begins, "transaction_id").select("transaction_id", "status", "offset", "event_count", "begin_offset")
+
+
+@query("""select event_type, count(*) as n, count(distinct event_id) as ids, 1 as dropped_before_ledger from v_changes group by 1""")
+def stream_recent_duplicates(v: Views) -> DataFrame:
+    """Events that come twice: the copies go at the state, or, where they come after a restart without it, at the index."""
+    rows = v.changes.select("topic", "partition", "offset", "event_id", "source_ts", "event_type")
+    bring, read, folder = _arriving(v, rows, 2)
+    for i in (0, 1, 0):
+        bring(i)
+    write = capture.ledger_writer(f"{folder}-ledger", f"{folder}-progress", lambda b: b)
+    listener = capture.ProgressListener()
+    v.spark.streams.addListener(listener)
+    once = stateful.dedupe_recent(read(), ["event_id"], ["topic", "partition", "offset", "source_ts", "event_type"], "1 day")
+    for name in ("a", "b"):  # the second query has no state of the first
+        capture.start(once, f"recent_{uuid.uuid4().hex}", capture.checkpoint_for(f"{folder}-checkpoints", name, "1"), write).awaitTermination()
+    v.spark.streams.removeListener(listener)
+    batches = v.spark.read.parquet(f"{folder}-progress").groupBy("batch_id").agg(F.sum("events").alias("n")).where("batch_id = 2").count()
+    return v.spark.read.parquet(f"{folder}-ledger").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"), F.lit(1 - batches).alias("dropped_before_ledger"))
+
+
+@query("""select 'users' as target, event_id as id, op as what from v_changes union all select 'transactions', event_id, status from v_observations union all select 'schemas', cast(s as varchar), 'seen' from (select distinct user_id % 3 + 1 as s from v_changes)""")
+def stream_entity_tables(v: Views) -> DataFrame:
+    """A log of changes and transaction marks fanned out to three tables; the first try crashes between two of them."""
+    c = v.changes.select("topic", "partition", "offset", "event_id", "source_ts", F.col("op").alias("what"), (F.col("user_id") % 3 + 1).alias("schema_id"))
+    o = v.observations.select(F.lit("tx").alias("topic"), F.lit(0).cast("bigint").alias("partition"), "offset", "event_id", F.col("recorded_at").alias("source_ts"), F.col("status").alias("what"), F.lit(None).cast("bigint").alias("schema_id"))
+    bring, read, folder = _arriving(v, c.unionByName(o), 2)
+    for i in (0, 1):
+        bring(i)
+    tables = commits.CommittedTables(v.spark, f"{folder}-tables", "1")
+    kept = ("event_id", "what")
+    tries = []
+
+    def transactions_of(batch: DataFrame) -> DataFrame:
+        tries.append(1)
+        crash = F.raise_error(F.lit("planted")).cast("string").alias("what")  # when it is written, after the other tables
+        return batch.select("event_id", crash if len(tries) == 1 else "what")
+
+    def users(batch: DataFrame) -> dict[str, DataFrame]:
+        seen = batch.select(F.col("schema_id").cast("string").alias("event_id"), F.lit("seen").alias("what")).distinct()
+        return {"users": batch.select(*kept), "schemas": seen}
+
+    write = commits.fan_out(tables, {"cdc.users": users, "tx": transactions_of})
+    start = lambda: capture.start(read(), f"fan_{uuid.uuid4().hex}", capture.checkpoint_for(f"{folder}-checkpoints", "fan", "1"), write, contract="1")
+    try:
+        start().awaitTermination()
+    except Exception:
+        if tables.files("users") or len(tries) != 1 or tables.failures().count() != 1:
+            raise
+    start().awaitTermination()
+    out = None
+    for name in ("users", "transactions", "schemas"):
+        rows = tables.read("tx" if name == "transactions" else name, "event_id string, what string").select(F.lit(name).alias("target"), F.col("event_id").alias("id"), "what")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- publication ----------------------------------------------------------------------------------
 _PUBLISHED = "(select seq from (select seq, arg_max(status, recorded_at) as status from v_markers group by 1) where status = 'PUBLISHED')"
 

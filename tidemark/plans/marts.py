@@ -45,17 +45,20 @@ def payment_allocation(v: Views) -> DataFrame:
 
 
 @query("""select md5(i.order_id || '|' || i.item_no) as item_key, i.order_id, i.item_no, o.customer_id, c.unique_id, d.version_key as customer_version_key, md5(cast(s.seller_id as varchar)) as seller_key,
-    md5(cast(i.product_id as varchar)) as product_key, md5(o.status) as status_key,
+    md5(cast(i.product_id as varchar)) as product_key, p.version_key as product_version_key, md5(o.status) as status_key,
     cast(strftime(purchase, '%Y%m%d') as int) as purchase_date_key, cast(strftime(approved, '%Y%m%d') as int) as approved_date_key, cast(strftime(delivered, '%Y%m%d') as int) as delivered_date_key, cast(strftime(estimated, '%Y%m%d') as int) as estimated_date_key,
     i.price_cents, i.freight_cents, a.allocated_cents, cast(date_diff('day', cast(purchase as date), cast(delivered as date)) as int) as delivery_days, cast(date_diff('day', cast(estimated as date), cast(delivered as date)) as int) as delay_days,
     cast(cast(delivered as date) > cast(estimated as date) as int) as is_late
     from v_items i join v_orders o using (order_id) left join v_customers c using (customer_id) left join v_allocation a on a.order_id = i.order_id and a.item_no = i.item_no left join v_sellers s on s.seller_id = i.seller_id
-    left join (select user_id, valid_from, valid_to, md5(user_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_scd2) d on d.user_id = c.unique_id and o.purchase >= d.valid_from and o.purchase < coalesce(d.valid_to, timestamp '2299-12-31')""")
+    left join (select user_id, valid_from, valid_to, md5(user_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_scd2) d on d.user_id = c.unique_id and o.purchase >= d.valid_from and o.purchase < coalesce(d.valid_to, timestamp '2299-12-31')
+    left join (select product_id, valid_from, valid_to, md5(product_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_product) p on p.product_id = i.product_id % 200 and o.purchase >= p.valid_from and o.purchase < coalesce(p.valid_to, timestamp '2299-12-31')""")
 def fact_order_items(v: Views) -> DataFrame:
     key = hash_key("user_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     dim = user_versions(v).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to", key.alias("version_key"))
-    items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents")
-    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim)
+    items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents").withColumn("listing_id", F.col("product_id") % 200)
+    key = hash_key("product_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    products = versions.scd2(product_events(v), "product_id", ORDER, F.col("category")).select(F.col("product_id").alias("listing_id"), "valid_from", "valid_to", key.alias("product_version_key"))
+    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim, products)
 
 
 @query("""select cast(strftime(d, '%Y%m%d') as int) as date_key, d as date, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month, rpad(monthname(d), 9, ' ') as month_name, cast(weekofyear(d) as int) as week,

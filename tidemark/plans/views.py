@@ -124,6 +124,10 @@ SQL = {
         select * from (select *, row_number() over (partition by user_id, valid_from order by source_ts desc, partition desc, "offset" desc) as n from (
         select *, case when is_snapshot or source_ts = min(source_ts) over (partition by user_id) then timestamp '1900-01-01 00:00:00' else source_ts end as valid_from,
         md5(event_type || '|' || (value_cents // 20000)) || '|' || is_deleted as version_hash from v_changes)) where n = 1)) where before is null or before <> version_hash)) where not is_deleted""",
+    "v_product": """select * from (select *, lead(valid_from) over (partition by product_id order by valid_from) as valid_to from (select * from (select *, lag(vh) over (partition by product_id order by valid_from) as b from (
+        select *, category || '|' || is_deleted as vh from (select *, case when is_snapshot or source_ts = min(source_ts) over (partition by product_id) then timestamp '1900-01-01 00:00:00' else source_ts end as valid_from from (
+        select user_id % 200 as product_id, 'cat' || ((value_cents // 100) % 7) as category, source_ts, partition, "offset", is_snapshot, is_deleted from v_changes where user_id % 2 = 0))
+        qualify row_number() over (partition by product_id, valid_from order by source_ts desc, partition desc, "offset" desc) = 1)) where b is null or b <> vh)) where not is_deleted""",
     "v_daily": """select *, price_cents + freight_cents as gross_cents, cast(floor(cast(paid_cents as double) / cast(orders as double) + 0.5::double) as bigint) as average_order_cents from (
         select purchase_day, cast(sum(items) as bigint) as items, count(*) as orders, count(distinct customer_id) as customers, count(*) filter (where status = 'delivered') as delivered_orders, count(*) filter (where status in ('canceled', 'unavailable')) as failed_orders,
         cast(sum(price_cents) as bigint) as price_cents, cast(sum(freight_cents) as bigint) as freight_cents, cast(sum(paid_cents) as bigint) as paid_cents from (

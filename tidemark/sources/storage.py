@@ -59,6 +59,33 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a folder, without those of its subfolders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    found, out = store.listStatusIterator(folder), []
+    while found.hasNext():
+        status = found.next()
+        if status.isFile() and not status.getPath().getName().startswith(("_", ".")):
+            out.append(status.getPath().toString())
+    return sorted(out)
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that appears whole or not at all; false if it is there already."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(target):
+        return False
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent().toString()}/.{uuid.uuid4().hex}")
+    out = store.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return bool(store.rename(beside, target))
+
+
 def read_log(spark: SparkSession, topics: Sequence[str], servers: str | None = None, path: str | None = None, streaming: bool = True) -> DataFrame:
     """Log records of some topics: from brokers where a connector is at hand, else from files of the same columns."""
     reader = spark.readStream if streaming else spark.read

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.operators.ledger import dedupe_exact, progress_rows
-from tidemark.sources.storage import append_new, parse_offsets
+from tidemark.operators.ledger import progress_rows
+from tidemark.sources.ledger_files import LedgerFiles
+from tidemark.sources.storage import append_new, drop_saved, parse_offsets
 
 #: Error classes of a batch.
 TRANSIENT, RECORD, FATAL = "transient", "record", "fatal"
@@ -22,8 +23,13 @@ def checkpoint_for(root: str, query: str, contract_version: str) -> str:
     return f"{root.rstrip('/')}/{query}/{contract_version}"
 
 
-def start(stream: DataFrame, name: str, checkpoint: str, write: Callable[[DataFrame, int], None], seconds: int | None = None) -> StreamingQuery:
-    """A named query that hands batches to ``write``: every ``seconds``, or all there is and then an end."""
+def start(stream: DataFrame, name: str, checkpoint: str, write: Callable[[DataFrame, int], None], seconds: int | None = None, contract: str | None = None) -> StreamingQuery:
+    """A named query that hands batches to ``write``: every ``seconds``, or all there is and then an end.
+
+    With ``contract``, its fingerprint, a checkpoint that another contract has marked is refused.
+    """
+    if contract is not None:
+        claim_checkpoint(stream.sparkSession, checkpoint, contract)
     writer = stream.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
@@ -42,48 +48,20 @@ def claim_checkpoint(spark: SparkSession, path: str, contract: str) -> None:
     out.close()
 
 
-def refuse_conflicts(rows: DataFrame, key: str, batch_id: int) -> None:
-    """Fail a batch that holds differing copies of one event."""
-    _, conflicts = dedupe_exact(rows, key, [c for c in rows.columns if c != key])
-    if conflicts.limit(1).count():
-        raise ValueError(f"copies of one {key} differ in batch {batch_id}")
-
-
-def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ("event_id",), within: str | None = "offset") -> Callable[[DataFrame, int], None]:
+def ledger_writer(target: str, progress: str, project: Callable[[DataFrame], DataFrame], keys: Sequence[str] = ("event_id",), payload: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """Appends a batch's new events to the ledger, and its progress with the batch's number.
 
-    A batch that is tried again finds its events in place and appends nothing. One whose copies of an
-    event differ fails, and nothing of it is written. Copies of an event have one offset, so only the
-    batch's range of offsets is read of the ledger; for keys of which that is not so, ``within`` is None.
+    A batch that is tried again finds its events in place and appends nothing. One in which copies of an
+    event differ, from each other or from the ledger's, fails, and nothing of it is written. Of the ledger
+    only files are read that may hold the batch's ids; the batch is computed once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = project(batch)
-        refuse_conflicts(rows, keys[0], batch_id)
-        append_new(rows, target, keys, within)
-        append_new(progress_rows(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")), progress, ("topic", "partition", "batch_id"), within="batch_id")
-
-    return write
-
-
-def fan_out(target: str, normalizers: dict[str, Callable[[DataFrame], DataFrame]], within: str | None = None) -> Callable[[DataFrame, int], None]:
-    """One scan of a batch for all topics: each topic's rows go through its normalizer to one ledger.
-
-    Schema capture and transaction states are normalizers of their topics like entities. A topic that
-    nobody handles fails the batch, and so do differing copies of one event. ``within`` is a column that
-    copies of an event have in common in all topics, if there is one: less of the ledger is read then.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        lost = batch.where(~F.coalesce(F.col("topic").isin(*normalizers), F.lit(False))).groupBy("topic").count().orderBy("topic").limit(5).collect()
-        if lost:
-            raise ValueError(f"nothing handles the records of {[(r['topic'], r['count']) for r in lost]}")
-        whole = None
-        for topic, normalize in normalizers.items():
-            rows = normalize(batch.where(F.col("topic") == topic))
-            whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
-        refuse_conflicts(whole, "event_id", batch_id)
-        append_new(whole, target, ("event_id",), within)
+        table = LedgerFiles(rows.sparkSession, target, keys, payload)
+        ends = table.append(rows, progress_rows)
+        append_new(ends.withColumn("batch_id", F.lit(batch_id).cast("bigint")), progress, ("topic", "partition", "batch_id"), within="batch_id")
+        drop_saved(ends)
 
     return write
 
@@ -96,13 +74,13 @@ def classify_error(code: str) -> str:
 
 
 class ProgressListener(StreamingQueryListener):
-    """Collects one small row per batch or end: name, id, state, batch, rows, end offsets JSON and error.
+    """Collects one small row per batch or end: name, id, state, batch, rows, end offsets JSON, error, and the rows and bytes that the query keeps as state.
 
     ``take`` hands the rows over and forgets them, so a caller that appends them to a table now and then
     keeps the driver's list short.
     """
 
-    SCHEMA = "name string, query_id string, state string, batch_id bigint, n_rows bigint, end_offsets string, error string"
+    SCHEMA = "name string, query_id string, state string, batch_id bigint, n_rows bigint, end_offsets string, error string, state_rows bigint, state_bytes bigint"
 
     def __init__(self):
         self.rows: list[tuple] = []
@@ -113,11 +91,11 @@ class ProgressListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         self.names[str(p.id)] = p.name or ""
-        self.rows.append((p.name or "", str(p.id), "RUNNING", p.batchId, p.numInputRows, p.sources[0].endOffset if p.sources else "{}", None))
+        self.rows.append((p.name or "", str(p.id), "RUNNING", p.batchId, p.numInputRows, p.sources[0].endOffset if p.sources else "{}", None, sum(s.numRowsTotal for s in p.stateOperators), sum(s.memoryUsedBytes for s in p.stateOperators)))
 
     def onQueryTerminated(self, event) -> None:
         name = self.names.pop(str(event.id), "")
-        self.rows.append((name, str(event.id), "FAILED" if event.exception else "TERMINATED", None, None, "{}", event.exception))
+        self.rows.append((name, str(event.id), "FAILED" if event.exception else "TERMINATED", None, None, "{}", event.exception, None, None))
 
     def take(self, spark) -> DataFrame:
         rows, self.rows = self.rows, []
