@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -88,6 +89,42 @@ def test_squeezed_numbers_come_back():
     assert len(lm.expand(lm.squeeze(x[:0]), np.uint64)) == 0
 
 
+class Dense:
+    """A model given as a whole table."""
+
+    def __init__(self, logs):
+        self.logs = logs
+
+    def table(self, features):
+        return self.logs[:, features].T
+
+
+def test_the_model_holds_what_was_seen():
+    rng = np.random.default_rng(6)
+    n = rng.integers(0, 4, (3, langid.FEATURES)) * (rng.random((3, langid.FEATURES)) < 0.01)
+    n[:, 7] = 0
+    language, feature = np.nonzero(n)
+    mixed = rng.permutation(len(language))
+    model = langid.Model(["a", "b", "c"], language[mixed], feature[mixed], n[language, feature][mixed].astype(float))
+    want = np.log((n + langid.SMOOTHING) / (n.sum(axis=1, keepdims=True) + langid.SMOOTHING * langid.FEATURES))
+    some = np.append(rng.integers(0, langid.FEATURES, 900), [7, 0, langid.FEATURES - 1])
+    assert np.allclose(model.table(some), want[:, some].T)
+
+
+def test_hundreds_of_languages_and_documents_without_letters(spark, monkeypatch):
+    rng = random.Random(8)
+    made = {f"l{k:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for k in range(300)}
+    text = lambda k: " ".join(rng.choice(made[k]) for _ in range(60))
+    rows = [(i, text(k), k) for i, k in enumerate([*made, *made, *made])]
+    odd = [(9000, "½ ² ① 12 --", None), (9001, "٣٤ ௧ 一", None), (9002, "Ⅷ ⅷ", None), (9003, "中文", None), (9004, "", None)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    for table in (langid.TABLE, 5000):  # documents together, and one at a time
+        monkeypatch.setattr(langid, "TABLE", table)
+        got = {r.doc_id: r.lang_pred for r in langid.identify(docs, docs.where("doc_id < 600"), ["doc_id"]).collect()}
+        assert sum(got[i] == k for i, _, k in rows if i >= 600) >= 297
+        assert [got[i] == "und" for i in range(9000, 9005)] == [True, False, True, False, True]  # 一 is a letter, Roman numerals are not
+
+
 def test_languages(spark):
     docs = fixtures.table(spark, n=300)
     got = {r.doc_id: r for r in langid.identify(docs, docs.where("doc_id % 4 <> 1"), ["doc_id", "source"]).collect()}
@@ -100,17 +137,17 @@ def test_languages(spark):
 
 def test_predictions_follow_from_the_text_alone(spark):
     docs = fixtures.table(spark, n=300)
-    languages, logs = langid.train(docs.where("lang is not null and text is not null"))
+    learned = langid.train(docs.where("lang is not null and text is not null"))
     words = ["la", "de", "es", "the", "éa", "x", "", "would"]
     rows = [(i, words[i % 8] * (1 + i % 3)) for i in range(70_000)]
     table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).cache()
     table.count()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
     try:
-        one = {tuple(r) for r in langid.predict(table, languages, logs, ["text"]).distinct().collect()}
+        one = {tuple(r) for r in langid.predict(table, learned, ["text"]).distinct().collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    two = {tuple(r) for r in langid.predict(table.repartition(7), languages, logs, ["text"]).distinct().collect()}
+    two = {tuple(r) for r in langid.predict(table.repartition(7), learned, ["text"]).distinct().collect()}
     assert one == two and len(one) == len({r[1] for r in rows})
 
 
@@ -122,7 +159,7 @@ def test_proportions_are_those_of_plain_rounds():
     for _ in range(langid.ROUNDS):
         weights = share * np.exp(logs.T)
         share = (counts[:, None] * weights / weights.sum(axis=1, keepdims=True)).sum(axis=0) / counts.sum()
-    found, likelihood = langid.Mixture(logs, np.arange(60), counts, np.array([0])).fit(np.full((1, 3), 1 / 3, np.float32), langid.ROUNDS)
+    found, likelihood = langid.Mixture(Dense(logs), np.arange(60), counts, np.array([0])).fit(np.full((1, 3), 1 / 3, np.float32), langid.ROUNDS)
     assert np.allclose(found[0], share, atol=1e-3)
     assert math.isclose(likelihood[0], float((counts * np.log(np.exp(logs.T) @ share)).sum()), rel_tol=1e-3)
 
@@ -132,9 +169,9 @@ def test_a_mixed_text_has_both_languages():
     logs = np.log(np.full((2, langid.FEATURES), 1e-6))
     logs[0, :50] = logs[1, 50:100] = math.log(0.02)
     counts = np.ones(100)
-    share = langid.infer(logs, langid.Mixture(logs, np.arange(100), counts * rng.integers(5, 9, 100), np.array([0])))
+    share = langid.infer(langid.Mixture(Dense(logs), np.arange(100), counts * rng.integers(5, 9, 100), np.array([0])))
     assert 0.4 < share[0, 0] < 0.6
-    alone = langid.infer(logs, langid.Mixture(logs, np.arange(50), counts[:50] * 8, np.array([0])))
+    alone = langid.infer(langid.Mixture(Dense(logs), np.arange(50), counts[:50] * 8, np.array([0])))
     assert alone[0].tolist() == [1, 0]
 
 

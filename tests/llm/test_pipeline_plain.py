@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -15,7 +16,6 @@ from tests.llm.test_text_dedup import near_groups
 from tidemark.llm import langid, secrets
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]")
-LETTER = re.compile(r"[^\W\d_]")
 RULES = [(kind, re.compile(pattern), least) for kind, pattern, least in (*secrets.BASE, *secrets.EXTRA)]
 
 
@@ -52,7 +52,7 @@ def plain_languages(rows):
     out = []
     for _, text, *_ in rows:
         found = trigrams(text or "")
-        if not LETTER.search(text or ""):
+        if not any(unicodedata.category(c).startswith("L") for c in text or ""):
             out.append(("und", 0.0))
             continue
         like = [[(counts[k][f] + langid.SMOOTHING) / whole[k] for k in languages] for f in found]

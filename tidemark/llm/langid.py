@@ -6,31 +6,37 @@ likelihoods, and the language set is the one of the nested sets (languages by fa
 with the best likelihood less a penalty for each further language. The prediction is the set's
 largest language, the score its proportion.
 
-Cases: a null text, or one without a letter, gives ``und`` and 0; without labelled documents every
-row does; of more than LANGUAGES labels the most frequent are learned. Whole texts count, however long; ties go to the language that sorts first; repeated rows
-are judged one by one; an empty table gives no rows; extra columns are ignored.
+The model holds the trigrams that each language has been seen with, so it grows with what is learned
+and not with languages times features; a few documents at a time are held against all languages, so
+their number is not bounded (TABLE numbers at once, or those of one document).
+
+Cases: a null text, or one without a letter (Unicode category L; digits of any kind are none), gives
+``und`` and 0; without labelled documents every row does. Whole texts count, however long; ties go to
+the language that sorts first; repeated rows are judged one by one; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import buffers, slices
 from tidemark.llm.shared import documents
 
-#: Hashed trigrams; labelled documents used for each language (the bound of the training sample); languages
-#: learned at most, the most frequent ones (the bound of the model: 512 KB each).
-FEATURES, TRAIN_DOCS, LANGUAGES = 1 << 16, 4000, 200
+#: Hashed trigrams; labelled documents used for each language (the bound of the training sample).
+FEATURES, TRAIN_DOCS = 1 << 16, 4000
+#: Numbers of trigrams times languages that are worked on together.
+TABLE = 1 << 22
 #: Added count of each trigram; EM rounds; penalty of a further language: a share of the trigrams and BIC's half log.
 SMOOTHING, ROUNDS, SHARE_PENALTY = 0.05, 12, 0.004
 SLICE_BYTES = 2 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[65:91] = np.arange(97, 123)
@@ -60,21 +66,36 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (rows[keep] << np.uint64(16)) | (h[keep] >> np.uint32(16))
 
 
-def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
-    """Languages and their trigrams' log probabilities, from up to about ``per_language`` documents each.
+class Model:
+    """Languages in order, and log probabilities of the trigrams each has been seen with; the others share one."""
+
+    def __init__(self, languages: list[str], language: np.ndarray, feature: np.ndarray, n: np.ndarray):
+        self.languages = languages
+        total = SMOOTHING * FEATURES + np.bincount(language, n, len(languages))
+        self.unseen = np.log(SMOOTHING / total)
+        order = np.lexsort((language, feature))
+        self.language, self.logs = language[order].astype(np.int32), np.log((SMOOTHING + n[order]) / total[language[order]])
+        self.start = np.searchsorted(feature[order], np.arange(FEATURES + 1))
+
+    def table(self, features: np.ndarray) -> np.ndarray:
+        """Log probabilities of some trigrams, (trigrams, languages)."""
+        out = np.tile(self.unseen, (len(features), 1))
+        first, size = self.start[features], self.start[features + 1] - self.start[features]
+        row = np.repeat(np.arange(len(features)), size)
+        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(len(row))
+        out[row, self.language[at]] = self.logs[at]
+        return out
+
+
+def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
+    """The model of up to about ``per_language`` documents of each language.
 
     The documents with the lowest hashes of their ids are taken, by a share that each language's count
-    sets; the counts themselves are over all rows. What comes to the driver is languages x FEATURES.
+    sets; the counts themselves are over all rows. What comes to the driver is the model.
     """
-    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    counts = {r["lang"]: r["count"] for r in most.collect()}
-    languages = sorted(counts)
-    if not languages:
-        return [], np.zeros((0, FEATURES))
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
+    counts = labelled.groupBy("lang").count().select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(per_language) / F.col("count")).alias("_share"))
+    languages = sorted(r["_lang"] for r in counts.select("_lang").collect())
+    chosen = labelled.join(counts, F.col("lang") == F.col("_lang")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.col("_share") * 1_000_003)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -92,16 +113,15 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at)), "feature": pa.array(at, pa.int32()), "n": pa.array(found[at], pa.int64())})
 
     sums = chosen.select("lang", "text").mapInArrow(count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
-    table = np.full((len(languages), FEATURES), SMOOTHING)
-    table[sums["lang"].map(languages.index).to_numpy(int), sums["feature"].to_numpy()] += sums["n"].to_numpy()
-    return languages, np.log(table / table.sum(axis=1, keepdims=True))
+    place = {lang: i for i, lang in enumerate(languages)}
+    return Model(languages, sums["lang"].map(place).to_numpy(np.int64), sums["feature"].to_numpy(np.int64), sums["n"].to_numpy(np.float64))
 
 
 class Mixture:
     """Expectation-maximisation over the distinct trigrams of several documents at once."""
 
-    def __init__(self, logs: np.ndarray, features: np.ndarray, counts: np.ndarray, starts: np.ndarray):
-        found = logs[:, features].T
+    def __init__(self, model: Model, features: np.ndarray, counts: np.ndarray, starts: np.ndarray):
+        found = model.table(features)
         self.top = found.max(axis=1)
         self.like = np.exp(found - self.top[:, None]).astype(np.float32)
         self.counts, self.starts = counts.astype(np.float32), starts
@@ -129,7 +149,7 @@ class Mixture:
         return out
 
 
-def infer(logs: np.ndarray, mixture: Mixture) -> np.ndarray:
+def infer(mixture: Mixture) -> np.ndarray:
     """Each document's proportions over its chosen language set."""
     n, languages = mixture.single.shape
     best = mixture.single.argmax(axis=1)
@@ -146,6 +166,8 @@ def infer(logs: np.ndarray, mixture: Mixture) -> np.ndarray:
         rank = np.argsort(np.argsort(-full[at], axis=1, kind="stable"), axis=1)
         held, held_score = share[at], score[at]
         for size in range(2, languages + 1):
+            if not (some.fixed - (size - 1) * penalty[at] > held_score).any():  # no set of this size can be better
+                break
             start = np.where(rank < size, full[at] + 1e-6, 0).astype(np.float32)
             fitted, found = some.fit(start / start.sum(axis=1, keepdims=True), 6)
             found = found - (size - 1) * penalty[at]
@@ -158,13 +180,14 @@ def infer(logs: np.ndarray, mixture: Mixture) -> np.ndarray:
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
-def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(docs: DataFrame, learned: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``keep`` columns of ``docs`` and, as ``names``, the language and its score, from ``text`` alone."""
-    model = docs.sparkSession.sparkContext.broadcast((languages, logs))
+    model = docs.sparkSession.sparkContext.broadcast(learned)
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, logs = model.value
+        known = model.value
+        languages = known.languages
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             found, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
@@ -176,11 +199,17 @@ def predict(docs: DataFrame, languages: list[str], logs: np.ndarray, keep: list[
                 counts = np.diff(np.append(first, len(keys))).astype(float)
                 rows = (keys[first] >> np.uint64(16)).astype(np.int64)
                 starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-                share = infer(logs, Mixture(logs, (keys[first] & np.uint64(0xFFFF)).astype(np.int64), counts, starts))
-                for i, row in enumerate(rows[starts].tolist()):
-                    if _has_letter(data[offsets[lo + row] : offsets[lo + row + 1]]):
-                        at = int(share[i].argmax())
-                        found[lo + row], scores[lo + row] = languages[at], min(1.0, float(share[i, at]))
+                ends = np.append(starts[1:], len(first))
+                low = 0
+                while low < len(starts):  # documents whose trigrams fit the table together, one at least
+                    high = max(low + 1, int(np.searchsorted(ends, starts[low] + TABLE // len(languages), "right")))
+                    part = slice(starts[low], ends[high - 1])
+                    share = infer(Mixture(known, (keys[first[part]] & np.uint64(0xFFFF)).astype(np.int64), counts[part], starts[low:high] - starts[low]))
+                    for i, row in enumerate(rows[starts[low:high]].tolist()):
+                        if _has_letter(data[offsets[lo + row] : offsets[lo + row + 1]]):
+                            at = int(share[i].argmax())
+                            found[lo + row], scores[lo + row] = languages[at], min(1.0, float(share[i, at]))
+                    low = high
             columns = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(scores)], [*keep, *names])
 
@@ -198,7 +227,7 @@ def held_out():
 def identify(docs: DataFrame, training: DataFrame, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Train on ``training`` (doc_id, text, lang) and predict ``docs``."""
     labelled = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return predict(docs, *train(labelled), keep, names)
+    return predict(docs, train(labelled), keep, names)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
