@@ -31,6 +31,8 @@ from tidemark.llm.shared import documents
 
 #: Hashed trigrams; labelled documents used for each language (the bound of the training sample).
 FEATURES, TRAIN_DOCS = 1 << 16, 4000
+#: Languages whose shares are sent to every task; with more, labelled rows meet them in a shuffled join.
+SENT = 100_000
 #: Numbers of trigrams times languages that are worked on together.
 TABLE = 1 << 22
 #: Added count of each trigram; EM rounds; penalty of a further language: a share of the trigrams and BIC's half log.
@@ -95,6 +97,8 @@ def train(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     """
     counts = labelled.groupBy("lang").count().select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(per_language) / F.col("count")).alias("_share"))
     languages = sorted(r["_lang"] for r in counts.select("_lang").collect())
+    if len(languages) <= SENT:
+        counts = F.broadcast(counts)  # two values a language; the texts stay where they are
     chosen = labelled.join(counts, F.col("lang") == F.col("_lang")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.col("_share") * 1_000_003)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
