@@ -9,6 +9,7 @@ import pytest
 
 from tests.llm import fixtures
 from tidemark.llm import bpe, media, packing, secrets
+from tidemark.llm.arrow_text import buffers
 
 PATH = bpe.default_tokenizer()
 
@@ -142,3 +143,22 @@ def test_empty_tables(spark):
     assert packing.pack(none, PATH).count() == 0
     assert bpe.encode_documents(none, PATH).count() == 0
     assert secrets.scan_secrets(none).count() == 0
+
+
+@pytest.mark.parametrize("piece, kept", [(7, 3), (16, 8), (64, 128), (2048, 128)])
+def test_pieces_are_scanned_as_whole_texts_are(monkeypatch, piece, kept):
+    monkeypatch.setattr(secrets, "PIECE", piece)
+    monkeypatch.setattr(secrets, "KEPT", kept)
+    machine, rng = secrets.scanner(), random.Random(piece)
+    parts = ['password = "abcDEF123456+/"', "AKIA" + "ABCD1234" * 3, "0123456789abcdef" * 9, " token:", "x", "the ", "api_key=", "     ", "-----BEGIN RSA PRIVATE KEY-----", "eyJhbGciOi.eyJzdWIi.abc" * 2, "https://user:pass12345@host ", "é", "a" * 300]
+    for _ in range(40):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(0, 6))]
+        data, offsets = buffers(pa.array(texts, pa.string()))
+        want = []
+        for row, text in enumerate(texts):
+            state = 0
+            for place, byte in enumerate(text.encode(), 1):
+                state = machine.table[state + byte]
+                if machine.marks[state >> 8]:
+                    want.append((row, place, machine.marks[state >> 8]))
+        assert list(machine.hits(data, offsets)) == want

@@ -39,8 +39,8 @@ EXTRA = (
     ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 27),
     ("login", r"://[A-Za-z0-9._-]+:[A-Za-z0-9._!%-]+@", 12),
 )
-#: Bytes scanned at once.
-SCAN_BYTES = 4 << 20
+#: Bytes scanned at once; of a piece, whose row's pieces are scanned side by side; first states of pieces that are kept.
+SCAN_BYTES, PIECE, KEPT = 4 << 20, 2048, 128
 
 
 class Nfa:
@@ -226,6 +226,7 @@ class Scanner:
             starts.append(a)
             accepts[b] = 1 << k
         self.moves, self.masks = determinise(nfa, starts, accepts, True)
+        self.table, self.marks, self.accepting = self.moves.tolist(), self.masks.tolist(), self.masks != 0
         self.ahead, self.back = [], []
         for _, pattern, _ in rules:
             one = Nfa()
@@ -234,33 +235,54 @@ class Scanner:
             self.back.append(determinise(one.reverse(), [b], {a: 1}, False))
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(row, end, mask) wherever some rule accepts: one pass, the rows side by side in lanes."""
+        """(row, end, mask) wherever some rule accepts, by row and place: one pass, pieces of the rows side by side.
+
+        A row's later pieces are begun in the first state. Where the piece before has ended in another one,
+        a piece is read again from that until both ways are in one state, mostly after a few bytes.
+        """
         lengths = np.diff(offsets)
-        order = np.argsort(-lengths, kind="stable")
-        at, left = offsets[:-1][order].copy(), lengths[order]
-        alive = np.searchsorted(-left, -np.arange(int(left[0]) if len(left) else 0), "left")
-        state = np.zeros(len(order), np.int32)
-        moves, accepting = self.moves, self.masks != 0
-        wide = np.repeat(accepting, 256)
+        count = -(-lengths // PIECE)
+        row = np.repeat(np.arange(len(lengths)), count)
+        skip = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * PIECE
+        begin, left = offsets[:-1][row] + skip, np.minimum(PIECE, lengths[row] - skip)
+        if not len(row):
+            return
+        order = np.argsort(-left, kind="stable")
+        at = begin[order]
+        alive = np.searchsorted(-left[order], -np.arange(int(left.max())), "left")
+        state, path, found = np.zeros(len(order), np.int32), [], [np.zeros((3, 0), np.int64)]
+        wide = np.repeat(self.accepting, 256)
         for i, n in enumerate(alive.tolist()):
-            if n < 4:
-                break
-            s = moves[state[:n] + data[at[:n] + i]]
+            s = self.moves[state[:n] + data[at[:n] + i]]
             state[:n] = s
+            if i < KEPT:
+                path.append(s)
             flagged = wide[s]
             if flagged.any():
-                for lane in np.flatnonzero(flagged).tolist():
-                    yield int(order[lane]), i + 1, int(self.masks[s[lane] >> 8])
-        else:
-            return
-        table, masks = moves.tolist(), self.masks.tolist()
-        for lane in range(int(alive[i])):  # the few longest texts, one after another
-            s, row = int(state[lane]), int(order[lane])
-            begin = int(at[lane])
-            for j, byte in enumerate(data[begin + i : begin + int(left[lane])].tobytes(), i + 1):
-                s = table[s + byte]
-                if masks[s >> 8]:
-                    yield row, j, masks[s >> 8]
+                lanes = np.flatnonzero(flagged)
+                found.append(np.array([order[lanes], np.full(len(lanes), i), self.masks[s[lanes] >> 8]]))
+        lane = np.empty(len(order), np.int64)
+        lane[order] = np.arange(len(order))
+        ends, holds, again = state[lane], np.zeros(len(order), np.int64), [(0, 0, 0)]
+        for p in np.flatnonzero(skip).tolist():
+            s, k, other = int(ends[p - 1]), int(lane[p]), 0
+            if not s:
+                continue
+            for j, byte in enumerate(data[begin[p] : begin[p] + left[p]].tobytes()):
+                s, other = self.table[s + byte], int(path[j][k]) if j < KEPT else self.table[other + byte]
+                if s == other:
+                    holds[p] = j
+                    break
+                if self.marks[s >> 8]:
+                    again.append((row[p], skip[p] + j + 1, self.marks[s >> 8]))
+            else:
+                holds[p], ends[p] = left[p], s
+        piece, step, mask = np.concatenate(found, axis=1)
+        true = step >= holds[piece]
+        piece, step, mask = piece[true], step[true], mask[true]
+        rows, places, masks = (np.concatenate(x) for x in zip((row[piece], skip[piece] + step + 1, mask), np.array(again[1:], np.int64).reshape(-1, 3).T))
+        for k in np.lexsort((places, rows)).tolist():
+            yield int(rows[k]), int(places[k]), int(masks[k])
 
     def spans(self, text: bytes, ends: list[list[int]]) -> list[tuple[int, int, int]]:
         """(start, end, kind's number) in bytes, given the places where each rule accepted."""
