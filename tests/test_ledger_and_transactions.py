@@ -91,29 +91,23 @@ def test_conflicting_copies_are_held_back(spark):
     assert [r.id for r in good.collect()] == ["a"] and [r.id for r in bad.collect()] == ["b"]
 
 
-def test_bucketed_checksums_tell_order_apart_from_content(spark):
-    a = spark.createDataFrame([("g", "x"), ("g", "y")], "g string, l string")
-    b = spark.createDataFrame([("g", "y"), ("g", "x")], "g string, l string")
-    c = spark.createDataFrame([("g", "y"), ("g", "z")], "g string, l string")
-    for buckets in (None, 4):
-        d = [ledger.event_checksum(x, ["g"], F.col("l"), buckets).first().checksum for x in (a, b, c)]
-        assert d[0] == d[1] != d[2]
-
-
-def test_checksums_stream_groups_that_span_batches(spark):
-    lines = [(i % 3 if i % 3 else None, f"line {i * 7919 % 1000} é" if i % 10 else None) for i in range(1000)]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        df = ledger.event_checksum(spark.createDataFrame(lines, "g int, l string"), ["g"], F.col("l"))
-        got = {r.g: (r.checksum, r.lines) for r in df.collect()}
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_checksums_are_of_leaves_and_not_of_order(spark, digits):
+    lines = [(i % 3 if i % 3 else None, f"line {i * 7919 % 1000} é" if i % 10 else None) for i in range(1000)] + [(7, None), (8, "one"), (8, "one")]
+    frame = spark.createDataFrame(lines, "g int, l string")
+    got = {r.g: (r.checksum, r.lines) for r in ledger.event_checksum(frame.repartition(5), ["g"], F.col("l"), digits).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     want = {}
-    for g in (None, 1, 2):
+    for g in {g for g, _ in lines}:
         own = [x for k, x in lines if k == g]
-        want[g] = (hashlib.sha256("\n".join(sorted(x for x in own if x)).encode()).hexdigest(), len(own))
+        leaves = {}
+        for x in own:
+            if x is not None:
+                leaves.setdefault(sha(x)[:digits], []).append(x)
+        want[g] = (sha("\n".join(sha("\n".join(sorted(leaves[k]))) for k in sorted(leaves))), len(own))
     assert got == want
-    assert "collect_list" not in df._jdf.queryExecution().toString()
+    other = {r.g: r.checksum for r in ledger.event_checksum(frame.withColumn("l", F.when(F.col("l") == "one", "two").otherwise(F.col("l"))), ["g"], F.col("l"), digits).collect()}
+    assert {g for g in want if other[g] != want[g][0]} == {8}
 
 
 def test_status_documents_are_bounded(spark, monkeypatch):

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
 
 from tidemark.functions.frames import coerce, inspect_frame, is_tombstone, record_kind
 from tidemark.functions.values import redact, row_digest
@@ -231,19 +228,22 @@ def parity(left: DataFrame, right: DataFrame, keys: Sequence[str], hash_col: str
     return a.join(b, list(keys), "full_outer").withColumn("difference", kind).where("difference is not null").select(*keys, "difference")
 
 
-def event_checksum(df: DataFrame, group: Sequence[str], line: Column, buckets: int | None = None) -> DataFrame:
-    """Order-insensitive SHA-256 of a group's lines: of the sorted lines joined by line feeds.
+def _sorted_digest(line: str) -> Column:
+    return F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256)
 
-    Sorted lines are streamed through the digest, so no task holds a group; the sort spills. With
-    ``buckets`` the lines are digested per hash bucket first and the group's digest is of those, so that
-    several tasks share a large group; it is another digest then.
+
+def event_checksum(df: DataFrame, group: Sequence[str], line: Column, digits: int = 2) -> DataFrame:
+    """Order-insensitive SHA-256 of a group's lines, by leaves, so that many tasks share a large group.
+
+    A leaf is the lines whose own SHA-256 begins with the same ``digits`` hexadecimal digits; its digest
+    is that of its sorted lines, joined by line feeds, and the group's that of its leaves' digests in
+    order. With more digits leaves get smaller: 16 ** digits of them a group. Null lines count but are not
+    digested.
     """
-    digest = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
-    rows = df.select(*group, line.alias("_line"))
-    if not buckets:
-        return _streamed_digests(rows, list(group))
-    per = rows.groupBy(*group, F.pmod(F.xxhash64("_line"), F.lit(buckets)).alias("_bucket")).agg(digest("_line").alias("_d"), F.count("*").alias("_n"))
-    return per.groupBy(*group).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bucket", "_d"))), lambda x: x["_d"]), "\n"), 256).alias("checksum"), F.sum("_n").alias("lines"))
+    rows = df.select(*group, line.alias("_line")).withColumn("_leaf", F.substring(F.sha2("_line", 256), 1, digits))
+    leaves = rows.groupBy(*group, "_leaf").agg(_sorted_digest("_line").alias("_d"), F.count("*").alias("_n"))
+    found = F.array_sort(F.collect_list(F.when(F.col("_leaf").isNotNull(), F.struct("_leaf", "_d"))))
+    return leaves.groupBy(*group).agg(F.sha2(F.array_join(F.transform(found, lambda x: x["_d"]), "\n"), 256).alias("checksum"), F.sum("_n").alias("lines"))
 
 
 def entity_results(expected: DataFrame, rows: DataFrame, keys: Sequence[str], line: Column, order: Column, span: int = 10_000) -> DataFrame:
@@ -256,7 +256,8 @@ def entity_results(expected: DataFrame, rows: DataFrame, keys: Sequence[str], li
     """
     per = rows.groupBy("entity", *keys).agg(F.count("*").alias("_n"), F.max_by("is_deleted", order).alias("_gone"))
     have = per.groupBy("entity").agg(F.sum("_n").alias("materialized_events"), F.count("*").alias("affected_keys"), F.count_if(~F.col("_gone")).alias("current_rows"))
-    parts = event_checksum(rows.withColumn("_span", F.floor(F.col("offset") / span)), ["entity", "partition", "_span"], line)
+    lines = rows.select("entity", "partition", F.floor(F.col("offset") / span).alias("_span"), line.alias("_line"))
+    parts = lines.groupBy("entity", "partition", "_span").agg(_sorted_digest("_line").alias("checksum"))  # a span has as many lines as offsets
     sums = parts.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("partition", "_span", "checksum"))).alias("_s"))
     sums = sums.select("entity", F.sha2(F.array_join(F.transform("_s", lambda x: x["checksum"]), "\n"), 256).alias("checksum"))
     both = expected.select("entity", F.col("expected_events").alias("_e")).join(have, "entity", "full_outer").join(sums, "entity", "left")
@@ -268,41 +269,6 @@ def entity_results(expected: DataFrame, rows: DataFrame, keys: Sequence[str], li
     )
 
 
-def _streamed_digests(rows: DataFrame, group: list[str]) -> DataFrame:
-    """The group, the digest of its sorted lines and their number; null lines count but are not digested."""
-    schema = StructType([rows.schema[c] for c in group]).add("checksum", StringType()).add("lines", LongType())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, digest, first, n = None, None, True, 0
-        for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in group)))
-            lines = batch.column("_line").to_pylist()
-            types = [batch.schema.field(c).type for c in group]
-            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-            done = []
-            for a, b in zip(starts, [*starts[1:], len(keys)]):
-                if digest is None or keys[a] != current:
-                    if digest is not None:
-                        done.append((*current, digest.hexdigest(), n))
-                    current, digest, first, n = keys[a], hashlib.sha256(), True, 0
-                n += b - a
-                some = [x for x in lines[a:b] if x is not None]
-                if some:
-                    digest.update((("" if first else "\n") + "\n".join(some)).encode())
-                    first = False
-            if done:
-                yield _digest_rows(done, types, group)
-        if digest is not None:
-            yield _digest_rows([(*current, digest.hexdigest(), n)], types, group)
-
-    return rows.repartition(*group).sortWithinPartitions(*group, "_line").mapInArrow(run, schema)
-
-
-def _digest_rows(done: list[tuple], types: list[pa.DataType], group: list[str]) -> pa.RecordBatch:
-    arrays = [pa.array(c, t) for c, t in zip(zip(*done), [*types, pa.string(), pa.int64()])]
-    return pa.RecordBatch.from_arrays(arrays, [*group, "checksum", "lines"])
-
-
 def with_exists(df: DataFrame, other: DataFrame, key: str, flag: str) -> DataFrame:
     """A boolean column: whether the other table has the row's key."""
     return df.join(other.select(key).distinct().withColumn(flag, F.lit(True)), key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))

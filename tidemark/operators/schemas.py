@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
@@ -75,6 +75,78 @@ def schema_issues(fields: DataFrame) -> DataFrame:
     return found.unionByName(renamed)
 
 
+#: The numeric types that a reader may have for a writer's type.
+WIDER = {"int": ("long", "float", "double"), "long": ("float", "double"), "float": ("double",)}
+
+
+def readable(writer: Column, reader: Column) -> Column:
+    """Whether a reader's type takes a writer's: the same one, or a wider number; Spark's bigint is long."""
+    name = lambda c: F.when(c == "bigint", "long").otherwise(c)
+    out = name(writer).eqNullSafe(name(reader))
+    for narrow, wide in WIDER.items():
+        out = out | ((name(writer) == narrow) & name(reader).isin(*wide))
+    return F.coalesce(out, F.lit(False))
+
+
+def relaxed_schema_issues(fields: DataFrame) -> DataFrame:
+    """Every later version as the reader of every earlier one, by the rules under which data can be read.
+
+    Numbers may become wider, and added fields need a default (``has_default``); a removed field or one
+    of another type, nullability counted, is an issue, and so is another record. ``fields`` has subject,
+    version, path, type, nullable and has_default, and may have ``record`` and ``parent`` as for
+    ``schema_issues``: below a field that is itself an issue nothing more is reported.
+    """
+    versions = fields.select("subject", "version").distinct()
+    pairs = versions.select("subject", F.col("version").alias("old")).join(versions.select("subject", F.col("version").alias("new")), "subject").where("old < new")
+    above = F.col("parent") if "parent" in fields.columns else F.lit("")
+    side = lambda v, n: pairs.join(fields.select("subject", F.col("version").alias(v), "path", F.struct("type", "nullable", "has_default", above.alias("parent")).alias(n)), ["subject", v])
+    both = side("old", "a").join(side("new", "b"), ["subject", "old", "new", "path"], "full_outer")
+    # a union with null is a type of its own; only plain numbers widen
+    same = (F.col("a.type") == F.col("b.type")) & (F.col("a.nullable") == F.col("b.nullable"))
+    wider = readable(F.col("a.type"), F.col("b.type")) & ~F.col("a.nullable") & ~F.col("b.nullable")
+    issue = F.when(F.col("b").isNull(), "removed").when(F.col("a").isNull() & ~F.col("b.has_default"), "no_default").when(F.col("a").isNotNull() & ~(same | wider), "type_change")
+    place = ["subject", "old", "new"]
+    judged = both.withColumn("issue", issue)
+    found = judged.where("issue is not null").select(*place, "path", F.coalesce("a.parent", "b.parent").alias("parent"), "issue")
+    if "parent" in fields.columns:
+        broken = judged.where("issue is not null or a is null or b is null").select(*place, F.col("path").alias("parent"))
+        found = found.join(broken, [*place, "parent"], "left_anti")
+    found = found.select(*place, "path", "issue")
+    if "record" not in fields.columns:
+        return found
+    names = fields.groupBy("subject", "version").agg(F.min("record").alias("record"))
+    named = pairs.join(names.select("subject", F.col("version").alias("old"), F.col("record").alias("_a")), ["subject", "old"]).join(names.select("subject", F.col("version").alias("new"), F.col("record").alias("_b")), ["subject", "new"])
+    return found.unionByName(named.where(~F.col("_a").eqNullSafe(F.col("_b"))).select(*place, F.lit("$").alias("path"), F.lit("record_rename").alias("issue")))
+
+
+def resolve_writers(writers: DataFrame, reader: DataFrame) -> DataFrame:
+    """(schema_id, path, outcome): how one reader takes each field of each writer's schema, at all levels.
+
+    Fields are (path, parent, type, nullable, has_default); writers have a schema_id. A field of both is
+    ``read`` or, as a wider number, ``promoted``; the reader's own is ``defaulted`` if it has a default;
+    a writer's further one is ``added`` if it is nullable with a default. Anything else is
+    ``type_change``, ``dropped`` or ``added_required``. Below a field that only one side has, or that
+    cannot be read, nothing more is told. The reader meets each writer's fields once.
+    """
+    want = reader.select("path", F.struct("parent", "type", "nullable", "has_default").alias("r"))
+    have = writers.select("schema_id", "path", F.struct("parent", "type", "nullable", "has_default").alias("w"))
+    own = have.join(want, "path", "left")
+    fields = F.collect_set("path").alias("_have")
+    missing = have.groupBy("schema_id").agg(fields)
+    listed = want.agg(F.collect_list(F.struct("path", "r")).alias("_want"))  # the reader's fields: one small schema
+    missing = missing.crossJoin(F.broadcast(listed)).select("schema_id", F.explode(F.filter("_want", lambda x: ~F.array_contains(F.col("_have"), x["path"]))).alias("m")).select("schema_id", "m.path", F.lit(None).cast(have.schema["w"].dataType).alias("w"), "m.r")
+    both = own.select("schema_id", "path", "w", "r").unionByName(missing)
+    same = F.col("w.type").eqNullSafe(F.col("r.type")) & ((F.col("w.nullable") == F.col("r.nullable")) | F.col("r.nullable"))
+    wider = readable(F.col("w.type"), F.col("r.type")) & (~F.col("w.nullable") | F.col("r.nullable"))
+    outcome = (
+        F.when(F.col("w").isNull(), F.when(F.col("r.has_default"), "defaulted").otherwise("dropped")).when(F.col("r").isNull(), F.when(F.col("w.nullable") & F.col("w.has_default"), "added").otherwise("added_required"))
+        .when(same, "read").when(wider, "promoted").otherwise("type_change")
+    )
+    judged = both.select("schema_id", "path", F.coalesce("w.parent", "r.parent").alias("parent"), outcome.alias("outcome"))
+    closed = judged.where("outcome not in ('read', 'promoted')").select("schema_id", F.col("path").alias("parent"))
+    return judged.join(closed, ["schema_id", "parent"], "left_anti").select("schema_id", "path", "outcome")
+
+
 def contract_issues(old: DataFrame, new: DataFrame) -> DataFrame:
     """What a later contract may not change: (entity, kind, value, issue).
 

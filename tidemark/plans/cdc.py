@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import frames, values
-from tidemark.operators import checks, ledger, publication, schemas, transactions, versions
+from tidemark.operators import alerts, checks, hashtree, ledger, publication, schemas, transactions, versions
 from tidemark.plans.catalog import query
 from tidemark.plans.views import Views
-from tidemark.sources import storage
+from tidemark.sources import buckets, storage
 from tidemark.sources.ledger_files import LedgerFiles
 from tidemark.streaming import capture, commits, stateful
 
@@ -293,6 +293,37 @@ def load_once(v: Views) -> DataFrame:
     return v.spark.read.parquet(path)
 
 
+def _portions(v: Views, rows: DataFrame, parts: int) -> list[DataFrame]:
+    """The rows in batches whose order has nothing to do with time."""
+    return [rows.where(F.pmod(F.xxhash64("offset"), F.lit(parts)) == i) for i in range(parts)]
+
+
+@query("""select user_id, event_id, "offset", op, value_cents from (select *, row_number() over (partition by user_id order by partition desc, "offset" desc) as n from v_changes) where n = 1 and not is_deleted""")
+def current_by_buckets(v: Views) -> DataFrame:
+    """The current state kept batch by batch, each of which rewrites the buckets of its keys; late rows lose."""
+    c = v.changes.select("user_id", "partition", "event_id", "offset", "op", "value_cents", "is_deleted")
+    table = buckets.BucketedTable(v.spark, f"{storage.shared_dir(v.spark)}/current-{uuid.uuid4().hex}", ["user_id"], c.schema, 16)
+    for batch in _portions(v, c, 3):
+        buckets.apply_current(table, batch, place())
+    return table.read().where("not is_deleted").select("user_id", "event_id", "offset", "op", "value_cents")
+
+
+@query("select user_id, event_id, event_type, value_cents, valid_from, valid_to, valid_to is null as is_current from v_scd2")
+def scd2_by_batches(v: Views) -> DataFrame:
+    """Type-2 versions kept batch by batch, whose events come in any order and split or merge intervals."""
+    names = ["user_id", "source_ts", "partition", "offset", "event_id", "event_type", "value_cents", "is_snapshot", "is_deleted"]
+    attributes = F.md5(F.concat(F.col("event_type"), F.lit("|"), F.expr("cast(value_cents div 20000 as string)")))
+    build = lambda rows: versions.scd2(rows, "user_id", ("source_ts", "partition", "offset"), attributes)
+    c = v.changes.select(*names)
+    root = f"{storage.shared_dir(v.spark)}/scd2-{uuid.uuid4().hex}"
+    kept = ["user_id", "event_id", "event_type", "value_cents", "valid_from", "valid_to", "is_current"]
+    events = buckets.BucketedTable(v.spark, f"{root}/events", ["user_id"], c.schema, 16)
+    intervals = buckets.BucketedTable(v.spark, f"{root}/intervals", ["user_id"], build(c).select(*kept).schema, 16)
+    for batch in _portions(v, c, 3):
+        buckets.apply_intervals(events, intervals, batch, build)
+    return intervals.read()
+
+
 # --- transactions and boundary --------------------------------------------------------------------
 def effective(v: Views) -> DataFrame:
     return transactions.effective_transactions(v.observations)
@@ -468,6 +499,25 @@ def slo_rollup(v: Views) -> DataFrame:
     return ledger.slo_rollup(lag(v), moved, F.timestamp_seconds(F.lit(0)))
 
 
+_SAMPLES = """(select 'series' || (user_id % 50) as series, source_ts as seen, value_cents as lag, value_cents // 10 as publication_age, cast(value_cents % 3 <> 0 as int) as rejected, cast(value_cents % 2 = 0 as int) as active_lease from v_changes)"""
+_ALERTS = (("lag_high", "lag > 10000", 120), ("publication_stalled", "publication_age > 600", 120), ("rejected_boundary", "rejected = 1", 30), ("lease_stalled", "active_lease = 1 and publication_age > 600", 120))
+
+
+@query(f"""select * from (with j as (select series, seen, rule, secs, bool_and(on_) as on_ from ({' union all '.join(f"select series, seen, '{n}' as rule, {k} as secs, {c} as on_ from {_SAMPLES}" for n, c, k in _ALERTS)}) group by 1, 2, 3, 4),
+    i as (select *, sum(cast(not on_ as int)) over (partition by series, rule order by seen) as island, lead(seen) over (partition by series, rule order by seen) as nxt, lead(on_) over (partition by series, rule order by seen) as goes_on from j),
+    s as (select *, min(seen) over (partition by series, rule, island) as since from i where on_)
+    select rule, series, min(since) as since, min(case when seen >= since + to_seconds(secs) then seen end) as fired_at, max(case when not goes_on then nxt end) as until from s group by rule, series, island)""")
+def alert_episodes(v: Views) -> DataFrame:
+    """How long conditions held, over status samples in two batches; what is open at the first one's end goes on."""
+    c = v.changes
+    cents = F.col("value_cents")
+    samples = c.select(F.expr("concat('series', cast(user_id % 50 as string))").alias("series"), F.col("source_ts").alias("at"), cents.alias("lag"), F.expr("value_cents div 10").alias("publication_age"), (cents % 3 != 0).cast("int").alias("rejected"), (cents % 2 == 0).cast("int").alias("active_lease"))
+    middle = samples.agg(F.expr("timestamp_seconds(div(unix_timestamp(cast(min(at) as timestamp)) + unix_timestamp(cast(max(at) as timestamp)), 2))").cast("timestamp_ntz").alias("middle"))
+    both = samples.crossJoin(F.broadcast(middle))
+    first = storage.save(alerts.episodes(both.where("at < middle").drop("middle")), "episodes")
+    return first.where("until is not null").unionByName(alerts.episodes(both.where("at >= middle").drop("middle"), open_=first))
+
+
 @query("""select max(case when status = 'PUBLISHED' then seq end) as last_published, cast(epoch(timestamp '2021-01-01') - epoch(max(case when status = 'PUBLISHED' then recorded_at end)) as bigint) as publication_age, arg_max(status, recorded_at) as latest_status, true as age_alert,
     arg_max(status, recorded_at) = 'FAILED' as rejected, (select count(*) from v_runs where seq = 3) > 0 as active_lease from v_markers""")
 def serving_gauges(v: Views) -> DataFrame:
@@ -647,12 +697,23 @@ def row_parity(v: Views) -> DataFrame:
     return ledger.parity(left, right, ["event_id"])
 
 
-@query("""select user_id, sha256(string_agg(l, chr(10) order by l)) as checksum, count(*) as lines from (select user_id, event_id || '|' || value_cents || '|' || transaction_id as l from v_changes) group by 1""")
+@query("""select event_id, case when "offset" % 1100 = 0 then 'missing_right' when "offset" % 1300 = 0 then 'missing_left' else 'hash_diff' end as difference from v_changes where "offset" % 1100 = 0 or "offset" % 1300 = 0 or "offset" % 1700 = 0""")
+def tree_parity(v: Views) -> DataFrame:
+    """A few differences, found by digests: only the leaves that hold them are joined."""
+    c = v.changes.select("event_id", "offset", values.row_digest("user_id", "value_cents").alias("row_hash"))
+    left = c.where("`offset` % 1300 <> 0 or `offset` % 1100 = 0")
+    right = c.where("`offset` % 1100 <> 0").withColumn("row_hash", F.when(F.col("offset") % 1700 == 0, F.lit("altered")).otherwise(F.col("row_hash")))
+    return hashtree.tree_parity(left, right, ["event_id"])
+
+
+@query("""select user_id, sha256(string_agg(d, chr(10) order by leaf)) as checksum, cast(sum(n) as bigint) as lines from (select user_id, sha256(l)[:2] as leaf, sha256(string_agg(l, chr(10) order by l)) as d, count(*) as n from (
+    select user_id, event_id || '|' || value_cents || '|' || transaction_id as l from v_changes) group by 1, 2) group by 1""")
 def event_checksum(v: Views) -> DataFrame:
     return ledger.event_checksum(v.changes, ["user_id"], F.concat_ws("|", "event_id", F.col("value_cents").cast("string"), "transaction_id"))
 
 
-@query("""select partition, sha256(string_agg(h, chr(10) order by h)) as checksum, count(*) as lines from (select partition, sha256(event_id || '|' || user_id || '|' || props) as h from v_changes) group by 1""")
+@query("""select partition, sha256(string_agg(d, chr(10) order by leaf)) as checksum, cast(sum(n) as bigint) as lines from (select partition, sha256(h)[:2] as leaf, sha256(string_agg(h, chr(10) order by h)) as d, count(*) as n from (
+    select partition, sha256(event_id || '|' || user_id || '|' || props) as h from v_changes) group by 1, 2) group by 1""")
 def manifest(v: Views) -> DataFrame:
     return ledger.event_checksum(v.changes, ["partition"], values.row_digest("event_id", "user_id", "props"))
 
@@ -754,6 +815,41 @@ def nested_schema_issues(v: Views) -> DataFrame:
     return schemas.schema_issues(rows.withColumn("parent", parent).withColumn("record", F.when(F.col("version") == 2, "R2").otherwise("R")))
 
 
+_TYPED = """(select subject, version, path, case path when 'a.x' then 'a' when 'a.y' then 'a' when 'b[]' then 'b' else '' end as parent, type, nullable, has_default from (
+    select 'user' || user_id || '-' || ("offset" // 5000) as subject, cast("offset" // 1000 % 5 as int) as version, case "offset" * 7 % 6 when 0 then 'a' when 1 then 'a.x' when 2 then 'a.y' when 3 then 'b' when 4 then 'b[]' else 'c' end as path,
+    case max(value_cents) // 10000 when 0 then 'int' when 1 then 'int' when 2 then 'long' when 3 then 'float' when 4 then 'double' else 'string' end as type, count(*) > 2 as nullable, count(*) % 2 = 1 as has_default from v_changes group by 1, 2, 3))"""
+_WIDER = "((w = 'int' and r in ('long', 'float', 'double')) or (w = 'long' and r in ('float', 'double')) or (w = 'float' and r = 'double'))"
+
+
+def typed_fields(v: Views) -> DataFrame:
+    """Fields below fields, with types of numbers and defaults, read off the changes."""
+    path = F.expr("case `offset` * 7 % 6 when 0 then 'a' when 1 then 'a.x' when 2 then 'a.y' when 3 then 'b' when 4 then 'b[]' else 'c' end")
+    keys = (F.expr("concat('user', cast(user_id as string), '-', cast(`offset` div 5000 as string))").alias("subject"), F.expr("cast(`offset` div 1000 % 5 as int)").alias("version"), path.alias("path"))
+    kind = F.expr("case max(value_cents) div 10000 when 0 then 'int' when 1 then 'int' when 2 then 'long' when 3 then 'float' when 4 then 'double' else 'string' end")
+    rows = v.changes.groupBy(*keys).agg(kind.alias("type"), (F.count("*") > 2).alias("nullable"), (F.count("*") % 2 == 1).alias("has_default"))
+    return rows.withColumn("parent", F.when(F.col("path").startswith("a."), "a").when(F.col("path") == "b[]", "b").otherwise(""))
+
+
+@query(f"""select * from (with f as {_TYPED}, vs as (select distinct subject, version from f), p as (select a.subject, a.version as o, b.version as n from vs a join vs b on a.subject = b.subject and a.version < b.version),
+    a as (select p.*, f.path, f.parent as ap, f.type as w, f.nullable as wn from p join f on f.subject = p.subject and f.version = p.o), b as (select p.*, f.path, f.parent as bp, f.type as r, f.nullable as rn, f.has_default as rd from p join f on f.subject = p.subject and f.version = p.n),
+    x as (select *, coalesce(ap, bp) as parent, case when r is null then 'removed' when w is null then case when not rd then 'no_default' end when not ((w = r and wn = rn) or ({_WIDER} and not wn and not rn)) then 'type_change' end as issue from a full join b using (subject, o, n, path))
+    select subject, o as old, n as new, path, issue from x y where issue is not null and not exists (select 1 from x z where z.subject = y.subject and z.o = y.o and z.n = y.n and z.path = y.parent and (z.issue is not null or z.w is null or z.r is null)))""")
+def relaxed_schema_issues(v: Views) -> DataFrame:
+    return schemas.relaxed_schema_issues(typed_fields(v))
+
+
+@query(f"""select * from (with f as {_TYPED}, r as (select path, min(parent) as parent, max(type) as r, bool_or(nullable) as rn, bool_and(has_default) as rd from f where version = 0 group by 1), w as (select subject || '/' || version as schema_id, path, parent, type as w, nullable as wn, has_default as wd from f where version <> 0),
+    x as (select schema_id, path, coalesce(w.parent, r.parent) as parent, case when w.w is null then case when rd then 'defaulted' else 'dropped' end when r.r is null then case when wn and wd then 'added' else 'added_required' end
+    when w.w = r.r and (wn = rn or rn) then 'read' when {_WIDER.replace("(w =", "(w.w =").replace(" r in", " r.r in").replace("and r =", "and r.r =")} and (not wn or rn) then 'promoted' else 'type_change' end as outcome from (select distinct schema_id from w) cross join r full join w using (schema_id, path))
+    select schema_id, path, outcome from x y where not exists (select 1 from x z where z.schema_id = y.schema_id and z.path = y.parent and z.outcome not in ('read', 'promoted')))""")
+def writer_resolution(v: Views) -> DataFrame:
+    """One reader against the schemas of all writers: read, promoted, defaulted, added, or why not."""
+    f = typed_fields(v)
+    reader = f.where("version = 0").groupBy("path").agg(F.min("parent").alias("parent"), F.max("type").alias("type"), F.bool_or("nullable").alias("nullable"), F.bool_and("has_default").alias("has_default"))
+    writers = f.where("version <> 0").select(F.expr("concat(subject, '/', cast(version as string))").alias("schema_id"), "path", "parent", "type", "nullable", "has_default")
+    return schemas.resolve_writers(writers, reader)
+
+
 _CONTRACT = """(select entity, kind, value, era, case when kind = 'column' then min(event_type) end as detail, case when kind = 'column' then bool_or("offset" % 3 = 0) end as nullable from (select *, case kind when 'reset' then case when user_id % 3 = 0 then 'full_reset' else 'none' end else 'v' || (value_cents % 40) end as value from (
     select 'user' || (user_id % 20) || '-' || ("offset" // 1000) as entity, case "offset" % 5 when 0 then 'key' when 1 then 'topic' when 2 then 'fingerprint' when 3 then 'column' else case when value_cents % 4 = 0 then 'reset' else 'partitions' end end as kind, "offset" // 500 % 2 as era, * from v_changes)) group by 1, 2, 3, 4)"""
 
