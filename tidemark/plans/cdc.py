@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import frames, values
-from tidemark.operators import alerts, checks, hashtree, ledger, publication, schemas, transactions, versions
+from tidemark.operators import alerts, checks, evolution, hashtree, ledger, publication, schemas, sketches, transactions, versions
 from tidemark.plans.catalog import query
 from tidemark.plans.views import Views
-from tidemark.sources import buckets, storage
+from tidemark.sources import buckets, clustering, storage
 from tidemark.sources.ledger_files import LedgerFiles
 from tidemark.streaming import capture, commits, stateful
 
@@ -189,6 +189,37 @@ def normalize_wire(v: Views) -> DataFrame:
     return doc.select("order_id", "purchased", "amount_text", values.canonical_json(F.col("doc"), doc.schema["doc"].dataType).alias("canonical"))
 
 
+#: Writers of the users' topic: what they were, one that adds a column, one that adds another and widens a number, and one that came back.
+_WRITERS = {1: "user_id bigint, value_cents int, event_type string", 2: "user_id bigint, value_cents int, event_type string, channel string", 3: "user_id bigint, value_cents bigint, event_type string, channel string, score double", 4: "user_id bigint, value_cents int, event_type string"}
+_CONTRACT_COLUMNS = "user_id bigint, value_cents int, event_type string"
+_WRITER_SQL = """(select *, case when "offset" % 97 = 0 then 9 when "offset" < 3000 then 1 when "offset" < 6000 then 2 when "offset" % 10 = 0 then 4 else 3 end as schema_id from v_changes)"""
+
+
+def by_writer(v: Views) -> DataFrame:
+    """The changes as envelopes of several writers; every image holds all columns, of which a writer's rows have its own."""
+    c, n = v.changes, F.col("offset")
+    writer = F.when(n % 97 == 0, 9).when(n < 3000, 1).when(n < 6000, 2).when(n % 10 == 0, 4).otherwise(3)
+    image = F.struct("user_id", "value_cents", "event_type", F.concat(F.lit("ch"), (n % 4).cast("string")).alias("channel"), (n / 8).alias("score"))
+    body = F.struct(F.when(F.col("is_deleted"), "u").otherwise(F.col("op")).alias("op"), F.lit(None).alias("before"), image.alias("after"))
+    return c.select("event_id", n, "partition", F.col("source_ts").alias("log_time"), writer.alias("schema_id"), F.to_json(body).alias("envelope"))
+
+
+@query(f"""select user_id, event_id, cast(value_cents as bigint) as value_cents, case when schema_id in (2, 3) then 'ch' || ("offset" % 4) end as channel, case when schema_id = 3 then "offset" / 8 end as score from {_WRITER_SQL}
+    where schema_id <> 9 qualify row_number() over (partition by user_id order by partition desc, "offset" desc) = 1""")
+def additive_columns(v: Views) -> DataFrame:
+    """Columns that first appear in the middle of the log reach the current state; unknown writers are rejected."""
+    rows = evolution.normalize_by_writer(by_writer(v), _WRITERS, _CONTRACT_COLUMNS)
+    early = rows.where("schema_id = 1").select("event_id", "offset", "partition", "user_id", F.col("value_cents").cast("int").alias("value_cents"), "event_type", "apply_status")
+    both = evolution.add_to_ledger(early, rows.where("schema_id <> 1").select(*early.columns, "channel", "score"))
+    return versions.latest_by(ledger.applied(both), ["user_id"], place()).select("user_id", "event_id", "value_cents", "channel", "score")
+
+
+@query(f"""select column_name, arg_min(schema_id, "offset") as schema_id, arg_min(event_id, "offset") as event_id, count(*) as rows from (select *, unnest(case schema_id when 2 then ['channel'] when 3 then ['channel', 'score'] else [] end) as column_name from {_WRITER_SQL}) group by 1""")
+def column_origins(v: Views) -> DataFrame:
+    """Where each further column comes from: its first writer and event."""
+    return evolution.column_origins(by_writer(v), _WRITERS, _CONTRACT_COLUMNS, F.col("offset"))
+
+
 _RULED = """(select event_id, source_ts, case when value_cents >= 20000 then 'rule_value_range' when event_type not in ('signup', 'purchase', 'view', 'click') then 'rule_known_type' when user_id % 2 <> 0 and value_cents >= 10000 then 'rule_even_user' end as error_code,
     cast(value_cents >= 20000 as int) + cast(event_type not in ('signup', 'purchase', 'view', 'click') as int) + cast(user_id % 2 <> 0 and value_cents >= 10000 as int) as failed_rules from v_changes)"""
 
@@ -890,6 +921,38 @@ def source_contract_issues(v: Views) -> DataFrame:
     return schemas.source_contract_issues(count(v.changes.where("`offset` % 50 <> 0 and user_id % 9 <> 0")), count(v.changes))
 
 
+@query("""select c as column_name, n, nulls, least, greatest, true as distinct_close, case when numeric then true end as median_close from (
+    select 'o_orderkey' as c, count(*) as n, count(*) filter (where o_orderkey is null) as nulls, min(cast(o_orderkey as varchar)) as least, max(cast(o_orderkey as varchar)) as greatest, true as numeric from orders
+    union all select 'o_custkey', count(*), count(*) filter (where o_custkey is null), min(cast(o_custkey as varchar)), max(cast(o_custkey as varchar)), true from orders
+    union all select 'o_orderpriority', count(*), count(*) filter (where o_orderpriority is null), min(o_orderpriority), max(o_orderpriority), false from orders)""")
+def merged_profiles(v: Views) -> DataFrame:
+    """Profiles of each year's orders, merged, and their estimates held against exact values."""
+    o, names = v.table("orders"), ["o_orderkey", "o_custkey", "o_orderpriority"]
+    years = storage.save(sketches.profile_sketches(o.withColumn("year", F.year("o_orderdate")), names, ["year"]), "profiles")
+    merged = sketches.read_profiles(sketches.merge_profiles(years), [0.5])
+    exact = [F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("d"), *(F.percentile(F.col(c), F.lit(p)).alias(f"p{int(100 * p)}") if c != "o_orderpriority" else F.lit(None).cast("double").alias(f"p{int(100 * p)}") for p in (0.46, 0.54))) for c in names]
+    exact = o.agg(F.array(*exact).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    both = merged.join(exact, "column_name")
+    return both.select("column_name", "n", "nulls", "least", "greatest", (F.abs(F.col("distinct_values") - F.col("d")) <= F.greatest(F.lit(1), F.col("d") * 0.08)).alias("distinct_close"), F.get("quantiles", F.lit(0)).between(F.col("p46"), F.col("p54")).alias("median_close"))
+
+
+@query("""select f as filter, n, true as few_files from (select 'customer' as f, count(*) as n from orders where o_custkey <= (select max(o_custkey) // 50 from orders) union all select 'day', count(*) from orders where o_orderkey <= (select max(o_orderkey) // 50 from orders))""")
+def clustered_scan(v: Views) -> DataFrame:
+    """Orders compacted in an order of two keys: a filter on either one opens few of the files."""
+    root = f"{storage.shared_dir(v.spark)}/clustered-{uuid.uuid4().hex}"
+    o = v.table("orders").select("o_orderkey", "o_custkey")
+    o.write.parquet(f"{root}/loose")
+    size = sum(clustering.file_sizes(v.spark, f"{root}/loose").values())
+    clustering.compact_clustered(v.spark, f"{root}/loose", f"{root}/tight", ["o_custkey", "o_orderkey"], max(1, size // 64))
+    table, out = v.spark.read.parquet(f"{root}/tight"), None
+    ends = o.agg(F.expr("max(o_custkey) div 50").alias("c"), F.expr("max(o_orderkey) div 50").alias("k")).first()
+    for name, where in (("customer", F.col("o_custkey") <= ends["c"]), ("day", F.col("o_orderkey") <= ends["k"])):
+        share = clustering.opened_share(table, where)
+        row = table.where(where).agg(F.count("*").alias("n")).select(F.lit(name).alias("filter"), "n", F.lit(share <= 0.25).alias("few_files"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("""select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as nulls, count(o_orderkey) as n_values, min(cast(o_orderkey as varchar)) as least, max(cast(o_orderkey as varchar)) as greatest, 'integer' as inferred_type, (select string_agg(x, '|' order by x) from (select distinct cast(o_orderkey as varchar) as x from orders order by 1 limit 3)) as samples from orders
     union all select 'o_orderpriority', count(*) filter (where o_orderpriority is null), count(o_orderpriority), min(o_orderpriority), max(o_orderpriority), 'string', (select string_agg(x, '|' order by x) from (select distinct o_orderpriority as x from orders where o_orderpriority is not null order by 1 limit 3)) from orders
     union all select 'o_orderdate', count(*) filter (where o_orderdate is null), count(o_orderdate), min(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), max(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), 'timestamp', (select string_agg(x, '|' order by x) from (select distinct strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as x from orders where o_orderdate is not null order by 1 limit 3)) from orders""")
