@@ -69,6 +69,7 @@ def test_cascades_are_exact(spark, monkeypatch):
     assert shards > 5
     for limit in (urls.BROADCAST_BYTES, 100):
         monkeypatch.setattr(urls, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(urls, "BLOCK_ROWS", 30)
         got = urls.with_membership(df, "host", cascade, shards).collect()
         assert len(got) == 500 and all(r.listed == r.bad for r in got)
 

@@ -21,18 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from tidemark.llm.shared import save
+from tidemark.llm.shared import save, spread
 
 #: The rules of the query's contract as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: A host is listed if this share of its pages, of 100, has a query in its url.
 QUERY_SHARE = 25
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Keys of one shard's cascade, and the most bytes of cascades that one pass broadcasts.
-SHARD_KEYS, BROADCAST_BYTES = 200_000, 64 << 20
+#: Keys of one shard's cascade; the most bytes of cascades that are broadcast; rows of a shard that one task takes.
+SHARD_KEYS, BROADCAST_BYTES, BLOCK_ROWS = 200_000, 64 << 20, 1_000_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -139,29 +141,50 @@ def _member(shared):
 def with_membership(df: DataFrame, key: str, cascade: DataFrame, shards: int, out: str = "listed") -> DataFrame:
     """``df`` with a boolean column: whether its key is listed. Exact for the cascade's universe.
 
-    Cascades are broadcast in passes of at most BROADCAST_BYTES. One pass in the usual case; of several
-    each one's rows are written and its broadcast is released, so no more than one is held at a time.
+    A cascade of at most BROADCAST_BYTES is sent to every task. Of a larger one the rows of each shard
+    meet their own levels, in one exchange of the rows, whatever the number of shards.
     """
-    sizes = cascade.groupBy("shard").agg(F.sum(F.length("bits")).alias("bytes"))
-    width = max(1, BROADCAST_BYTES // max(1, sizes.agg(F.max("bytes")).first()[0] or 1))
-    parts = []
-    for low in range(0, shards, width):
-        rows = cascade.where(F.col("shard").between(low, low + width - 1)).orderBy("shard", "level").collect()
-        table: dict[int, list] = {}
-        for r in rows:
-            table.setdefault(r["shard"], []).append((r["size"], r["hashes"], np.frombuffer(r["bits"], np.uint8)))
-        shared = df.sparkSession.sparkContext.broadcast(table)
-
-        here = df if shards <= width else df.where(_shard(key, shards).between(low, low + width - 1))
-        here = here.withColumn(out, _member(shared)(_shard(key, shards), *_hashes(key)))
-        if shards > width:
-            here = save(here, "members")
-            shared.destroy()
-        parts.append(here)
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    if (cascade.agg(F.sum(F.length("bits"))).first()[0] or 0) > BROADCAST_BYTES:
+        return _by_shard(df, key, cascade, shards, out)
+    table: dict[int, list] = {}
+    for r in cascade.orderBy("shard", "level").collect():
+        table.setdefault(r["shard"], []).append((r["size"], r["hashes"], np.frombuffer(r["bits"], np.uint8)))
+    shared = df.sparkSession.sparkContext.broadcast(table)
+    return df.withColumn(out, _member(shared)(_shard(key, shards), *_hashes(key)))
+
+
+def _by_shard(df: DataFrame, key: str, cascade: DataFrame, shards: int, out: str) -> DataFrame:
+    """Rows and levels dealt by shard and, in shards of many rows, block; levels stand before the rows in each."""
+    rows = df.select(F.struct(*df.columns).alias("row"), _shard(key, shards), *_hashes(key))
+    per = rows.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    per = F.broadcast(per)  # two numbers for SHARD_KEYS keys
+    block = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block")
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    levels = cascade.join(per, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    levels = levels.select("shard", "block", F.lit(0).alias("kind"), "level", "size", "hashes", "bits", *(none(rows, c) for c in ("row", "one", "two")))
+    both = levels.unionByName(rows.join(per, "shard").select("shard", block, F.lit(1).alias("kind"), *(none(cascade, c) for c in ("level", "size", "hashes", "bits")), "row", "one", "two"))
+
+    names = [*df.columns, out]
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = None, []
+        for batch in batches:
+            shard, part, kind = (batch.column(c).to_numpy() for c in ("shard", "block", "kind"))
+            cut = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])))
+            for a, b in zip(cut.tolist(), np.append(cut[1:], batch.num_rows).tolist()):
+                if (shard[a], part[a]) != held:
+                    held, known = (shard[a], part[a]), []
+                some = batch.slice(a, b - a)
+                if kind[a] == 0:
+                    known += [(n, k, np.frombuffer(x, np.uint8)) for n, k, x in zip(*(some.column(c).to_pylist() for c in ("size", "hashes", "bits")))]
+                    continue
+                one, two = (some.column(c).to_numpy().view(np.uint64) for c in ("one", "two"))
+                found = pa.array(probe_cascade(one, two, known))
+                yield pa.RecordBatch.from_arrays([*some.column("row").flatten(), found], names)
+
+    parts = spread(df.sparkSession)
+    dealt = both.repartition(parts, "shard", "block").sortWithinPartitions("shard", "block", "kind", "level")
+    return dealt.mapInArrow(probe, StructType([*df.schema, StructField(out, BooleanType())]))
 
 
 def trap_hosts(pages: DataFrame, share: int = QUERY_SHARE) -> DataFrame:
