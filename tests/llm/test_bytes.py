@@ -162,3 +162,12 @@ def test_pieces_are_scanned_as_whole_texts_are(monkeypatch, piece, kept):
                 if machine.marks[state >> 8]:
                     want.append((row, place, machine.marks[state >> 8]))
         assert list(machine.hits(data, offsets)) == want
+
+
+def test_secrets_in_texts_over_one_slice():
+    text = "api_key = abcdefghijkl1 " + "water é stone " * 350_000 + "AKIA" + "ABCDEFGH12345678"
+    short = "token: zyxwvutsrqpon"
+    found = secrets.find_secrets(pa.array([short, text, None, short]), secrets.scanner())
+    assert len(text.encode()) > secrets.SCAN_BYTES
+    assert [[s[0] for s in spans] for spans in found] == [["assign"], ["assign", "access"], [], ["assign"]]
+    assert found[1][1] == ("access", len(text) - 20, len(text))

@@ -133,3 +133,21 @@ def test_empty_tables(spark):
     assert none.count() == 0
     assert vectors.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_repeated_ids_clashing_names_and_long_vectors(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(3, 1500))
+    near = base[0] + 0.01 * rng.normal(size=1500)
+    rows = [(1, base[0], 1), (1, near, 1), (1, base[0], 1), (2, base[1], 1), (2, base[2], 2), (3, near, 2), (4, base[0][:700], 1)]
+    table = spark.createDataFrame([(i, v.tolist(), k, 0, 0, "x", 0) for i, v, k in rows], "vec_id long, embedding array<double>, label int, id long, component long, class_key string, n_links long")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.link_vectors(table).collect())
+    assert got == [(1, 2, 1, True)] * 3 + [(2, 0, 2, True)] * 2 + [(3, 0, 3, True), (4, 0, 4, True)]
+
+
+def test_repeated_rows_and_long_urls(spark):
+    long = "http://Far.example.org/" + "p/" * 60_000 + "?q=" + "x" * 60_000
+    rows = [(1, long), (1, long), (2, "http://far.example.org/a?b"), (3, ""), (3, ""), (None, "http://x.net/y")]
+    table = spark.createDataFrame([(i, u, "h", "v") for i, u in rows], "page_id long, url string, host string, listed string")
+    got = sorted(((str(r.page_id), r.host, len(r.path), r.rule, r.verdict) for r in urls.judge_urls(table).collect()), key=str)
+    assert got == sorted([("1", "far.example.org", 120_001, None, "block")] * 2 + [("2", "far.example.org", 2, None, "block")] + [("3", "", 0, None, "allow")] * 2 + [("None", "x.net", 2, "net/", "block")], key=str)
