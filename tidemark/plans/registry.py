@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.plans import cdc, marts
+from tidemark.plans import cdc, entities, marts
 from tidemark.plans.catalog import ORACLES, QUERIES
 
-MODULES = (marts, cdc)
+MODULES = (marts, cdc, entities)
 
 
 def queries():
