@@ -15,7 +15,8 @@ from tidemark.sources.storage import drop_saved, exists, save
 class BucketedTable:
     """A folder per bucket of ``keys``; a bucket is replaced as a whole.
 
-    A batch's cost follows the buckets of its keys and not the table. Spark writes the new buckets beside
+    A batch's cost follows the buckets of its keys and not the table. There should be as many buckets as
+    the table will have parts that one task can rewrite, for a bucket is rewritten by one. Spark writes the new buckets beside
     the old ones and moves them into place; what a crash leaves between old and new buckets, the same
     batch mends when it is tried again, since applying it twice changes nothing.
     """
