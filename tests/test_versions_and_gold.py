@@ -48,6 +48,26 @@ def test_asof_takes_equal_orders_and_keeps_null_keys(spark):
     assert {r.name: r.x for r in versions.asof_latest(left, right, ["k"], ["t"], ["x"]).collect()} == {"l1": 10, "l2": 20, "l3": None}
 
 
+def test_asof_with_given_cuts_and_moments_finds_the_same(spark):
+    schema = "k string, t int, name string, tags map<string,string>"
+    rows = [(None if i % 11 == 0 else "abc"[i % 3], None if i % 13 == 0 else i * 7 % 200, f"l{i}", {"x": str(i)}) for i in range(300)]
+    left = spark.createDataFrame(rows + rows[:5], schema)  # also repeated rows, and a column that cannot be hashed
+    known = [("abc"[i % 3], i * 31 % 200, i) for i in range(40)]
+    right = spark.createDataFrame(known, "k string, t int, x int")
+
+    def plain(k, t):
+        older = [(u, x) for g, u, x in known if g == k and t is not None and u <= t]
+        return max(older)[1] if older else None
+
+    want = sorted((n, str(plain(k, t))) for k, t, n, _ in rows + rows[:5])
+    moments = left.select("k", "t").union(spark.createDataFrame([("z", 5), ("a", 999)], "k string, t int"))
+    for cuts in (None, [], [50.0], versions.time_cuts(left.select("t"), right.select("t"))):
+        for extra in (None, moments):
+            got = versions.asof_latest(left, right, ["k"], ["t"], ["x"], cuts, extra).collect()
+            assert sorted((r.name, str(r.x)) for r in got) == want
+    assert versions.asof_latest(left.limit(0), right, ["k"], ["t"], ["x"]).count() == 0
+
+
 def test_deletes_leave_only_after_ranking(spark):
     rows = [("a", "old", day(0), 0, 1, False, False), ("a", "gone", day(1), 0, 2, False, True), ("b", "one", day(0), 0, 3, False, False), ("b", "two", day(0), 0, 4, False, False)]
     df = spark.createDataFrame(rows, EVENT)

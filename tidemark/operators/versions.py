@@ -72,7 +72,13 @@ def _range(value: Column, cuts: Sequence[float]) -> Column:
 RANGES = 512
 
 
-def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+def time_cuts(*times: DataFrame) -> list[float]:
+    """Cuts for ``asof_latest`` out of tables whose first column is a time or number: as many ranges as shuffle partitions, RANGES at most."""
+    parts = min(RANGES, int(times[0].sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _cuts([df.select(_ticks(df, df.columns[0]).alias("_t")).where("_t is not null") for df in times], parts)
+
+
+def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str], cuts: Sequence[float] | None = None, moments: DataFrame | None = None) -> DataFrame:
     """Each left row with the values of the latest right row at or before it.
 
     Linear in the rows and spread over time as well as keys, so few or hot keys do not decide the
@@ -80,31 +86,36 @@ def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Seq
     both sides, as many as the session has shuffle partitions (RANGES at most); within a key's range one
     window finds the latest right row, and what a range has not is the last one of the ranges before, one
     row for each key and range. Right rows come before left rows at equal order. Left rows with a null key
-    or order keep null values.
+    or order keep null values; they pass in ranges of their own, dealt by hash.
+
+    ``cuts`` are those of ``time_cuts`` over cheaper tables with times like those of both sides, so that
+    neither side is computed for its times alone; they decide how rows are spread and not what is found.
+    ``moments`` is a cheaper table than ``left`` with all its keys and orders (more do no harm).
     """
     usable = F.lit(True)
     for c in (*by, *order):
         usable = usable & F.col(c).isNotNull()
     packed = F.struct(*values)
     known = right.where(usable).select(*by, *order, packed.alias("_value"))
-    parts = min(RANGES, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = _cuts([df.where(usable).select(_ticks(df, order[0]).alias("_t")) for df in (left, right)], parts)
+    moments = left if moments is None else moments
+    if cuts is None:
+        cuts = time_cuts(*(df.where(usable).select(order[0]) for df in (moments, right)))
     place = lambda df: _range(_ticks(df, order[0]), cuts)
     known = known.withColumn("_bucket", place(right))
     ends = known.groupBy(*by, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_end"))
-    slots = left.where(usable).withColumn("_bucket", place(left)).select(*by, "_bucket").distinct()
+    slots = moments.where(usable).withColumn("_bucket", place(moments)).select(*by, "_bucket").distinct()
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.join(ends, [*by, "_bucket"], "full_outer").withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).select(*by, "_bucket", "_carried")
     rest = [c for c in left.columns if c not in by and c not in order]
-    a = left.where(usable).withColumn("_bucket", place(left)).select(*by, *order, "_bucket", F.lit(1).alias("_side"), *rest)
+    hashed = [f.name for f in left.schema if f.dataType.typeName() not in ("map", "variant")]
+    lost = -1 - F.pmod(F.xxhash64(*hashed), F.lit(RANGES)).cast("int")
+    a = left.withColumn("_bucket", F.when(usable, place(left)).otherwise(lost)).select(*by, *order, "_bucket", F.lit(1).alias("_side"), *rest)
     b = known.select(*by, *order, "_bucket", F.lit(0).alias("_side"), "_value")
     w = Window.partitionBy(*by, "_bucket").orderBy(*order, "_side").rowsBetween(Window.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True)
     found = both.withColumn("_value", F.last("_value", ignorenulls=True).over(w)).where("_side = 1")
     found = found.join(carried, [*by, "_bucket"], "left").withColumn("_value", F.coalesce("_value", "_carried"))
-    out = [F.col(f"_value.{v}").alias(v) for v in values]
-    lost = left.where(~usable)
-    return found.select(*left.columns, *out).unionByName(lost, allowMissingColumns=True)
+    return found.select(*left.columns, *(F.col(f"_value.{v}").alias(v) for v in values))
 
 
 #: Entities whose versions a task holds at once; pairs that are written at once.
@@ -212,13 +223,14 @@ def scd2(events: DataFrame, key: str, order: Sequence[str], attributes_hash: Col
     return rows.where(~F.col(deleted)).withColumn("is_current", F.col("valid_to").isNull()).drop("version_hash")
 
 
-def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str, cuts: Sequence[float] | None = None, moments: DataFrame | None = None) -> DataFrame:
     """The dimension row in force at each fact's time; null where there is none. Intervals of a key do not overlap.
 
     The latest version that began at or before the time is found as-of; it counts unless it has ended.
+    ``cuts`` and ``moments`` as in ``asof_latest``.
     """
     versions = dim.select(key, F.col("valid_from").alias(ts), F.struct("valid_to", value).alias("_version"))
-    found = asof_latest(fact, versions, [key], [ts], ["_version"])
+    found = asof_latest(fact, versions, [key], [ts], ["_version"], cuts, moments)
     open_ = F.col("_version.valid_to").isNull() | (F.col(ts) < F.col("_version.valid_to"))
     return found.withColumn(value, F.when(open_, F.col(f"_version.{value}"))).drop("_version")
 
