@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -128,6 +129,9 @@ def test_media_comes_back(spark):
         x = found[r[0]]
         assert (x.n_bytes, x.payload_bytes, x.payload_sha256, x.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert (x.media_bytes, x.media_sha256) == (len(payload) + 44, hashlib.sha256(media.wav(payload)).hexdigest())
+        about = [b - 128 for b in payload]
+        changes = sum((a < 0) != (b < 0) for a, b in zip(about, about[1:]))
+        assert x.feature == f"n={len(about)};mean={sum(about) / len(about):.6f};rms={math.sqrt(sum(a * a for a in about) / len(about)):.6f};zc={changes}"
 
 
 def test_cuts_follow_the_content():

@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from tidemark.llm.shared import documents, sorted_groups, spread
 PAD, RATE, LEAST, MOST, CUT_BITS = 64, 8000, 2048, 65536, 13
 #: Window of the gear hash in bytes: what is shifted further than its bits is gone.
 REACH = 32
+#: zstd's level.
+LEVEL = 3
 GEAR = np.random.default_rng(4242).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -84,34 +86,60 @@ def features(payload: bytes) -> str:
     return f"n={len(x)};mean={x.sum() / len(x):.6f};rms={float(np.sqrt((x * x).sum() / len(x))):.6f};zc={crossings}"
 
 
-def store(docs: DataFrame) -> DataFrame:
-    """Chunk rows: the file's key, sizes, digest and header, and per chunk its place, digest and zstd bytes."""
+def _cut_files(docs: DataFrame, schema: str, start: Callable[[], Callable[[bytes, bytes, bytes, list[bytes]], Iterator[tuple[int, tuple]]]]) -> DataFrame:
+    """Rows out of each text's file and chunks; what ``start`` makes in a task gets key, text, file and chunks, and gives sizes and rows."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    kinds = [{"binary": pa.binary(), "long": pa.int64(), "int": pa.int32()}[field.split()[1]] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
-        names = ("key", "n_bytes", "media", "header", "n_chunks", "place", "digest", "chunk")
-        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        rows: list[tuple] = []
-        size = 0
+        rows_of, rows, held = start(), [], 0
         table = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
         for batch in batches:
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
+            for key, text in zip(batch.column("key"), batch.column("text")):
                 raw = text.as_py().encode()
                 file = wav(raw + bytes(PAD - len(raw) % PAD if len(raw) % PAD or not raw else 0))
-                media = hashlib.sha256(file).digest()
-                chunks = chunked(file)
-                for place, chunk in enumerate(chunks):
-                    packed = squeeze.compress(chunk)
-                    size += len(packed)
-                    rows.append((key, len(raw), media, file[:44], len(chunks), place, hashlib.blake2b(chunk, digest_size=16).digest(), packed))
-                if size > 4 << 20:
+                for size, row in rows_of(key.as_py(), raw, file, chunked(file)):
+                    held += size
+                    rows.append(row)
+                if held > 4 << 20:
                     yield table()
                     rows.clear()
-                    size = 0
+                    held = 0
         if rows:
             yield table()
 
-    return docs.mapInArrow(run, "key binary, n_bytes long, media binary, header binary, n_chunks int, place int, digest binary, chunk binary")
+    return docs.mapInArrow(run, schema)
+
+
+def _digest(chunk: bytes) -> bytes:
+    return hashlib.blake2b(chunk, digest_size=16).digest()
+
+
+def chunk_lists(docs: DataFrame) -> DataFrame:
+    """A row for each chunk of a file: its key, sizes, digest and header, and the chunk's place and digest."""
+
+    def rows(key: bytes, raw: bytes, file: bytes, chunks: list[bytes]) -> Iterator[tuple[int, tuple]]:
+        media = hashlib.sha256(file).digest()
+        for place, chunk in enumerate(chunks):
+            yield 256, (key, len(raw), media, file[:44], len(chunks), place, _digest(chunk))
+
+    return _cut_files(docs, "key binary, n_bytes long, media binary, header binary, n_chunks int, place int, digest binary", lambda: rows)
+
+
+def packed_chunks(docs: DataFrame) -> DataFrame:
+    """digest and zstd bytes of every chunk."""
+
+    def start() -> Callable[..., Iterator[tuple[int, tuple]]]:
+        squeeze = zstandard.ZstdCompressor(level=LEVEL)
+
+        def rows(key: bytes, raw: bytes, file: bytes, chunks: list[bytes]) -> Iterator[tuple[int, tuple]]:
+            for chunk in chunks:
+                packed = squeeze.compress(chunk)
+                yield len(packed), (_digest(chunk), packed)
+
+        return rows
+
+    return _cut_files(docs, "digest binary, chunk binary", start)
 
 
 def rebuild(lists: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
@@ -150,9 +178,9 @@ def media_columns(docs: DataFrame) -> DataFrame:
     parts = spread(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("key"))
-    cut = store(keyed.select("key", "text"))
-    lists = cut.groupBy("key", "place").agg(*(F.first(c).alias(c) for c in ("n_bytes", "media", "header", "n_chunks", "digest")))
-    chunks = cut.select("digest", "chunk").dropDuplicates(["digest"])
+    texts = keyed.select("key", "text")  # cut twice: lists without bytes, so that only chunks are packed and nothing is written between
+    lists = chunk_lists(texts).groupBy("key", "place").agg(*(F.first(c).alias(c) for c in ("n_bytes", "media", "header", "n_chunks", "digest")))
+    chunks = packed_chunks(texts).dropDuplicates(["digest"])
     files = rebuild(lists, chunks, parts)
     return keyed.select("doc_id", "key").join(files, "key").drop("key")
 
