@@ -51,9 +51,14 @@ def stage_changes(envelopes: DataFrame, spec: EntitySpec) -> DataFrame:
     return out.withColumn("entity", F.lit(spec.name)).drop("_status", "_code")
 
 
-def stage(ledger: DataFrame, spec: EntitySpec, order: Column) -> DataFrame:
-    """An entity's current relation: the newest applied version of each key, without deleted ones."""
-    return current_state(applied(ledger.where(F.col("entity") == spec.name)), list(spec.keys), order)
+def stage(ledger: DataFrame, spec: EntitySpec, order: Column, columns: Sequence[str] | None = None) -> DataFrame:
+    """An entity's current relation: the newest applied version of each key, without deleted ones.
+
+    With ``columns``, which name all that keys, order and result need, no other column is made and sent.
+    """
+    rows = applied(ledger.where(F.col("entity") == spec.name))
+    rows = rows if columns is None else rows.select(*dict.fromkeys((*spec.keys, *columns, "is_deleted")))
+    return current_state(rows, list(spec.keys), order)
 
 
 def union_ledgers(**ledgers: DataFrame) -> DataFrame:
@@ -98,10 +103,12 @@ def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: s
     before_row_hash, after_row_hash and row_hash (of the chosen image) are SHA-256 of the business
     columns, null where there is no image. ``wire`` is the DDL of the columns as they are sent, where it
     differs from the contract's (unscaled bytes, microseconds, wider numbers); values are then coerced.
+
+    The envelope is read once a row: it comes out of a generator, below which no filter is pushed that
+    would read it again for each field it names.
     """
     schema = f"op string, before struct<{wire or image}>, after struct<{wire or image}>, source struct<ts_ms bigint, snapshot string, file string, pos bigint, `row` int>, transaction struct<id string, total_order bigint>"
-    e = F.from_json("envelope", schema)
-    rows = envelopes.withColumn("_e", e)
+    rows = envelopes.withColumn("_e", F.explode(F.array(F.from_json("envelope", schema))))
     if wire:
         sent = {f.name: f.dataType.simpleString() for f in rows.select("_e.after").schema["after"].dataType}
         want = {f.name: f.dataType.simpleString() for f in rows.select(F.from_json(F.lit("{}"), image).alias("i")).schema["i"].dataType}
@@ -117,7 +124,7 @@ def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: s
     own = [f.name for f in rows.select(F.from_json(F.lit("{}"), keys).alias("k")).schema["k"].dataType] if keys else []
     hashes = (digest(F.col("_e.before")).alias("before_row_hash"), digest(F.col("_e.after")).alias("after_row_hash"), digest(payload).alias("row_hash"))
     if keys:
-        k = F.from_json("key_json", keys)
+        rows, k = rows.withColumn("_k", F.from_json("key_json", keys)), F.col("_k")
         payload = F.struct(*(k[f].alias(f) for f in own), *(payload[f].alias(f) for f in fields if f not in own))
     return rows.select(
         *[c for c in envelopes.columns if c not in ("envelope", "key_json")], *hashes, F.col("_e.op").alias("op"), F.coalesce(deleted, F.lit(False)).alias("is_deleted"), F.coalesce(F.col("_e.source.snapshot").isin(*SNAPSHOT), F.lit(False)).alias("is_snapshot"),
@@ -128,10 +135,9 @@ def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: s
 def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """apply_status, error_code, error_ordinal and error_message; of the rules that fail, the first counts."""
     found = [F.when(~F.expr(r.holds), F.struct(F.lit(i).alias("ordinal"), F.lit(r.code).alias("code"), redact(F.lit(f"{r.code}: {r.holds}")).alias("message"))) for i, r in enumerate(rules, 1)]
-    failed = F.filter(F.array(*found), lambda c: c.isNotNull())
-    first = F.get(failed, F.lit(0))
+    first, failed = F.coalesce(*found), sum((F.when(x.isNotNull(), 1).otherwise(0) for x in found), F.lit(0))
     out = rows.withColumn("error_code", first["code"]).withColumn("error_ordinal", first["ordinal"]).withColumn("error_message", first["message"])
-    return out.withColumn("apply_status", F.when(first.isNull(), "APPLIED").otherwise("REJECTED")).withColumn("failed_rules", F.size(failed))
+    return out.withColumn("apply_status", F.when(first.isNull(), "APPLIED").otherwise("REJECTED")).withColumn("failed_rules", failed)
 
 
 def quarantine(rows: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def stage_orders(v: Views) -> DataFrame:
     image = F.struct("order_id", "customer_id", "status")
     body = F.struct("op", F.lit(None).alias("before"), image.alias("after"), F.struct((F.col("offset") * 1000).alias("ts_ms"), F.lit("false").alias("snapshot")).alias("source"))
     records = c.select("offset", "partition", F.col("source_ts").alias("log_time"), F.to_json(body).alias("envelope"), F.to_json(F.struct("order_id")).alias("key_json"))
-    return ledger.stage(ledger.stage_changes(records, ORDERS), ORDERS, place()).select("order_id", "customer_id", "status", "op")
+    return ledger.stage(ledger.stage_changes(records, ORDERS), ORDERS, place(), ["customer_id", "status", "op", "partition", "offset"]).select("order_id", "customer_id", "status", "op")
 
 
 @query("""select transaction_id, status, "offset", case when status = 'OPEN' and n is not null then n else event_count end as event_count from v_effective left join (select transaction_id, count(*) as n from v_changes group by 1) using (transaction_id)""")

@@ -95,7 +95,7 @@ def stage_entities(v: Views) -> DataFrame:
     """The current relations of all eight entities, out of their envelopes by contract and rules."""
     out = None
     for name, spec in ENTITIES.items():
-        rows = ledger.stage(ledger.stage_changes(change_log(v, name), spec), spec, F.struct("partition", "offset")).select(F.lit(name).alias("entity"), _key(spec).alias("key"), "offset", "op", "amount")
+        rows = ledger.stage(ledger.stage_changes(change_log(v, name), spec), spec, F.struct("partition", "offset"), ["offset", "op", "amount", "partition"]).select(F.lit(name).alias("entity"), _key(spec).alias("key"), "offset", "op", "amount")
         out = rows if out is None else out.unionByName(rows)
     return out
 
