@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, transactions
+from tidemark.streaming import stateful
 
 AT = dt.datetime(2024, 1, 1)
 SPEC = ledger.EntitySpec("things", "cdc.things", ("a", "b"), "a bigint, b bigint, amount bigint", (ledger.Rule("rule_amount", "amount <> -1"), ledger.Rule("rule_small", "amount < 5")))
@@ -24,3 +25,18 @@ def test_an_envelope_is_parsed_once_a_row(spark):
     assert found[7][:2] == ("REJECTED", "invalid_op") and found[7][3] == 1
     current = ledger.stage(staged, SPEC, F.struct("offset"), ["offset", "amount"])
     assert current.columns == ["a", "b", "offset", "amount", "is_deleted"] and current.first().offset == 5
+
+
+def test_transactions_share_calls_by_hash(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(f"t{i}", s, o, None, None, f"t{i}:{s}", AT) for i in range(300) for s, o in (("OPEN", i), ("COMPLETE", 1000 + i))]
+    for portion in (rows[::3], rows[1::3], rows[2::3]):
+        spark.createDataFrame(portion, stateful.OBSERVATION).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(stateful.OBSERVATION).option("maxFilesPerTrigger", 1).parquet(source)
+    query = stateful.assemble_stream(stream, "1 day", buckets=5).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 5
+    states = spark.read.parquet(out)
+    found = transactions.effective_transactions(states.drop("begin_offset", "stale")).collect()
+    assert {(r.transaction_id, r.status, r.offset) for r in found} == {(f"t{i}", "COMPLETE", 1000 + i) for i in range(300)} and len(found) == 300
+    assert {r.transaction_id: r.b for r in states.groupBy("transaction_id").agg(F.min("begin_offset").alias("b")).collect()} == {f"t{i}": i for i in range(300)}

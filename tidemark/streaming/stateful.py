@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -25,7 +26,11 @@ def dedupe_recent(stream: DataFrame, keys: Sequence[str], payload: Sequence[str]
 
 OBSERVATION = "transaction_id string, status string, offset bigint, event_count bigint, end_offset bigint, event_id string, recorded_at timestamp_ntz"
 _LONGS = ("offset", "event_count", "end_offset")
-_STATE = "status string, offset string, event_count string, end_offset string, event_id string, recorded_at string, begin_offset string, stale boolean"
+_SEEN = ("status", "offset", "event_count", "end_offset", "event_id", "recorded_at")
+#: JSON of transaction id to its best observation (_SEEN), begin_offset, and when it is quiet in ms: null once reported as stale.
+_STATE = "held string"
+#: Groups that transactions are dealt to by hash: a call and a state each, for a transaction alone is far too little work for either.
+BUCKETS = 1 << 12
 _OUT = "transaction_id string, status string, offset string, event_count string, end_offset string, event_id string, recorded_at string, begin_offset string, stale boolean"
 
 
@@ -36,7 +41,7 @@ def _order(o: tuple) -> tuple:
     return (-1 if offset is None else int(offset), known(at), end is not None, RANK.get(status, 0), known(event))
 
 
-def assemble_stream(observations: DataFrame, quiet: str = "1 hour", slack: str = "10 minutes") -> DataFrame:
+def assemble_stream(observations: DataFrame, quiet: str = "1 hour", slack: str = "10 minutes", buckets: int = BUCKETS) -> DataFrame:
     """Effective states of transactions out of a stream of observations, whose BEGIN and END may come in any batch.
 
     A transaction's state is its greatest observation (the order of ``effective_transactions``) and the
@@ -46,6 +51,9 @@ def assemble_stream(observations: DataFrame, quiet: str = "1 hour", slack: str =
     true, once, and stays: an END that comes still completes it. State thus grows with the transactions
     of a recent past and those that are open. Observations without an id pass as they are.
 
+    Transactions share state and calls by hash, in ``buckets`` groups: a batch costs its own rows and the
+    groups that it touches. The number belongs to the checkpoint, as the state's layout does.
+
     Timers go by time of arrival, so nothing is ever too late to count; ``slack`` is how far the clock
     may go back when the query moves to another machine.
     """
@@ -53,38 +61,44 @@ def assemble_stream(observations: DataFrame, quiet: str = "1 hour", slack: str =
     rest = ("status", *_LONGS, "event_id", "recorded_at")
     rows = observations.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", slack)
     rows = rows.select("transaction_id", *(F.col(c).cast("string").alias(c) for c in rest), "_arrived", F.unix_millis("_arrived").alias("_ms"))
-    rows = rows.withColumn("_key", F.coalesce(F.concat(F.lit("t"), "transaction_id"), F.concat(F.lit("e"), F.coalesce("event_id", F.lit("")))))
+    rows = rows.withColumn("_key", F.pmod(F.xxhash64(F.coalesce("transaction_id", "event_id")), F.lit(buckets)).cast("int"))
     fields = [c.split(" ")[0] for c in _OUT.split(", ")]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        name = key[0][1:] if key[0][0] == "t" else None
-        if state.hasTimedOut:
-            held = state.get
-            if held[0] == "COMPLETE" or name is None:
-                state.remove()
-            elif not held[7]:
-                state.update((*held[:7], True))
-                yield pd.DataFrame([(name, *held[:7], True)], columns=fields)
-            return
-        best, begin, stale = (state.get[:6], state.get[6], state.get[7]) if state.exists else (None, None, False)
-        before, out, arrived = (best, begin), [], 0
-        for batch in batches:
+        now, out, before, arrived = state.getCurrentWatermarkMs(), [], {}, 0
+        held = {name: (tuple(best), begin, due) for name, (best, begin, due) in json.loads(state.get[0]).items()} if state.exists else {}
+        for batch in () if state.hasTimedOut else batches:
             arrived = max(arrived, int(batch["_ms"].max()))
-            found = batch[["status", "offset", "event_count", "end_offset", "event_id", "recorded_at"]].astype(object)
-            for o in found.where(found.notna(), None).itertuples(index=False, name=None):
+            found = batch[["transaction_id", *_SEEN]].astype(object)
+            for name, *o in found.where(found.notna(), None).itertuples(index=False, name=None):
+                o = tuple(o)
                 if name is None:
                     out.append((None, *o, None, False))
                     continue
+                best, begin, due = held.get(name, (None, None, 0))
+                before.setdefault(name, (best, begin))
                 best = o if best is None or _order(o) > _order(best) else best
                 if o[0] == "OPEN" and o[1] is not None and (begin is None or int(o[1]) < int(begin)):
                     begin = o[1]
-        if name is not None:
-            if (best, begin) != before:
+                held[name] = best, begin, due
+        for name, old in before.items():
+            best, begin, due = held[name]
+            if (best, begin) != old:
                 out.append((name, *best, begin, False))
-                stale = False
-            state.update((*best, begin, stale))
-            if not stale:
-                state.setTimeoutTimestamp(max(arrived, state.getCurrentWatermarkMs()) + span)
+                due = 0
+            held[name] = best, begin, due if due is None else max(arrived, now) + span
+        for name in [n for n, (_, _, due) in held.items() if due is not None and due < now]:
+            best, begin, _ = held.pop(name)
+            if best[0] != "COMPLETE":
+                held[name] = best, begin, None
+                out.append((name, *best, begin, True))
+        if held:
+            state.update((json.dumps(held),))
+            dues = [due for _, _, due in held.values() if due is not None]
+            if dues:
+                state.setTimeoutTimestamp(max(min(dues), now + 1))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame(out, columns=fields)
 
