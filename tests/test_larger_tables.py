@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, transactions
+from tidemark.plans import registry
 from tidemark.streaming import stateful
 
 AT = dt.datetime(2024, 1, 1)
@@ -40,3 +41,10 @@ def test_transactions_share_calls_by_hash(spark, tmp_path):
     found = transactions.effective_transactions(states.drop("begin_offset", "stale")).collect()
     assert {(r.transaction_id, r.status, r.offset) for r in found} == {(f"t{i}", "COMPLETE", 1000 + i) for i in range(300)} and len(found) == 300
     assert {r.transaction_id: r.b for r in states.groupBy("transaction_id").agg(F.min("begin_offset").alias("b")).collect()} == {f"t{i}": i for i in range(300)}
+
+
+def test_no_task_holds_the_values_of_a_profile(spark):
+    df = registry.queries()["merged_profiles"](spark, "/root/testdata/sf0.001")
+    assert "percentile(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.column_name: (r.distinct_close, r.median_close) for r in df.collect()}
+    assert found == {"o_orderkey": (True, True), "o_custkey": (True, True), "o_orderpriority": (True, None)}
