@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, transactions
 from tidemark.plans import registry
+from tidemark.sources import ledger_files
+from tidemark.sources.ledger_files import LedgerFiles
 from tidemark.streaming import stateful
 
 AT = dt.datetime(2024, 1, 1)
@@ -48,3 +51,27 @@ def test_no_task_holds_the_values_of_a_profile(spark):
     assert "percentile(" not in df._jdf.queryExecution().optimizedPlan().toString()
     found = {r.column_name: (r.distinct_close, r.median_close) for r in df.collect()}
     assert found == {"o_orderkey": (True, True), "o_custkey": (True, True), "o_orderpriority": (True, None)}
+
+
+def _ids(spark, ids):
+    return spark.createDataFrame([(f"id{i:05d}", i) for i in ids], "event_id string, n long").coalesce(1)
+
+
+def test_a_large_batch_opens_files_by_range_and_none_of_it_is_sent(spark, tmp_path, monkeypatch):
+    table = LedgerFiles(spark, str(tmp_path / "t"), ["event_id"])
+    for low in (0, 100, 200):
+        table.append(_ids(spark, range(low, low + 50)))
+    assert [(r.n, r.low, r.high) for r in table.index().orderBy("low").collect()][1] == (50, "id00100", "id00149")
+    monkeypatch.setattr(ledger_files, "KEYS", 10)
+    monkeypatch.setattr(type(_ids(spark, [1])), "toArrow", lambda self: 1 / 0)
+    table.append(_ids(spark, range(120, 180)))
+    assert len(table.opened) == 1 and spark.read.parquet(str(tmp_path / "t")).count() == 180
+    table.append(_ids(spark, range(0, 260)))
+    assert len(table.opened) == 4 and spark.read.parquet(str(tmp_path / "t")).distinct().count() == 260 == spark.read.parquet(str(tmp_path / "t")).count()
+
+
+def test_filters_hold_the_positions_of_few_hashes_at_once(monkeypatch):
+    sizes, place = [], ledger_files._positions
+    monkeypatch.setattr(ledger_files, "_positions", lambda h, n: sizes.append(len(h)) or place(h, n))
+    hashes = np.random.default_rng(1).integers(-(2**62), 2**62, 200_001)
+    assert ledger_files.may_hold(ledger_files.bloom(hashes), hashes).all() and max(sizes) <= 1 << 16

@@ -4,7 +4,8 @@ Beside each file of a table stands one row of a sidecar: the least and the great
 filter of its ids. An append reads only the files whose range and filter admit one of the batch's ids,
 whatever order the ids come in; what it finds there settles whether a row is new, a copy, or a copy that
 differs, which must not pass. Filters are small enough (BITS an id) that a batch of a hundred thousand
-ids opens about one foreign file in ten.
+ids opens about one foreign file in ten. A batch of more than KEYS ids would open most files by chance
+alone; it opens all those whose range meets its own, and neither driver nor workers hold its ids.
 
 A file without a sidecar row, as a crash between the two writes leaves it, counts as one that may hold
 anything, and the next append indexes it. Each table has one writer.
@@ -24,8 +25,10 @@ from tidemark.sources.storage import drop_saved, exists, list_files, save
 
 #: Bits of a filter for each id, and positions an id sets.
 BITS, PLACES = 30, 12
-#: Rows of a file at most, so that a filter is made by one task; ids that are sent to the filters at once.
-FILE_ROWS, KEYS = 2_000_000, 1_000_000
+#: Rows of a file at most, so that a filter is made by one task; ids of a batch that are sent to the filters.
+FILE_ROWS, KEYS = 1_000_000, 250_000
+#: Hashes whose positions are held at once.
+_CHUNK = 1 << 16
 
 #: Columns that tell how a row was captured; copies may differ in them.
 LINEAGE = ("ingest_batch_id", "query_id", "ingested_at")
@@ -42,15 +45,18 @@ def _positions(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def bloom(hashes: np.ndarray) -> bytes:
     bits = np.zeros(max(1, -(-len(hashes) * BITS // 8)) * 8, bool)
-    bits[_positions(hashes, len(bits)).ravel()] = True
+    for i in range(0, len(hashes), _CHUNK):
+        bits[_positions(hashes[i : i + _CHUNK], len(bits)).ravel()] = True
     return np.packbits(bits).tobytes()
 
 
-def may_hold(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+def may_hold(bits: bytes | pa.Buffer, hashes: np.ndarray) -> np.ndarray:
     """Which hashes the filter admits."""
-    packed = np.frombuffer(bits, np.uint8)
-    at = _positions(hashes, 8 * len(packed))
-    return ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+    packed, out = np.frombuffer(bits, np.uint8), np.empty(len(hashes), bool)
+    for i in range(0, len(hashes), _CHUNK):
+        at = _positions(hashes[i : i + _CHUNK], 8 * len(packed))
+        out[i : i + _CHUNK] = ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+    return out
 
 
 def _name(file: str) -> str:
@@ -84,14 +90,13 @@ class LedgerFiles:
             return
 
         def build(table: pa.Table) -> pa.Table:
-            text = table.column("id")
-            low, high = pc.min_max(text).as_py().values()
-            return pa.table({"file": table.column("file").slice(0, 1), "n": [table.num_rows], "low": [low], "high": [high], "bits": pa.array([bloom(table.column("h").to_numpy())], pa.binary())})
+            return pa.table({"k": table.column("k").slice(0, 1), "bits": pa.array([bloom(table.column("h").to_numpy())], pa.binary())})
 
         name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-        rows = self.spark.read.parquet(*fresh).select(name.alias("file"), self._id().alias("id"))
-        rows = rows.withColumn("h", F.xxhash64("id"))
-        made = save(rows.groupBy("file").applyInArrow(build, INDEX), "index")
+        rows = self.spark.read.parquet(*fresh).select(name.alias("file"), self._id().alias("id")).withColumn("k", F.xxhash64("file"))
+        bits = rows.select("k", F.xxhash64("id").alias("h")).groupBy("k").applyInArrow(build, "k long, bits binary")  # two numbers a row, whatever the ids are
+        ends = rows.groupBy("k", "file").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+        made = save(ends.join(bits, "k").select("file", "n", "low", "high", "bits"), "index")
         seen = {r["file"] for r in made.select("file").collect()}
         empty = [(_name(f), 0, None, None, b"") for f in fresh if _name(f) not in seen]
         made.unionByName(self.spark.createDataFrame(empty, INDEX)).coalesce(max(1, len(fresh) // 1000)).write.mode("append").parquet(f"{self.path}.index")
@@ -100,35 +105,34 @@ class LedgerFiles:
     def candidates(self, rows: DataFrame) -> list[str]:
         """Files that may hold an id of ``rows``, which are read twice."""
         files = self.files()
-        index, n = self.index(), rows.count() if files else 0
+        if not files:
+            return []
+        index, ids = self.index(), rows.select(self._id().alias("id"))
+        n, least, most = ids.agg(F.count("*"), F.min("id"), F.max("id")).first()
         if not n:
             return []
-        found = {r["file"] for r in index.select("file").collect()}
-        some = {_name(f) for f in files} - found
-        ids = rows.select(self._id().alias("id")).withColumn("h", F.xxhash64("id"))
-        slices = -(-n // KEYS)
-        for i in range(slices):  # one broadcast of KEYS ids, or about that many of each slice
-            part = ids.where(F.pmod(F.col("h"), F.lit(slices)) == i).toArrow()
-            if not part.num_rows:
-                continue
-            order = pc.sort_indices(part.column("id"))
-            text, hashes = part.column("id").take(order).to_pylist(), part.column("h").take(order).to_numpy()
-            sent = self.spark.sparkContext.broadcast((np.array(text, object), hashes))
-
-            def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                text, hashes = sent.value
-                for batch in batches:
-                    hit = []
-                    for file, n, low, high, bits in zip(*(batch.column(c).to_pylist() for c in ("file", "n", "low", "high", "bits"))):
-                        if not n:
-                            continue
-                        a, b = np.searchsorted(text, low, "left"), np.searchsorted(text, high, "right")
-                        if b > a and may_hold(bits, hashes[a:b]).any():
-                            hit.append(file)
-                    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.string())], ["file"])
-
-            some |= {r["file"] for r in index.mapInArrow(test, "file string").collect()}
-            sent.destroy()
+        near = index.where(F.col("n") > 0).where((F.col("low") <= most) & (F.col("high") >= least))
+        some = {_name(f) for f in files} - {r["file"] for r in index.select("file").collect()}
+        if n > KEYS:
+            some |= {r["file"] for r in near.select("file").collect()}
+            return [f for f in files if _name(f) in some]
+        part = ids.withColumn("h", F.xxhash64("id")).toArrow()
+        order = pc.sort_indices(part.column("id"))
+        text, hashes = part.column("id").take(order).to_pylist(), part.column("h").take(order).to_numpy()
+        sent = self.spark.sparkContext.broadcast((np.array(text, object), hashes))
+
+        def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            text, hashes = sent.value
+            for batch in batches:
+                hit = []
+                for file, low, high, bits in zip(*(batch.column(c) for c in ("file", "low", "high", "bits"))):
+                    a, b = np.searchsorted(text, low.as_py(), "left"), np.searchsorted(text, high.as_py(), "right")
+                    if b > a and may_hold(bits.as_buffer(), hashes[a:b]).any():
+                        hit.append(file.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(hit, pa.string())], ["file"])
+
+        some |= {r["file"] for r in near.mapInArrow(test, "file string").collect()}
+        sent.destroy()
         return [f for f in files if _name(f) in some]
 
     def judge(self, rows: DataFrame) -> DataFrame:
