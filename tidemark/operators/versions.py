@@ -57,15 +57,13 @@ def _cuts(ticks: Sequence[DataFrame], parts: int) -> list[float]:
 
 
 def _range(value: Column, cuts: Sequence[float]) -> Column:
-    """How many cuts are at or below a value, by a tree of comparisons."""
-
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < cuts[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return tree(0, len(cuts))
+    """How many ascending cuts are at or below a value (0 for null), by halving: the expression's size does not grow with the cuts."""
+    if not cuts:
+        return F.lit(0)
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    padded = F.lit([*map(float, cuts), *[float("inf")] * (2 * steps[0] - 1 - len(cuts))])
+    halve = lambda v: F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(padded, at + step - 1) <= v, at + step).otherwise(at))
+    return F.least(F.get(F.transform(F.array(value), halve), F.lit(0)), F.lit(len(cuts)))  # the array, so that the value is computed once
 
 
 #: Ranges of time at most.
