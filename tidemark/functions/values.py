@@ -42,7 +42,9 @@ def ratio(num: Column, den: Column) -> Column:
 
 
 def date_key(ts: Column | str) -> Column:
-    return F.date_format(ts, "yyyyMMdd").cast("int")
+    """The day as a number like 20240131, without a text in between."""
+    day = F.to_date(ts)
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def day_difference(end: Column | str, start: Column | str) -> Column:

@@ -45,18 +45,19 @@ def allocate(items: DataFrame, payments: DataFrame, *carry: str) -> DataFrame:
     return rows.join(paid, "order_id", "left").select("order_id", "item_no", *carry, "gross_cents", "order_gross_cents", "paid_cents", share.alias("allocated_cents"))
 
 
-def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, versions: DataFrame, products: DataFrame, changes: DataFrame) -> DataFrame:
+def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, versions: DataFrame, products: DataFrame, changes: DataFrame, listings: DataFrame | None = None) -> DataFrame:
     """One row per order item with keys, money and delivery measures.
 
     ``items`` are allocated ones. Orders join inner, all lookups left. ``versions`` is a type-2
     dimension by unique_id and ``products`` one by listing_id, a column of the items; both are looked
     up at the purchase time. ``changes`` has the times of the events behind the versions in its first column.
+    ``listings`` is a cheaper table than the items with their order_id and listing_id.
     """
     cuts = time_cuts(orders.select("purchase"), changes)
     placed = scd2_lookup(orders.join(customers, "customer_id", "left"), versions, "unique_id", "purchase", "version_key", cuts)  # once an order, not once an item
-    rows = items.join(placed, "order_id").join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
-    bought = items.select("order_id", "listing_id").join(orders.select("order_id", "purchase"), "order_id")
-    rows = scd2_lookup(rows, products, "listing_id", "purchase", "product_version_key", cuts, bought)
+    bought = (items if listings is None else listings).select("order_id", "listing_id").join(orders.select("order_id", "purchase"), "order_id")
+    rows = scd2_lookup(items.join(placed, "order_id"), products, "listing_id", "purchase", "product_version_key", cuts, bought)
+    rows = rows.join(sellers.select("seller_id", "seller_key"), "seller_id", "left")  # last, so that no exchange carries its key
     return rows.select(
         hash_key("order_id", "item_no").alias("item_key"), "order_id", "item_no", "customer_id", "unique_id", F.col("version_key").alias("customer_version_key"), "seller_key",
         hash_key("product_id").alias("product_key"), "product_version_key", hash_key("status").alias("status_key"),

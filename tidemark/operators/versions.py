@@ -101,7 +101,8 @@ def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Seq
     place = lambda df: _range(_ticks(df, order[0]), cuts)
     known = known.withColumn("_bucket", place(right))
     ends = known.groupBy(*by, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_end"))
-    slots = moments.where(usable).withColumn("_bucket", place(moments)).select(*by, "_bucket").distinct()
+    # counted, else a distinct below would be merged into this one and places be found for all its rows
+    slots = moments.where(usable).withColumn("_bucket", place(moments)).groupBy(*by, "_bucket").agg(F.count("*").alias("_n")).where("_n > 0").drop("_n")
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.join(ends, [*by, "_bucket"], "full_outer").withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).select(*by, "_bucket", "_carried")
     rest = [c for c in left.columns if c not in by and c not in order]
@@ -225,12 +226,20 @@ def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str,
     """The dimension row in force at each fact's time; null where there is none. Intervals of a key do not overlap.
 
     The latest version that began at or before the time is found as-of; it counts unless it has ended.
-    ``cuts`` and ``moments`` as in ``asof_latest``.
+    Each key and time is looked up once, however many facts share it, and joined back by both, so facts
+    are neither sorted among the versions nor gathered by key. Facts without a key or time are dealt by
+    hash. ``cuts`` and ``moments`` as in ``asof_latest``.
     """
     versions = dim.select(key, F.col("valid_from").alias(ts), F.struct("valid_to", value).alias("_version"))
-    found = asof_latest(fact, versions, [key], [ts], ["_version"], cuts, moments)
+    usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    points = (fact if moments is None else moments).where(usable).select(key, ts).distinct()
+    found = asof_latest(points, versions, [key], [ts], ["_version"], cuts)
     open_ = F.col("_version.valid_to").isNull() | (F.col(ts) < F.col("_version.valid_to"))
-    return found.withColumn(value, F.when(open_, F.col(f"_version.{value}"))).drop("_version")
+    same = F.xxhash64(*(F.col(c).cast(found.schema[c].dataType) for c in (key, ts)))
+    hashed = [f.name for f in fact.schema if f.dataType.typeName() not in ("map", "variant")]
+    found = found.select(key, ts, same.alias("_deal"), F.when(open_, F.col(f"_version.{value}")).alias(value))
+    rows = fact.withColumn("_deal", F.when(usable, same).otherwise(F.xxhash64(*hashed)))
+    return rows.join(found, ["_deal", key, ts], "left").select(*fact.columns, value)  # by hash first: rows sort by one number
 
 
 def interval_overlaps(dim: DataFrame, key: str) -> DataFrame:

@@ -55,10 +55,11 @@ def payment_allocation(v: Views) -> DataFrame:
 def fact_order_items(v: Views) -> DataFrame:
     key = hash_key("user_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     dim = user_versions(v).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to", key.alias("version_key"))
-    items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents").withColumn("listing_id", F.col("product_id") % 200)
+    listing = (F.col("product_id") % 200).alias("listing_id")
+    items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents").select("*", listing)
     key = hash_key("product_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     products = versions.scd2(product_events(v), "product_id", ORDER, F.col("category")).select(F.col("product_id").alias("listing_id"), "valid_from", "valid_to", key.alias("product_version_key"))
-    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim, products, v.changes.select("source_ts"))
+    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim, products, v.changes.select("source_ts"), v.items.select("order_id", listing))
 
 
 @query("""select cast(strftime(d, '%Y%m%d') as int) as date_key, d as date, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month, rpad(monthname(d), 9, ' ') as month_name, cast(weekofyear(d) as int) as week,

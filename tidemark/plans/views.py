@@ -32,9 +32,11 @@ class Views:
 
     @cached_property
     def items(self) -> DataFrame:
-        w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_tax")
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"), F.row_number().over(w).cast("bigint").alias("item_no"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
+        order = ("l_linenumber", "product_id", "seller_id", "l_shipdate", "l_extendedprice", "l_quantity", "l_tax")
+        rows = self.table("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"), "l_linenumber", *order[3:])
+        # numbered by the name that later windows and joins use, so that they need no exchange of their own
+        return rows.select(
+            "order_id", F.row_number().over(Window.partitionBy("order_id").orderBy(*order)).cast("bigint").alias("item_no"), "product_id", "seller_id",
             cents("l_extendedprice").alias("price_cents"), cents(F.col("l_extendedprice") * F.col("l_tax")).alias("freight_cents"),
         )
 
