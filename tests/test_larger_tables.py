@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, transactions
-from tidemark.plans import registry
+from tidemark.plans import entities, registry
+from tidemark.plans.views import Views
 from tidemark.sources import ledger_files
 from tidemark.sources.ledger_files import LedgerFiles
 from tidemark.streaming import stateful
@@ -31,6 +32,29 @@ def test_an_envelope_is_parsed_once_a_row(spark):
     assert current.columns == ["a", "b", "offset", "amount", "is_deleted"] and current.first().offset == 5
 
 
+def test_only_what_is_named_is_read_of_an_envelope(spark):
+    whole = '{"op":"%s","before":%s,"after":%s,"source":{"ts_ms":5,"snapshot":"first"},"transaction":{"id":"tx-1"}}'
+    image, other = '{"a":1,"b":2,"amount":4}', '{"a":"x","b":[1],"amount":9}'
+    texts = [whole % x for x in (("d", image, "null"), ("u", image, other), ("d", "null", image), ("x", image, image), ("c", "3", "{}"))]
+    texts += [None, "", "[]", texts[0][:-2], '{"op":"u","after":{"b":2}}', '{"op":"r","after":{"amount":99999999999999999999},"source":7,"transaction":{"id":3}}', '{"op":7}']
+    rows = [(i, t, '{"a":1,"b":2}', AT) for i, t in enumerate(texts)]
+    sent = spark.createDataFrame(rows, "offset long, envelope string, key_json string, log_time timestamp_ntz")
+    every = ledger.stage_changes(sent, SPEC)
+    for columns in (["offset", "is_deleted", "apply_status", "error_code"], ["offset", "transaction_id"], ["offset", "is_snapshot", "source_ts", "a", "op"], ["offset", "b", "amount", "row_hash", "error_ordinal"]):
+        some = ledger.stage_changes(sent, SPEC, columns)
+        assert some.columns == columns and sorted(map(repr, some.collect())) == sorted(map(repr, every.select(*columns).collect()))
+    read = ledger.stage_changes(sent, SPEC, ["offset", "transaction_id", "error_code"])._jdf.queryExecution().optimizedPlan().toString()
+    assert read.count("from_json") == 1 and "StructField(amount" in read and not any(f"StructField({c}," in read for c in ("a", "b", "ts_ms", "snapshot"))
+
+
+def test_envelopes_of_one_row_group_are_made_by_many_tasks(spark, tmp_path):
+    spark.range(-70, 2000).selectExpr("id as o_orderkey", "id * 1.5D as o_totalprice").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    log = entities.change_log(Views(spark, str(tmp_path)), "orders").select("offset", F.get_json_object("envelope", "$.op").alias("op"))
+    sizes = [r["count"] for r in log.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 0.5 * sum(sizes)
+    assert {(r.offset, r.op) for r in log.collect()} == {(n * 3 + i, op) for n in range(-70, 2000) for i, (op, every) in enumerate((("r", 1), ("u", 3), ("d", 11))) if n % every == 0}
+
+
 def test_transactions_share_calls_by_hash(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = [(f"t{i}", s, o, None, None, f"t{i}:{s}", AT) for i in range(300) for s, o in (("OPEN", i), ("COMPLETE", 1000 + i))]

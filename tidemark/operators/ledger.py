@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,13 +42,19 @@ class EntitySpec:
         return ", ".join(f"{k} {types[k]}" for k in self.keys)
 
 
-def stage_changes(envelopes: DataFrame, spec: EntitySpec) -> DataFrame:
-    """An entity's ledger rows: normalized by its contract, then judged by its rules; a corrupt row keeps its own code."""
-    rows = normalize(envelopes, spec.columns, spec.key_columns()).withColumnsRenamed({"apply_status": "_status", "error_code": "_code"})
+def stage_changes(envelopes: DataFrame, spec: EntitySpec, columns: Sequence[str] | None = None) -> DataFrame:
+    """An entity's ledger rows: normalized by its contract, then judged by its rules; a corrupt row keeps its own code.
+
+    With ``columns``, the rows have these only, and no field of the envelope is read that neither they nor the rules name.
+    """
+    named = {word for r in spec.rules for word in re.findall(r"\w+", r.holds.lower())}
+    needs = None if columns is None else lambda name: name in columns or not named.isdisjoint(re.findall(r"\w+", name.lower()))
+    rows = normalize(envelopes, spec.columns, spec.key_columns(), needs=needs).withColumnsRenamed({"apply_status": "_status", "error_code": "_code"})
     rows = apply_rules(rows, spec.rules) if spec.rules else rows.withColumns({"error_code": F.lit(None).cast("string"), "apply_status": F.lit("APPLIED")})
     code = F.coalesce("_code", "error_code")
     out = rows.withColumn("error_code", code).withColumn("apply_status", F.when(code.isNull(), "APPLIED").otherwise("REJECTED"))
-    return out.withColumn("entity", F.lit(spec.name)).drop("_status", "_code")
+    out = out.withColumn("entity", F.lit(spec.name)).drop("_status", "_code")
+    return out if columns is None else out.select(*columns)
 
 
 def stage(ledger: DataFrame, spec: EntitySpec, order: Column, columns: Sequence[str] | None = None) -> DataFrame:
@@ -95,7 +101,7 @@ def split_valid(raw: DataFrame, allowed_ids: Sequence[int]) -> tuple[DataFrame,
     return rows.where("reason is null").drop("reason"), rows.where("reason is not null")
 
 
-def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: str | None = None) -> DataFrame:
+def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: str | None = None, needs: Callable[[str], bool] | None = None) -> DataFrame:
     """Ledger rows out of envelope JSON: op, flags, source and transaction fields, and the chosen image.
 
     The image is ``before`` for deletes and ``after`` otherwise; a missing one is corrupt. With ``keys``
@@ -104,32 +110,48 @@ def normalize(envelopes: DataFrame, image: str, keys: str | None = None, wire: s
     columns, null where there is no image. ``wire`` is the DDL of the columns as they are sent, where it
     differs from the contract's (unscaled bytes, microseconds, wider numbers); values are then coerced.
 
+    ``needs`` says of a hash, a flag, a field or an image column by its name whether it is wanted; what is
+    not is neither made nor read, which saves a good part of the time. op, is_deleted, apply_status and
+    error_code are always there, and same as with everything read. A hash needs the whole image.
+
     The envelope is read once a row: it comes out of a generator, below which no filter is pushed that
     would read it again for each field it names.
     """
-    schema = f"op string, before struct<{wire or image}>, after struct<{wire or image}>, source struct<ts_ms bigint, snapshot string, file string, pos bigint, `row` int>, transaction struct<id string, total_order bigint>"
-    rows = envelopes.withColumn("_e", F.explode(F.array(F.from_json("envelope", schema))))
+    wanted = needs or (lambda name: True)
+    types = lambda ddl: {f.name: f.dataType.simpleString() for f in envelopes.select(F.from_json(F.lit("{}"), ddl).alias("i")).schema["i"].dataType}
+    want, sent = types(image), types(wire or image)
+    hashed = [h for h in ("before_row_hash", "after_row_hash", "row_hash") if wanted(h)]
+    own = [k for k in types(keys) if wanted(k)] if keys else []
+    fields = [c for c in want if hashed or (wanted(c) and c not in own)] or list(want)[:1]  # an image of no column could not be told from a missing one
+    part = wire or image if fields == list(want) else ", ".join(f"`{c}` {sent[c]}" for c in fields)
+    source = [ddl for ddl, name in (("ts_ms bigint", "source_ts"), ("snapshot string", "is_snapshot")) if wanted(name)]
+    schema = ["op string", f"before struct<{part}>", f"after struct<{part}>", *([f"source struct<{', '.join(source)}>"] if source else []), *(["transaction struct<id string>"] if wanted("transaction_id") else [])]
+    rows = envelopes.select("*", F.inline(F.array(F.from_json("envelope", ", ".join(schema)))).alias(*(f"_{ddl.split(' ')[0]}" for ddl in schema)))
     if wire:
-        sent = {f.name: f.dataType.simpleString() for f in rows.select("_e.after").schema["after"].dataType}
-        want = {f.name: f.dataType.simpleString() for f in rows.select(F.from_json(F.lit("{}"), image).alias("i")).schema["i"].dataType}
-        for side in ("before", "after"):
-            x = F.col(f"_e.{side}")
-            rows = rows.withColumn("_e", F.col("_e").withField(side, F.when(x.isNotNull(), F.struct(*(coerce(x[c], sent[c], t).alias(c) for c, t in want.items())))))
-    deleted = F.col("_e.op") == "d"
-    payload = F.when(deleted, F.col("_e.before")).otherwise(F.col("_e.after"))
-    status = F.when(F.col("_e").isNull() | ~F.coalesce(F.col("_e.op").isin(*OPERATIONS), F.lit(False)), "REJECTED").when(payload.isNull(), "REJECTED").otherwise("APPLIED")
-    code = F.when(F.col("_e").isNull() | ~F.coalesce(F.col("_e.op").isin(*OPERATIONS), F.lit(False)), "invalid_op").when(payload.isNull(), "missing_image")
-    fields = [f.name for f in rows.select("_e.after").schema["after"].dataType]
+        for side in ("_before", "_after"):
+            x = F.col(side)
+            rows = rows.withColumn(side, F.when(x.isNotNull(), F.struct(*(coerce(x[c], sent[c], want[c]).alias(c) for c in fields))))
+    deleted = F.col("_op") == "d"
+    payload = F.when(deleted, F.col("_before")).otherwise(F.col("_after"))
+    strange = ~F.coalesce(F.col("_op").isin(*OPERATIONS), F.lit(False))
+    status = F.when(strange | payload.isNull(), "REJECTED").otherwise("APPLIED")
+    code = F.when(strange, "invalid_op").when(payload.isNull(), "missing_image")
     digest = lambda x: F.when(x.isNotNull(), row_digest(*(x[f] for f in fields)))
-    own = [f.name for f in rows.select(F.from_json(F.lit("{}"), keys).alias("k")).schema["k"].dataType] if keys else []
-    hashes = (digest(F.col("_e.before")).alias("before_row_hash"), digest(F.col("_e.after")).alias("after_row_hash"), digest(payload).alias("row_hash"))
-    if keys:
+    image_of = {"before_row_hash": F.col("_before"), "after_row_hash": F.col("_after"), "row_hash": payload}
+    made = [digest(image_of[h]).alias(h) for h in hashed] + [F.col("_op").alias("op"), F.coalesce(deleted, F.lit(False)).alias("is_deleted")]
+    if wanted("is_snapshot"):
+        made.append(F.coalesce(F.col("_source.snapshot").isin(*SNAPSHOT), F.lit(False)).alias("is_snapshot"))
+    if wanted("source_ts"):
+        made.append(F.coalesce(F.timestamp_millis("_source.ts_ms").cast("timestamp_ntz"), F.col("log_time")).alias("source_ts"))
+    if wanted("transaction_id"):
+        made.append(F.col("_transaction.id").alias("transaction_id"))
+    columns = [c for c in fields if wanted(c) and c not in own]
+    if own:
         rows, k = rows.withColumn("_k", F.from_json("key_json", keys)), F.col("_k")
-        payload = F.struct(*(k[f].alias(f) for f in own), *(payload[f].alias(f) for f in fields if f not in own))
-    return rows.select(
-        *[c for c in envelopes.columns if c not in ("envelope", "key_json")], *hashes, F.col("_e.op").alias("op"), F.coalesce(deleted, F.lit(False)).alias("is_deleted"), F.coalesce(F.col("_e.source.snapshot").isin(*SNAPSHOT), F.lit(False)).alias("is_snapshot"),
-        F.coalesce(F.timestamp_millis("_e.source.ts_ms").cast("timestamp_ntz"), F.col("log_time")).alias("source_ts"), F.col("_e.transaction.id").alias("transaction_id"), status.alias("apply_status"), code.alias("error_code"), payload.alias("_p"),
-    ).select("*", "_p.*").drop("_p")
+    image_row = F.struct(*(k[f].alias(f) for f in own), *(payload[f].alias(f) for f in columns)) if own else payload
+    names = [*own, *columns]
+    out = rows.select(*[c for c in envelopes.columns if c not in ("envelope", "key_json")], *made, status.alias("apply_status"), code.alias("error_code"), image_row.alias("_p"))
+    return out.select("*", *(F.col(f"_p.`{c}`").alias(c) for c in names)).drop("_p")
 
 
 def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
