@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import date_key, day_difference, hash_key, ratio, share_half_up
-from tidemark.operators.versions import scd2_lookup, time_cuts
+from tidemark.operators.versions import scd2_lookup, time_cuts, time_range
 
 #: Statuses that count as success and as failure.
 SUCCESS, FAILURE = ("delivered",), ("canceled", "unavailable")
@@ -45,26 +45,42 @@ def allocate(items: DataFrame, payments: DataFrame, *carry: str) -> DataFrame:
     return rows.join(paid, "order_id", "left").select("order_id", "item_no", *carry, "gross_cents", "order_gross_cents", "paid_cents", share.alias("allocated_cents"))
 
 
+def version_key(key: str, valid_from: str) -> Column:
+    """The key of a type-2 version: of its entity and when it began."""
+    return hash_key(key, F.date_format(valid_from, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, versions: DataFrame, products: DataFrame, changes: DataFrame, listings: DataFrame | None = None) -> DataFrame:
     """One row per order item with keys, money and delivery measures.
 
     ``items`` are allocated ones. Orders join inner, all lookups left. ``versions`` is a type-2
     dimension by unique_id and ``products`` one by listing_id, a column of the items; both are looked
-    up at the purchase time. ``changes`` has the times of the events behind the versions in its first column.
-    ``listings`` is a cheaper table than the items with their order_id and listing_id.
+    up at the purchase time, and their keys are made of what was found. ``changes`` has the times of the
+    events behind the versions in its first column. ``listings`` is a cheaper table than the items with
+    their order_id and listing_id.
+
+    Items and orders are spread by order once. Only orders, keys and times go to the versions, and
+    only when a version began comes back; days are days from the start and texts are made at the end.
     """
     cuts = time_cuts(orders.select("purchase"), changes)
-    placed = scd2_lookup(orders.join(customers, "customer_id", "left"), versions, "unique_id", "purchase", "version_key", cuts)  # once an order, not once an item
-    bought = (items if listings is None else listings).select("order_id", "listing_id").join(orders.select("order_id", "purchase"), "order_id")
-    rows = scd2_lookup(items.join(placed, "order_id"), products, "listing_id", "purchase", "product_version_key", cuts, bought)
+    customers = customers.select("customer_id", "unique_id")
+    began = [d.select(k, "valid_from", "valid_to", F.col("valid_from").alias("since")) for d, k in ((versions, "unique_id"), (products, "listing_id"))]
+    version = lambda key: F.when(F.col("since").isNotNull(), version_key(key, "since"))
+    at = orders.select("order_id", "customer_id", "purchase", time_range(orders, "purchase", cuts).alias("place"))
+    placed = orders.select("order_id", "customer_id", "status", "purchase", *(F.to_date(c).alias(c) for c in ("approved", "delivered", "estimated"))).join(customers, "customer_id", "left").repartition("order_id")
+    placed = scd2_lookup(placed, began[0], "unique_id", "purchase", "since", cuts, at.join(customers, "customer_id"), "order_id", "place")
+    placed = placed.select(  # once an order, not once an item
+        "order_id", "customer_id", "unique_id", "purchase", version("unique_id").alias("customer_version_key"), hash_key("status").alias("status_key"),
+        date_key("purchase").alias("purchase_date_key"), date_key("approved").alias("approved_date_key"), date_key("delivered").alias("delivered_date_key"), date_key("estimated").alias("estimated_date_key"),
+        day_difference("delivered", "purchase").alias("delivery_days"), day_difference("delivered", "estimated").alias("delay_days"), (F.col("delivered") > F.col("estimated")).cast("int").alias("is_late"),
+    )
+    bought = (items if listings is None else listings).select("order_id", "listing_id").join(at.drop("customer_id"), "order_id")
+    rows = scd2_lookup(items.join(placed, "order_id"), began[1], "listing_id", "purchase", "since", cuts, bought, "order_id", "place")
     rows = rows.join(sellers.select("seller_id", "seller_key"), "seller_id", "left")  # last, so that no exchange carries its key
     return rows.select(
-        hash_key("order_id", "item_no").alias("item_key"), "order_id", "item_no", "customer_id", "unique_id", F.col("version_key").alias("customer_version_key"), "seller_key",
-        hash_key("product_id").alias("product_key"), "product_version_key", hash_key("status").alias("status_key"),
-        date_key("purchase").alias("purchase_date_key"), date_key("approved").alias("approved_date_key"), date_key("delivered").alias("delivered_date_key"), date_key("estimated").alias("estimated_date_key"),
-        "price_cents", "freight_cents", "allocated_cents",
-        day_difference("delivered", "purchase").alias("delivery_days"), day_difference("delivered", "estimated").alias("delay_days"),
-        (F.to_date("delivered") > F.to_date("estimated")).cast("int").alias("is_late"),
+        hash_key("order_id", "item_no").alias("item_key"), "order_id", "item_no", "customer_id", "unique_id", "customer_version_key", "seller_key",
+        hash_key("product_id").alias("product_key"), version("listing_id").alias("product_version_key"), "status_key",
+        "purchase_date_key", "approved_date_key", "delivered_date_key", "estimated_date_key", "price_cents", "freight_cents", "allocated_cents", "delivery_days", "delay_days", "is_late",
     )
 
 

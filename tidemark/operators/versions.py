@@ -76,7 +76,12 @@ def time_cuts(*times: DataFrame) -> list[float]:
     return _cuts([df.select(_ticks(df, df.columns[0]).alias("_t")).where("_t is not null") for df in times], parts)
 
 
-def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str], cuts: Sequence[float] | None = None, moments: DataFrame | None = None) -> DataFrame:
+def time_range(df: DataFrame, column: str, cuts: Sequence[float]) -> Column:
+    """The range among ``cuts`` in which a time or number column lies."""
+    return _range(_ticks(df, column), cuts)
+
+
+def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str], cuts: Sequence[float] | None = None, moments: DataFrame | None = None, place: str | None = None) -> DataFrame:
     """Each left row with the values of the latest right row at or before it.
 
     Linear in the rows and spread over time as well as keys, so few or hot keys do not decide the
@@ -89,6 +94,7 @@ def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Seq
     ``cuts`` are those of ``time_cuts`` over cheaper tables with times like those of both sides, so that
     neither side is computed for its times alone; they decide how rows are spread and not what is found.
     ``moments`` is a cheaper table than ``left`` with all its keys and orders (more do no harm).
+    ``place`` is a column of both with their ``time_range`` among these cuts, where it was cheaper to find before.
     """
     usable = F.lit(True)
     for c in (*by, *order):
@@ -98,17 +104,19 @@ def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], order: Seq
     moments = left if moments is None else moments
     if cuts is None:
         cuts = time_cuts(*(df.where(usable).select(order[0]) for df in (moments, right)))
-    place = lambda df: _range(_ticks(df, order[0]), cuts)
-    known = known.withColumn("_bucket", place(right))
+    placed = lambda df: F.col(place) if place else time_range(df, order[0], cuts)
+    known = known.withColumn("_bucket", time_range(right, order[0], cuts))
     ends = known.groupBy(*by, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_end"))
-    # counted, else a distinct below would be merged into this one and places be found for all its rows
-    slots = moments.where(usable).withColumn("_bucket", place(moments)).groupBy(*by, "_bucket").agg(F.count("*").alias("_n")).where("_n > 0").drop("_n")
+    # counted, else a distinct below would be merged into this one and places be found for all its rows; where these
+    # are found, a hash of all columns, so that the exchanges below are those of the left rows and not further ones
+    seen = F.max(F.xxhash64(*moments.columns)).isNotNull() if place else F.count("*") > 0
+    slots = moments.where(usable).withColumn("_bucket", placed(moments)).groupBy(*by, "_bucket").agg(seen.alias("_seen")).where("_seen").drop("_seen")
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.join(ends, [*by, "_bucket"], "full_outer").withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).select(*by, "_bucket", "_carried")
     rest = [c for c in left.columns if c not in by and c not in order]
     hashed = [f.name for f in left.schema if f.dataType.typeName() not in ("map", "variant")]
     lost = -1 - F.pmod(F.xxhash64(*hashed), F.lit(RANGES)).cast("int")
-    a = left.withColumn("_bucket", F.when(usable, place(left)).otherwise(lost)).select(*by, *order, "_bucket", F.lit(1).alias("_side"), *rest)
+    a = left.withColumn("_bucket", F.when(usable, placed(left)).otherwise(lost)).select(*by, *order, "_bucket", F.lit(1).alias("_side"), *rest)
     b = known.select(*by, *order, "_bucket", F.lit(0).alias("_side"), "_value")
     w = Window.partitionBy(*by, "_bucket").orderBy(*order, "_side").rowsBetween(Window.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True)
@@ -222,19 +230,31 @@ def scd2(events: DataFrame, key: str, order: Sequence[str], attributes_hash: Col
     return rows.where(~F.col(deleted)).withColumn("is_current", F.col("valid_to").isNull()).drop("version_hash")
 
 
-def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str, cuts: Sequence[float] | None = None, moments: DataFrame | None = None) -> DataFrame:
+def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str, cuts: Sequence[float] | None = None, moments: DataFrame | None = None, home: str | None = None, place: str | None = None) -> DataFrame:
     """The dimension row in force at each fact's time; null where there is none. Intervals of a key do not overlap.
 
     The latest version that began at or before the time is found as-of; it counts unless it has ended.
     Each key and time is looked up once, however many facts share it, and joined back by both, so facts
     are neither sorted among the versions nor gathered by key. Facts without a key or time are dealt by
-    hash. ``cuts`` and ``moments`` as in ``asof_latest``.
+    hash. ``cuts``, ``moments`` and ``place`` (a column of ``moments``) as in ``asof_latest``.
+
+    ``home`` is a column by which the facts are spread already and which ``moments`` has too. Facts then
+    stay where they are: only home, key and time are sent to the versions, and those that found one come
+    back, so no exchange holds whole facts. It is for homes with few distinct keys and times each, like
+    orders: a fact is held against all that its home has of them. Facts without a home find nothing.
     """
     versions = dim.select(key, F.col("valid_from").alias(ts), F.struct("valid_to", value).alias("_version"))
     usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    points = (fact if moments is None else moments).where(usable).select(key, ts).distinct()
-    found = asof_latest(points, versions, [key], [ts], ["_version"], cuts)
+    points = (fact if moments is None else moments).where(usable).select(*(c for c in (home, key, ts, place) if c))
+    found = asof_latest(points if home else points.distinct(), versions, [key], [ts], ["_version"], cuts, place=place)
     open_ = F.col("_version.valid_to").isNull() | (F.col(ts) < F.col("_version.valid_to"))
+    if home:
+        found = found.select(F.col(home).alias("_home"), F.col(key).alias("_key"), F.col(ts).alias("_at"), F.when(open_, F.col(f"_version.{value}")).alias(value)).where(F.col(value).isNotNull())
+        once = Window.partitionBy("_home", "_key", "_at").orderBy(value)  # repeated points found the same
+        known = found.repartition("_home").withColumn("_n", F.row_number().over(once)).where("_n = 1")
+        # ranges, since equalities would be join keys too and both sides be sent again by all of them
+        same = (F.col(home) == F.col("_home")) & F.col(key).between(F.col("_key"), F.col("_key")) & F.col(ts).between(F.col("_at"), F.col("_at"))
+        return fact.join(known, same, "left").select(*fact.columns, value)
     same = F.xxhash64(*(F.col(c).cast(found.schema[c].dataType) for c in (key, ts)))
     hashed = [f.name for f in fact.schema if f.dataType.typeName() not in ("map", "variant")]
     found = found.select(key, ts, same.alias("_deal"), F.when(open_, F.col(f"_version.{value}")).alias(value))

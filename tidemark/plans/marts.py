@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import hash_key
 from tidemark.operators import checks, gold, versions
 from tidemark.plans.catalog import query
 from tidemark.plans.views import Views
@@ -24,9 +23,11 @@ def sales(v: Views, customers: bool = False) -> DataFrame:
     return rows.select("order_id", "item_no", "customer_id", *["unique_id"] * customers, F.to_date("purchase").alias("purchase_day"), "status", "price_cents", "freight_cents", "allocated_cents")
 
 
-def user_versions(v: Views) -> DataFrame:
+def user_versions(v: Views, users: DataFrame | None = None) -> DataFrame:
+    """Versions of all users, or of those in a table of user_id."""
     attributes = F.md5(F.concat(F.col("event_type"), F.lit("|"), F.expr("cast(value_cents div 20000 as string)")))
-    return versions.scd2(v.changes, "user_id", ORDER, attributes)
+    changes = v.changes if users is None else v.changes.join(users, "user_id", "left_semi")
+    return versions.scd2(changes, "user_id", ORDER, attributes)
 
 
 @query("select purchase_day, items, orders, customers, delivered_orders, failed_orders, price_cents, freight_cents, paid_cents, gross_cents, average_order_cents from v_daily")
@@ -53,12 +54,11 @@ def payment_allocation(v: Views) -> DataFrame:
     left join (select user_id, valid_from, valid_to, md5(user_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_scd2) d on d.user_id = c.unique_id and o.purchase >= d.valid_from and o.purchase < coalesce(d.valid_to, timestamp '2299-12-31')
     left join (select product_id, valid_from, valid_to, md5(product_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_product) p on p.product_id = i.product_id % 200 and o.purchase >= p.valid_from and o.purchase < coalesce(p.valid_to, timestamp '2299-12-31')""")
 def fact_order_items(v: Views) -> DataFrame:
-    key = hash_key("user_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    dim = user_versions(v).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to", key.alias("version_key"))
+    buyers = v.customers.select(F.col("unique_id").alias("user_id")).distinct()  # no fact asks for other users
+    dim = user_versions(v, buyers).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to")
     listing = (F.col("product_id") % 200).alias("listing_id")
     items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents").select("*", listing)
-    key = hash_key("product_id", F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    products = versions.scd2(product_events(v), "product_id", ORDER, F.col("category")).select(F.col("product_id").alias("listing_id"), "valid_from", "valid_to", key.alias("product_version_key"))
+    products = versions.scd2(product_events(v), "product_id", ORDER, F.col("category")).select(F.col("product_id").alias("listing_id"), "valid_from", "valid_to")
     return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim, products, v.changes.select("source_ts"), v.items.select("order_id", listing))
 
 
