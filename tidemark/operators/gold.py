@@ -10,6 +10,8 @@ from tidemark.operators.versions import scd2_lookup, time_cuts, time_range
 
 #: Statuses that count as success and as failure.
 SUCCESS, FAILURE = ("delivered",), ("canceled", "unavailable")
+#: Sellers that are sent to all tasks at most (about 60 MB); more are met by an exchange of the items.
+SELLERS = 500_000
 
 
 def dim_date(orders: DataFrame, *times: str) -> DataFrame:
@@ -57,7 +59,7 @@ def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, seller
     dimension by unique_id and ``products`` one by listing_id, a column of the items; both are looked
     up at the purchase time, and their keys are made of what was found. ``changes`` has the times of the
     events behind the versions in its first column. ``listings`` is a cheaper table than the items with
-    their order_id and listing_id.
+    their order_id and listing_id; listings without versions may be left out.
 
     Items and orders are spread by order once. Only orders, keys and times go to the versions, and
     only when a version began comes back; days are days from the start and texts are made at the end.
@@ -76,7 +78,8 @@ def fact_items(items: DataFrame, orders: DataFrame, customers: DataFrame, seller
     )
     bought = (items if listings is None else listings).select("order_id", "listing_id").join(at.drop("customer_id"), "order_id")
     rows = scd2_lookup(items.join(placed, "order_id"), began[1], "listing_id", "purchase", "since", cuts, bought, "order_id", "place")
-    rows = rows.join(sellers.select("seller_id", "seller_key"), "seller_id", "left")  # last, so that no exchange carries its key
+    sellers = sellers.select("seller_id", "seller_key")
+    rows = rows.join(F.broadcast(sellers) if sellers.count() <= SELLERS else sellers, "seller_id", "left")  # last, so that no exchange carries its key
     return rows.select(
         hash_key("order_id", "item_no").alias("item_key"), "order_id", "item_no", "customer_id", "unique_id", "customer_version_key", "seller_key",
         hash_key("product_id").alias("product_key"), version("listing_id").alias("product_version_key"), "status_key",

@@ -262,6 +262,21 @@ def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, value: str,
     return rows.join(found, ["_deal", key, ts], "left").select(*fact.columns, value)  # by hash first: rows sort by one number
 
 
+#: Different keys that a filter names at most.
+KEYS = 1_000
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is one of another table's; all rows where that has more than about KEYS different ones.
+
+    Lookups need no versions of keys that no fact has, and no facts of keys without versions. Where such
+    keys are counted to be few, the rest leaves at the scan; a filter, unlike a join, hides no equal exchanges.
+    """
+    if keys.agg(F.approx_count_distinct(key)).first()[0] > KEYS:
+        return rows
+    return rows.where(F.col(key).isin([k for (k,) in keys.where(F.col(key).isNotNull()).select(key).distinct().collect()]))
+
+
 def interval_overlaps(dim: DataFrame, key: str) -> DataFrame:
     """Rows whose interval begins before an earlier one of the key has ended; linear, no self join."""
     w = Window.partitionBy(key).orderBy("valid_from", F.coalesce("valid_to", F.lit(LAST).cast("timestamp_ntz"))).rowsBetween(Window.unboundedPreceding, -1)

@@ -24,9 +24,9 @@ def sales(v: Views, customers: bool = False) -> DataFrame:
 
 
 def user_versions(v: Views, users: DataFrame | None = None) -> DataFrame:
-    """Versions of all users, or of those in a table of user_id."""
+    """Versions of all users, or at least of those in a table of user_id."""
     attributes = F.md5(F.concat(F.col("event_type"), F.lit("|"), F.expr("cast(value_cents div 20000 as string)")))
-    changes = v.changes if users is None else v.changes.join(users, "user_id", "left_semi")
+    changes = v.changes if users is None else versions.with_keys(v.changes, users, "user_id")
     return versions.scd2(changes, "user_id", ORDER, attributes)
 
 
@@ -54,12 +54,12 @@ def payment_allocation(v: Views) -> DataFrame:
     left join (select user_id, valid_from, valid_to, md5(user_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_scd2) d on d.user_id = c.unique_id and o.purchase >= d.valid_from and o.purchase < coalesce(d.valid_to, timestamp '2299-12-31')
     left join (select product_id, valid_from, valid_to, md5(product_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) as version_key from v_product) p on p.product_id = i.product_id % 200 and o.purchase >= p.valid_from and o.purchase < coalesce(p.valid_to, timestamp '2299-12-31')""")
 def fact_order_items(v: Views) -> DataFrame:
-    buyers = v.customers.select(F.col("unique_id").alias("user_id")).distinct()  # no fact asks for other users
-    dim = user_versions(v, buyers).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to")
+    dim = user_versions(v, v.customers.select(F.col("unique_id").alias("user_id"))).select(F.col("user_id").alias("unique_id"), "valid_from", "valid_to")
     listing = (F.col("product_id") % 200).alias("listing_id")
     items = gold.allocate(v.items, v.payments, "product_id", "seller_id", "price_cents", "freight_cents").select("*", listing)
     products = versions.scd2(product_events(v), "product_id", ORDER, F.col("category")).select(F.col("product_id").alias("listing_id"), "valid_from", "valid_to")
-    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim, products, v.changes.select("source_ts"), v.items.select("order_id", listing))
+    listed = versions.with_keys(v.items.select("order_id", listing), product_events(v).select(F.col("product_id").alias("listing_id")), "listing_id")
+    return gold.fact_items(items, v.orders, v.customers, gold.dim_seller(v.sellers, "seller_id"), dim, products, v.changes.select("source_ts"), listed)
 
 
 @query("""select cast(strftime(d, '%Y%m%d') as int) as date_key, d as date, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month, rpad(monthname(d), 9, ' ') as month_name, cast(weekofyear(d) as int) as week,
